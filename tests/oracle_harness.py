@@ -1,0 +1,61 @@
+"""Spark vs DuckDB comparison in the shape of the driver's check:
+same column names, same types, same multiset of rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT",
+}
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return ("f", "nan" if math.isnan(v) else repr(v))
+    if isinstance(v, dt.datetime):
+        return ("t", v.isoformat())
+    if isinstance(v, dt.date):
+        return ("d", v.isoformat())
+    return (type(v).__name__, repr(v))
+
+
+def compare(spark_df, con, sql: str) -> dict:
+    s_cols = spark_df.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = {"spark_cols": sorted(s_cols), "duck_cols": sorted(d_cols)}
+    out["names_match"] = sorted(s_cols) == sorted(d_cols)
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
+    cols = sorted(s_cols)
+    s_rows = sorted(tuple(_norm(r[c]) for c in cols) for r in spark_df.collect())
+    d_idx = [d_cols.index(c) for c in cols] if out["names_match"] else []
+    d_rows = sorted(tuple(_norm(r[i]) for i in d_idx) for r in rel.fetchall()) if out["names_match"] else []
+    out["spark_rows"], out["duck_rows"] = len(s_rows), len(d_rows)
+    out["values_match"] = s_rows == d_rows
+    if not out["values_match"] and out["names_match"]:
+        sa, da = set(s_rows), set(d_rows)
+        out["only_spark"] = [r for r in s_rows if r not in da][:3]
+        out["only_duck"] = [r for r in d_rows if r not in sa][:3]
+    out["ok"] = out["names_match"] and out["types_match"] and out["values_match"]
+    return out
