@@ -48,11 +48,6 @@ MERGED = f"""
 
 TEST_ASSETS = "(VALUES (CAST(8 AS BIGINT), 'fern'), (46, 'camden'), (7, 'dom')) AS a(node_id, node)"
 
-EXPECTED_VERIFIED = (
-    "{u}((nd + CASE isodow(nd) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END)::TIMESTAMP + INTERVAL 10 HOUR)"
-)
-
-
 def _verified(begin: str) -> str:
     nd = f"(CAST({_ny(begin)} AS DATE) + 1)"
     d = f"({nd} + CASE isodow({nd}) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END)"
@@ -291,6 +286,15 @@ ORACLE: dict[str, str] = {
              CAST({_ny('utcbegin + INTERVAL 60 MINUTE')} AS DATE) > pricedate AS is_last_of_day
       FROM o""",
 
+    "stream_day_merge": f"""{WITH_EV}, m AS ({MERGED})
+      SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, ingest_seq FROM m""",
+
+    "stream_asset_upsert": f"""{WITH_EV},
+      s AS (SELECT a.node, ev.utcbegin, ev.pricedate, ev.hour, ev.dalmp, ev.damcc, ev.damcl, ev.ingest_seq
+            FROM ev JOIN {TEST_ASSETS} ON ev.node_id = a.node_id)
+      SELECT * FROM s
+      QUALIFY row_number() OVER (PARTITION BY node, utcbegin ORDER BY ingest_seq % 2 DESC, ingest_seq DESC) = 1""",
+
     "save_targets": f"""{WITH_OR}
       SELECT DISTINCT pricedate, CAST(date_trunc('month', pricedate) AS DATE) AS month FROM o""",
 }

@@ -22,7 +22,10 @@ from lmplake.operators import quality as Q
 from lmplake.operators.normalize import normalize_prices, quarantine_summary
 from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
+from lmplake.session import lake_root
+from lmplake.sinks.lake import land_intake, merge_into_day_table, upsert_serving
 from lmplake.sources.pages import build_pages, parse_page_text
+from lmplake.streaming.streams import start_day_merge, start_serving_upsert
 
 DA = feed(DA_FEED)
 # Fixed evaluation instants (``now`` is a parameter, never the wall clock).
@@ -216,6 +219,38 @@ def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.save_targets(A.orders_prices(spark, sf_dir))
 
 
+# Files per micro-batch in the streaming keys, so that several micro-batches run.
+STREAM_FILES_PER_TRIGGER = 10
+
+
+def stream_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing rows merged in batch, new rows landed as intake files and
+    merged by a streaming query in several micro-batches; the result must
+    equal the one-shot ``day_merge``."""
+    root = lake_root(spark)
+    existing, new = _existing_new(spark, sf_dir)
+    table_dir, intake_dir = f"{root}/day", f"{root}/intake"
+    merge_into_day_table(spark, table_dir, existing, DA)
+    land_intake(new, intake_dir, DA)
+    q = start_day_merge(spark, intake_dir, table_dir, f"{root}/_checkpoint/day", DA,
+                        ledger_dir=f"{root}/ledger", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    return spark.read.parquet(table_dir)
+
+
+def stream_asset_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = lake_root(spark)
+    assets = asset_dimension(spark, A.TEST_ASSETS)
+    existing, new = _existing_new(spark, sf_dir)
+    serving_dir, intake_dir = f"{root}/serving", f"{root}/intake"
+    upsert_serving(spark, serving_dir, existing, assets, DA)
+    land_intake(new, intake_dir, DA)
+    q = start_serving_upsert(spark, intake_dir, serving_dir, f"{root}/_checkpoint/serving", DA, assets,
+                             max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    return spark.read.parquet(serving_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_prices": normalize_prices_q,
     "scan_json_pages": scan_json_pages,
@@ -244,4 +279,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
+    "stream_day_merge": stream_day_merge,
+    "stream_asset_upsert": stream_asset_upsert,
 }
