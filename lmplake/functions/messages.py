@@ -30,43 +30,38 @@ DECODED_COLUMNS = ("kind", "feed", "begin_utc", "queue_next", "merge_date")
 
 
 def unwrap_quoted(text: Column | str) -> Column:
-    """Strip one pair of surrounding quotes, then unescape inner quotes."""
-    t = _c(text)
-    quoted = t.startswith(F.lit('"')) & t.endswith(F.lit('"')) & (F.length(t) >= 2)
-    inner = F.when(quoted, F.substring(t, F.lit(2), F.length(t) - F.lit(2))).otherwise(t)
+    """Strip one pair of surrounding quotes, then unescape inner quotes.
+    One regex keeps the input referenced once, so an upstream expression is
+    never copied into several branches."""
+    inner = F.regexp_replace(_c(text), r'(?s)^"(.*)"$', "$1")
     return F.replace(inner, F.lit('\\"'), F.lit('"'))
 
 
+# Both message kinds parsed in one pass: serde ignores unknown fields, so a
+# fetch decode and a merge decode of the same text see the same values.
+MESSAGE_SCHEMA = T.StructType([*FETCH_SCHEMA.fields, *MERGE_SCHEMA.fields])
+
+
 def decode_messages(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """Append ``kind, feed, begin_utc, queue_next, merge_date`` to ``df``."""
-    body = unwrap_quoted(text_col)
-    fetch = F.from_json(body, FETCH_SCHEMA)
-    merge = F.from_json(body, MERGE_SCHEMA)
-    known = F.col("_fetch.pjm_end_point").isin(list(FEEDS))
-    out = df.withColumn("_fetch", fetch).withColumn("_merge", merge)
-    begin = parse_iso_offset(F.col("_fetch.begin_time_iso_str"))
-    is_fetch = (
-        F.col("_fetch.begin_time_iso_str").isNotNull()
-        & F.col("_fetch.queue_next").isNotNull()
-        & known
-        & begin.isNotNull()
-    )
-    is_merge = F.col("_merge.date").isNotNull() & F.col("_merge.endpoint").isNotNull()
-    kind = F.when(is_fetch, F.lit("fetch")).when(is_merge, F.lit("merge")).otherwise(F.lit("bad"))
-    return (
-        out.withColumn("kind", kind)
-        .withColumn(
-            "feed",
-            F.when(F.col("kind") == "fetch", F.col("_fetch.pjm_end_point"))
-            .when(F.col("kind") == "merge", F.col("_merge.endpoint")),
-        )
-        .withColumn("begin_utc", F.when(F.col("kind") == "fetch", begin))
-        .withColumn("queue_next", F.when(F.col("kind") == "fetch", F.col("_fetch.queue_next")))
-        .withColumn(
-            "merge_date",
-            F.when(F.col("kind") == "merge", F.try_to_date(F.col("_merge.date"), "yyyy-MM-dd")),
-        )
-        .drop("_fetch", "_merge")
+    """Append ``kind, feed, begin_utc, queue_next, merge_date`` to ``df``.
+
+    Fetch is tried first (all three fields, a known feed, a parseable begin
+    time); then merge (date and endpoint present); anything else is bad."""
+    parsed = df.withColumn("_m", F.from_json(unwrap_quoted(text_col), MESSAGE_SCHEMA))
+    m = lambda f: F.col("_m").getField(f)
+    begin = parse_iso_offset(m("begin_time_iso_str"))
+    is_fetch = m("queue_next").isNotNull() & m("pjm_end_point").isin(list(FEEDS)) & begin.isNotNull()
+    is_merge = m("date").isNotNull() & m("endpoint").isNotNull()
+    code = F.when(is_fetch, F.lit(1)).when(is_merge, F.lit(2)).otherwise(F.lit(0))
+    staged = parsed.withColumn("_k", code).withColumn("_b", begin)
+    k = F.col("_k")
+    return staged.select(
+        *df.columns,
+        F.element_at(F.array(F.lit("bad"), F.lit("fetch"), F.lit("merge")), k + 1).alias("kind"),
+        F.when(k == 1, m("pjm_end_point")).when(k == 2, m("endpoint")).alias("feed"),
+        F.when(k == 1, F.col("_b")).alias("begin_utc"),
+        F.when(k == 1, m("queue_next")).alias("queue_next"),
+        F.when(k == 2, F.try_to_date(m("date"), "yyyy-MM-dd")).alias("merge_date"),
     )
 
 

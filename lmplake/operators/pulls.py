@@ -136,3 +136,14 @@ def next_requests(requests: DataFrame, pulled: DataFrame, request_cols: list[str
         *request_cols, "n_rows", "next_begin_utc", "delay_secs", "not_before",
         queue_name(feed_col).alias("queue"), msg.alias("message"), base64_text(msg).alias("payload"),
     )
+
+
+def coalesce_merge_requests(decoded: DataFrame) -> DataFrame:
+    """Distinct (feed, day) merge requests with how many arrived (T5).
+
+    Counted with a conditional aggregate rather than ``where(kind = 'merge')``:
+    a filter on a decoded column is pushed below the decode and would parse
+    the message again for every reference to ``kind``."""
+    g = decoded.groupBy("feed", "merge_date").agg(
+        F.count(F.when(F.col("kind") == "merge", F.lit(1))).alias("n_requests"))
+    return g.where(F.col("n_requests") > 0)

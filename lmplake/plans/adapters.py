@@ -122,17 +122,21 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = F.lit(None).cast("string")
     for et, fd in EVENT_TYPE_FEED.items():
         target = F.when(F.col("event_type") == et, F.lit(fd)).otherwise(target)
-    fetch = F.to_json(F.struct(
-        F.concat(local_text, _offset_text(begin)).alias("begin_time_iso_str"),
-        F.col("_target").alias("pjm_end_point"),
-        (k % 2 == 0).alias("queue_next"),
+    is_merge = F.col("_target") == "merge"
+    # One to_json per message: fields of the other kind are NULL and omitted.
+    plain = F.to_json(F.struct(
+        F.when(~is_merge, F.concat(local_text, _offset_text(begin))).alias("begin_time_iso_str"),
+        F.when(~is_merge, F.col("_target")).alias("pjm_end_point"),
+        F.when(~is_merge, k % 2 == 0).alias("queue_next"),
+        F.when(is_merge, market_date(begin).cast("string")).alias("date"),
+        F.when(is_merge, F.lit(RT_VERIFIED_FEED)).alias("endpoint"),
     ))
-    merge = merge_message_json(market_date(begin), F.lit(RT_VERIFIED_FEED))
-    plain = F.when(F.col("_target") == "merge", merge).otherwise(fetch)
-    wrapped = F.concat(F.lit('"'), F.replace(plain, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    wrap = k % 3 == 0
+    quote = F.when(wrap, F.lit('"')).otherwise(F.lit(""))
+    escaped = F.replace(plain, F.lit('"'), F.when(wrap, F.lit('\\"')).otherwise(F.lit('"')))
     return ev.withColumn("_target", target).select(
         F.col("event_id").alias("ingest_seq"),
-        F.when(k % 3 == 0, wrapped).otherwise(plain).alias("value"),
+        F.concat(quote, escaped, quote).alias("value"),
     )
 
 

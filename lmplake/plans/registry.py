@@ -146,8 +146,7 @@ def control_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pending_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = decode_messages(A.event_messages(spark, sf_dir)).where(F.col("kind") == "merge")
-    return msgs.groupBy("feed", "merge_date").agg(F.count(F.lit(1)).alias("n_requests"))
+    return P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir)))
 
 
 def next_requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
