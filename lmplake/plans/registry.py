@@ -24,6 +24,7 @@ from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
 from lmplake.session import lake_root
 from lmplake.sinks.lake import land_intake, merge_into_day_table, upsert_serving
+from lmplake.sources.feed_source import register as register_feed_source, write_page_folder
 from lmplake.sources.pages import build_pages, parse_page_text
 from lmplake.streaming.streams import start_day_merge, start_serving_upsert
 
@@ -218,6 +219,20 @@ def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.save_targets(A.orders_prices(spark, sf_dir))
 
 
+def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed by Spark, planned from their headers on the driver and
+    fetched per page on executors through the Python Data Source."""
+    root = lake_root(spark)
+    raw = A.events_raw(spark, sf_dir)
+    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull")
+    headers = raw.groupBy(F.col("pull_id").alias("pull")).agg(F.count(F.lit(1)).alias("total_rows"))
+    write_page_folder(pages, headers, root, DA_FEED)
+    register_feed_source(spark)
+    recs = (spark.read.format("lmplake_feed").option("root", root).option("feed", DA_FEED)
+            .option("page_size", A.ADAPTER_PAGE_SIZE).load())
+    return normalize_prices(recs, DA, keep=("pull", "start_row")).withColumnRenamed("pull", "pull_id")
+
+
 # Files per micro-batch in the streaming keys, so that several micro-batches run.
 STREAM_FILES_PER_TRIGGER = 10
 
@@ -278,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
+    "feed_source_read": feed_source_read,
     "stream_day_merge": stream_day_merge,
     "stream_asset_upsert": stream_asset_upsert,
 }

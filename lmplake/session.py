@@ -49,3 +49,34 @@ def lake_root(spark: SparkSession, name: str | None = None) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     return f"{base}/lmplake/{name or uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lmplake`` importable in Python workers (needed by the Python
+    Data Source). The zip goes to the shared checkpoint folder and is added
+    once per SparkContext with ``addPyFile``."""
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_lmplake_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    target = f"{base.rstrip('/')}/lmplake-pkg/lmplake-{hashlib.sha1(data).hexdigest()[:12]}.zip"
+    from pyarrow import fs as pafs
+    fsys, path = pafs.FileSystem.from_uri(target if "://" in target else os.path.abspath(target.replace("file:", "", 1)))
+    fsys.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with fsys.open_output_stream(path) as out:
+        out.write(data)
+    sc.addPyFile(target)
+    sc._lmplake_shipped = True
