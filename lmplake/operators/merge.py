@@ -30,7 +30,10 @@ def merge_order(src_rank: Column | int, seq: Column | str = SEQ_COL) -> Column:
 def latest_wins(df: DataFrame, key_cols: list[str] | tuple[str, ...] = KEY_COLUMNS,
                 order_col: str = SEQ_COL, value_cols: list[str] | None = None) -> DataFrame:
     """One row per key: the values of the row with the largest ``order_col``.
-    ``order_col`` must be non-NULL and unique per key."""
+    ``order_col`` must be non-NULL and unique per key. With fixed-width value
+    columns (numbers, dates, timestamps) this plans as a hash aggregate with
+    map-side partial aggregation; a string value column turns it into a sort
+    aggregate, so keep text out of the merged tables."""
     key_cols = list(key_cols)
     if value_cols is None:
         value_cols = [c for c in df.columns if c not in key_cols and c != order_col]
@@ -88,7 +91,9 @@ def unprocessed_inputs(files: DataFrame, ledger: DataFrame, file_col: str = "fil
 
 
 def node_day_lookup(day_table: DataFrame, nodes: DataFrame, day_col: str = "pricedate") -> DataFrame:
-    """Rows of the given nodes; ``nodes`` is a small (node_id[, day]) frame.
-    With files sorted by node, Parquet min/max statistics skip row groups."""
+    """Rows of the given nodes (a ``node_id[, day]`` frame). No broadcast
+    hint: the node list has no proven bound, so AQE decides from its actual
+    size at run time (broadcast when small, shuffle join otherwise). With
+    files sorted by node, Parquet min/max statistics skip row groups."""
     keys = [c for c in nodes.columns if c in ("node_id", day_col)]
-    return day_table.join(F.broadcast(nodes.select(*keys).distinct()), keys, "left_semi")
+    return day_table.join(nodes.select(*keys).distinct(), keys, "left_semi")

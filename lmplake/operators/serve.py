@@ -29,7 +29,9 @@ def asset_dimension(spark: SparkSession, assets=ASSETS) -> DataFrame:
     assets = [(int(n), str(lbl).strip('"')) for n, lbl in assets]
     if len(assets) > MAX_BROADCAST_ASSETS:
         raise ValueError(f"{len(assets)} assets exceed the broadcast bound {MAX_BROADCAST_ASSETS}")
-    return spark.createDataFrame(assets, ASSET_SCHEMA)
+    df = spark.createDataFrame(assets, ASSET_SCHEMA)
+    df._lmplake_bounded_rows = len(assets)  # size checked above: safe to broadcast
+    return df
 
 
 def serving_columns(spec: FeedSpec) -> list[str]:
@@ -37,9 +39,12 @@ def serving_columns(spec: FeedSpec) -> list[str]:
 
 
 def asset_lookup(prices: DataFrame, assets: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of known assets, labelled, in serving column order. The dimension
-    is config-sized and broadcast; the inner join is the ``IN`` filter."""
-    return prices.join(F.broadcast(assets), "node_id", "inner").select(*serving_columns(spec), *keep)
+    """Rows of known assets, labelled, in serving column order; the inner
+    join is the ``IN`` filter. A dimension built by ``asset_dimension`` has a
+    checked row count and is broadcast explicitly; any other frame is left to
+    AQE's run-time size check."""
+    dim = F.broadcast(assets) if getattr(assets, "_lmplake_bounded_rows", None) is not None else assets
+    return prices.join(dim, "node_id", "inner").select(*serving_columns(spec), *keep)
 
 
 def asset_upsert(serving: DataFrame | None, batch: DataFrame, spec: FeedSpec, seq_col: str = "ingest_seq") -> DataFrame:

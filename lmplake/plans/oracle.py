@@ -42,8 +42,10 @@ OR = _prices("orders", "o_orderpriority", "o_orderkey", "o_orderdate", "o_custke
 WITH_EV = f"WITH ev AS ({EV})"
 WITH_OR = f"WITH o AS ({OR})"
 
+LAKE_COLS = "utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, ingest_seq"
+
 MERGED = f"""
-  SELECT * FROM ev
+  SELECT {LAKE_COLS} FROM ev
   QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq % 2 DESC, ingest_seq DESC) = 1"""
 
 TEST_ASSETS = "(VALUES (CAST(8 AS BIGINT), 'fern'), (46, 'camden'), (7, 'dom')) AS a(node_id, node)"
@@ -114,7 +116,7 @@ ORACLE: dict[str, str] = {
       FROM f GROUP BY pull_id""",
 
     "latest_wins": f"""{WITH_EV}
-      SELECT * FROM ev
+      SELECT {LAKE_COLS} FROM ev
       QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1""",
 
     "first_day_filter": f"""{WITH_EV}

@@ -41,7 +41,9 @@ REQUEST_FEED = {
     "purchase": RT_UNVERIFIED_FEED,
 }
 
-PRICE_COLS = ["utcbegin", "pricedate", "hour", "node_id", "dalmp", "damcc", "damcl", "pull_id", "ingest_seq"]
+# Lake schema: fixed-width columns only, so latest-wins stays a hash aggregate
+# (a string value column would force a sort aggregate).
+PRICE_COLS = ["utcbegin", "pricedate", "hour", "node_id", "dalmp", "damcc", "damcl", "ingest_seq"]
 
 
 def _existing_new(spark, sf_dir):
@@ -74,7 +76,7 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_wins_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.latest_wins(A.events_prices(spark, sf_dir), ["node_id", "utcbegin"], "ingest_seq")
+    return M.latest_wins(A.events_prices(spark, sf_dir).select(*PRICE_COLS), ["node_id", "utcbegin"], "ingest_seq")
 
 
 def first_day_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
