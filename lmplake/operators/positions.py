@@ -3,14 +3,22 @@
 ``row_number()`` over ``PARTITION BY group`` sorts a whole group in one task;
 a group that holds a third of the data would stall the job. Here the
 ordering column (unique within its group, e.g. an ingest sequence) is cut
-into fixed-width blocks:
-
-1. count rows per (group, block) - a partial aggregate, skew-proof;
-2. a running sum over the *block counts* gives each block's offset (one row
-   per block, so even a hot group is small here);
-3. ``row_number()`` within (group, block) - each block holds at most
-   ``block_width`` rows because the ordering column is unique;
-4. position = offset + row number.
+into blocks whose width is set per group so that a group has about
+``count / target`` non-empty blocks, however sparse its ids are:
+
+1. per group: min, max, count of the ordering column (partial aggregate);
+2. count rows per (group, block) - a partial aggregate, skew-proof;
+3. a running sum over the *block counts* gives each block's offset (at most
+   ``count / target`` rows per group, so even a hot group is small here);
+4. ``row_number()`` within (group, block) - about ``target`` rows per block
+   when ids are spread evenly (always correct; only clustered ids make some
+   blocks larger);
+5. position = offset + row number.
+
+Everything is a deterministic function of the data, so a recomputed task
+gives the same positions. The per-group stats are one row per group; AQE
+broadcasts them when small and splits a hot group's partition (skew join)
+when not.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK_WIDTH = 1 << 16
+DEFAULT_TARGET_BLOCK_ROWS = 1 << 14
 
 
 def positions_within(
@@ -26,14 +34,20 @@ def positions_within(
     group_cols: list[str],
     order_col: str,
     out_col: str = "position",
-    block_width: int = DEFAULT_BLOCK_WIDTH,
+    target_block_rows: int = DEFAULT_TARGET_BLOCK_ROWS,
 ) -> DataFrame:
     """Append a 1-based ``out_col``: rank of ``order_col`` within ``group_cols``."""
-    blk = F.floor(F.col(order_col) / F.lit(block_width)).alias("_blk")
-    tagged = df.withColumn("_blk", blk)
+    stats = df.groupBy(*group_cols).agg(
+        F.min(order_col).alias("_lo"), F.max(order_col).alias("_hi"), F.count(F.lit(1)).alias("_cnt"))
+    span = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
+    width = F.greatest(F.lit(1.0), F.floor(span * F.lit(float(target_block_rows)) / F.col("_cnt")).cast("double"))
+    stats = stats.select(*group_cols, "_lo", width.alias("_w"))
+    tagged = df.join(stats, group_cols, "inner").withColumn(
+        "_blk", F.floor((F.col(order_col) - F.col("_lo")).cast("double") / F.col("_w")).cast("bigint")
+    ).drop("_lo", "_w")
     counts = tagged.groupBy(*group_cols, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_blk", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_off"))
+    before = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group_cols, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     within = Window.partitionBy(*group_cols, "_blk").orderBy(order_col)
     return (
         tagged.join(offsets, [*group_cols, "_blk"], "inner")

@@ -27,12 +27,15 @@ def lake_columns(spec: FeedSpec) -> list[str]:
 
 def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, cluster_by_key: bool = True) -> None:
     """Append landed rows to the feed's intake, one folder per market day.
-    Clustering by key puts every row of a key in one file, so a streaming
-    merge that takes files in several micro-batches still sees all of a
-    key's new rows together."""
+
+    Range partitioning on (day, node, time) puts every row of a key in one
+    file - so a streaming merge that takes files in several micro-batches
+    still sees all of a key's new rows together - and keeps each task on a
+    few day folders, so a landing writes about tasks + days files instead of
+    tasks x days."""
     out = df.select(*lake_columns(spec))
     if cluster_by_key:
-        out = out.repartition(*KEY_COLUMNS)
+        out = out.repartitionByRange("pricedate", *KEY_COLUMNS)
     out.write.mode("append").partitionBy("pricedate").parquet(intake_dir)
 
 

@@ -114,10 +114,25 @@ class _PageReading:
         self.fields = list(feed(self.feed).api_fields)
 
     def read(self, partition: PagePartition):
+        """One Arrow record batch per page (columnar hand-off to the JVM)."""
+        import pyarrow as pa
         t = load_transport(self.options)
-        for rec in t.fetch_page(self.feed, partition.pull, partition.start_row, self.page_size, self.fields):
-            yield (partition.pull, partition.start_row,
-                   *[None if rec.get(f) is None else str(rec.get(f)) for f in self.fields])
+        recs = t.fetch_page(self.feed, partition.pull, partition.start_row, self.page_size, self.fields)
+        n = len(recs)
+        cols = {
+            "pull": pa.array([partition.pull] * n, pa.string()),
+            "start_row": pa.array([partition.start_row] * n, pa.int64()),
+        }
+        for f in self.fields:
+            cols[f] = pa.array([None if r.get(f) is None else _text(r.get(f)) for r in recs], pa.string())
+        yield pa.RecordBatch.from_pydict(cols)
+
+
+def _text(v) -> str:
+    """JSON scalar -> its text, as Spark's JSON reader gives a string field."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
 
 
 class FeedPagesReader(_PageReading, DataSourceReader):

@@ -49,7 +49,8 @@ def test_carried_over_nodes(spark):
 def test_positions_match_row_number_on_a_hot_group(spark):
     from pyspark.sql import Window
     rows = [("hot", i * 3 + 1) for i in range(3000)] + [("cold", i * 7) for i in range(50)]
-    df = spark.createDataFrame(rows, "g string, seq bigint")
-    got = positions_within(df, ["g"], "seq", block_width=64)
+    rows += [("sparse", (i * 7919) << 40) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, seq bigint").repartition(5)
+    got = positions_within(df, ["g"], "seq", target_block_rows=16)
     ref = df.withColumn("position", F.row_number().over(Window.partitionBy("g").orderBy("seq")))
     assert sorted(got.collect()) == sorted(ref.collect())
