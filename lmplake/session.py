@@ -33,21 +33,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return s
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. A cluster sets it;
     only when it is unset (local tests) a private folder is made."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="lmplake-ckpt-")
-    sc.setCheckpointDir(d)
-    return spark.conf.get("spark.checkpoint.dir", None) or d
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is None:
+        d = conf_dir or _LOCAL_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="lmplake-ckpt-"))
+        sc.setCheckpointDir(d)
+    if conf_dir:
+        return conf_dir
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
+    return _LOCAL_DIRS[sc.applicationId]
 
 
 def lake_root(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder for lake tables under the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lmplake/{name or uuid.uuid4().hex}"
 
 
@@ -71,7 +77,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     data = buf.getvalue()
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    base = ensure_checkpoint_dir(spark)
     target = f"{base.rstrip('/')}/lmplake-pkg/lmplake-{hashlib.sha1(data).hexdigest()[:12]}.zip"
     from pyarrow import fs as pafs
     fsys, path = pafs.FileSystem.from_uri(target if "://" in target else os.path.abspath(target.replace("file:", "", 1)))
