@@ -90,10 +90,25 @@ def unprocessed_inputs(files: DataFrame, ledger: DataFrame, file_col: str = "fil
     return files.join(ledger.select(file_col).distinct(), file_col, "left_anti")
 
 
-def node_day_lookup(day_table: DataFrame, nodes: DataFrame, day_col: str = "pricedate") -> DataFrame:
-    """Rows of the given nodes (a ``node_id[, day]`` frame). No broadcast
-    hint: the node list has no proven bound, so AQE decides from its actual
-    size at run time (broadcast when small, shuffle join otherwise). With
-    files sorted by node, Parquet min/max statistics skip row groups."""
-    keys = [c for c in nodes.columns if c in ("node_id", day_col)]
-    return day_table.join(nodes.select(*keys).distinct(), keys, "left_semi")
+# A literal IN list longer than this is not pushed as a filter; use a frame.
+MAX_LITERAL_NODES = 10_000
+
+
+def node_day_lookup(day_table: DataFrame, nodes, days=None, day_col: str = "pricedate") -> DataFrame:
+    """Rows of the given nodes (optionally on given days).
+
+    ``nodes`` as a short Python list becomes a literal ``IN`` filter that
+    Catalyst pushes to the Parquet scan (row groups of other nodes are
+    skipped, since day files are sorted by node). A ``DataFrame`` of node ids
+    has no proven bound, so it is a semi-join and AQE picks broadcast or
+    shuffle from its actual size."""
+    out = day_table
+    if days is not None:
+        out = out.where(F.col(day_col).isin(list(days)))
+    if isinstance(nodes, DataFrame):
+        keys = [c for c in nodes.columns if c in ("node_id", day_col)]
+        return out.join(nodes.select(*keys).distinct(), keys, "left_semi")
+    nodes = [int(n) for n in nodes]
+    if len(nodes) > MAX_LITERAL_NODES:
+        raise ValueError(f"{len(nodes)} nodes: pass them as a DataFrame")
+    return out.where(F.col("node_id").isin(nodes))

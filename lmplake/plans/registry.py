@@ -188,8 +188,7 @@ def node_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = asset_dimension(spark, A.TEST_ASSETS).select("node_id")
-    return M.node_day_lookup(day_merge(spark, sf_dir), nodes)
+    return M.node_day_lookup(day_merge(spark, sf_dir), [n for n, _ in A.TEST_ASSETS])
 
 
 def asset_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,13 @@ def test_day_layout_sorted_by_node_and_time(spark, tmp_path):
                 keys = list(zip(t.node_id, t.utcbegin))
                 assert keys == sorted(keys)
                 assert pq.ParquetFile(os.path.join(path, d, f)).metadata.row_group(0).column(0).compression == "ZSTD"
+    from lmplake.operators.merge import node_day_lookup
+    look = node_day_lookup(spark.read.parquet(path), [8, 46], days=[dt.date(2024, 1, 10)])
+    plan = look._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(node_id), In(node_id, [46,8])]" in plan or "In(node_id" in plan
+    assert "PartitionFilters: [isnotnull(pricedate" in plan
+    assert look.count() == spark.read.parquet(path).where(
+        (F.col("pricedate") == dt.date(2024, 1, 10)) & F.col("node_id").isin(8, 46)).count() > 0
 
 
 def test_control_stream_and_pending_merges(spark, tmp_path):
