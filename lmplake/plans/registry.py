@@ -234,6 +234,27 @@ def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_prices(recs, DA, keep=("pull", "start_row")).withColumnRenamed("pull", "pull_id")
 
 
+def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages read as a stream whose offset is the last pull handed out
+    (T1): pages land in two waves; the second run takes only the new pull."""
+    root = lake_root(spark)
+    raw = A.events_raw(spark, sf_dir)
+    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull")
+    headers = raw.groupBy(F.col("pull_id").alias("pull")).agg(F.count(F.lit(1)).alias("total_rows"))
+    last_pull = headers.agg(F.max("pull")).first()[0]
+    register_feed_source(spark)
+    out, ck = f"{root}/out", f"{root}/_checkpoint"
+    for wave in (F.col("pull") < F.lit(last_pull), F.lit(True)):
+        write_page_folder(pages.where(wave), headers.where(wave), f"{root}/pages", DA_FEED)
+        q = (spark.readStream.format("lmplake_feed").option("root", f"{root}/pages").option("feed", DA_FEED)
+             .option("page_size", A.ADAPTER_PAGE_SIZE).load()
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    recs = spark.read.parquet(out)
+    return normalize_prices(recs, DA, keep=("pull", "start_row")).withColumnRenamed("pull", "pull_id")
+
+
 # Files per micro-batch in the streaming keys, so that several micro-batches run.
 STREAM_FILES_PER_TRIGGER = 10
 
@@ -295,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
     "feed_source_read": feed_source_read,
+    "stream_cursor": stream_cursor,
     "stream_day_merge": stream_day_merge,
     "stream_asset_upsert": stream_asset_upsert,
 }

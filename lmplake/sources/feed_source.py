@@ -78,7 +78,9 @@ class PageFolderTransport:
 
 
 def load_transport(options: dict):
-    spec = options.get("transport", "lmplake.sources.feed_source:PageFolderTransport")
+    spec = options.get("transport")
+    if not spec:
+        return PageFolderTransport(options)
     mod, _, cls = spec.partition(":")
     return getattr(importlib.import_module(mod), cls)(options)
 
@@ -181,7 +183,17 @@ class FeedPagesDataSource(DataSource):
 
 
 def register(spark) -> None:
+    """Register the source. Its modules are pickled by value, so the Python
+    processes that plan batch reads and drive streaming offsets do not need
+    ``lmplake`` installed; executors also get the package zip."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    import lmplake.feeds
     from lmplake.session import ship_package
+    for mod in (lmplake.feeds, sys.modules[__name__]):
+        cloudpickle.register_pickle_by_value(mod)
     ship_package(spark)
     spark.dataSource.register(FeedPagesDataSource)
 
