@@ -256,7 +256,7 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Files per micro-batch in the streaming keys, so that several micro-batches run.
-STREAM_FILES_PER_TRIGGER = 10
+STREAM_FILES_PER_TRIGGER = 16
 
 
 def stream_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ so no watermark bounds it. A replayed micro-batch rewrites the same rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,15 @@ def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkp
     """Stream intake -> day table (T3). ``available_now`` drains what is
     there and stops; otherwise polls every ``processing_time`` (T2)."""
     def merge_batch(df: DataFrame, batch_id: int) -> None:
-        merge_into_day_table(spark, table_dir, df, spec)
-        if ledger_dir:
-            record_processed(df, ledger_dir, batch_id)
+        # The batch is used three times (touched days, merge, ledger): read the
+        # files once. Lost blocks are recomputed from the intake files.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_into_day_table(spark, table_dir, df, spec)
+            if ledger_dir:
+                record_processed(df, ledger_dir, batch_id)
+        finally:
+            df.unpersist()
 
     w = (intake_stream(spark, intake_dir, spec, max_files_per_trigger).writeStream
          .foreachBatch(merge_batch).option("checkpointLocation", checkpoint))
@@ -46,7 +53,11 @@ def start_serving_upsert(spark: SparkSession, intake_dir: str, serving_dir: str,
                          max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
     """Stream intake -> serving table for known assets (T4)."""
     def upsert_batch(df: DataFrame, batch_id: int) -> None:
-        upsert_serving(spark, serving_dir, df, assets, spec)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            upsert_serving(spark, serving_dir, df, assets, spec)
+        finally:
+            df.unpersist()
 
     w = (intake_stream(spark, intake_dir, spec, max_files_per_trigger).writeStream
          .foreachBatch(upsert_batch).option("checkpointLocation", checkpoint))
