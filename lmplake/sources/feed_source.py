@@ -86,10 +86,15 @@ def load_transport(options: dict):
 
 
 class PagePartition(InputPartition):
-    def __init__(self, pull: str, start_row: int):
+    def __init__(self, pull: str, start_row: int, expected_rows: int):
         super().__init__((pull, start_row))
         self.pull = pull
         self.start_row = start_row
+        self.expected_rows = expected_rows
+
+
+class IncompletePull(RuntimeError):
+    """A page came back with fewer or more rows than its header promised."""
 
 
 def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int) -> list[PagePartition]:
@@ -99,7 +104,8 @@ def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int) ->
     for pull in pulls:
         total = totals.get(pull, 0)
         for p in range(math.ceil(total / page_size) if total > 0 else 0):
-            parts.append(PagePartition(pull, p * page_size + 1))
+            start = p * page_size + 1
+            parts.append(PagePartition(pull, start, min(page_size, total - start + 1)))
     return parts
 
 
@@ -114,13 +120,19 @@ class _PageReading:
         self.feed = self.options["feed"]
         self.page_size = int(self.options.get("page_size", PAGE_SIZE))
         self.fields = list(feed(self.feed).api_fields)
+        self.strict = str(self.options.get("strict", "true")).lower() != "false"
 
     def read(self, partition: PagePartition):
-        """One Arrow record batch per page (columnar hand-off to the JVM)."""
+        """One Arrow record batch per page (columnar hand-off to the JVM).
+        Strict mode (default) fails the job when a page is missing or short,
+        as a pull with an unreadable page must not land half."""
         import pyarrow as pa
         t = load_transport(self.options)
         recs = t.fetch_page(self.feed, partition.pull, partition.start_row, self.page_size, self.fields)
         n = len(recs)
+        if self.strict and n != partition.expected_rows:
+            raise IncompletePull(f"{self.feed} pull {partition.pull} page {partition.start_row}: "
+                                 f"{n} rows, header promised {partition.expected_rows}")
         cols = {
             "pull": pa.array([partition.pull] * n, pa.string()),
             "start_row": pa.array([partition.start_row] * n, pa.int64()),

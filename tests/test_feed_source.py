@@ -54,3 +54,17 @@ def test_stream_cursor_takes_new_pulls_only(spark, tmp_path):
     run()
     got = spark.read.parquet(out)
     assert got.count() == 14 and got.where(F.col("pull") == "20240101T07").count() == 5
+
+
+def test_missing_page_fails_the_read_in_strict_mode(spark, tmp_path):
+    import pytest
+    root = str(tmp_path / "pages")
+    _land(spark, root, [("20240101T05", 10)])
+    import shutil
+    shutil.rmtree(f"{root}/feed={RT_VERIFIED_FEED}/pull=20240101T05/start_row=5")
+    register(spark)
+    reader = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+              .option("page_size", 4))
+    with pytest.raises(Exception, match="header promised"):
+        reader.load().collect()
+    assert reader.option("strict", "false").load().count() == 6

@@ -53,3 +53,17 @@ def test_absent_table_is_empty_but_unreadable_day_fails(spark, tmp_path):
     (part / "part-corrupt.zstd.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         merge_into_day_table(spark, str(path), _prices(spark, [(dt.datetime(2024, 1, 1, 6), 1, 2.0, 2)]), SPEC)
+
+
+def test_empty_batches_change_nothing(spark, tmp_path):
+    from lmplake.operators.serve import asset_dimension, asset_upsert
+    path = str(tmp_path / "day")
+    rows = [(dt.datetime(2024, 1, 1, 5), 1, 1.0, 1)]
+    merge_into_day_table(spark, path, _prices(spark, rows), SPEC)
+    before = _table(spark, path)
+    assert merge_into_day_table(spark, path, _prices(spark, rows).limit(0), SPEC) == []
+    assert _table(spark, path) == before
+    assets = asset_dimension(spark, [(1, "a")])
+    from lmplake.operators.serve import asset_lookup
+    serving = asset_lookup(_prices(spark, rows), assets, SPEC, keep=("ingest_seq",))
+    assert asset_upsert(serving, serving.limit(0), SPEC).count() == 1
