@@ -75,14 +75,26 @@ def node_inventory(day_table: DataFrame, day_col: str = "pricedate", part_cols:
     return day_table.select(*part_cols, day_col, "node_id").distinct()
 
 
+def relative_path(path: Column | str, root: str) -> Column:
+    """Strip a store prefix (``root/``) from a path column (C21); paths under
+    another root are returned unchanged."""
+    import re
+    p = F.col(path) if isinstance(path, str) else path
+    return F.regexp_replace(p, "^" + re.escape(root.rstrip("/")) + "/", "")
+
+
 def input_manifest(landed: DataFrame, file_col: str = "file_path", day_col: str = "pricedate",
-                   part_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Per day and source file: rows, first and last interval."""
-    return landed.groupBy(*part_cols, day_col, file_col).agg(
+                   part_cols: tuple[str, ...] = (), root: str | None = None) -> DataFrame:
+    """Per day and source file: rows, first and last interval; with ``root``
+    also the file path relative to it."""
+    out = landed.groupBy(*part_cols, day_col, file_col).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("utcbegin").alias("first_utcbegin"),
         F.max("utcbegin").alias("last_utcbegin"),
     )
+    if root is not None:
+        out = out.withColumn("rel_path", relative_path(file_col, root))
+    return out
 
 
 def unprocessed_inputs(files: DataFrame, ledger: DataFrame, file_col: str = "file_path") -> DataFrame:

@@ -65,6 +65,10 @@ def day_boundaries(df: DataFrame, step_minutes: int, time_col: str = "utcbegin")
              .withColumn("is_last_of_day", is_last_of_day(time_col, step_minutes))
 
 
-def save_targets(df: DataFrame, day_col: str = "pricedate", part_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct market days to (re)write and the month each belongs to."""
-    return df.select(*part_cols, day_col).distinct().withColumn("month", F.trunc(F.col(day_col), "MM"))
+def save_targets(df: DataFrame, spec=None, day_col: str = "pricedate", part_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct market days to (re)write, the month each belongs to, and the
+    save target: the day for sub-daily feeds, the month otherwise (C19)."""
+    out = df.select(*part_cols, day_col).distinct().withColumn("month", F.trunc(F.col(day_col), "MM"))
+    if spec is not None:
+        out = out.withColumn("save_target", F.col(day_col) if spec.is_sub_daily else F.col("month"))
+    return out

@@ -240,7 +240,7 @@ ORACLE: dict[str, str] = {
       f AS (SELECT *, 'da_hrl_lmps/_input/' || pull_id || '/' || CAST(CAST(utcbegin AS DATE) AS VARCHAR)
                       || '/batch' || CAST(ingest_seq % 2 AS VARCHAR) || '.parquet' AS file_path FROM ev)
       SELECT pricedate, file_path, count(*) AS n_rows, min(utcbegin) AS first_utcbegin,
-             max(utcbegin) AS last_utcbegin
+             max(utcbegin) AS last_utcbegin, regexp_replace(file_path, '^da_hrl_lmps/', '') AS rel_path
       FROM f GROUP BY 1, 2""",
 
     "unprocessed_inputs": f"""{WITH_EV},
@@ -312,5 +312,6 @@ ORACLE: dict[str, str] = {
       QUALIFY row_number() OVER (PARTITION BY node, utcbegin ORDER BY ingest_seq % 2 DESC, ingest_seq DESC) = 1""",
 
     "save_targets": f"""{WITH_OR}
-      SELECT DISTINCT pricedate, CAST(date_trunc('month', pricedate) AS DATE) AS month FROM o""",
+      SELECT DISTINCT pricedate, CAST(date_trunc('month', pricedate) AS DATE) AS month,
+             pricedate AS save_target FROM o""",
 }

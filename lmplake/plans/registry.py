@@ -173,7 +173,7 @@ def carried_over_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def input_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.input_manifest(A.with_intake_file(A.events_prices(spark, sf_dir)))
+    return M.input_manifest(A.with_intake_file(A.events_prices(spark, sf_dir)), root=DA_FEED)
 
 
 def unprocessed_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ def day_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.save_targets(A.orders_prices(spark, sf_dir))
+    return Q.save_targets(A.orders_prices(spark, sf_dir), DA)
 
 
 def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
             raise
         serving = None
     merged = asset_upsert(serving, batch, spec).checkpoint(eager=True)
-    (merged.repartition("pricedate")
+    (merged.repartitionByRange("pricedate", "node")
            .sortWithinPartitions("pricedate", "node", "utcbegin")
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("pricedate").parquet(serving_dir))
