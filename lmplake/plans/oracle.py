@@ -292,14 +292,16 @@ ORACLE: dict[str, str] = {
       WITH ev AS ({EV}),
       pos AS (SELECT *, row_number() OVER (PARTITION BY pull_id ORDER BY ingest_seq) AS position FROM ev)
       SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, pull_id,
-             CAST(((position - 1) // 500) * 500 + 1 AS BIGINT) AS start_row
+             CAST(((position - 1) // 500) * 500 + 1 AS BIGINT) AS start_row,
+             CAST(position AS BIGINT) AS api_row
       FROM pos""",
 
     "stream_cursor": f"""
       WITH ev AS ({EV}),
       pos AS (SELECT *, row_number() OVER (PARTITION BY pull_id ORDER BY ingest_seq) AS position FROM ev)
       SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, pull_id,
-             CAST(((position - 1) // 500) * 500 + 1 AS BIGINT) AS start_row
+             CAST(((position - 1) // 500) * 500 + 1 AS BIGINT) AS start_row,
+             CAST(position AS BIGINT) AS api_row
       FROM pos""",
 
     "stream_day_merge": f"""{WITH_EV}, m AS ({MERGED})

@@ -231,7 +231,7 @@ def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_feed_source(spark)
     recs = (spark.read.format("lmplake_feed").option("root", root).option("feed", DA_FEED)
             .option("page_size", A.ADAPTER_PAGE_SIZE).load())
-    return normalize_prices(recs, DA, keep=("pull", "start_row")).withColumnRenamed("pull", "pull_id")
+    return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
 def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +252,7 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
              .trigger(availableNow=True).start())
         q.awaitTermination()
     recs = spark.read.parquet(out)
-    return normalize_prices(recs, DA, keep=("pull", "start_row")).withColumnRenamed("pull", "pull_id")
+    return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
 # Files per micro-batch in the streaming keys, so that several micro-batches run.

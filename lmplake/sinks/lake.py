@@ -12,7 +12,7 @@ table, so a retried job is safe.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
@@ -25,6 +25,18 @@ def lake_columns(spec: FeedSpec) -> list[str]:
     return [f.name for f in lake_schema(spec).fields]
 
 
+ROW_BITS = 32  # rows per pull stay below 2**32
+
+
+def stamp_ingest_seq(df: DataFrame, landing_id: int | Column, row_col: str = "api_row") -> DataFrame:
+    """Stamp the total merge order at landing: ``landing_id << 32 | row``.
+    ``landing_id`` grows with every landing (a batch id, a control-table
+    counter); ``row_col`` is the row's place in its pull, so "last" among new
+    rows is the API's order, never file listing order. Replays keep the stamp."""
+    lid = landing_id if isinstance(landing_id, Column) else F.lit(int(landing_id))
+    return df.withColumn(SEQ_COL, F.shiftleft(lid.cast("bigint"), ROW_BITS) + F.col(row_col).cast("bigint"))
+
+
 def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, cluster_by_key: bool = True) -> None:
     """Append landed rows to the feed's intake, one folder per market day.
 

@@ -111,7 +111,7 @@ def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int) ->
 
 def _schema_ddl(feed_name: str) -> str:
     fields = ", ".join(f"{f} string" for f in feed(feed_name).api_fields)
-    return f"pull string, start_row bigint, {fields}"
+    return f"pull string, start_row bigint, api_row bigint, {fields}"
 
 
 class _PageReading:
@@ -136,6 +136,9 @@ class _PageReading:
         cols = {
             "pull": pa.array([partition.pull] * n, pa.string()),
             "start_row": pa.array([partition.start_row] * n, pa.int64()),
+            # row number within the pull: the API's own order, used to stamp a
+            # total merge order at landing
+            "api_row": pa.array(range(partition.start_row, partition.start_row + n), pa.int64()),
         }
         for f in self.fields:
             cols[f] = pa.array([None if r.get(f) is None else _text(r.get(f)) for r in recs], pa.string())

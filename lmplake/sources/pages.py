@@ -42,10 +42,13 @@ def build_pages(raw: DataFrame, spec: FeedSpec, pull_cols: list[str], order_col:
     collecting one page is bounded."""
     pos = positions_within(raw, pull_cols, order_col)
     page = F.floor((F.col("position") - 1) / F.lit(page_size)).cast("bigint")
-    rec = F.struct(*[F.col(f) for f in spec.api_fields])
+    rec = F.struct(F.col("position").alias("p"), F.struct(*[F.col(f) for f in spec.api_fields]).alias("r"))
+    # collect_list has no order; sort each page by position so records keep
+    # the pull's order (the row number within the pull is derived from it)
+    ordered = F.transform(F.array_sort(F.collect_list(rec)), lambda x: x["r"])
     return (
         pos.withColumn("page_index", page)
         .groupBy(*pull_cols, "page_index")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.to_json(F.collect_list(rec)).alias("page_text"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.to_json(ordered).alias("page_text"))
         .withColumn("start_row", F.col("page_index") * F.lit(page_size) + F.lit(1))
     )

@@ -68,3 +68,25 @@ def test_missing_page_fails_the_read_in_strict_mode(spark, tmp_path):
     with pytest.raises(Exception, match="header promised"):
         reader.load().collect()
     assert reader.option("strict", "false").load().count() == 6
+
+
+def test_api_order_decides_among_new_rows(spark, tmp_path):
+    from lmplake.operators.normalize import normalize_prices
+    from lmplake.feeds import feed
+    from lmplake.sinks.lake import merge_into_day_table, stamp_ingest_seq
+    spec = feed(RT_VERIFIED_FEED)
+    root = str(tmp_path / "pages")
+    recs = [{"datetime_beginning_utc": "2024-01-01T05:00:00", "pnode_id": 7, "total_lmp_rt": v,
+             "congestion_price_rt": 0, "marginal_loss_price_rt": 0} for v in (1, 2, 3, 4, 5)]
+    pages = [("20240101T05", 1, json.dumps(recs[:4])), ("20240101T05", 5, json.dumps(recs[4:]))]
+    write_page_folder(spark.createDataFrame(pages, "pull string, start_row bigint, page_text string"),
+                      spark.createDataFrame([("20240101T05", 5)], "pull string, total_rows bigint"), root,
+                      RT_VERIFIED_FEED)
+    register(spark)
+    raw = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+           .option("page_size", 4).load())
+    prices = stamp_ingest_seq(normalize_prices(raw, spec, keep=("api_row",)), landing_id=3)
+    table = str(tmp_path / "day")
+    merge_into_day_table(spark, table, prices, spec)
+    got = spark.read.parquet(table).collect()
+    assert [(r.rtlmp, r.ingest_seq) for r in got] == [(5.0, (3 << 32) + 5)]
