@@ -7,8 +7,9 @@ requests (feed, pull, begin_utc, queue_next)
   -> landed in the intake, upserted into the serving table
   -> next requests (continue at max + step, or retry an empty pull)
 
-The pulled rows are checkpointed once (shared folder) and every sink reads
-that, so pages are fetched once even though three outputs use them.
+The typed rows are checkpointed once (shared folder) right after the fetch
+and everything downstream reads that, so each page is fetched once even
+though the first-day filter and three outputs use it.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, so
     if raw is None:
         pulled = spark.createDataFrame([], "pull string, utcbegin timestamp_ntz")
     else:
-        typed = normalize_prices(raw, spec, keep=("pull", "api_row"))
-        pulled = stamp_ingest_seq(first_day_filter(typed, ["pull"]), landing_id).checkpoint(eager=True)
+        # checkpointed right after the fetch: the first-day filter reads its
+        # input twice and three sinks follow, but each page is fetched once
+        typed = normalize_prices(raw, spec, keep=("pull", "api_row")).checkpoint(eager=True)
+        pulled = stamp_ingest_seq(first_day_filter(typed, ["pull"]), landing_id)
         land_intake(pulled, intake_dir, spec)
         upsert_serving(spark, serving_dir, pulled, assets, spec)
     nxt = next_requests(reqs, pulled.withColumn("feed", F.lit(feed_name)).select("feed", "pull", "utcbegin"),
