@@ -304,6 +304,19 @@ ORACLE: dict[str, str] = {
              CAST(position AS BIGINT) AS api_row
       FROM pos""",
 
+    "fetch_cycle": f"""
+      WITH ev AS ({EV}),
+      f AS (SELECT * FROM ev e WHERE pricedate = (SELECT min(pricedate) FROM ev m WHERE m.pull_id = e.pull_id)),
+      g AS (SELECT pull_id, count(*) AS n_rows, max(utcbegin) + INTERVAL 1 HOUR AS next_begin_utc FROM f GROUP BY 1),
+      k AS (SELECT *, {_delay("next_begin_utc - INTERVAL 14 HOUR", "2024-01-15 12:00:00", 60)} AS delay_secs,
+                   '{{"begin_time_iso_str":"' || strftime(next_begin_utc, '%Y-%m-%dT%H:%M:%S')
+                     || '+0000","pjm_end_point":"da_hrl_lmps","queue_next":true}}' AS message
+            FROM g)
+      SELECT 'da_hrl_lmps' AS feed, pull_id AS pull, n_rows, next_begin_utc, delay_secs,
+             TIMESTAMP '2024-01-15 12:00:00' + to_seconds(delay_secs) AS not_before,
+             'dahrllmps' AS queue, message, to_base64(encode(message)) AS payload
+      FROM k""",
+
     "stream_day_merge": f"""{WITH_EV}, m AS ({MERGED})
       SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, ingest_seq FROM m""",
 

@@ -220,20 +220,39 @@ def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.save_targets(A.orders_prices(spark, sf_dir), DA)
 
 
-def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages landed by Spark, planned from their headers on the driver and
-    fetched per page on executors through the Python Data Source."""
-    root = lake_root(spark)
+def _land_event_pages(spark, sf_dir, root):
     raw = A.events_raw(spark, sf_dir)
     pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull")
     headers = raw.groupBy(F.col("pull_id").alias("pull")).agg(F.count(F.lit(1)).alias("total_rows"))
     write_page_folder(pages, headers, root, DA_FEED)
+
+
+def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed by Spark, planned from their headers on the driver and
+    fetched per page on executors through the Python Data Source."""
+    root = lake_root(spark)
+    _land_event_pages(spark, sf_dir, root)
     register_feed_source(spark)
     recs = (spark.read.format("lmplake_feed").option("root", root).option("feed", DA_FEED)
             .option("page_size", A.ADAPTER_PAGE_SIZE).load())
     return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
+def fetch_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One whole fetch cycle over the event pages: one request per pull,
+    starting at the pull's first hour; returns the next requests."""
+    from lmplake.plans.cycle import run_fetch_cycle
+    root = lake_root(spark)
+    _land_event_pages(spark, sf_dir, f"{root}/pages")
+    requests = A.events_prices(spark, sf_dir).groupBy(F.col("pull_id").alias("pull")).agg(
+        F.min("utcbegin").alias("begin_utc")).select(
+        F.lit(DA_FEED).alias("feed"), "pull", "begin_utc", F.lit(True).alias("queue_next"))
+    nxt = run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE},
+                          f"{root}/intake", f"{root}/serving", asset_dimension(spark, A.TEST_ASSETS),
+                          landing_id=1, now=EVENTS_NOW, requests_out=f"{root}/next")
+    return spark.read.parquet(f"{root}/next")
+
+
 def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed pages read as a stream whose offset is the last pull handed out
     (T1): pages land in two waves; the second run takes only the new pull."""
@@ -317,6 +336,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_targets": save_targets,
     "feed_source_read": feed_source_read,
     "stream_cursor": stream_cursor,
+    "fetch_cycle": fetch_cycle,
     "stream_day_merge": stream_day_merge,
     "stream_asset_upsert": stream_asset_upsert,
 }
