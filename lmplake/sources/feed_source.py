@@ -153,13 +153,39 @@ def _text(v) -> str:
 
 
 class FeedPagesReader(_PageReading, DataSourceReader):
+    """Batch reader."""
+
+    pull_filter: set | None = None
+
     def partitions(self):
         t = load_transport(self.options)
         pulls = self.options.get("pulls")
         pulls = pulls.split(",") if pulls else t.pulls_after(self.feed, None)
+        if self.pull_filter is not None:
+            pulls = [p for p in pulls if p in self.pull_filter]
         return _plan_pages(t, self.feed, pulls, self.page_size)
 
 
+class FeedPagesPushdownReader(FeedPagesReader):
+    """Batch reader that takes ``pull = x`` / ``pull IN (...)`` filters, so
+    pages of other pulls are never requested (the API-side window filter).
+    Chosen with ``option("pushdown", "true")``; Spark requires
+    ``spark.sql.python.filterPushdown.enabled`` for it (and refuses a reader
+    with ``pushFilters`` when that is off, hence the separate class)."""
+
+    def pushFilters(self, filters):
+        from pyspark.sql.datasource import EqualTo, In
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("pull",):
+                keep = {str(f.value)}
+            elif isinstance(f, In) and f.attribute == ("pull",):
+                keep = {str(v) for v in f.value}
+            else:
+                yield f
+                continue
+            self.pull_filter = keep if self.pull_filter is None else self.pull_filter & keep
+
+
 class FeedCursorStreamReader(_PageReading, DataSourceStreamReader):
     """Offset = last pull key read (keys sort in time order)."""
 
@@ -191,6 +217,8 @@ class FeedPagesDataSource(DataSource):
         return _schema_ddl(self.options["feed"])
 
     def reader(self, schema):
+        if str(self.options.get("pushdown", "false")).lower() == "true":
+            return FeedPagesPushdownReader(self.options)
         return FeedPagesReader(self.options)
 
     def streamReader(self, schema):

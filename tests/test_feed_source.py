@@ -90,3 +90,19 @@ def test_api_order_decides_among_new_rows(spark, tmp_path):
     merge_into_day_table(spark, table, prices, spec)
     got = spark.read.parquet(table).collect()
     assert [(r.rtlmp, r.ingest_seq) for r in got] == [(5.0, (3 << 32) + 5)]
+
+
+def test_pull_filter_is_pushed_to_the_source(spark, tmp_path):
+    root = str(tmp_path / "pages")
+    _land(spark, root, [("20240101T05", 10), ("20240101T06", 4), ("20240101T07", 8)])
+    register(spark)
+    old = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+              .option("page_size", 4).option("pushdown", "true").load()
+              .where(F.col("pull").isin("20240101T05", "20240101T07")))
+        assert df.rdd.getNumPartitions() == 5  # 3 + 2 pages; the other pull is not planned
+        assert df.count() == 18
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", old)
