@@ -112,3 +112,25 @@ def record_processed(files: DataFrame, ledger_dir: str, batch_id: int | None = N
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
     out.write.mode("append").parquet(ledger_dir)
+
+
+def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_dir: str, spec: FeedSpec,
+                 batch_id: int | None = None) -> list:
+    """Batch form of the streaming merge (T7): merge every landed file that
+    the ledger does not list yet, then record those files. Files are chosen
+    by an anti-join against the ledger, so a rerun after a failure merges the
+    same files again (idempotent) and a rerun after success merges nothing."""
+    from lmplake.sources.intake import scan_intake
+    landed = scan_intake(spark, intake_dir, spec)
+    try:
+        done = spark.read.parquet(ledger_dir).select("file_path").distinct()
+        pending = landed.join(done, "file_path", "left_anti")
+    except Exception as e:  # no ledger yet: everything is pending
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        pending = landed
+    pending = pending.checkpoint(eager=True)  # the same set drives the merge and the ledger
+    days = merge_into_day_table(spark, table_dir, pending, spec)
+    if days:
+        record_processed(pending, ledger_dir, batch_id)
+    return days

@@ -67,3 +67,15 @@ def test_empty_batches_change_nothing(spark, tmp_path):
     from lmplake.operators.serve import asset_lookup
     serving = asset_lookup(_prices(spark, rows), assets, SPEC, keep=("ingest_seq",))
     assert asset_upsert(serving, serving.limit(0), SPEC).count() == 1
+
+
+def test_sweep_merges_pending_files_once(spark, tmp_path):
+    from lmplake.sinks.lake import land_intake, sweep_intake
+    intake, table, ledger = (str(tmp_path / x) for x in ("intake", "day", "ledger"))
+    land_intake(_prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 1.0, 1), (dt.datetime(2024, 1, 2, 5), 2, 2.0, 2)]),
+                intake, SPEC)
+    assert sorted(sweep_intake(spark, intake, table, ledger, SPEC)) == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert sweep_intake(spark, intake, table, ledger, SPEC) == []  # nothing pending
+    land_intake(_prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 9.0, 3)]), intake, SPEC)
+    assert sweep_intake(spark, intake, table, ledger, SPEC) == [dt.date(2024, 1, 1)]
+    assert _table(spark, table) == {(1, dt.datetime(2024, 1, 1, 5), 9.0), (2, dt.datetime(2024, 1, 2, 5), 2.0)}
