@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmplake.feeds import DA_FEED, RAW_NODE_FIELD, RAW_TIME_FIELD, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
-from lmplake.functions.messages import fetch_message_json, merge_message_json
 from lmplake.functions.time_cols import floor_to_step, market_date, market_local, raw_time_text
 from lmplake.operators.normalize import normalize_prices
 
@@ -143,5 +142,4 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = [
     "ADAPTER_PAGE_SIZE", "TEST_ASSETS", "EVENT_TYPE_FEED", "KEEP", "table", "events_raw", "orders_raw",
     "events_prices", "orders_prices", "arrival_batch", "with_intake_file", "event_messages",
-    "fetch_message_json",
 ]

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from lmplake.feeds import DA_FEED, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
 from lmplake.functions.calendar import (

@@ -2,7 +2,6 @@ import base64
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from lmplake.functions.messages import base64_text, decode_messages, fetch_message_json, queue_name
 

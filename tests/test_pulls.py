@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from lmplake.operators.pulls import first_day_filter, next_requests, page_completeness, page_plan
 
