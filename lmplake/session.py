@@ -9,8 +9,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Sizing for a large cluster (hundreds of TB of day tables). Partitions are
+# sized by bytes, not counts: scans split at 256 MB, AQE coalesces shuffle
+# output toward 256 MB and splits skewed partitions above it; the initial
+# shuffle partition count is high so a full-table merge never starts with
+# partitions that spill, and AQE shrinks it for small batches.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "lmplake") -> SparkSession:
+                  app_name: str = "lmplake", cluster: bool = False) -> SparkSession:
+    """Session with the lake's defaults. ``cluster=True`` adds ``CLUSTER_CONF``."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
@@ -23,6 +41,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
