@@ -16,14 +16,21 @@ from pyspark.sql import types as T
 from lmplake.feeds import FEEDS
 from lmplake.functions.time_cols import _c, iso_utc_text, parse_iso_offset
 
+# ---------------------------------------------------------------------------
+# Field names of the two message kinds (wire format).
+# fetch: begin time with offset, feed name, continue flag; merge: day, feed name.
+BEGIN_FIELD, FEED_FIELD, NEXT_FIELD = "begin_time_iso_str", "pjm_end_point", "queue_next"
+DATE_FIELD, ENDPOINT_FIELD = "date", "endpoint"
+# ---------------------------------------------------------------------------
+
 FETCH_SCHEMA = T.StructType([
-    T.StructField("begin_time_iso_str", T.StringType()),
-    T.StructField("pjm_end_point", T.StringType()),
-    T.StructField("queue_next", T.BooleanType()),
+    T.StructField(BEGIN_FIELD, T.StringType()),
+    T.StructField(FEED_FIELD, T.StringType()),
+    T.StructField(NEXT_FIELD, T.BooleanType()),
 ])
 MERGE_SCHEMA = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("endpoint", T.StringType()),
+    T.StructField(DATE_FIELD, T.StringType()),
+    T.StructField(ENDPOINT_FIELD, T.StringType()),
 ])
 
 DECODED_COLUMNS = ("kind", "feed", "begin_utc", "queue_next", "merge_date")
@@ -49,35 +56,35 @@ def decode_messages(df: DataFrame, text_col: str = "value") -> DataFrame:
     time); then merge (date and endpoint present); anything else is bad."""
     parsed = df.withColumn("_m", F.from_json(unwrap_quoted(text_col), MESSAGE_SCHEMA))
     m = lambda f: F.col("_m").getField(f)
-    begin = parse_iso_offset(m("begin_time_iso_str"))
-    is_fetch = m("queue_next").isNotNull() & m("pjm_end_point").isin(list(FEEDS)) & begin.isNotNull()
-    is_merge = m("date").isNotNull() & m("endpoint").isNotNull()
+    begin = parse_iso_offset(m(BEGIN_FIELD))
+    is_fetch = m(NEXT_FIELD).isNotNull() & m(FEED_FIELD).isin(list(FEEDS)) & begin.isNotNull()
+    is_merge = m(DATE_FIELD).isNotNull() & m(ENDPOINT_FIELD).isNotNull()
     code = F.when(is_fetch, F.lit(1)).when(is_merge, F.lit(2)).otherwise(F.lit(0))
     staged = parsed.withColumn("_k", code).withColumn("_b", begin)
     k = F.col("_k")
     return staged.select(
         *df.columns,
         F.element_at(F.array(F.lit("bad"), F.lit("fetch"), F.lit("merge")), k + 1).alias("kind"),
-        F.when(k == 1, m("pjm_end_point")).when(k == 2, m("endpoint")).alias("feed"),
+        F.when(k == 1, m(FEED_FIELD)).when(k == 2, m(ENDPOINT_FIELD)).alias("feed"),
         F.when(k == 1, F.col("_b")).alias("begin_utc"),
-        F.when(k == 1, m("queue_next")).alias("queue_next"),
-        F.when(k == 2, F.try_to_date(m("date"), "yyyy-MM-dd")).alias("merge_date"),
+        F.when(k == 1, m(NEXT_FIELD)).alias("queue_next"),
+        F.when(k == 2, F.try_to_date(m(DATE_FIELD), "yyyy-MM-dd")).alias("merge_date"),
     )
 
 
 def fetch_message_json(begin_utc: Column | str, feed_col: Column | str, queue_next: Column | bool = True) -> Column:
     qn = queue_next if isinstance(queue_next, Column) else F.lit(bool(queue_next))
     return F.to_json(F.struct(
-        iso_utc_text(begin_utc).alias("begin_time_iso_str"),
-        _c(feed_col).alias("pjm_end_point"),
-        qn.alias("queue_next"),
+        iso_utc_text(begin_utc).alias(BEGIN_FIELD),
+        _c(feed_col).alias(FEED_FIELD),
+        qn.alias(NEXT_FIELD),
     ))
 
 
 def merge_message_json(day: Column | str, feed_col: Column | str) -> Column:
     return F.to_json(F.struct(
-        _c(day).cast("string").alias("date"),
-        _c(feed_col).alias("endpoint"),
+        _c(day).cast("string").alias(DATE_FIELD),
+        _c(feed_col).alias(ENDPOINT_FIELD),
     ))
 
 

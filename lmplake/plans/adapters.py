@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmplake.feeds import DA_FEED, RAW_NODE_FIELD, RAW_TIME_FIELD, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
+from lmplake.functions import messages as MSG
 from lmplake.functions.time_cols import floor_to_step, market_date, market_local, raw_time_text
 from lmplake.operators.normalize import normalize_prices
 
@@ -124,11 +125,11 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_merge = F.col("_target") == "merge"
     # One to_json per message: fields of the other kind are NULL and omitted.
     plain = F.to_json(F.struct(
-        F.when(~is_merge, F.concat(local_text, _offset_text(begin))).alias("begin_time_iso_str"),
-        F.when(~is_merge, F.col("_target")).alias("pjm_end_point"),
-        F.when(~is_merge, k % 2 == 0).alias("queue_next"),
-        F.when(is_merge, market_date(begin).cast("string")).alias("date"),
-        F.when(is_merge, F.lit(RT_VERIFIED_FEED)).alias("endpoint"),
+        F.when(~is_merge, F.concat(local_text, _offset_text(begin))).alias(MSG.BEGIN_FIELD),
+        F.when(~is_merge, F.col("_target")).alias(MSG.FEED_FIELD),
+        F.when(~is_merge, k % 2 == 0).alias(MSG.NEXT_FIELD),
+        F.when(is_merge, market_date(begin).cast("string")).alias(MSG.DATE_FIELD),
+        F.when(is_merge, F.lit(RT_VERIFIED_FEED)).alias(MSG.ENDPOINT_FIELD),
     ))
     wrap = k % 3 == 0
     quote = F.when(wrap, F.lit('"')).otherwise(F.lit(""))
