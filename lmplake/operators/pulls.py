@@ -15,6 +15,7 @@ from lmplake.feeds import FEEDS, PAGE_SIZE
 from lmplake.functions.calendar import now_literal, request_delay_for, span_minutes_for, step_minutes_for
 from lmplake.functions.messages import base64_text, fetch_message_json, queue_name
 from lmplake.functions.time_cols import _c, add_minutes, api_time_text
+from lmplake.operators.skew import attach_group_stats
 
 
 def n_pages(total_rows: Column | str, page_size: int = PAGE_SIZE) -> Column:
@@ -69,12 +70,12 @@ def parameter_map(df: DataFrame) -> Column:
 def first_day_filter(prices: DataFrame, pull_cols: list[str], day_col: str = "pricedate") -> DataFrame:
     """Keep only the earliest market day of each pull.
 
-    The per-pull minimum is a partial aggregate (one row per pull); the
-    semi-join on ``(pull, day)`` lets AQE broadcast it when it is small at run
-    time and split a hot pull's rows across tasks (skew join) when it is not.
-    Never an unpartitioned window."""
-    first = prices.groupBy(*pull_cols).agg(F.min(day_col).alias(day_col))
-    return prices.join(first, [*pull_cols, day_col], "left_semi")
+    The per-pull minimum is a partial aggregate (one row per pull), joined
+    back on ``(pull, day)`` with ``attach_group_stats``: heavy pulls by a
+    size-bounded broadcast, so a pull holding a third of the rows is never
+    shuffled into one task. Never an unpartitioned window."""
+    first = prices.groupBy(*pull_cols).agg(F.min(day_col).alias(day_col), F.count(F.lit(1)).alias("_cnt"))
+    return attach_group_stats(prices, first, pull_cols, [*pull_cols, day_col], "left_semi")
 
 
 def next_cursor(prices: DataFrame, group_cols: list[str], feed_col: str = "feed") -> DataFrame:
