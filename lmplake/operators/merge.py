@@ -118,8 +118,10 @@ def node_day_lookup(day_table: DataFrame, nodes, days=None, day_col: str = "pric
     if days is not None:
         out = out.where(F.col(day_col).isin(list(days)))
     if isinstance(nodes, DataFrame):
+        # no distinct(): a semi-join ignores duplicates on its right side, and
+        # a plain (non-aggregated) right side keeps AQE's skew split available
         keys = [c for c in nodes.columns if c in ("node_id", day_col)]
-        return out.join(nodes.select(*keys).distinct(), keys, "left_semi")
+        return out.join(nodes.select(*keys), keys, "left_semi")
     nodes = [int(n) for n in nodes]
     if len(nodes) > MAX_LITERAL_NODES:
         raise ValueError(f"{len(nodes)} nodes: pass them as a DataFrame")
