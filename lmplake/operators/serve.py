@@ -47,13 +47,16 @@ def asset_lookup(prices: DataFrame, assets: DataFrame, spec: FeedSpec, keep: tup
     return prices.join(dim, "node_id", "inner").select(*serving_columns(spec), *keep)
 
 
-def asset_upsert(serving: DataFrame | None, batch: DataFrame, spec: FeedSpec, seq_col: str = "ingest_seq") -> DataFrame:
+def asset_upsert(serving: DataFrame | None, batch: DataFrame, spec: FeedSpec, seq_col: str = "ingest_seq",
+                 policy: str = "arrival") -> DataFrame:
     """``INSERT ... ON CONFLICT (node, utcbegin) DO UPDATE`` as a DataFrame:
-    batch rows replace serving rows of the same key; duplicate keys inside
-    the batch resolve to the largest ``seq_col``; an empty batch changes
-    nothing."""
+    batch rows replace serving rows of the same key (``arrival``), or the
+    largest ``seq_col`` wins wherever it is (``sequence``, for streams whose
+    sequences are stamped at landing); duplicate keys inside the batch
+    resolve to the largest ``seq_col``; an empty batch changes nothing."""
     cols = [*serving_columns(spec), seq_col]
-    new = batch.select(*cols).withColumn("_ord", merge_order(1, seq_col))
+    rank_new = 1 if policy == "arrival" else 0
+    new = batch.select(*cols).withColumn("_ord", merge_order(rank_new, seq_col))
     if serving is not None:
         new = serving.select(*cols).withColumn("_ord", merge_order(0, seq_col)).unionByName(new)
     return latest_wins(new, ["node", "utcbegin"], "_ord").drop("_ord").select(*cols)

@@ -318,10 +318,13 @@ ORACLE: dict[str, str] = {
       FROM k""",
 
     "stream_day_merge": f"""{WITH_EV}, m AS ({MERGED})
-      SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl, ingest_seq FROM m""",
+      SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl,
+             CASE WHEN ingest_seq % 2 = 1 THEN ingest_seq + 4294967296 ELSE ingest_seq END AS ingest_seq
+      FROM m""",
 
     "stream_asset_upsert": f"""{WITH_EV},
-      s AS (SELECT a.node, ev.utcbegin, ev.pricedate, ev.hour, ev.dalmp, ev.damcc, ev.damcl, ev.ingest_seq
+      s AS (SELECT a.node, ev.utcbegin, ev.pricedate, ev.hour, ev.dalmp, ev.damcc, ev.damcl,
+                   CASE WHEN ev.ingest_seq % 2 = 1 THEN ev.ingest_seq + 4294967296 ELSE ev.ingest_seq END AS ingest_seq
             FROM ev JOIN {TEST_ASSETS} ON ev.node_id = a.node_id)
       SELECT * FROM s
       QUALIFY row_number() OVER (PARTITION BY node, utcbegin ORDER BY ingest_seq % 2 DESC, ingest_seq DESC) = 1""",

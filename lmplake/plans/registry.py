@@ -23,7 +23,7 @@ from lmplake.operators.normalize import normalize_prices, quarantine_summary
 from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
 from lmplake.session import lake_root
-from lmplake.sinks.lake import land_intake, merge_into_day_table, upsert_serving
+from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, upsert_serving
 from lmplake.sources.feed_source import register as register_feed_source, write_page_folder
 from lmplake.sources.pages import build_pages, parse_page_text
 from lmplake.streaming.streams import start_day_merge, start_serving_upsert
@@ -279,11 +279,12 @@ STREAM_FILES_PER_TRIGGER = 16
 
 
 def stream_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing rows merged in batch, new rows landed as intake files and
-    merged by a streaming query in several micro-batches; the result must
-    equal the one-shot ``day_merge``."""
+    """Existing rows merged in batch; new rows stamped as landing 1 (sequence
+    = 1 << 32 | event id), landed as intake files and merged by a streaming
+    query in several micro-batches. Same rows as the one-shot ``day_merge``."""
     root = lake_root(spark)
     existing, new = _existing_new(spark, sf_dir)
+    new = stamp_ingest_seq(new, 1, "ingest_seq")
     table_dir, intake_dir = f"{root}/day", f"{root}/intake"
     merge_into_day_table(spark, table_dir, existing, DA)
     land_intake(new, intake_dir, DA)
@@ -297,6 +298,7 @@ def stream_asset_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lake_root(spark)
     assets = asset_dimension(spark, A.TEST_ASSETS)
     existing, new = _existing_new(spark, sf_dir)
+    new = stamp_ingest_seq(new, 1, "ingest_seq")
     serving_dir, intake_dir = f"{root}/serving", f"{root}/intake"
     upsert_serving(spark, serving_dir, existing, assets, DA)
     land_intake(new, intake_dir, DA)

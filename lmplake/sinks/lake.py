@@ -37,18 +37,18 @@ def stamp_ingest_seq(df: DataFrame, landing_id: int | Column, row_col: str = "ap
     return df.withColumn(SEQ_COL, F.shiftleft(lid.cast("bigint"), ROW_BITS) + F.col(row_col).cast("bigint"))
 
 
-def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, cluster_by_key: bool = True) -> None:
+def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec) -> None:
     """Append landed rows to the feed's intake, one folder per market day.
 
-    Range partitioning on (day, node, time) puts every row of a key in one
-    file - so a streaming merge that takes files in several micro-batches
-    still sees all of a key's new rows together - and keeps each task on a
-    few day folders, so a landing writes about tasks + days files instead of
-    tasks x days."""
+    Range partitioning on (day, node, ingest_seq) keeps each task on a few day
+    folders - about tasks + days files per landing instead of tasks x days -
+    and, because ``ingest_seq`` is unique, splits even a key that repeats a
+    billion times over many writers. A key's rows may therefore sit in several
+    files and micro-batches; the streaming merge uses the ``sequence`` order
+    (largest stamped sequence wins), which does not depend on that split."""
     out = df.select(*lake_columns(spec))
-    if cluster_by_key:
-        out = out.repartitionByRange("pricedate", *KEY_COLUMNS)
-    out.write.mode("append").partitionBy("pricedate").parquet(intake_dir)
+    out.repartitionByRange("pricedate", "node_id", SEQ_COL).write.mode("append") \
+        .partitionBy("pricedate").parquet(intake_dir)
 
 
 def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedate") -> None:
@@ -84,7 +84,7 @@ def merge_into_day_table(spark: SparkSession, table_dir: str, new: DataFrame, sp
 
 
 def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, assets: DataFrame,
-                   spec: FeedSpec) -> list:
+                   spec: FeedSpec, policy: str = "arrival") -> list:
     """Serving upsert for known assets: broadcast lookup, latest wins on
     (node, utcbegin) against the touched days, dynamic overwrite."""
     batch = asset_lookup(prices, assets, spec, keep=(SEQ_COL,))
@@ -98,7 +98,7 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
         serving = None
-    merged = asset_upsert(serving, batch, spec).checkpoint(eager=True)
+    merged = asset_upsert(serving, batch, spec, policy=policy).checkpoint(eager=True)
     (merged.repartitionByRange("pricedate", "node")
            .sortWithinPartitions("pricedate", "node", "utcbegin")
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -28,15 +28,21 @@ def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_file
 
 def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkpoint: str, spec: FeedSpec,
                     ledger_dir: str | None = None, available_now: bool = True,
-                    max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
+                    max_files_per_trigger: int | None = None, processing_time: str = "1 minute",
+                    policy: str = "sequence"):
     """Stream intake -> day table (T3). ``available_now`` drains what is
-    there and stops; otherwise polls every ``processing_time`` (T2)."""
+    there and stops; otherwise polls every ``processing_time`` (T2).
+
+    The merge order is ``sequence``: the largest ``ingest_seq`` (stamped at
+    landing, growing with every landing) wins, so the result does not depend
+    on how files are cut into micro-batches, and a later landing still
+    replaces earlier rows."""
     def merge_batch(df: DataFrame, batch_id: int) -> None:
         # The batch is used three times (touched days, merge, ledger): read the
         # files once. Lost blocks are recomputed from the intake files.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            merge_into_day_table(spark, table_dir, df, spec)
+            merge_into_day_table(spark, table_dir, df, spec, policy)
             if ledger_dir:
                 record_processed(df, ledger_dir, batch_id)
         finally:
@@ -50,12 +56,14 @@ def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkp
 
 def start_serving_upsert(spark: SparkSession, intake_dir: str, serving_dir: str, checkpoint: str,
                          spec: FeedSpec, assets: DataFrame, available_now: bool = True,
-                         max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
-    """Stream intake -> serving table for known assets (T4)."""
+                         max_files_per_trigger: int | None = None, processing_time: str = "1 minute",
+                         policy: str = "sequence"):
+    """Stream intake -> serving table for known assets (T4), ``sequence``
+    order as in ``start_day_merge``."""
     def upsert_batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            upsert_serving(spark, serving_dir, df, assets, spec)
+            upsert_serving(spark, serving_dir, df, assets, spec, policy)
         finally:
             df.unpersist()
 
