@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from lmplake.feeds import feed
 from lmplake.operators.normalize import normalize_prices
 from lmplake.operators.pulls import first_day_filter, next_requests
-from lmplake.sinks.lake import land_intake, stamp_ingest_seq, upsert_serving
+from lmplake.sinks.lake import land_intake, serving_table_path, stamp_ingest_seq, upsert_serving
 from lmplake.sources.feed_source import register
 
 
 def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, source_options: dict,
-                    intake_dir: str, serving_dir: str, assets: DataFrame, landing_id: int, now,
+                    intake_dir: str, serving_root: str, assets: DataFrame, landing_id: int, now,
                     requests_out: str | None = None) -> DataFrame:
     """Run one cycle for the ``requests`` of one feed; returns next requests
     (also appended to ``requests_out`` when given)."""
@@ -47,7 +47,7 @@ def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, so
         typed = normalize_prices(raw, spec, keep=("pull", "api_row")).checkpoint(eager=True)
         pulled = stamp_ingest_seq(first_day_filter(typed, ["pull"]), landing_id)
         land_intake(pulled, intake_dir, spec)
-        upsert_serving(spark, serving_dir, pulled, assets, spec)
+        upsert_serving(spark, serving_table_path(serving_root, spec), pulled, assets, spec)
     nxt = next_requests(reqs, pulled.withColumn("feed", F.lit(feed_name)).select("feed", "pull", "utcbegin"),
                         ["feed", "pull"], now)
     if requests_out:

@@ -83,6 +83,13 @@ def merge_into_day_table(spark: SparkSession, table_dir: str, new: DataFrame, sp
     return days
 
 
+def serving_table_path(serving_root: str, spec: FeedSpec) -> str:
+    """Serving table of a feed, chosen by its declared target (K6): day-ahead
+    and real-time prices live in separate tables, as they do in the reference's
+    database, without looking at which columns a frame has."""
+    return f"{serving_root.rstrip('/')}/{spec.serving_target}"
+
+
 def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, assets: DataFrame,
                    spec: FeedSpec, policy: str = "arrival") -> list:
     """Serving upsert for known assets: broadcast lookup, latest wins on

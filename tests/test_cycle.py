@@ -34,6 +34,6 @@ def test_fetch_cycle(spark, tmp_path):
     intake = spark.read.parquet(str(tmp_path / "intake"))
     assert intake.count() == 48 and {r.pricedate for r in intake.select("pricedate").distinct().collect()} == {
         dt.date(2024, 1, 1)}
-    serving = spark.read.parquet(str(tmp_path / "serving"))
+    serving = spark.read.parquet(str(tmp_path / "serving" / "da"))
     assert serving.count() == 24 and {r.node for r in serving.select("node").distinct().collect()} == {"fern"}
     assert spark.read.parquet(str(tmp_path / "next")).count() == 2
