@@ -317,6 +317,15 @@ ORACLE: dict[str, str] = {
              'dahrllmps' AS queue, message, to_base64(encode(message)) AS payload
       FROM k""",
 
+    "day_layout": f"""{WITH_EV}
+      SELECT {LAKE_COLS} FROM ev
+      QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1""",
+
+    "intake_sweep": f"""{WITH_EV}, m AS ({MERGED})
+      SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl,
+             CASE WHEN ingest_seq % 2 = 1 THEN ingest_seq + 4294967296 ELSE ingest_seq END AS ingest_seq
+      FROM m""",
+
     "stream_day_merge": f"""{WITH_EV}, m AS ({MERGED})
       SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl,
              CASE WHEN ingest_seq % 2 = 1 THEN ingest_seq + 4294967296 ELSE ingest_seq END AS ingest_seq

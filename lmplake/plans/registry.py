@@ -23,7 +23,7 @@ from lmplake.operators.normalize import normalize_prices, quarantine_summary
 from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
 from lmplake.session import lake_root
-from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, upsert_serving
+from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, sweep_intake, upsert_serving
 from lmplake.sources.feed_source import register as register_feed_source, write_page_folder
 from lmplake.sources.pages import build_pages, parse_page_text
 from lmplake.streaming.streams import start_day_merge, start_serving_upsert
@@ -247,7 +247,7 @@ def fetch_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = A.events_prices(spark, sf_dir).groupBy(F.col("pull_id").alias("pull")).agg(
         F.min("utcbegin").alias("begin_utc")).select(
         F.lit(DA_FEED).alias("feed"), "pull", "begin_utc", F.lit(True).alias("queue_next"))
-    nxt = run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE},
+    run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE},
                           f"{root}/intake", f"{root}/serving", asset_dimension(spark, A.TEST_ASSETS),
                           landing_id=1, now=EVENTS_NOW, requests_out=f"{root}/next")
     return spark.read.parquet(f"{root}/next")
@@ -278,6 +278,25 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_FILES_PER_TRIGGER = 16
 
 
+def day_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event prices merged into a fresh day table (range-partitioned,
+    sorted, zstd, one folder per day, dynamic overwrite) and read back."""
+    table = f"{lake_root(spark)}/day"
+    merge_into_day_table(spark, table, A.events_prices(spark, sf_dir).select(*PRICE_COLS), DA)
+    return spark.read.parquet(table)
+
+
+def intake_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings (existing rows, then new rows stamped as landing 1), each
+    followed by a batch sweep of the files the ledger does not list yet."""
+    root = lake_root(spark)
+    existing, new = _existing_new(spark, sf_dir)
+    for i, landing in enumerate((existing, stamp_ingest_seq(new, 1, "ingest_seq"))):
+        land_intake(landing, f"{root}/intake", DA)
+        sweep_intake(spark, f"{root}/intake", f"{root}/day", f"{root}/ledger", DA, batch_id=i)
+    return spark.read.parquet(f"{root}/day")
+
+
 def stream_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing rows merged in batch; new rows stamped as landing 1 (sequence
     = 1 << 32 | event id), landed as intake files and merged by a streaming
@@ -339,6 +358,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_source_read": feed_source_read,
     "stream_cursor": stream_cursor,
     "fetch_cycle": fetch_cycle,
+    "day_layout": day_layout,
+    "intake_sweep": intake_sweep,
     "stream_day_merge": stream_day_merge,
     "stream_asset_upsert": stream_asset_upsert,
 }
