@@ -15,23 +15,32 @@ from pyspark.sql import functions as F
 
 from lmplake.feeds import FeedSpec
 from lmplake.functions.messages import decode_messages
-from lmplake.sinks.lake import merge_into_day_table, record_processed, upsert_serving
+from lmplake.sinks.lake import merge_into_day_table, record_processed, serving_table_path, upsert_serving
 from lmplake.sources.intake import lake_schema
 
 
-def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_files_per_trigger: int | None = None) -> DataFrame:
+def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_files_per_trigger: int | None = None,
+                  archive_dir: str | None = None) -> DataFrame:
+    """The intake as a file stream. With ``archive_dir`` Spark moves each file
+    there once its micro-batch has committed (K4: consumed inputs leave the
+    intake, so listing stays small) - only for a single consumer."""
     r = spark.readStream.schema(lake_schema(spec))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.parquet(intake_dir).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
 def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkpoint: str, spec: FeedSpec,
                     ledger_dir: str | None = None, available_now: bool = True,
                     max_files_per_trigger: int | None = None, processing_time: str = "1 minute",
-                    policy: str = "sequence"):
+                    policy: str = "sequence", serving_root: str | None = None, assets: DataFrame | None = None,
+                    archive_dir: str | None = None):
     """Stream intake -> day table (T3). ``available_now`` drains what is
-    there and stops; otherwise polls every ``processing_time`` (T2).
+    there and stops; otherwise polls every ``processing_time`` (T2). With
+    ``serving_root`` and ``assets`` the same micro-batch also upserts the
+    serving table, so one consumer owns the intake and ``archive_dir`` is safe.
 
     The merge order is ``sequence``: the largest ``ingest_seq`` (stamped at
     landing, growing with every landing) wins, so the result does not depend
@@ -43,12 +52,14 @@ def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkp
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             merge_into_day_table(spark, table_dir, df, spec, policy)
+            if serving_root is not None and assets is not None:
+                upsert_serving(spark, serving_table_path(serving_root, spec), df, assets, spec, policy)
             if ledger_dir:
                 record_processed(df, ledger_dir, batch_id)
         finally:
             df.unpersist()
 
-    w = (intake_stream(spark, intake_dir, spec, max_files_per_trigger).writeStream
+    w = (intake_stream(spark, intake_dir, spec, max_files_per_trigger, archive_dir).writeStream
          .foreachBatch(merge_batch).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

@@ -99,3 +99,21 @@ def test_zone_matrix(spark, zone):
             assert r["ok"], (zone, k, r)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_one_stream_owns_the_intake_and_archives_it(spark, tmp_path):
+    from lmplake.operators.serve import asset_dimension
+    from lmplake.streaming.streams import start_day_merge
+    root = tmp_path
+    prices = A.events_prices(spark, SF).select(*lake_columns(SPEC))
+    land_intake(prices, str(root / "intake"), SPEC)
+    q = start_day_merge(spark, str(root / "intake"), str(root / "day"), str(root / "ck"), SPEC,
+                        serving_root=str(root / "serving"), assets=asset_dimension(spark, A.TEST_ASSETS),
+                        archive_dir=str(root / "archive"), max_files_per_trigger=8)
+    q.awaitTermination()
+    day = spark.read.parquet(str(root / "day"))
+    assert day.count() == prices.groupBy("node_id", "utcbegin").count().count()
+    assert spark.read.parquet(str(root / "serving" / "da")).select("node").distinct().count() == 3
+    left = [f for _, _, fs in os.walk(root / "intake") for f in fs if f.endswith(".parquet")]
+    archived = [f for _, _, fs in os.walk(root / "archive") for f in fs if f.endswith(".parquet")]
+    assert archived and len(left) <= 8  # files of the last micro-batch may still await their clean-up
