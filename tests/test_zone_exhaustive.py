@@ -1,0 +1,62 @@
+"""New York date/hour, midnights and availability against Python's zoneinfo,
+around every clock change 1995-2035 and at random instants, in one job."""
+import datetime as dt
+import random
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import functions as F
+
+from lmplake.feeds import RT_VERIFIED_FEED, feed
+from lmplake.functions.calendar import expected_at, next_business_day
+from lmplake.functions.time_cols import hour_ending, market_date, market_midnight_utc
+
+NY, UTC = ZoneInfo("America/New_York"), dt.timezone.utc
+
+
+def _instants():
+    out = set()
+    for year in range(1995, 2036):
+        t = dt.datetime(year, 1, 1, tzinfo=UTC)
+        prev = t.astimezone(NY).utcoffset()
+        while t.year == year:  # find the clock changes hour by hour
+            off = t.astimezone(NY).utcoffset()
+            if off != prev:
+                for m in range(-120, 121, 30):
+                    out.add((t + dt.timedelta(minutes=m)).replace(tzinfo=None))
+            prev = off
+            t += dt.timedelta(hours=1)
+    rng = random.Random(7)
+    for _ in range(3000):
+        out.add(dt.datetime(1995, 1, 1) + dt.timedelta(minutes=5 * rng.randrange(0, 40 * 365 * 288)))
+    return sorted(out)
+
+
+def _expected(u: dt.datetime):
+    local = u.replace(tzinfo=UTC).astimezone(NY)
+    day = local.date()
+    midnight = dt.datetime.combine(day, dt.time(), NY).astimezone(UTC).replace(tzinfo=None)
+    nd = day + dt.timedelta(days=1)
+    nd += dt.timedelta(days={5: 2, 6: 1}.get(nd.weekday(), 0))
+    verified = dt.datetime.combine(nd, dt.time(10), NY).astimezone(UTC).replace(tzinfo=None)
+    return day, local.hour + 1, midnight, verified
+
+
+def test_zone_functions_match_zoneinfo(spark):
+    instants = _instants()
+    df = spark.createDataFrame([(u,) for u in instants], "u timestamp_ntz")
+    rows = df.select(
+        "u", market_date("u").alias("d"), hour_ending("u").alias("h"),
+        market_midnight_utc(market_date("u")).alias("m"),
+        expected_at(feed(RT_VERIFIED_FEED), "u").alias("v"),
+    ).collect()
+    bad = [(r.u, (r.d, r.h, r.m, r.v), _expected(r.u)) for r in rows if (r.d, r.h, r.m, r.v) != _expected(r.u)]
+    assert len(rows) == len(instants) and not bad, bad[:5]
+
+
+def test_next_business_day_over_two_years(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(730)]
+    got = spark.createDataFrame([(d,) for d in days], "d date").select("d", next_business_day("d").alias("n")).collect()
+    for r in got:
+        n = r.d + dt.timedelta(days=1)
+        n += dt.timedelta(days={5: 2, 6: 1}.get(n.weekday(), 0))
+        assert r.n == n
