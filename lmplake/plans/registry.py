@@ -220,6 +220,10 @@ def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.save_targets(A.orders_prices(spark, sf_dir), DA)
 
 
+# The adapters' pages are small (500 rows), so several go to one read task.
+PAGES_PER_TASK = 8
+
+
 def _land_event_pages(spark, sf_dir, root):
     raw = A.events_raw(spark, sf_dir)
     pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull")
@@ -234,7 +238,7 @@ def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land_event_pages(spark, sf_dir, root)
     register_feed_source(spark)
     recs = (spark.read.format("lmplake_feed").option("root", root).option("feed", DA_FEED)
-            .option("page_size", A.ADAPTER_PAGE_SIZE).load())
+            .option("page_size", A.ADAPTER_PAGE_SIZE).option("pages_per_partition", PAGES_PER_TASK).load())
     return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
@@ -247,7 +251,8 @@ def fetch_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = A.events_prices(spark, sf_dir).groupBy(F.col("pull_id").alias("pull")).agg(
         F.min("utcbegin").alias("begin_utc")).select(
         F.lit(DA_FEED).alias("feed"), "pull", "begin_utc", F.lit(True).alias("queue_next"))
-    run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE},
+    run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE,
+                                              "pages_per_partition": PAGES_PER_TASK},
                           f"{root}/intake", f"{root}/serving", asset_dimension(spark, A.TEST_ASSETS),
                           landing_id=1, now=EVENTS_NOW, requests_out=f"{root}/next")
     return spark.read.parquet(f"{root}/next")
@@ -258,15 +263,18 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     (T1): pages land in two waves; the second run takes only the new pull."""
     root = lake_root(spark)
     raw = A.events_raw(spark, sf_dir)
-    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull")
-    headers = raw.groupBy(F.col("pull_id").alias("pull")).agg(F.count(F.lit(1)).alias("total_rows"))
+    # built once, landed in two waves
+    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE) \
+        .withColumnRenamed("pull_id", "pull").checkpoint(eager=True)
+    headers = pages.groupBy("pull").agg(F.sum("n_rows").cast("bigint").alias("total_rows"))
     last_pull = headers.agg(F.max("pull")).first()[0]
     register_feed_source(spark)
     out, ck = f"{root}/out", f"{root}/_checkpoint"
-    for wave in (F.col("pull") < F.lit(last_pull), F.lit(True)):
-        write_page_folder(pages.where(wave), headers.where(wave), f"{root}/pages", DA_FEED)
+    earlier = F.col("pull") < F.lit(last_pull)
+    for new_pages, known, append in ((earlier, earlier, False), (~earlier, F.lit(True), True)):
+        write_page_folder(pages.where(new_pages), headers.where(known), f"{root}/pages", DA_FEED, append)
         q = (spark.readStream.format("lmplake_feed").option("root", f"{root}/pages").option("feed", DA_FEED)
-             .option("page_size", A.ADAPTER_PAGE_SIZE).load()
+             .option("page_size", A.ADAPTER_PAGE_SIZE).option("pages_per_partition", PAGES_PER_TASK).load()
              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()

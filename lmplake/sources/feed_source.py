@@ -86,26 +86,32 @@ def load_transport(options: dict):
 
 
 class PagePartition(InputPartition):
-    def __init__(self, pull: str, start_row: int, expected_rows: int):
-        super().__init__((pull, start_row))
+    """Consecutive pages of one pull: ``pages`` is a list of
+    ``(start_row, expected_rows)``."""
+
+    def __init__(self, pull: str, pages: list[tuple[int, int]]):
+        super().__init__((pull, pages[0][0]))
         self.pull = pull
-        self.start_row = start_row
-        self.expected_rows = expected_rows
+        self.pages = pages
 
 
 class IncompletePull(RuntimeError):
     """A page came back with fewer or more rows than its header promised."""
 
 
-def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int) -> list[PagePartition]:
-    """Headers are read once per plan; pages are planned from them."""
+def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
+                pages_per_partition: int = 1) -> list[PagePartition]:
+    """Headers are read once per plan; pages are planned from them and
+    grouped ``pages_per_partition`` at a time (1 for full 50,000-row pages;
+    more when pages are small, so a task is not mostly start-up)."""
     totals = transport.headers(feed_name)
     parts = []
     for pull in pulls:
         total = totals.get(pull, 0)
-        for p in range(math.ceil(total / page_size) if total > 0 else 0):
-            start = p * page_size + 1
-            parts.append(PagePartition(pull, start, min(page_size, total - start + 1)))
+        pages = [(p * page_size + 1, min(page_size, total - p * page_size))
+                 for p in range(math.ceil(total / page_size) if total > 0 else 0)]
+        for i in range(0, len(pages), pages_per_partition):
+            parts.append(PagePartition(pull, pages[i:i + pages_per_partition]))
     return parts
 
 
@@ -121,6 +127,7 @@ class _PageReading:
         self.page_size = int(self.options.get("page_size", PAGE_SIZE))
         self.fields = list(feed(self.feed).api_fields)
         self.strict = str(self.options.get("strict", "true")).lower() != "false"
+        self.pages_per_partition = max(1, int(self.options.get("pages_per_partition", 1)))
 
     def read(self, partition: PagePartition):
         """One Arrow record batch per page (columnar hand-off to the JVM).
@@ -128,21 +135,22 @@ class _PageReading:
         as a pull with an unreadable page must not land half."""
         import pyarrow as pa
         t = load_transport(self.options)
-        recs = t.fetch_page(self.feed, partition.pull, partition.start_row, self.page_size, self.fields)
-        n = len(recs)
-        if self.strict and n != partition.expected_rows:
-            raise IncompletePull(f"{self.feed} pull {partition.pull} page {partition.start_row}: "
-                                 f"{n} rows, header promised {partition.expected_rows}")
-        cols = {
-            "pull": pa.array([partition.pull] * n, pa.string()),
-            "start_row": pa.array([partition.start_row] * n, pa.int64()),
-            # row number within the pull: the API's own order, used to stamp a
-            # total merge order at landing
-            "api_row": pa.array(range(partition.start_row, partition.start_row + n), pa.int64()),
-        }
-        for f in self.fields:
-            cols[f] = pa.array([None if r.get(f) is None else _text(r.get(f)) for r in recs], pa.string())
-        yield pa.RecordBatch.from_pydict(cols)
+        for start_row, expected in partition.pages:
+            recs = t.fetch_page(self.feed, partition.pull, start_row, self.page_size, self.fields)
+            n = len(recs)
+            if self.strict and n != expected:
+                raise IncompletePull(f"{self.feed} pull {partition.pull} page {start_row}: "
+                                     f"{n} rows, header promised {expected}")
+            cols = {
+                "pull": pa.array([partition.pull] * n, pa.string()),
+                "start_row": pa.array([start_row] * n, pa.int64()),
+                # row number within the pull: the API's own order, used to
+                # stamp a total merge order at landing
+                "api_row": pa.array(range(start_row, start_row + n), pa.int64()),
+            }
+            for f in self.fields:
+                cols[f] = pa.array([None if r.get(f) is None else _text(r.get(f)) for r in recs], pa.string())
+            yield pa.RecordBatch.from_pydict(cols)
 
 
 def _text(v) -> str:
@@ -163,7 +171,7 @@ class FeedPagesReader(_PageReading, DataSourceReader):
         pulls = pulls.split(",") if pulls else t.pulls_after(self.feed, None)
         if self.pull_filter is not None:
             pulls = [p for p in pulls if p in self.pull_filter]
-        return _plan_pages(t, self.feed, pulls, self.page_size)
+        return _plan_pages(t, self.feed, pulls, self.page_size, self.pages_per_partition)
 
 
 class FeedPagesPushdownReader(FeedPagesReader):
@@ -202,7 +210,7 @@ class FeedCursorStreamReader(_PageReading, DataSourceStreamReader):
         t = load_transport(self.options)
         lo, hi = start.get("pull", ""), end.get("pull", "")
         pulls = [p for p in t.pulls_after(self.feed, lo or None) if p <= hi]
-        return _plan_pages(t, self.feed, pulls, self.page_size)
+        return _plan_pages(t, self.feed, pulls, self.page_size, self.pages_per_partition)
 
     def commit(self, end: dict):
         pass
@@ -241,11 +249,13 @@ def register(spark) -> None:
     spark.dataSource.register(FeedPagesDataSource)
 
 
-def write_page_folder(pages, headers, root: str, feed_name: str) -> None:
+def write_page_folder(pages, headers, root: str, feed_name: str, append: bool = False) -> None:
     """Land API-shaped pages (``pull, start_row, page_text``) and headers
-    (``pull, total_rows``) in the layout ``PageFolderTransport`` serves."""
+    (``pull, total_rows``) in the layout ``PageFolderTransport`` serves.
+    ``append`` adds pages next to the ones there; headers are always replaced
+    by the full list given."""
     from pyspark.sql import functions as F
     (pages.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string"), "start_row", "page_text")
-          .write.mode("overwrite").partitionBy("feed", "pull", "start_row").text(root))
+          .write.mode("append" if append else "overwrite").partitionBy("feed", "pull", "start_row").text(root))
     (headers.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string"), "total_rows")
             .coalesce(1).write.mode("overwrite").json(f"{root}/_headers"))

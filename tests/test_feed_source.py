@@ -106,3 +106,13 @@ def test_pull_filter_is_pushed_to_the_source(spark, tmp_path):
         assert df.count() == 18
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", old)
+
+
+def test_pages_grouped_per_task(spark, tmp_path):
+    root = str(tmp_path / "pages")
+    _land(spark, root, [("20240101T05", 10), ("20240101T06", 4)])
+    register(spark)
+    df = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+          .option("page_size", 4).option("pages_per_partition", 2).load())
+    assert df.rdd.getNumPartitions() == 3  # pull 05: pages (1,5) + (9); pull 06: (1)
+    assert sorted(r.api_row for r in df.where(F.col("pull") == "20240101T05").collect()) == list(range(1, 11))
