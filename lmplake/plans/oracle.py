@@ -317,6 +317,10 @@ ORACLE: dict[str, str] = {
              'dahrllmps' AS queue, message, to_base64(encode(message)) AS payload
       FROM k""",
 
+    "intake_scan": f"""{WITH_EV}
+      SELECT {LAKE_COLS} FROM ev
+      WHERE pricedate IN (SELECT DISTINCT CAST({_ny(_floor5('ts'))} AS DATE) FROM events WHERE event_type = 'signup')""",
+
     "day_layout": f"""{WITH_EV}
       SELECT {LAKE_COLS} FROM ev
       QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1""",

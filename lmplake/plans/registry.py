@@ -286,6 +286,19 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_FILES_PER_TRIGGER = 16
 
 
+def intake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows of the market days named by the merge requests: the day
+    list is a partition filter on the intake (only those folders are read);
+    provenance is read and dropped, as a merge does."""
+    from lmplake.sources.intake import scan_intake
+    root = lake_root(spark)
+    land_intake(A.events_prices(spark, sf_dir), f"{root}/intake", DA)
+    requested = P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir)))
+    days = [r[0] for r in requested.select("merge_date").distinct().collect()]  # bounded by the calendar
+    landed = scan_intake(spark, f"{root}/intake", DA, days)
+    return landed.drop("file_path", "file_modification_time")
+
+
 def day_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All event prices merged into a fresh day table (range-partitioned,
     sorted, zstd, one folder per day, dynamic overwrite) and read back."""
@@ -366,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_source_read": feed_source_read,
     "stream_cursor": stream_cursor,
     "fetch_cycle": fetch_cycle,
+    "intake_scan": intake_scan,
     "day_layout": day_layout,
     "intake_sweep": intake_sweep,
     "stream_day_merge": stream_day_merge,
