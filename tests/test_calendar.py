@@ -60,3 +60,20 @@ def test_day_boundaries_and_civil_day_lengths(spark):
     r = df.select(is_first_of_day("u").alias("f"), is_last_of_day("u", 60).alias("l"),
                   civil_day_minutes("d").alias("m")).collect()
     assert [(x.f, x.l, x.m) for x in r] == [(False, True, 23 * 60), (True, False, 25 * 60), (False, True, 24 * 60)]
+
+
+def test_parameter_map_drops_absent_flag_and_mixed_feed_availability(spark):
+    from lmplake.functions.calendar import expected_at_for
+    from lmplake.operators.pulls import parameter_map
+    df = spark.createDataFrame([
+        (DA_FEED, dt.datetime(2024, 1, 1, 5), 1), (RT_UNVERIFIED_FEED, dt.datetime(2024, 1, 1, 5), 1),
+        ("nope", dt.datetime(2024, 1, 1, 5), 1)],
+        "feed string, begin_utc timestamp_ntz, start_row bigint")
+    rows = {r.feed: r for r in request_parameters(df).select(
+        "feed", parameter_map(request_parameters(df)).alias("m"),
+        expected_at_for("feed", "begin_utc").alias("e")).collect()}
+    assert "row_is_current" in rows[DA_FEED].m and "row_is_current" not in rows[RT_UNVERIFIED_FEED].m
+    assert rows[DA_FEED].m["datetime_beginning_utc"] == "01-01-2024 05:00 to 01-02-2024 04:00"
+    assert rows[DA_FEED].e == dt.datetime(2023, 12, 31, 15)
+    assert rows[RT_UNVERIFIED_FEED].e == dt.datetime(2024, 1, 1, 5, 5)
+    assert rows["nope"].e is None
