@@ -1,17 +1,23 @@
 """Lake writers (K1-K5): intake landing, day-table merge, serving upsert,
 processed-file ledger.
 
-Publishing is Spark's dynamic partition overwrite: only the market days a
-batch touches are replaced, and the commit protocol stages files before
-moving them in. Every merge first materialises its result with a reliable
-``checkpoint()`` (in ``spark.checkpoint.dir``) so that (a) the write never
-reads files it is replacing and (b) a lost executor recomputes from the
-checkpoint, not from a half-replaced table. Replaying a batch gives the same
-table, so a retried job is safe.
+Publishing is staged, like the reference's ``_processing`` copy (K3): the
+merged days are first written in full to ``<table>/_staging/<id>`` (Spark
+ignores ``_`` folders when reading the table), then the touched days are
+replaced from there with Spark's dynamic partition overwrite, the staging
+folder is marked ``_PUBLISHED`` and removed. So (a) the overwrite never reads
+files it is replacing, (b) a lost executor recomputes from the staged files,
+and (c) if the driver dies in the middle of the overwrite's commit - old day
+folder deleted, new one not yet moved in - the next merge finds the complete
+staged copy and publishes it again before doing anything else. Replaying a
+batch gives the same table, so a retried job is safe.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +71,70 @@ def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedat
        .parquet(table_dir))
 
 
+def _fs(path: str):
+    from pyarrow import fs as pafs
+    if "://" not in path:
+        path = os.path.abspath(path[len("file:"):] if path.startswith("file:") else path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def _exists(path: str) -> bool:
+    from pyarrow import fs as pafs
+    fsys, p = _fs(path)
+    return fsys.get_file_info(p).type != pafs.FileType.NotFound
+
+
+def _touch(path: str) -> None:
+    fsys, p = _fs(path)
+    with fsys.open_output_stream(p) as out:
+        out.write(b"")
+
+
+def _remove(path: str) -> None:
+    fsys, p = _fs(path)
+    if _exists(path):
+        fsys.delete_dir(p)
+
+
+def _staged_dirs(table_dir: str) -> list[str]:
+    from pyarrow import fs as pafs
+    fsys, p = _fs(f"{table_dir.rstrip('/')}/_staging")
+    infos = fsys.get_file_info(pafs.FileSelector(p, allow_not_found=True))
+    base = f"{table_dir.rstrip('/')}/_staging"
+    return sorted(f"{base}/{i.base_name}" for i in infos if i.type == pafs.FileType.Directory)
+
+
+def publish_staged(spark: SparkSession, merged: DataFrame, table_dir: str, layout) -> None:
+    """Write ``merged`` to a staging folder, replace its days in the table
+    with ``layout(df, table_dir)``, mark and remove the staging folder."""
+    stage = f"{table_dir.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    merged.write.mode("errorifexists").parquet(stage)
+    _republish(spark, stage, table_dir, layout)
+
+
+def _republish(spark: SparkSession, stage: str, table_dir: str, layout) -> None:
+    layout(spark.read.parquet(stage), table_dir)
+    _touch(f"{stage}/_PUBLISHED")
+    _remove(stage)
+
+
+def recover_staged(spark: SparkSession, table_dir: str, layout) -> int:
+    """Finish publishes a crashed driver left behind; returns how many were
+    published again. A staging folder with ``_SUCCESS`` but no ``_PUBLISHED``
+    holds complete merged days and is published again (idempotent); one
+    without ``_SUCCESS`` never touched the table and is removed."""
+    redone = 0
+    for stage in _staged_dirs(table_dir):
+        if _exists(f"{stage}/_PUBLISHED"):
+            _remove(stage)
+        elif _exists(f"{stage}/_SUCCESS"):
+            _republish(spark, stage, table_dir, layout)
+            redone += 1
+        else:
+            _remove(stage)
+    return redone
+
+
 def merge_into_day_table(spark: SparkSession, table_dir: str, new: DataFrame, spec: FeedSpec,
                          policy: str = "arrival") -> list:
     """Upsert ``new`` rows into the day table; returns the touched days.
@@ -72,14 +142,14 @@ def merge_into_day_table(spark: SparkSession, table_dir: str, new: DataFrame, sp
     The touched-day list is the one driver-side collection: it is bounded by
     the calendar (distinct market days), not by the data, and it becomes a
     partition filter so only those day folders are read."""
+    recover_staged(spark, table_dir, write_day_partitions)
     cols = lake_columns(spec)
     new = new.select(*cols)
     days = [r[0] for r in touched_days(new).collect()]
     if not days:
         return []
     existing = scan_day_table(spark, table_dir, spec, days).select(*cols)
-    merged = merge_rows(existing, new, KEY_COLUMNS, SEQ_COL, policy).checkpoint(eager=True)
-    write_day_partitions(merged, table_dir)
+    publish_staged(spark, merge_rows(existing, new, KEY_COLUMNS, SEQ_COL, policy), table_dir, write_day_partitions)
     return days
 
 
@@ -94,6 +164,7 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
                    spec: FeedSpec, policy: str = "arrival") -> list:
     """Serving upsert for known assets: broadcast lookup, latest wins on
     (node, utcbegin) against the touched days, dynamic overwrite."""
+    recover_staged(spark, serving_dir, _write_serving)
     batch = asset_lookup(prices, assets, spec, keep=(SEQ_COL,))
     days = [r[0] for r in batch.select("pricedate").distinct().collect()]
     if not days:
@@ -105,14 +176,17 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
         serving = None
-    merged = asset_upsert(serving, batch, spec, policy=policy).checkpoint(eager=True)
-    (merged.repartitionByRange("pricedate", "node")
-           .sortWithinPartitions("pricedate", "node", "utcbegin")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("pricedate").parquet(serving_dir))
+    publish_staged(spark, asset_upsert(serving, batch, spec, policy=policy), serving_dir, _write_serving)
     return days
 
 
+def _write_serving(df: DataFrame, serving_dir: str) -> None:
+    (df.repartitionByRange("pricedate", "node")
+       .sortWithinPartitions("pricedate", "node", "utcbegin")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("pricedate").parquet(serving_dir))
+
+
 def record_processed(files: DataFrame, ledger_dir: str, batch_id: int | None = None) -> None:
     """Append merged intake files to the ledger (never delete before publish)."""
     out = files.select("file_path").distinct()

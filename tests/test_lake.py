@@ -79,3 +79,22 @@ def test_sweep_merges_pending_files_once(spark, tmp_path):
     land_intake(_prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 9.0, 3)]), intake, SPEC)
     assert sweep_intake(spark, intake, table, ledger, SPEC) == [dt.date(2024, 1, 1)]
     assert _table(spark, table) == {(1, dt.datetime(2024, 1, 1, 5), 9.0), (2, dt.datetime(2024, 1, 2, 5), 2.0)}
+
+
+def test_publish_interrupted_mid_commit_is_finished_by_the_next_merge(spark, tmp_path):
+    import shutil
+    from lmplake.sinks.lake import recover_staged, write_day_partitions
+    path = str(tmp_path / "day")
+    rows = [(dt.datetime(2024, 1, 1, 5 + h), n, float(h), n * 10 + h) for n in (1, 2) for h in range(3)]
+    merge_into_day_table(spark, path, _prices(spark, rows), SPEC)
+    before = _table(spark, path)
+    assert not os.path.exists(os.path.join(path, "_staging")) or not os.listdir(os.path.join(path, "_staging"))
+    # crash state: the merged day was staged completely, the old folder deleted, the new one not moved in
+    spark.read.parquet(path).write.parquet(os.path.join(path, "_staging", "crashed"))
+    shutil.rmtree(os.path.join(path, "pricedate=2024-01-01"))
+    # an incomplete staging folder (crash while staging) must be dropped, not published
+    os.makedirs(os.path.join(path, "_staging", "half"))
+    merge_into_day_table(spark, path, _prices(spark, [(dt.datetime(2024, 1, 3, 6), 3, 9.0, 99)]), SPEC)
+    assert _table(spark, path) == before | {(3, dt.datetime(2024, 1, 3, 6), 9.0)}
+    assert os.listdir(os.path.join(path, "_staging")) == []
+    assert recover_staged(spark, path, write_day_partitions) == 0
