@@ -38,6 +38,13 @@ def serving_columns(spec: FeedSpec) -> list[str]:
     return ["node", "utcbegin", "pricedate", "hour", *spec.price_columns]
 
 
+def serving_schema(spec: FeedSpec, seq_col: str = "ingest_seq") -> T.StructType:
+    fields = [T.StructField("node", T.StringType()), T.StructField("utcbegin", T.TimestampNTZType()),
+              T.StructField("pricedate", T.DateType()), T.StructField("hour", T.IntegerType())]
+    fields += [T.StructField(c, T.DoubleType()) for c in spec.price_columns]
+    return T.StructType([*fields, T.StructField(seq_col, T.LongType())])
+
+
 def asset_lookup(prices: DataFrame, assets: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of known assets, labelled, in serving column order; the inner
     join is the ``IN`` filter. A dimension built by ``asset_dimension`` has a

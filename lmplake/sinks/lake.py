@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
-from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns
+from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns, serving_schema
 from lmplake.sources.intake import lake_schema, scan_day_table
 
 
@@ -170,12 +170,10 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
     if not days:
         return []
     cols = [*serving_columns(spec), SEQ_COL]
-    try:
-        serving = spark.read.parquet(serving_dir).where(F.col("pricedate").isin(days)).select(*cols)
-    except Exception as e:  # only a missing table means "no rows yet"
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        serving = None
+    serving = None
+    if _exists(serving_dir):  # explicit schema: a folder holding only staging reads as empty
+        serving = spark.read.schema(serving_schema(spec)).parquet(serving_dir) \
+            .where(F.col("pricedate").isin(days)).select(*cols)
     publish_staged(spark, asset_upsert(serving, batch, spec, policy=policy), serving_dir, _write_serving)
     return days
 
@@ -203,13 +201,10 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     same files again (idempotent) and a rerun after success merges nothing."""
     from lmplake.sources.intake import scan_intake
     landed = scan_intake(spark, intake_dir, spec)
-    try:
-        done = spark.read.parquet(ledger_dir).select("file_path").distinct()
+    pending = landed
+    if _exists(ledger_dir):
+        done = spark.read.schema("file_path string, batch_id bigint").parquet(ledger_dir).select("file_path")
         pending = landed.join(done, "file_path", "left_anti")
-    except Exception as e:  # no ledger yet: everything is pending
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        pending = landed
     pending = pending.checkpoint(eager=True)  # the same set drives the merge and the ledger
     days = merge_into_day_table(spark, table_dir, pending, spec)
     if days:

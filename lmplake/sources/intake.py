@@ -37,6 +37,7 @@ def scan_day_table(spark: SparkSession, table_dir: str, spec: FeedSpec, days=Non
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], lake_schema(spec))
         raise
+    # with the schema given, a folder that holds only ``_staging`` reads as empty
     if days is not None:
         r = r.where(F.col("pricedate").isin(list(days)))
     return r

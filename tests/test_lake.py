@@ -98,3 +98,15 @@ def test_publish_interrupted_mid_commit_is_finished_by_the_next_merge(spark, tmp
     assert _table(spark, path) == before | {(3, dt.datetime(2024, 1, 3, 6), 9.0)}
     assert os.listdir(os.path.join(path, "_staging")) == []
     assert recover_staged(spark, path, write_day_partitions) == 0
+
+
+def test_folders_holding_only_staging_read_as_empty(spark, tmp_path):
+    from lmplake.operators.serve import asset_dimension
+    from lmplake.sinks.lake import upsert_serving
+    day, serving = tmp_path / "day", tmp_path / "serving"
+    for d in (day, serving):
+        os.makedirs(d / "_staging" / "half")  # a first publish that died while staging
+    rows = _prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 1.0, 1)])
+    assert merge_into_day_table(spark, str(day), rows, SPEC) == [dt.date(2024, 1, 1)]
+    assert upsert_serving(spark, str(serving), rows, asset_dimension(spark, [(1, "a")]), SPEC) == [dt.date(2024, 1, 1)]
+    assert spark.read.parquet(str(serving)).count() == 1 and spark.read.parquet(str(day)).count() == 1
