@@ -112,6 +112,14 @@ def api_time_text(ts: Column | str) -> Column:
     )
 
 
+def pull_key(ts: Column | str) -> Column:
+    """UTC NTZ -> 'yyyyMMddTHHmm': a pull's key, safe in folder names and
+    sorting in time order."""
+    s = _ntz_text(ts)
+    return F.concat(F.substring(s, 1, 4), F.substring(s, 6, 2), F.substring(s, 9, 2), F.lit("T"),
+                    F.substring(s, 12, 2), F.substring(s, 15, 2))
+
+
 def iso_utc_text(ts: Column | str) -> Column:
     """UTC NTZ -> 'yyyy-MM-ddTHH:mm:ss+0000' (message begin time)."""
     return F.concat(raw_time_text(ts), F.lit("+0000"))

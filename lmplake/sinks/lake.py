@@ -194,13 +194,16 @@ def record_processed(files: DataFrame, ledger_dir: str, batch_id: int | None = N
 
 
 def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_dir: str, spec: FeedSpec,
-                 batch_id: int | None = None) -> list:
+                 batch_id: int | None = None, days=None) -> list:
     """Batch form of the streaming merge (T7): merge every landed file that
-    the ledger does not list yet, then record those files. Files are chosen
-    by an anti-join against the ledger, so a rerun after a failure merges the
-    same files again (idempotent) and a rerun after success merges nothing."""
+    the ledger does not list yet (only of ``days`` when given, as a merge
+    message asks), then record those files. Files are chosen by an anti-join
+    against the ledger, so a rerun after a failure merges the same files again
+    (idempotent) and a rerun after success merges nothing."""
     from lmplake.sources.intake import scan_intake
-    landed = scan_intake(spark, intake_dir, spec)
+    if not _exists(intake_dir):
+        return []
+    landed = scan_intake(spark, intake_dir, spec, days)
     pending = landed
     if _exists(ledger_dir):
         done = spark.read.schema("file_path string, batch_id bigint").parquet(ledger_dir).select("file_path")

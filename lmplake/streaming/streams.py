@@ -96,3 +96,64 @@ def pending_merge_stream(messages: DataFrame, delay: str = "1 hour") -> DataFram
     the day (session zone UTC in streaming jobs)."""
     m = messages.where(F.col("kind") == "merge").withColumn("et", F.col("merge_date").cast("timestamp"))
     return m.withWatermark("et", delay).dropDuplicatesWithinWatermark(["feed", "merge_date"])
+
+
+def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str, lake_root: str,
+                         source_options: dict[str, dict], assets: DataFrame, now=None,
+                         available_now: bool = True, processing_time: str = "1 minute"):
+    """The worker's message loop as one stream over queue messages (S11, K7,
+    T1-T5). Each micro-batch is decoded once and then:
+
+    * fetch messages -> ``run_fetch_cycle`` per feed (landing id = batch id):
+      pages land in ``<root>/<feed>/intake``, known assets are upserted into
+      ``<root>/serving/<target>``, next requests go to ``<root>/requests``;
+    * merge messages -> the named days of each feed are swept from its intake
+      into ``<root>/<feed>/day`` (ledger ``<root>/<feed>/ledger``);
+    * anything else -> ``<root>/quarantine/messages``.
+
+    The pull key of a fetch is its begin time as ``yyyyMMddTHHmm``. ``now``
+    (a datetime, or a callable giving one per batch) prices the next
+    requests' delays; by default the batch's start time."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from lmplake.feeds import feed as feed_spec
+    from lmplake.functions.time_cols import pull_key
+    from lmplake.plans.cycle import run_fetch_cycle
+    from lmplake.sinks.lake import sweep_intake
+
+    root = lake_root.rstrip("/")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        msgs = batch.persist(StorageLevel.MEMORY_AND_DISK)  # filters below must not re-parse the JSON
+        try:
+            at = now() if callable(now) else (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+            kinds = {r.kind: r.n for r in msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if kinds.get("bad"):
+                msgs.where(F.col("kind") == "bad").select("value").write.mode("append") \
+                    .text(f"{root}/quarantine/messages")
+            if kinds.get("fetch"):
+                fetch = msgs.where(F.col("kind") == "fetch").select(
+                    "feed", pull_key("begin_utc").alias("pull"), "begin_utc", "queue_next")
+                for (name,) in fetch.select("feed").distinct().collect():  # at most the known feeds
+                    run_fetch_cycle(spark, fetch, name, source_options[name], f"{root}/{name}/intake",
+                                    f"{root}/serving", assets, landing_id=batch_id, now=at,
+                                    requests_out=f"{root}/requests")
+            if kinds.get("merge"):
+                wanted = msgs.where((F.col("kind") == "merge") & F.col("merge_date").isNotNull()) \
+                    .select("feed", "merge_date").distinct().collect()  # bounded by feeds x days
+                by_feed: dict[str, list] = {}
+                for r in wanted:
+                    by_feed.setdefault(r.feed, []).append(r.merge_date)
+                for name, days in by_feed.items():
+                    if name in source_options:
+                        sweep_intake(spark, f"{root}/{name}/intake", f"{root}/{name}/day",
+                                     f"{root}/{name}/ledger", feed_spec(name), batch_id, days)
+        finally:
+            msgs.unpersist()
+
+    w = control_message_stream(spark, message_dir).writeStream.foreachBatch(handle) \
+        .option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
