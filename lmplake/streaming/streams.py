@@ -130,11 +130,13 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
         try:
             at = now() if callable(now) else (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
             kinds = {r.kind: r.n for r in msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-            if kinds.get("bad"):
-                msgs.where(F.col("kind") == "bad").select("value").write.mode("append") \
-                    .text(f"{root}/quarantine/messages")
+            configured = list(source_options)
+            # undecodable messages, and fetches for feeds this worker has no transport for
+            rejected = (F.col("kind") == "bad") | ((F.col("kind") == "fetch") & ~F.col("feed").isin(configured))
+            if kinds.get("bad") or kinds.get("fetch"):
+                msgs.where(rejected).select("value").write.mode("append").text(f"{root}/quarantine/messages")
             if kinds.get("fetch"):
-                fetch = msgs.where(F.col("kind") == "fetch").select(
+                fetch = msgs.where((F.col("kind") == "fetch") & F.col("feed").isin(configured)).select(
                     "feed", pull_key("begin_utc").alias("pull"), "begin_utc", "queue_next")
                 for (name,) in fetch.select("feed").distinct().collect():  # at most the known feeds
                     run_fetch_cycle(spark, fetch, name, source_options[name], f"{root}/{name}/intake",

@@ -21,7 +21,9 @@ def test_control_stream_fetches_merges_and_quarantines(spark, tmp_path):
     msgs.mkdir()
     fetch = {"begin_time_iso_str": "2024-01-01T00:00:00-0500", "pjm_end_point": DA_FEED, "queue_next": True}
     empty = {"begin_time_iso_str": "2024-01-02T05:00:00+0000", "pjm_end_point": DA_FEED, "queue_next": True}
-    (msgs / "1.txt").write_text(json.dumps(fetch) + "\n" + json.dumps(empty) + "\nnot a message\n")
+    other = {"begin_time_iso_str": "2024-01-01T05:00:00+0000", "pjm_end_point": "rt_fivemin_hrl_lmps",
+             "queue_next": True}  # a known feed this worker has no transport for
+    (msgs / "1.txt").write_text("\n".join(json.dumps(m) for m in (fetch, empty, other)) + "\nnot a message\n")
     run = lambda ck: start_control_stream(spark, str(msgs), str(tmp_path / ck), root, {DA_FEED: {"root": pages_root}},
                                           asset_dimension(spark), now=dt.datetime(2023, 12, 1)).awaitTermination()
     run("ck")
@@ -29,7 +31,7 @@ def test_control_stream_fetches_merges_and_quarantines(spark, tmp_path):
     assert spark.read.parquet(f"{root}/serving/da").count() == 3
     nxt = {r.next_begin_utc: r.n_rows for r in spark.read.parquet(f"{root}/requests").collect()}
     assert nxt == {dt.datetime(2024, 1, 1, 8): 6, dt.datetime(2024, 1, 2, 5): 0}
-    assert spark.read.text(f"{root}/quarantine/messages").count() == 1
+    assert spark.read.text(f"{root}/quarantine/messages").count() == 2
     assert not os.path.exists(f"{root}/{DA_FEED}/day")
     (msgs / "2.txt").write_text(json.dumps({"date": "2024-01-01", "endpoint": DA_FEED}) + "\n")
     run("ck")
