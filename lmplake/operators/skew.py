@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lmplake.session import reliable_checkpoint
+
 MAX_HEAVY_GROUPS = 10_000
 
 
@@ -30,7 +32,7 @@ def attach_group_stats(df: DataFrame, stats: DataFrame, group_cols: list[str], j
     group in ``count_col``; it is checkpointed (it is small) because its total
     decides the split and both branches read it."""
     join_cols = join_cols or group_cols
-    stats = stats.checkpoint(eager=True)
+    stats = reliable_checkpoint(stats)
     total = stats.agg(F.sum(count_col)).first()[0] or 0
     threshold = max(1, -(-int(total) // max_heavy))
     heavy = stats.where(F.col(count_col) > F.lit(threshold)).drop(count_col)

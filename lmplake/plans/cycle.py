@@ -21,6 +21,7 @@ from lmplake.feeds import feed
 from lmplake.operators.normalize import normalize_prices
 from lmplake.operators.pulls import first_day_filter, next_requests
 from lmplake.sinks.lake import land_intake, serving_table_path, stamp_ingest_seq, upsert_serving
+from lmplake.session import reliable_checkpoint
 from lmplake.sources.feed_source import register
 
 
@@ -44,7 +45,7 @@ def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, so
     else:
         # checkpointed right after the fetch: the first-day filter reads its
         # input twice and three sinks follow, but each page is fetched once
-        typed = normalize_prices(raw, spec, keep=("pull", "api_row")).checkpoint(eager=True)
+        typed = reliable_checkpoint(normalize_prices(raw, spec, keep=("pull", "api_row")))
         pulled = stamp_ingest_seq(first_day_filter(typed, ["pull"]), landing_id)
         land_intake(pulled, intake_dir, spec)
         upsert_serving(spark, serving_table_path(serving_root, spec), pulled, assets, spec)

@@ -22,7 +22,7 @@ from lmplake.operators import quality as Q
 from lmplake.operators.normalize import normalize_prices, quarantine_summary
 from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
-from lmplake.session import lake_root
+from lmplake.session import lake_root, reliable_checkpoint
 from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, sweep_intake, upsert_serving
 from lmplake.sources.feed_source import register as register_feed_source, write_page_folder
 from lmplake.sources.pages import build_pages, parse_page_text
@@ -264,8 +264,8 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lake_root(spark)
     raw = A.events_raw(spark, sf_dir)
     # built once, landed in two waves
-    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE) \
-        .withColumnRenamed("pull_id", "pull").checkpoint(eager=True)
+    pages = reliable_checkpoint(
+        build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull"))
     headers = pages.groupBy("pull").agg(F.sum("n_rows").cast("bigint").alias("total_rows"))
     last_pull = headers.agg(F.max("pull")).first()[0]
     register_feed_source(spark)

@@ -74,6 +74,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[sc.applicationId]
 
 
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder, which
+    is made sure to exist first (never ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def lake_root(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder for lake tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

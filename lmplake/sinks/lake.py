@@ -21,6 +21,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lmplake.session import reliable_checkpoint
+
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
 from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns, serving_schema
@@ -208,7 +210,7 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     if _exists(ledger_dir):
         done = spark.read.schema("file_path string, batch_id bigint").parquet(ledger_dir).select("file_path")
         pending = landed.join(done, "file_path", "left_anti")
-    pending = pending.checkpoint(eager=True)  # the same set drives the merge and the ledger
+    pending = reliable_checkpoint(pending)  # the same set drives the merge and the ledger
     days = merge_into_day_table(spark, table_dir, pending, spec)
     if days:
         record_processed(pending, ledger_dir, batch_id)
