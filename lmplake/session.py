@@ -40,8 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # every merge checkpoints its result; remove the files once unreferenced,
-        # or a long-running stream fills the shared folder
+        # sweeps, fetch cycles and group stats checkpoint small frames; remove the
+        # files once unreferenced, or a long-running stream fills the shared folder
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if cluster:
