@@ -296,6 +296,16 @@ ORACLE: dict[str, str] = {
              CAST(position AS BIGINT) AS api_row
       FROM pos""",
 
+    "feed_source_plan": """
+      WITH t AS (SELECT event_type AS pull, count(*) AS total_rows FROM events GROUP BY 1),
+      p AS (SELECT pull, total_rows, unnest(range(0, CAST(ceil(total_rows / 500) AS BIGINT))) AS page_index
+            FROM t WHERE total_rows > 0)
+      SELECT pull, CAST(page_index * 500 + 1 AS BIGINT) AS start_row,
+             CAST(least(500, total_rows - page_index * 500) AS BIGINT) AS expected_rows
+      FROM p""",
+
+    "land_intake": f"{WITH_EV} SELECT {LAKE_COLS} FROM ev",
+
     "stream_cursor": f"""
       WITH ev AS ({EV}),
       pos AS (SELECT *, row_number() OVER (PARTITION BY pull_id ORDER BY ingest_seq) AS position FROM ev)

@@ -242,6 +242,21 @@ def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
+def feed_source_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page plan of the feed source, from the landed headers only."""
+    from lmplake.sources.feed_source import page_plan_frame
+    root = lake_root(spark)
+    _land_event_pages(spark, sf_dir, root)
+    return page_plan_frame(spark, {"root": root, "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE})
+
+
+def land_intake_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event prices landed in an intake (per-day folders) and read back."""
+    root = lake_root(spark)
+    land_intake(A.events_prices(spark, sf_dir), f"{root}/intake", DA)
+    return spark.read.parquet(f"{root}/intake")
+
+
 def fetch_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole fetch cycle over the event pages: one request per pull,
     starting at the pull's first hour; returns the next requests."""
@@ -376,7 +391,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
+    "feed_source_plan": feed_source_plan,
     "feed_source_read": feed_source_read,
+    "land_intake": land_intake_q,
     "stream_cursor": stream_cursor,
     "fetch_cycle": fetch_cycle,
     "intake_scan": intake_scan,

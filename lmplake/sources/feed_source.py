@@ -233,6 +233,19 @@ class FeedPagesDataSource(DataSource):
         return FeedCursorStreamReader(self.options)
 
 
+def page_plan_frame(spark, options: dict):
+    """The source's page plan as a DataFrame ``(pull, start_row,
+    expected_rows)``: what ``partitions()`` would hand to executors, built
+    from the transport's headers only (S2)."""
+    feed_name = options["feed"]
+    t = load_transport(options)
+    page_size = int(options.get("page_size", PAGE_SIZE))
+    pulls = options.get("pulls")
+    pulls = pulls.split(",") if pulls else t.pulls_after(feed_name, None)
+    rows = [(p.pull, s, n) for p in _plan_pages(t, feed_name, pulls, page_size) for s, n in p.pages]
+    return spark.createDataFrame(rows, "pull string, start_row bigint, expected_rows bigint")
+
+
 def register(spark) -> None:
     """Register the source. Its modules are pickled by value, so the Python
     processes that plan batch reads and drive streaming offsets do not need
