@@ -22,7 +22,7 @@ from lmplake.operators.normalize import normalize_prices
 from lmplake.operators.pulls import first_day_filter, next_requests
 from lmplake.sinks.lake import land_intake, serving_table_path, stamp_ingest_seq, upsert_serving
 from lmplake.session import reliable_checkpoint
-from lmplake.sources.feed_source import register
+from lmplake.sources.feed_source import read_feed
 
 
 def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, source_options: dict,
@@ -35,11 +35,7 @@ def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, so
     # the pull keys of this cycle become the source's partition plan; one key
     # per request message, so the list is as long as the cycle's queue batch
     pulls = [r[0] for r in reqs.select("pull").distinct().collect()]
-    register(spark)
-    reader = spark.read.format("lmplake_feed").option("feed", feed_name)
-    for k, v in source_options.items():
-        reader = reader.option(k, v)
-    raw = reader.option("pulls", ",".join(pulls)).load() if pulls else None
+    raw = read_feed(spark, {**source_options, "feed": feed_name, "pulls": ",".join(pulls)}) if pulls else None
     if raw is None:
         pulled = spark.createDataFrame([], "pull string, utcbegin timestamp_ntz")
     else:

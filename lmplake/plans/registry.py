@@ -24,7 +24,7 @@ from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
 from lmplake.session import lake_root, reliable_checkpoint
 from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, sweep_intake, upsert_serving
-from lmplake.sources.feed_source import register as register_feed_source, write_page_folder
+from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
 from lmplake.sources.pages import build_pages, parse_page_text
 from lmplake.streaming.streams import start_day_merge, start_serving_upsert
 
@@ -236,9 +236,8 @@ def feed_source_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched per page on executors through the Python Data Source."""
     root = lake_root(spark)
     _land_event_pages(spark, sf_dir, root)
-    register_feed_source(spark)
-    recs = (spark.read.format("lmplake_feed").option("root", root).option("feed", DA_FEED)
-            .option("page_size", A.ADAPTER_PAGE_SIZE).option("pages_per_partition", PAGES_PER_TASK).load())
+    recs = read_feed(spark, {"root": root, "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE,
+                             "pages_per_partition": PAGES_PER_TASK})
     return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
@@ -283,13 +282,12 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
         build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull"))
     headers = pages.groupBy("pull").agg(F.sum("n_rows").cast("bigint").alias("total_rows"))
     last_pull = headers.agg(F.max("pull")).first()[0]
-    register_feed_source(spark)
     out, ck = f"{root}/out", f"{root}/_checkpoint"
     earlier = F.col("pull") < F.lit(last_pull)
     for new_pages, known, append in ((earlier, earlier, False), (~earlier, F.lit(True), True)):
         write_page_folder(pages.where(new_pages), headers.where(known), f"{root}/pages", DA_FEED, append)
-        q = (spark.readStream.format("lmplake_feed").option("root", f"{root}/pages").option("feed", DA_FEED)
-             .option("page_size", A.ADAPTER_PAGE_SIZE).option("pages_per_partition", PAGES_PER_TASK).load()
+        q = (read_feed_stream(spark, {"root": f"{root}/pages", "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE,
+                                      "pages_per_partition": PAGES_PER_TASK})
              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()

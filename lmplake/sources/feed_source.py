@@ -10,10 +10,16 @@ network client of a live deployment is one implementation; the built-in
 ``PageFolderTransport`` serves pages that Spark wrote to a folder, read
 through ``pyarrow.fs`` so the folder may be on any shared file system.
 
-Batch:  ``spark.read.format("lmplake_feed").option(...).load()``
-Stream: ``spark.readStream.format("lmplake_feed")...`` - the offset is the
-last pull key handed out; each micro-batch takes the pulls that appeared
-since (T1), and an unchanged offset means "poll again later" (T2).
+The source only moves bytes: it yields one row per page, ``(pull,
+start_row, expected_rows, page_text)``. Decoding happens in the JVM
+(``parse_feed_pages``: ``from_json`` + ``posexplode``), where a page whose
+record count differs from its header fails the job (``raise_error``), as a
+pull with a bad page must not land half.
+
+Batch:  ``read_feed(spark, options)``
+Stream: ``read_feed_stream(spark, options)`` - the offset is the last pull
+key handed out; each micro-batch takes the pulls that appeared since (T1),
+and an unchanged offset means "poll again later" (T2).
 """
 
 from __future__ import annotations
@@ -69,12 +75,13 @@ class PageFolderTransport:
     def pulls_after(self, feed_name: str, after: str | None) -> list[str]:
         return sorted(p for p in self.headers(feed_name) if after is None or p > after)
 
-    def fetch_page(self, feed_name: str, pull: str, start_row: int, row_count: int, fields: list[str]) -> list[dict]:
+    def fetch_page_text(self, feed_name: str, pull: str, start_row: int, row_count: int, fields: list[str]) -> str:
+        """The page body as the API sends it: one JSON array ("[]" if absent)."""
         path = f"{self.root}/feed={feed_name}/pull={pull}/start_row={start_row}"
-        recs: list[dict] = []
-        for line in self._lines(path):
-            recs.extend(json.loads(line))
-        return recs
+        texts = list(self._lines(path))
+        if len(texts) == 1:
+            return texts[0]
+        return json.dumps([r for t in texts for r in json.loads(t)])
 
 
 def load_transport(options: dict):
@@ -95,9 +102,6 @@ class PagePartition(InputPartition):
         self.pages = pages
 
 
-class IncompletePull(RuntimeError):
-    """A page came back with fewer or more rows than its header promised."""
-
 
 def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
                 pages_per_partition: int = 1) -> list[PagePartition]:
@@ -115,9 +119,7 @@ def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
     return parts
 
 
-def _schema_ddl(feed_name: str) -> str:
-    fields = ", ".join(f"{f} string" for f in feed(feed_name).api_fields)
-    return f"pull string, start_row bigint, api_row bigint, {fields}"
+PAGE_SCHEMA = "pull string, start_row bigint, expected_rows bigint, page_text string"
 
 
 class _PageReading:
@@ -126,38 +128,15 @@ class _PageReading:
         self.feed = self.options["feed"]
         self.page_size = int(self.options.get("page_size", PAGE_SIZE))
         self.fields = list(feed(self.feed).api_fields)
-        self.strict = str(self.options.get("strict", "true")).lower() != "false"
         self.pages_per_partition = max(1, int(self.options.get("pages_per_partition", 1)))
 
     def read(self, partition: PagePartition):
-        """One Arrow record batch per page (columnar hand-off to the JVM).
-        Strict mode (default) fails the job when a page is missing or short,
-        as a pull with an unreadable page must not land half."""
-        import pyarrow as pa
+        """One row per page: the body text and the row count its header
+        promised. Decoding and the count check happen in the JVM."""
         t = load_transport(self.options)
         for start_row, expected in partition.pages:
-            recs = t.fetch_page(self.feed, partition.pull, start_row, self.page_size, self.fields)
-            n = len(recs)
-            if self.strict and n != expected:
-                raise IncompletePull(f"{self.feed} pull {partition.pull} page {start_row}: "
-                                     f"{n} rows, header promised {expected}")
-            cols = {
-                "pull": pa.array([partition.pull] * n, pa.string()),
-                "start_row": pa.array([start_row] * n, pa.int64()),
-                # row number within the pull: the API's own order, used to
-                # stamp a total merge order at landing
-                "api_row": pa.array(range(start_row, start_row + n), pa.int64()),
-            }
-            for f in self.fields:
-                cols[f] = pa.array([None if r.get(f) is None else _text(r.get(f)) for r in recs], pa.string())
-            yield pa.RecordBatch.from_pydict(cols)
-
-
-def _text(v) -> str:
-    """JSON scalar -> its text, as Spark's JSON reader gives a string field."""
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
+            text = t.fetch_page_text(self.feed, partition.pull, start_row, self.page_size, self.fields)
+            yield (partition.pull, start_row, expected, text)
 
 
 class FeedPagesReader(_PageReading, DataSourceReader):
@@ -222,7 +201,7 @@ class FeedPagesDataSource(DataSource):
         return "lmplake_feed"
 
     def schema(self):
-        return _schema_ddl(self.options["feed"])
+        return PAGE_SCHEMA
 
     def reader(self, schema):
         if str(self.options.get("pushdown", "false")).lower() == "true":
@@ -233,6 +212,47 @@ class FeedPagesDataSource(DataSource):
         return FeedCursorStreamReader(self.options)
 
 
+def parse_feed_pages(pages, feed_name: str, strict: bool = True):
+    """Page rows -> records ``(pull, start_row, api_row, <raw fields>)``.
+    ``api_row`` is the record's number within its pull (the API's order),
+    used to stamp a total merge order at landing. In strict mode (default)
+    a page that is missing, malformed or not of its promised size raises."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    spec = feed(feed_name)
+    arr = F.from_json(F.col("page_text"), T.ArrayType(spec.raw_schema()))
+    if strict:
+        msg = F.concat(F.lit(f"{feed_name} pull "), F.col("pull"), F.lit(" page "), F.col("start_row").cast("string"),
+                       F.lit(": "), F.coalesce(F.size(arr), F.lit(-1)).cast("string"),
+                       F.lit(" rows, header promised "), F.col("expected_rows").cast("string"))
+        arr = F.when(F.coalesce(F.size(arr), F.lit(-1)) != F.col("expected_rows"), F.raise_error(msg)).otherwise(arr)
+    return (pages.select("pull", "start_row", arr.alias("_recs"))
+            .select("pull", "start_row", F.posexplode("_recs").alias("_i", "_r"))
+            .select("pull", "start_row", (F.col("start_row") + F.col("_i")).alias("api_row"),
+                    *[F.col(f"_r.{f}").alias(f) for f in spec.api_fields]))
+
+
+def _reader(reader, options: dict):
+    for k, v in options.items():
+        if k != "strict":
+            reader = reader.option(k, str(v))
+    return reader.format("lmplake_feed")
+
+
+def read_feed(spark, options: dict):
+    """Batch read of a feed's pulls as decoded records."""
+    register(spark)
+    strict = str(options.get("strict", "true")).lower() != "false"
+    return parse_feed_pages(_reader(spark.read, options).load(), options["feed"], strict)
+
+
+def read_feed_stream(spark, options: dict):
+    """Streaming read: new pulls as they appear, decoded."""
+    register(spark)
+    strict = str(options.get("strict", "true")).lower() != "false"
+    return parse_feed_pages(_reader(spark.readStream, options).load(), options["feed"], strict)
+
+
 def page_plan_frame(spark, options: dict):
     """The source's page plan as a DataFrame ``(pull, start_row,
     expected_rows)``: what ``partitions()`` would hand to executors, built

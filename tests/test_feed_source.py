@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from lmplake.feeds import RT_VERIFIED_FEED
-from lmplake.sources.feed_source import register, write_page_folder
+from lmplake.sources.feed_source import read_feed, read_feed_stream, register, write_page_folder
 
 
 def _land(spark, root, pulls):
@@ -23,10 +23,10 @@ def test_batch_read_plans_one_partition_per_page(spark, tmp_path):
     root = str(tmp_path / "pages")
     _land(spark, root, [("20240101T05", 10), ("20240101T06", 4), ("20240101T07", 0)])
     register(spark)
-    df = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-          .option("page_size", 4).load())
-    assert df.rdd.getNumPartitions() == 4  # 3 pages + 1 page; the empty pull plans none
-    rows = df.collect()
+    pages = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+             .option("page_size", 4).load())
+    assert pages.rdd.getNumPartitions() == 4  # 3 pages + 1 page; the empty pull plans none
+    rows = read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4}).collect()
     assert len(rows) == 14
     assert {r.total_lmp_rt for r in rows if r.pull == "20240101T05"} == {str(i) for i in range(10)}
     assert all(r.marginal_loss_price_rt is None for r in rows)
@@ -40,8 +40,7 @@ def test_stream_cursor_takes_new_pulls_only(spark, tmp_path):
     ck = str(tmp_path / "ck")
 
     def run():
-        q = (spark.readStream.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-             .option("page_size", 4).load()
+        q = (read_feed_stream(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4})
              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -62,12 +61,10 @@ def test_missing_page_fails_the_read_in_strict_mode(spark, tmp_path):
     _land(spark, root, [("20240101T05", 10)])
     import shutil
     shutil.rmtree(f"{root}/feed={RT_VERIFIED_FEED}/pull=20240101T05/start_row=5")
-    register(spark)
-    reader = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-              .option("page_size", 4))
+    opts = {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4}
     with pytest.raises(Exception, match="header promised"):
-        reader.load().collect()
-    assert reader.option("strict", "false").load().count() == 6
+        read_feed(spark, opts).collect()
+    assert read_feed(spark, {**opts, "strict": "false"}).count() == 6
 
 
 def test_api_order_decides_among_new_rows(spark, tmp_path):
@@ -82,9 +79,7 @@ def test_api_order_decides_among_new_rows(spark, tmp_path):
     write_page_folder(spark.createDataFrame(pages, "pull string, start_row bigint, page_text string"),
                       spark.createDataFrame([("20240101T05", 5)], "pull string, total_rows bigint"), root,
                       RT_VERIFIED_FEED)
-    register(spark)
-    raw = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-           .option("page_size", 4).load())
+    raw = read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4})
     prices = stamp_ingest_seq(normalize_prices(raw, spec, keep=("api_row",)), landing_id=3)
     table = str(tmp_path / "day")
     merge_into_day_table(spark, table, prices, spec)
@@ -99,11 +94,12 @@ def test_pull_filter_is_pushed_to_the_source(spark, tmp_path):
     old = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     try:
-        df = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-              .option("page_size", 4).option("pushdown", "true").load()
-              .where(F.col("pull").isin("20240101T05", "20240101T07")))
-        assert df.rdd.getNumPartitions() == 5  # 3 + 2 pages; the other pull is not planned
-        assert df.count() == 18
+        pages = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+                 .option("page_size", 4).option("pushdown", "true").load()
+                 .where(F.col("pull").isin("20240101T05", "20240101T07")))
+        assert pages.rdd.getNumPartitions() == 5  # 3 + 2 pages; the other pull is not planned
+        assert read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "pushdown": "true"}) \
+            .where(F.col("pull").isin("20240101T05", "20240101T07")).count() == 18
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", old)
 
@@ -112,7 +108,8 @@ def test_pages_grouped_per_task(spark, tmp_path):
     root = str(tmp_path / "pages")
     _land(spark, root, [("20240101T05", 10), ("20240101T06", 4)])
     register(spark)
-    df = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
-          .option("page_size", 4).option("pages_per_partition", 2).load())
-    assert df.rdd.getNumPartitions() == 3  # pull 05: pages (1,5) + (9); pull 06: (1)
+    pages = (spark.read.format("lmplake_feed").option("root", root).option("feed", RT_VERIFIED_FEED)
+             .option("page_size", 4).option("pages_per_partition", 2).load())
+    assert pages.rdd.getNumPartitions() == 3  # pull 05: pages (1,5) + (9); pull 06: (1)
+    df = read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "pages_per_partition": 2})
     assert sorted(r.api_row for r in df.where(F.col("pull") == "20240101T05").collect()) == list(range(1, 11))
