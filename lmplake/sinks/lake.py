@@ -15,7 +15,6 @@ batch gives the same table, so a retried job is safe.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +26,10 @@ from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
 from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns, serving_schema
 from lmplake.sources.intake import lake_schema, scan_day_table
+from lmplake.sources.paths import day_folders, sub_dirs
+from lmplake.sources.paths import exists as _exists
+from lmplake.sources.paths import remove_dir as _remove
+from lmplake.sources.paths import touch as _touch
 
 
 def lake_columns(spec: FeedSpec) -> list[str]:
@@ -73,37 +76,8 @@ def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedat
        .parquet(table_dir))
 
 
-def _fs(path: str):
-    from pyarrow import fs as pafs
-    if "://" not in path:
-        path = os.path.abspath(path[len("file:"):] if path.startswith("file:") else path)
-    return pafs.FileSystem.from_uri(path)
-
-
-def _exists(path: str) -> bool:
-    from pyarrow import fs as pafs
-    fsys, p = _fs(path)
-    return fsys.get_file_info(p).type != pafs.FileType.NotFound
-
-
-def _touch(path: str) -> None:
-    fsys, p = _fs(path)
-    with fsys.open_output_stream(p) as out:
-        out.write(b"")
-
-
-def _remove(path: str) -> None:
-    fsys, p = _fs(path)
-    if _exists(path):
-        fsys.delete_dir(p)
-
-
 def _staged_dirs(table_dir: str) -> list[str]:
-    from pyarrow import fs as pafs
-    fsys, p = _fs(f"{table_dir.rstrip('/')}/_staging")
-    infos = fsys.get_file_info(pafs.FileSelector(p, allow_not_found=True))
-    base = f"{table_dir.rstrip('/')}/_staging"
-    return sorted(f"{base}/{i.base_name}" for i in infos if i.type == pafs.FileType.Directory)
+    return sub_dirs(f"{table_dir.rstrip('/')}/_staging")
 
 
 def publish_staged(spark: SparkSession, merged: DataFrame, table_dir: str, layout) -> None:
@@ -173,9 +147,10 @@ def upsert_serving(spark: SparkSession, serving_dir: str, prices: DataFrame, ass
         return []
     cols = [*serving_columns(spec), SEQ_COL]
     serving = None
-    if _exists(serving_dir):  # explicit schema: a folder holding only staging reads as empty
-        serving = spark.read.schema(serving_schema(spec)).parquet(serving_dir) \
-            .where(F.col("pricedate").isin(days)).select(*cols)
+    folders = day_folders(serving_dir, days)  # only the touched days are listed and read
+    if folders:
+        serving = spark.read.schema(serving_schema(spec)).option("basePath", serving_dir) \
+            .parquet(*folders).select(*cols)
     publish_staged(spark, asset_upsert(serving, batch, spec, policy=policy), serving_dir, _write_serving)
     return days
 

@@ -8,6 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from lmplake.feeds import FeedSpec
 from lmplake.operators.merge import SEQ_COL
+from lmplake.sources.paths import day_folders
 
 
 def lake_schema(spec: FeedSpec):
@@ -16,15 +17,28 @@ def lake_schema(spec: FeedSpec):
     return T.StructType([*s.fields, T.StructField(SEQ_COL, T.LongType(), True)])
 
 
+def _read_days(spark: SparkSession, root: str, schema, days):
+    """The table under ``root``; with ``days``, only those day folders are
+    listed and read (a path-based read would list every day of the table
+    first). Days without a folder are skipped; ``None`` when none exists."""
+    if days is None:
+        return spark.read.schema(schema).parquet(root)
+    folders = day_folders(root, days)
+    if not folders:
+        return None
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders)
+
+
 def scan_intake(spark: SparkSession, intake_dir: str, spec: FeedSpec, days=None) -> DataFrame:
-    """Landed rows with provenance. ``days`` (dates) becomes a partition
-    filter: only those day folders are listed and read."""
-    r = spark.read.schema(lake_schema(spec)).parquet(intake_dir)
-    r = r.select("*", F.col("_metadata.file_path").alias("file_path"),
-                 F.col("_metadata.file_modification_time").alias("file_modification_time"))
-    if days is not None:
-        r = r.where(F.col("pricedate").isin(list(days)))
-    return r
+    """Landed rows with provenance. With ``days`` (dates) only those day
+    folders are listed and read."""
+    r = _read_days(spark, intake_dir, lake_schema(spec), days)
+    if r is None:
+        r = spark.createDataFrame([], lake_schema(spec))
+        return r.select("*", F.lit(None).cast("string").alias("file_path"),
+                        F.lit(None).cast("timestamp").alias("file_modification_time"))
+    return r.select("*", F.col("_metadata.file_path").alias("file_path"),
+                    F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 
 def scan_day_table(spark: SparkSession, table_dir: str, spec: FeedSpec, days=None) -> DataFrame:
@@ -32,15 +46,13 @@ def scan_day_table(spark: SparkSession, table_dir: str, spec: FeedSpec, days=Non
     does not exist yet. Any other read error propagates: a day that cannot be
     read must never be treated as empty (it would be overwritten)."""
     try:
-        r = spark.read.schema(lake_schema(spec)).parquet(table_dir)
+        r = _read_days(spark, table_dir, lake_schema(spec), days)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], lake_schema(spec))
         raise
     # with the schema given, a folder that holds only ``_staging`` reads as empty
-    if days is not None:
-        r = r.where(F.col("pricedate").isin(list(days)))
-    return r
+    return r if r is not None else spark.createDataFrame([], lake_schema(spec))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:

@@ -36,9 +36,11 @@ def test_intake_scan_provenance_manifest_and_ledger(spark, tmp_path):
     record_processed(day, ledger, 0)
     todo = unprocessed_inputs(landed.select("file_path").distinct(), spark.read.parquet(ledger))
     assert todo.count() == landed.select("file_path").distinct().count() - day.select("file_path").distinct().count()
-    # the day filter is a partition filter
-    plan = scan_intake(spark, intake, SPEC, [dt.date(2024, 1, 10)])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(pricedate" in plan
+    # only the requested day's folder is listed and read
+    one_day = scan_intake(spark, intake, SPEC, [dt.date(2024, 1, 10)])
+    assert "InMemoryFileIndex(1 paths)" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert [r.pricedate for r in one_day.select("pricedate").distinct().collect()] == [dt.date(2024, 1, 10)]
+    assert scan_intake(spark, intake, SPEC, [dt.date(1999, 1, 1)]).count() == 0
 
 
 def test_day_layout_sorted_by_node_and_time(spark, tmp_path):
