@@ -271,6 +271,12 @@ ORACLE: dict[str, str] = {
       g AS (SELECT pull_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS utcbegin FROM b)
       SELECT pull_id, utcbegin FROM g EXCEPT SELECT pull_id, utcbegin FROM p""",
 
+    "gap_report_nodes": f"""{WITH_EV},
+      p AS (SELECT DISTINCT node_id, utcbegin FROM ev),
+      b AS (SELECT node_id, min(utcbegin) AS lo, max(utcbegin) AS hi FROM p GROUP BY 1),
+      g AS (SELECT node_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS utcbegin FROM b)
+      SELECT node_id, utcbegin FROM g EXCEPT SELECT node_id, utcbegin FROM p""",
+
     "day_completeness": f"""{WITH_EV},
       p AS (SELECT DISTINCT pull_id, pricedate, utcbegin FROM ev),
       d AS (SELECT pull_id, pricedate, count(*) AS n_intervals, min(utcbegin) AS first_utcbegin,

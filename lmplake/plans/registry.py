@@ -208,6 +208,11 @@ def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.gap_report(A.events_prices(spark, sf_dir), ["pull_id"], DA.step_minutes)
 
 
+def gap_report_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing hours per node between its first and last interval (J3 per node)."""
+    return Q.gap_report(A.events_prices(spark, sf_dir), ["node_id"], DA.step_minutes)
+
+
 def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.day_completeness(A.events_prices(spark, sf_dir), ["pull_id"], DA.step_minutes)
 
@@ -386,6 +391,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asset_lookup": asset_lookup_q,
     "asset_upsert": asset_upsert_q,
     "gap_report": gap_report,
+    "gap_report_nodes": gap_report_nodes,
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
