@@ -15,6 +15,7 @@ batch gives the same table, so a retried job is safe.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -171,12 +172,20 @@ def record_processed(files: DataFrame, ledger_dir: str, batch_id: int | None = N
 
 
 def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_dir: str, spec: FeedSpec,
-                 batch_id: int | None = None, days=None) -> list:
+                 batch_id: int | None = None, days=None, consume: str = "keep",
+                 archive_dir: str | None = None) -> list:
     """Batch form of the streaming merge (T7): merge every landed file that
     the ledger does not list yet (only of ``days`` when given, as a merge
     message asks), then record those files. Files are chosen by an anti-join
     against the ledger, so a rerun after a failure merges the same files again
-    (idempotent) and a rerun after success merges nothing."""
+    (idempotent) and a rerun after success merges nothing.
+
+    ``consume`` (K4): ``keep`` the merged files, ``archive`` them under
+    ``archive_dir`` (same relative path) or ``delete`` them - always after the
+    publish and after the ledger write, so a crash in between leaves files the
+    ledger already excludes."""
+    if consume not in ("keep", "archive", "delete") or (consume == "archive" and not archive_dir):
+        raise ValueError(f"consume={consume!r} (archive needs archive_dir)")
     from lmplake.sources.intake import scan_intake
     if not _exists(intake_dir):
         return []
@@ -189,4 +198,27 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     days = merge_into_day_table(spark, table_dir, pending, spec)
     if days:
         record_processed(pending, ledger_dir, batch_id)
+        if consume != "keep":
+            _consume_files(pending, intake_dir, consume, archive_dir)
     return days
+
+
+def _consume_files(pending: DataFrame, intake_dir: str, consume: str, archive_dir: str | None) -> None:
+    """Archive or delete the merged intake files. The list is one path per
+    file of this sweep (metadata, not rows)."""
+    from urllib.parse import unquote, urlparse
+
+    from lmplake.sources.paths import delete_file, move
+
+    def local(p: str) -> str:
+        u = urlparse(p)
+        return unquote(u.path) if u.scheme == "file" else p
+
+    root = local(intake_dir if "://" in intake_dir else "file://" + os.path.abspath(intake_dir))
+    for (path,) in pending.select("file_path").distinct().collect():
+        src = local(path)
+        if consume == "delete":
+            delete_file(src)
+        else:
+            rel = os.path.relpath(src, root)
+            move(src, f"{archive_dir.rstrip('/')}/{rel}")

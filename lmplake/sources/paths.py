@@ -38,6 +38,18 @@ def sub_dirs(path: str) -> list[str]:
     return sorted(f"{path.rstrip('/')}/{i.base_name}" for i in infos if i.type == pafs.FileType.Directory)
 
 
+def move(src: str, dst: str) -> None:
+    fsys, s = fs_for(src)
+    _, d = fs_for(dst)
+    fsys.create_dir(d.rsplit("/", 1)[0], recursive=True)
+    fsys.move(s, d)
+
+
+def delete_file(path: str) -> None:
+    fsys, p = fs_for(path)
+    fsys.delete_file(p)
+
+
 def day_folders(root: str, days, column: str = "pricedate") -> list[str]:
     """The existing ``column=<day>`` folders of ``root`` for ``days``."""
     paths = [f"{root.rstrip('/')}/{column}={d.isoformat() if hasattr(d, 'isoformat') else d}" for d in days]

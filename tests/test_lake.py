@@ -110,3 +110,18 @@ def test_folders_holding_only_staging_read_as_empty(spark, tmp_path):
     assert merge_into_day_table(spark, str(day), rows, SPEC) == [dt.date(2024, 1, 1)]
     assert upsert_serving(spark, str(serving), rows, asset_dimension(spark, [(1, "a")]), SPEC) == [dt.date(2024, 1, 1)]
     assert spark.read.parquet(str(serving)).count() == 1 and spark.read.parquet(str(day)).count() == 1
+
+
+def test_sweep_archives_or_deletes_merged_files(spark, tmp_path):
+    from lmplake.sinks.lake import land_intake, sweep_intake
+    for consume in ("archive", "delete"):
+        base = tmp_path / consume
+        intake, table, ledger, archive = (str(base / x) for x in ("intake", "day", "ledger", "archive"))
+        land_intake(_prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 1.0, 1), (dt.datetime(2024, 1, 2, 5), 2, 2.0, 2)]),
+                    intake, SPEC)
+        sweep_intake(spark, intake, table, ledger, SPEC, consume=consume, archive_dir=archive)
+        left = [f for _, _, fs in os.walk(intake) for f in fs if f.endswith(".parquet")]
+        assert left == [] and len(_table(spark, table)) == 2
+        moved = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".parquet")] if consume == "archive" else []
+        assert (len(moved) > 0) == (consume == "archive")
+        assert sweep_intake(spark, intake, table, ledger, SPEC, consume=consume, archive_dir=archive) == []
