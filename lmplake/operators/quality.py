@@ -6,7 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.functions.calendar import civil_day_minutes, is_first_of_day, is_last_of_day
+from lmplake.functions.calendar import (
+    civil_day_minutes,
+    expected_at_for,
+    is_first_of_day,
+    is_last_of_day,
+    now_literal,
+    step_minutes_for,
+)
 from lmplake.functions.time_cols import add_minutes, market_midnight_utc
 
 
@@ -65,6 +72,17 @@ def day_boundaries(df: DataFrame, step_minutes: int, time_col: str = "utcbegin")
              .withColumn("is_last_of_day", is_last_of_day(time_col, step_minutes))
 
 
+def freshness_report(prices: DataFrame, group_cols: list[str], now, feed_col: str = "feed") -> DataFrame:
+    """Per group: the last interval present, the next one expected, when the
+    feed's calendar says it is published, and how many seconds it is overdue
+    at ``now`` (negative: not due yet)."""
+    last = prices.groupBy(*group_cols).agg(F.max("utcbegin").alias("last_utcbegin"))
+    nxt = add_minutes("last_utcbegin", step_minutes_for(feed_col))
+    out = last.withColumn("next_utcbegin", nxt).withColumn(
+        "expected_at", expected_at_for(feed_col, "next_utcbegin"))
+    return out.withColumn("overdue_secs", F.timestamp_diff("SECOND", F.col("expected_at"), now_literal(now)))
+
+
 def save_targets(df: DataFrame, spec=None, day_col: str = "pricedate", part_cols: tuple[str, ...] = ()) -> DataFrame:
     """Distinct market days to (re)write, the month each belongs to, and the
     save target: the day for sub-daily feeds, the month otherwise (C19)."""

@@ -277,6 +277,17 @@ ORACLE: dict[str, str] = {
       g AS (SELECT node_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS utcbegin FROM b)
       SELECT node_id, utcbegin FROM g EXCEPT SELECT node_id, utcbegin FROM p""",
 
+    "freshness": f"""
+      WITH d AS ({EV}), r AS ({EV5}),
+      l AS (SELECT 'da_hrl_lmps' AS feed, pull_id, max(utcbegin) AS last_utcbegin,
+                   max(utcbegin) + INTERVAL 60 MINUTE AS next_utcbegin FROM d GROUP BY pull_id
+            UNION ALL
+            SELECT 'rt_fivemin_hrl_lmps' AS feed, pull_id, max(utcbegin) AS last_utcbegin,
+                   max(utcbegin) + INTERVAL 5 MINUTE AS next_utcbegin FROM r GROUP BY pull_id),
+      e AS (SELECT *, CASE feed WHEN 'da_hrl_lmps' THEN next_utcbegin - INTERVAL 14 HOUR
+                                ELSE {_verified('next_utcbegin')} END AS expected_at FROM l)
+      SELECT *, date_diff('second', expected_at, TIMESTAMP '2024-01-15 12:00:00') AS overdue_secs FROM e""",
+
     "day_completeness": f"""{WITH_EV},
       p AS (SELECT DISTINCT pull_id, pricedate, utcbegin FROM ev),
       d AS (SELECT pull_id, pricedate, count(*) AS n_intervals, min(utcbegin) AS first_utcbegin,

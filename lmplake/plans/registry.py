@@ -213,6 +213,14 @@ def gap_report_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.gap_report(A.events_prices(spark, sf_dir), ["node_id"], DA.step_minutes)
 
 
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How overdue the next interval of each (feed, pull) is at a fixed now."""
+    da = A.events_prices(spark, sf_dir, DA_FEED).withColumn("feed", F.lit(DA_FEED))
+    rt = A.events_prices(spark, sf_dir, RT_VERIFIED_FEED).withColumn("feed", F.lit(RT_VERIFIED_FEED))
+    both = da.select("feed", "pull_id", "utcbegin").unionByName(rt.select("feed", "pull_id", "utcbegin"))
+    return Q.freshness_report(both, ["feed", "pull_id"], EVENTS_NOW)
+
+
 def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.day_completeness(A.events_prices(spark, sf_dir), ["pull_id"], DA.step_minutes)
 
@@ -392,6 +400,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asset_upsert": asset_upsert_q,
     "gap_report": gap_report,
     "gap_report_nodes": gap_report_nodes,
+    "freshness": freshness,
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
