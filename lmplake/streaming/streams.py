@@ -100,7 +100,8 @@ def pending_merge_stream(messages: DataFrame, delay: str = "1 hour") -> DataFram
 
 def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str, lake_root: str,
                          source_options: dict[str, dict], assets: DataFrame, now=None,
-                         available_now: bool = True, processing_time: str = "1 minute"):
+                         available_now: bool = True, processing_time: str = "1 minute",
+                         consume: str = "keep"):
     """The worker's message loop as one stream over queue messages (S11, K7,
     T1-T5). Each micro-batch is decoded once and then:
 
@@ -108,7 +109,9 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
       pages land in ``<root>/<feed>/intake``, known assets are upserted into
       ``<root>/serving/<target>``, next requests go to ``<root>/requests``;
     * merge messages -> the named days of each feed are swept from its intake
-      into ``<root>/<feed>/day`` (ledger ``<root>/<feed>/ledger``);
+      into ``<root>/<feed>/day`` (ledger ``<root>/<feed>/ledger``; merged
+      files kept, archived to ``<root>/<feed>/archive`` or deleted per
+      ``consume``);
     * anything else -> ``<root>/quarantine/messages``.
 
     The pull key of a fetch is its begin time as ``yyyyMMddTHHmm``. ``now``
@@ -151,7 +154,8 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
                 for name, days in by_feed.items():
                     if name in source_options:
                         sweep_intake(spark, f"{root}/{name}/intake", f"{root}/{name}/day",
-                                     f"{root}/{name}/ledger", feed_spec(name), batch_id, days)
+                                     f"{root}/{name}/ledger", feed_spec(name), batch_id, days,
+                                     consume=consume, archive_dir=f"{root}/{name}/archive")
         finally:
             msgs.unpersist()
 

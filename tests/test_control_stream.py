@@ -25,7 +25,8 @@ def test_control_stream_fetches_merges_and_quarantines(spark, tmp_path):
              "queue_next": True}  # a known feed this worker has no transport for
     (msgs / "1.txt").write_text("\n".join(json.dumps(m) for m in (fetch, empty, other)) + "\nnot a message\n")
     run = lambda ck: start_control_stream(spark, str(msgs), str(tmp_path / ck), root, {DA_FEED: {"root": pages_root}},
-                                          asset_dimension(spark), now=dt.datetime(2023, 12, 1)).awaitTermination()
+                                          asset_dimension(spark), now=dt.datetime(2023, 12, 1),
+                                          consume="archive").awaitTermination()
     run("ck")
     assert spark.read.parquet(f"{root}/{DA_FEED}/intake").count() == 6
     assert spark.read.parquet(f"{root}/serving/da").count() == 3
@@ -36,3 +37,4 @@ def test_control_stream_fetches_merges_and_quarantines(spark, tmp_path):
     (msgs / "2.txt").write_text(json.dumps({"date": "2024-01-01", "endpoint": DA_FEED}) + "\n")
     run("ck")
     assert spark.read.parquet(f"{root}/{DA_FEED}/day").count() == 6
+    assert spark.read.parquet(f"{root}/{DA_FEED}/archive").count() == 6  # merged files left the intake
