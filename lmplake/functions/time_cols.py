@@ -131,5 +131,5 @@ def parse_iso_offset(text: Column | str) -> Column:
     ok = t.rlike(_ISO_OFFSET_PATTERN) & F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd").isNotNull()
     local = F.to_timestamp_ntz(F.substring(t, 1, 19), F.lit(RAW_TIME_FORMAT))
     sign = F.when(F.substring(t, 20, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    offset_min = sign * (F.substring(t, 21, 2).cast("int") * 60 + F.substring(t, 23, 2).cast("int"))
+    offset_min = sign * (F.substring(t, 21, 2).try_cast("int") * 60 + F.substring(t, 23, 2).try_cast("int"))
     return F.when(ok, F.timestamp_add("MINUTE", -offset_min, local))

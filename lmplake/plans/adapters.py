@@ -118,7 +118,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     begin = floor_to_step("ts", 5)
     local_text = raw_time_text(market_local(begin))
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     target = F.lit(None).cast("string")
     for et, fd in EVENT_TYPE_FEED.items():
         target = F.when(F.col("event_type") == et, F.lit(fd)).otherwise(target)
