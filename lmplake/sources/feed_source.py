@@ -35,7 +35,11 @@ from lmplake.feeds import PAGE_SIZE, feed
 class PageFolderTransport:
     """Pages under ``{root}/feed=F/pull=P/start_row=N/`` (text files, one JSON
     array per line) and headers under ``{root}/_headers`` (JSON lines with
-    ``feed, pull, total_rows``)."""
+    ``feed, pull, total_rows``).
+
+    A transport has three methods: ``headers(feed) -> {pull: total_rows}``,
+    ``pulls_after(feed, after) -> [pull, ...]`` (sorted) and
+    ``fetch_page_text(feed, pull, start_row, row_count, fields) -> str``."""
 
     def __init__(self, options: dict):
         root = options["root"].rstrip("/")
@@ -69,9 +73,6 @@ class PageFolderTransport:
                 out[h["pull"]] = int(h["total_rows"])
         return out
 
-    def total_rows(self, feed_name: str, pull: str) -> int:
-        return self.headers(feed_name).get(pull, 0)
-
     def pulls_after(self, feed_name: str, after: str | None) -> list[str]:
         return sorted(p for p in self.headers(feed_name) if after is None or p > after)
 
