@@ -1,10 +1,12 @@
-"""Structured Streaming jobs over landed intake files.
+"""Structured Streaming jobs (T1-T7, S11): intake merges and the message loop.
 
 The intake folder is a file-stream source; the checkpoint holds which files
-are done (the reference deletes merged files instead). Each micro-batch is
-merged with ``foreachBatch`` into the day table and/or the serving table.
-Late rows are never dropped: the state of the merge is the table itself,
-so no watermark bounds it. A replayed micro-batch rewrites the same rows.
+are done, and one consuming stream may archive them (the reference deletes
+merged files). Each micro-batch is merged with ``foreachBatch`` into the day
+table and/or the serving table. Late rows are never dropped: the state of
+the merge is the table itself, so no watermark bounds it. A replayed
+micro-batch rewrites the same rows. ``start_control_stream`` runs the
+worker's whole fetch/merge loop from queue messages.
 """
 
 from __future__ import annotations
