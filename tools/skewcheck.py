@@ -76,6 +76,8 @@ def main(sf_dir: str) -> None:
         "day_completeness/hot pull": Q.day_completeness(hot_pull, ["pull_id"], 60),
         "carried_over_nodes/hot node": M.carried_over_nodes(hot_node.where(batch == 0), hot_node.where(batch == 1)),
         "next_cursor/hot pull": P.next_cursor(hot_pull.withColumn("feed", F.lit("da_hrl_lmps")), ["feed", "pull_id"]),
+        # the landing write's partitioning (sinks.lake.land_intake), before the file writer
+        "land_intake/hot key": hot_key.select(*lake).repartitionByRange("pricedate", "node_id", "ingest_seq"),
     }
     for name, df in jobs.items():
         spark.sparkContext.setJobDescription(name)
