@@ -28,8 +28,15 @@ from lmplake.sources.feed_source import read_feed
 def run_fetch_cycle(spark: SparkSession, requests: DataFrame, feed_name: str, source_options: dict,
                     intake_dir: str, serving_root: str, assets: DataFrame, landing_id: int, now,
                     requests_out: str | None = None) -> DataFrame:
-    """Run one cycle for the ``requests`` of one feed; returns next requests
-    (also appended to ``requests_out`` when given)."""
+    """Run one cycle for the ``requests`` (``feed, pull, begin_utc,
+    queue_next``) of one feed and return the next requests (also appended to
+    ``requests_out`` when given).
+
+    ``source_options`` configure the feed source (``root`` or ``transport``,
+    ``page_size``, ``pages_per_partition``); pulled rows land in
+    ``intake_dir`` stamped with ``landing_id`` (grow it with every cycle), known
+    ``assets`` are upserted into ``serving_root/<feed's serving target>``, and
+    ``now`` prices the next requests' delays."""
     spec = feed(feed_name)
     reqs = requests.where(F.col("feed") == feed_name).select("feed", "pull", "begin_utc", "queue_next")
     # the pull keys of this cycle become the source's partition plan; one key
