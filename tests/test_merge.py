@@ -52,3 +52,12 @@ def test_positions_match_row_number_on_a_hot_group(spark):
     got = positions_within(df, ["g"], "seq", target_block_rows=16)
     ref = df.withColumn("position", F.row_number().over(Window.partitionBy("g").orderBy("seq")))
     assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_node_lookup_by_frame_equals_by_list(spark):
+    from lmplake.operators.merge import node_day_lookup
+    rows = [(n, T[h], float(n * 10 + h), n * 10 + h) for n in range(1, 6) for h in range(3)]
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("pricedate", F.to_date("utcbegin"))
+    by_list = node_day_lookup(table, [2, 4])
+    by_frame = node_day_lookup(table, spark.createDataFrame([(2,), (4,), (4,)], "node_id bigint"))
+    assert sorted(by_list.collect()) == sorted(by_frame.collect()) and by_list.count() == 6
