@@ -103,7 +103,6 @@ class PagePartition(InputPartition):
         self.pages = pages
 
 
-
 def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
                 pages_per_partition: int = 1) -> list[PagePartition]:
     """Headers are read once per plan; pages are planned from them and
