@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.llm import decontaminate, langid, minhash, mixing, tokens
+from lmplake.llm import chat, decontaminate, embeddings, langid, minhash, mixing, secrets, sharding, substrings, tokens
 from lmplake.llm.common import table
 
 
@@ -31,11 +31,27 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.transform("draws", lambda d: d["shard"]).alias("shards"))
 
 
+def op4_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_training_order_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(slot, shard, row, doc_id, part, n_tokens, ids): every sequence of every document."""
     return tokens.training_order(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, distance, word_start, word_end): a row for each item that a document leaks."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,12 +59,56 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*")
 
 
+#: The conversation that the contract adds: both of its texts are control strings.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(PROBE).alias("text"))
+    return chat.digests(chat.format_chat(rows.unionByName(probe)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_language_id": op2_language_id,
     "op3_mix_sources": op3_mix_sources,
+    "op4_balanced_shards": op4_balanced_shards,
+    "op5_repeated_substrings": op5_repeated_substrings,
     "op6_training_order_tokens": op6_training_order_tokens,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_benchmark_leaks": op9_benchmark_leaks,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLE: dict[str, str] = {}
+def _sql_escape(text: str) -> str:
+    return f"""replace(replace(replace(replace(replace({text}, '&', '&amp;'), '<s>', '&lt;s>'), '</s>', '&lt;/s>'),
+        '[INST]', '&#91;INST]'), '[/INST]', '&#91;/INST]')"""
+
+
+#: Conversations straight from the source rows; a conversation is escaped as a whole
+#: if any turn holds a control string or an escape, or a role that a line can't hold.
+OP10_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'
+), marked AS (
+  SELECT *, regexp_matches(text || role, '</?s>|\\[/?INST\\]|&(amp|lt|#91|#10);') OR contains(role, chr(10)) AS hard FROM rows
+), whole AS (
+  SELECT *, bool_or(hard) OVER (PARTITION BY conv_id) AS escaped FROM marked
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(3 + sum(length(CASE WHEN escaped THEN {_sql_escape('text')} ELSE text END)
+    + CASE WHEN role = 'assistant' THEN 4
+      ELSE 15 + length(CASE WHEN escaped THEN replace({_sql_escape('role')}, chr(10), '&#10;') ELSE role END) END) AS BIGINT)
+    AS formatted_chars
+FROM whole GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op10_chat_format": OP10_SQL}
