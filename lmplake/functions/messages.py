@@ -21,6 +21,8 @@ from lmplake.functions.time_cols import _c, iso_utc_text, parse_iso_offset
 # fetch: begin time with offset, feed name, continue flag; merge: day, feed name.
 BEGIN_FIELD, FEED_FIELD, NEXT_FIELD = "begin_time_iso_str", "pjm_end_point", "queue_next"
 DATE_FIELD, ENDPOINT_FIELD = "date", "endpoint"
+# queue envelope: {"Data": {name: value}, "Metadata": ...}; the value is the message
+ENVELOPE_DATA = "Data"
 # ---------------------------------------------------------------------------
 
 FETCH_SCHEMA = T.StructType([
@@ -44,23 +46,33 @@ def unwrap_quoted(text: Column | str) -> Column:
     return F.replace(inner, F.lit('\\"'), F.lit('"'))
 
 
+def open_envelope(text: Column | str) -> Column:
+    """The message inside a queue envelope (the first value of its ``Data`` map);
+    text that is no envelope stays as it is."""
+    data = F.try_variant_get(F.try_parse_json(_c(text)), f"$.{ENVELOPE_DATA}", "map<string,string>")
+    return F.coalesce(F.try_element_at(F.map_values(data), F.lit(1)), _c(text))
+
+
 # Both message kinds parsed in one pass: serde ignores unknown fields, so a
 # fetch decode and a merge decode of the same text see the same values.
 MESSAGE_SCHEMA = T.StructType([*FETCH_SCHEMA.fields, *MERGE_SCHEMA.fields])
 
 
-def decode_messages(df: DataFrame, text_col: str = "value") -> DataFrame:
+def decode_messages(df: DataFrame, text_col: str = "value", envelope: bool = False) -> DataFrame:
     """Append ``kind, feed, begin_utc, queue_next, merge_date`` to ``df``.
 
     Fetch is tried first (all three fields, a known feed, a parseable begin
-    time); then merge (date and endpoint present); anything else is bad."""
-    parsed = df.withColumn("_m", F.from_json(unwrap_quoted(text_col), MESSAGE_SCHEMA))
+    time); then merge (an endpoint and a day that parses); anything else is bad.
+    ``envelope`` takes messages out of their queue envelope first."""
+    text = open_envelope(text_col) if envelope else text_col
+    parsed = df.withColumn("_m", F.from_json(unwrap_quoted(text), MESSAGE_SCHEMA))
     m = lambda f: F.col("_m").getField(f)
     begin = parse_iso_offset(m(BEGIN_FIELD))
     is_fetch = m(NEXT_FIELD).isNotNull() & m(FEED_FIELD).isin(list(FEEDS)) & begin.isNotNull()
-    is_merge = m(DATE_FIELD).isNotNull() & m(ENDPOINT_FIELD).isNotNull()
+    day = F.try_to_date(m(DATE_FIELD), "yyyy-MM-dd")
+    is_merge = F.col("_d").isNotNull() & m(ENDPOINT_FIELD).isNotNull()
     code = F.when(is_fetch, F.lit(1)).when(is_merge, F.lit(2)).otherwise(F.lit(0))
-    staged = parsed.withColumn("_k", code).withColumn("_b", begin)
+    staged = parsed.withColumn("_d", day).withColumn("_k", code).withColumn("_b", begin)
     k = F.col("_k")
     return staged.select(
         *df.columns,
@@ -68,10 +80,16 @@ def decode_messages(df: DataFrame, text_col: str = "value") -> DataFrame:
         F.when(k == 1, m(FEED_FIELD)).when(k == 2, m(ENDPOINT_FIELD)).alias("feed"),
         F.when(k == 1, F.col("_b")).alias("begin_utc"),
         F.when(k == 1, m(NEXT_FIELD)).alias("queue_next"),
-        F.when(k == 2, F.try_to_date(m(DATE_FIELD), "yyyy-MM-dd")).alias("merge_date"),
+        F.when(k == 2, F.col("_d")).alias("merge_date"),
     )
 
 
+def rejected_messages(decoded: DataFrame, configured: list[str]) -> DataFrame:
+    """What a worker can't act on: undecodable messages, and those for feeds that it
+    has no transport for."""
+    return decoded.where((F.col("kind") == "bad") | ~F.coalesce(F.col("feed").isin(configured), F.lit(False)))
+
+
 def fetch_message_json(begin_utc: Column | str, feed_col: Column | str, queue_next: Column | bool = True) -> Column:
     qn = queue_next if isinstance(queue_next, Column) else F.lit(bool(queue_next))
     return F.to_json(F.struct(

@@ -102,7 +102,7 @@ def unprocessed_inputs(files: DataFrame, ledger: DataFrame, file_col: str = "fil
     return files.join(ledger.select(file_col).distinct(), file_col, "left_anti")
 
 
-# A literal IN list longer than this is not pushed as a filter; use a frame.
+# A list longer than this becomes a frame and a semi-join instead of a literal filter.
 MAX_LITERAL_NODES = 10_000
 
 
@@ -124,5 +124,6 @@ def node_day_lookup(day_table: DataFrame, nodes, days=None, day_col: str = "pric
         return out.join(nodes.select(*keys), keys, "left_semi")
     nodes = [int(n) for n in nodes]
     if len(nodes) > MAX_LITERAL_NODES:
-        raise ValueError(f"{len(nodes)} nodes: pass them as a DataFrame")
+        frame = day_table.sparkSession.createDataFrame([(n,) for n in nodes], "node_id bigint")
+        return out.join(frame, "node_id", "left_semi")
     return out.where(F.col("node_id").isin(nodes))

@@ -148,3 +148,31 @@ def coalesce_merge_requests(decoded: DataFrame) -> DataFrame:
     g = decoded.groupBy("feed", "merge_date").agg(
         F.count(F.when(F.col("kind") == "merge", F.lit(1))).alias("n_requests"))
     return g.where(F.col("n_requests") > 0)
+
+
+def due_requests(requests: DataFrame, now) -> DataFrame:
+    """Requests whose time has come (``not_before <= now``); ``now`` is a parameter."""
+    return requests.where(F.col("not_before") <= now_literal(now))
+
+
+def release_requests(spark, requests_dir: str, message_dir: str, released_dir: str, now, release_id: int) -> DataFrame:
+    """Turn due request rows into messages that the control stream reads: closes the
+    loop from a cycle's next requests to the next cycle.
+
+    A release writes its rows to the ledger ``released_dir/release_id=N`` and their
+    messages to ``message_dir/release_id=N``, each replaced whole; rows that another
+    release has in the ledger are left out. So a release that is run again gives the
+    same messages, and a request is released once."""
+    rows = spark.read.parquet(requests_dir)
+    keys = ["batch_id", "feed", "pull"]
+    due = due_requests(rows, now).select(*keys, "message")
+    from lmplake.sources.paths import exists
+    if exists(released_dir):
+        done = spark.read.schema("batch_id bigint, feed string, pull string, message string, release_id bigint") \
+            .parquet(released_dir).where(F.col("release_id") != int(release_id)).select(*keys)
+        due = due.join(done, keys, "left_anti")
+    ledger = f"{released_dir.rstrip('/')}/release_id={int(release_id)}"
+    due.write.mode("overwrite").parquet(ledger)
+    out = spark.read.schema("batch_id bigint, feed string, pull string, message string").parquet(ledger)
+    out.select(F.col("message").alias("value")).write.mode("overwrite").text(f"{message_dir.rstrip('/')}/release_id={int(release_id)}")
+    return out

@@ -15,8 +15,8 @@ ASSETS = (
     (45565887, "camden"),
     (35010337, "dom"),
 )
-# The asset list is configuration; it is broadcast, so cap it well below
-# any size where broadcasting would hurt.
+# The asset list is configuration and is broadcast up to this size; a longer one is
+# joined like any table.
 MAX_BROADCAST_ASSETS = 100_000
 
 ASSET_SCHEMA = T.StructType([
@@ -27,10 +27,9 @@ ASSET_SCHEMA = T.StructType([
 
 def asset_dimension(spark: SparkSession, assets=ASSETS) -> DataFrame:
     assets = [(int(n), str(lbl).strip('"')) for n, lbl in assets]
-    if len(assets) > MAX_BROADCAST_ASSETS:
-        raise ValueError(f"{len(assets)} assets exceed the broadcast bound {MAX_BROADCAST_ASSETS}")
     df = spark.createDataFrame(assets, ASSET_SCHEMA)
-    df._lmplake_bounded_rows = len(assets)  # size checked above: safe to broadcast
+    if len(assets) <= MAX_BROADCAST_ASSETS:
+        df._lmplake_bounded_rows = len(assets)  # size checked: safe to broadcast
     return df
 
 

@@ -38,6 +38,16 @@ def attach_group_stats(df: DataFrame, stats: DataFrame, group_cols: list[str], j
     heavy = stats.where(F.col(count_col) > F.lit(threshold)).drop(count_col)
     light = stats.where(F.col(count_col) <= F.lit(threshold)).drop(count_col)
     heavy_keys = F.broadcast(heavy.select(*group_cols).distinct())
-    heavy_rows = df.join(F.broadcast(heavy), join_cols, how)
-    light_rows = df.join(heavy_keys, group_cols, "left_anti").join(light, join_cols, how)
+    heavy_rows = _null_safe(df, F.broadcast(heavy), join_cols, how)
+    light_rows = _null_safe(_null_safe(df, heavy_keys, group_cols, "left_anti"), light, join_cols, how)
     return heavy_rows.unionByName(light_rows)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str) -> DataFrame:
+    """``left.join(right, cols, how)`` where a NULL key equals a NULL key, as it does in
+    the aggregate that made the right side."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & left[c].eqNullSafe(renamed[f"_r_{c}"])
+    return left.join(renamed, on, how).drop(*[f"_r_{c}" for c in cols])

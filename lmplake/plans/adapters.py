@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from lmplake.feeds import DA_FEED, RAW_NODE_FIELD, RAW_TIME_FIELD, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
 from lmplake.functions import messages as MSG
-from lmplake.functions.time_cols import floor_to_step, market_date, market_local, raw_time_text
+from lmplake.functions.time_cols import floor_to_step, hour_ending, market_date, market_local, market_midnight_utc, \
+    pull_key, raw_time_text
 from lmplake.operators.normalize import normalize_prices
 
 # Test fixture values: rows per page in the adapters (so that several pages
@@ -67,6 +68,39 @@ def events_raw(spark: SparkSession, sf_dir: str, feed_name: str = DA_FEED) -> Da
     )
 
 
+def events_raw_dirty(spark: SparkSession, sf_dir: str, feed_name: str = DA_FEED) -> DataFrame:
+    """``events_raw`` with records that are wrong in one or more fields: every 97th time,
+    89th node and 83rd price (by event id) is no time, no id and no number."""
+    seq = F.col("ingest_seq")
+    price = feed(feed_name).price_fields[0]
+    return events_raw(spark, sf_dir, feed_name).withColumns({
+        RAW_TIME_FIELD: F.when(seq % 97 == 0, F.lit("not a time")).otherwise(F.col(RAW_TIME_FIELD)),
+        RAW_NODE_FIELD: F.when(seq % 89 == 0, F.lit("node-x")).otherwise(F.col(RAW_NODE_FIELD)),
+        price: F.when(seq % 83 == 0, F.lit("n/a")).otherwise(F.col(price)),
+    })
+
+
+def overlapping_pulls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, requests) of one cycle whose pulls overlap: a pull for each UTC day, and one
+    from each noon that holds the afternoon's rows again, 1000 dearer."""
+    day = F.date_trunc("day", F.col("utcbegin")).cast("timestamp_ntz")
+    rows = events_prices(spark, sf_dir).withColumn("begin_utc", day).withColumnRenamed("ingest_seq", "api_row")
+    noon = rows.where(F.hour("utcbegin") >= 12).withColumns({
+        "begin_utc": F.timestamp_add("HOUR", F.lit(12), F.col("begin_utc")), "dalmp": F.col("dalmp") + 1000})
+    both = rows.unionByName(noon).withColumn("pull", pull_key("begin_utc"))
+    return both, both.select("pull", "begin_utc").distinct()
+
+
+def boundary_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders_prices`` with a third of the rows moved to the first hour of their market day
+    and a third to the last one (by order key)."""
+    p = orders_prices(spark, sf_dir)
+    last = F.timestamp_add("HOUR", F.lit(-1), market_midnight_utc(F.date_add("pricedate", 1)))
+    t = F.when(F.col("ingest_seq") % 3 == 0, market_midnight_utc("pricedate")) \
+        .when(F.col("ingest_seq") % 3 == 1, last).otherwise(F.col("utcbegin"))
+    return p.withColumn("utcbegin", t).withColumn("hour", hour_ending("utcbegin"))
+
+
 def orders_raw(spark: SparkSession, sf_dir: str, feed_name: str = DA_FEED) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
@@ -111,10 +145,12 @@ def _offset_text(utc: Column) -> Column:
                     F.lpad((a % 60).cast("string"), 2, "0"))
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_messages(spark: SparkSession, sf_dir: str, bad_days: bool = False, envelopes: bool = False) -> DataFrame:
     """One control message per event: fetch messages for three feeds with a
     New York offset begin time, merge messages, and messages naming an
-    unknown feed; every third one quoted with escaped inner quotes."""
+    unknown feed; every third one quoted with escaped inner quotes.
+    ``bad_days`` gives every fifth merge message a day that doesn't exist;
+    ``envelopes`` puts every second message into a queue envelope."""
     ev = table(spark, sf_dir, "events")
     begin = floor_to_step("ts", 5)
     local_text = raw_time_text(market_local(begin))
@@ -128,16 +164,22 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~is_merge, F.concat(local_text, _offset_text(begin))).alias(MSG.BEGIN_FIELD),
         F.when(~is_merge, F.col("_target")).alias(MSG.FEED_FIELD),
         F.when(~is_merge, k % 2 == 0).alias(MSG.NEXT_FIELD),
-        F.when(is_merge, market_date(begin).cast("string")).alias(MSG.DATE_FIELD),
+        F.when(is_merge, F.when(F.lit(bad_days) & (k % 5 == 0), F.lit("2024-13-40"))
+               .otherwise(market_date(begin).cast("string"))).alias(MSG.DATE_FIELD),
         F.when(is_merge, F.lit(RT_VERIFIED_FEED)).alias(MSG.ENDPOINT_FIELD),
     ))
     wrap = k % 3 == 0
     quote = F.when(wrap, F.lit('"')).otherwise(F.lit(""))
     escaped = F.replace(plain, F.lit('"'), F.when(wrap, F.lit('\\"')).otherwise(F.lit('"')))
-    return ev.withColumn("_target", target).select(
+    out = ev.withColumn("_target", target).select(
         F.col("event_id").alias("ingest_seq"),
         F.concat(quote, escaped, quote).alias("value"),
     )
+    if envelopes:
+        wrapped = F.to_json(F.struct(F.create_map(F.lit("msg"), F.col("value")).alias(MSG.ENVELOPE_DATA),
+                                     F.lit("x").alias("Metadata")))
+        out = out.withColumn("value", F.when(F.col("ingest_seq") % 2 == 0, wrapped).otherwise(F.col("value")))
+    return out
 
 
 __all__ = [

@@ -96,9 +96,10 @@ ORACLE: dict[str, str] = {
     "quarantine_rows": """
       WITH r AS (
         SELECT event_type AS pull_id,
-               strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS t,
-               CAST(user_id AS VARCHAR) AS n,
-               CAST(value AS VARCHAR) AS p1, CAST(value / 4 AS VARCHAR) AS p2, CAST(-value / 8 AS VARCHAR) AS p3
+               CASE WHEN event_id % 97 = 0 THEN 'not a time'
+                    ELSE strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') END AS t,
+               CASE WHEN event_id % 89 = 0 THEN 'node-x' ELSE CAST(user_id AS VARCHAR) END AS n,
+               CASE WHEN event_id % 83 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS p1, CAST(value / 4 AS VARCHAR) AS p2, CAST(-value / 8 AS VARCHAR) AS p3
         FROM events),
       f AS (
         SELECT pull_id,
@@ -139,7 +140,10 @@ ORACLE: dict[str, str] = {
              CAST(page_index * 500 + 1 AS BIGINT) AS start_row FROM p""",
 
     "page_completeness": f"""
-      WITH {PAGES},
+      WITH {PAGES.replace("  pg AS (", "  whole AS (")},
+      pg AS (SELECT pull_id, page_index, page_index * 500 + 1 AS start_row, n_rows FROM whole
+             WHERE NOT (pull_id IN ('view', 'signup') AND page_index % 3 = 1)
+             UNION ALL SELECT pull_id, -1, 3, 1 FROM whole WHERE pull_id IN ('error', 'signup') AND page_index = 0),
       t AS (SELECT event_type AS pull_id, count(*) AS total_rows FROM events GROUP BY 1),
       g AS (SELECT pull_id, count(*) AS received_pages, CAST(sum(n_rows) AS BIGINT) AS received_rows
             FROM pg GROUP BY 1),
@@ -300,10 +304,15 @@ ORACLE: dict[str, str] = {
                AND n_intervals = CAST(date_diff('minute', day_first, next_first) / 60 AS BIGINT) AS complete
       FROM e""",
 
-    "day_boundaries": f"""{WITH_OR}
+    "day_boundaries": f"""{WITH_OR},
+      m AS (SELECT * REPLACE (CASE ingest_seq % 3
+                     WHEN 0 THEN {_utc_of_ny('CAST(pricedate AS TIMESTAMP)')}
+                     WHEN 1 THEN {_utc_of_ny('CAST(pricedate + 1 AS TIMESTAMP)')} - INTERVAL 1 HOUR
+                     ELSE utcbegin END AS utcbegin) FROM o),
+      b AS (SELECT * REPLACE (CAST(hour({_ny('utcbegin')}) + 1 AS INTEGER) AS hour) FROM m)
       SELECT *, utcbegin = {_utc_of_ny('CAST(pricedate AS TIMESTAMP)')} AS is_first_of_day,
              CAST({_ny('utcbegin + INTERVAL 60 MINUTE')} AS DATE) > pricedate AS is_last_of_day
-      FROM o""",
+      FROM b""",
 
     "feed_source_read": f"""
       WITH ev AS ({EV}),
@@ -373,3 +382,38 @@ ORACLE: dict[str, str] = {
       SELECT DISTINCT pricedate, CAST(date_trunc('month', pricedate) AS DATE) AS month,
              pricedate AS save_target FROM o""",
 }
+
+ORACLE["scan_json_files"] = f"{WITH_EV} SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl FROM ev"
+
+ORACLE["overlapping_pulls"] = f"""{WITH_EV},
+  u AS (SELECT *, date_trunc('day', utcbegin) AS begin_utc FROM ev
+        UNION ALL
+        SELECT * REPLACE (dalmp + 1000 AS dalmp), date_trunc('day', utcbegin) + INTERVAL 12 HOUR AS begin_utc
+        FROM ev WHERE hour(utcbegin) >= 12)
+  SELECT utcbegin, pricedate, hour, node_id, dalmp, damcc, damcl FROM u
+  QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY begin_utc DESC, ingest_seq DESC) = 1"""
+
+ORACLE["quarantined_messages"] = """
+  WITH m AS (SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 0 AS bad_day FROM events)
+  SELECT event_id AS ingest_seq,
+         CASE WHEN event_type = 'purchase' THEN 'fetch' ELSE 'bad' END AS kind,
+         CASE WHEN event_type = 'purchase' THEN 'rt_unverified_fivemin_lmps' END AS feed
+  FROM m WHERE event_type IN ('error', 'purchase') OR (event_type = 'signup' AND bad_day)"""
+
+ORACLE["stream_pending_merges"] = f"""
+  SELECT event_id % 3 AS batch_id, 'rt_fivemin_hrl_lmps' AS feed, CAST({_ny(_floor5('ts'))} AS DATE) AS merge_date,
+         count(*) AS n_requests
+  FROM events WHERE event_type = 'signup' GROUP BY 1, 3"""
+
+ORACLE["due_requests"] = f"""
+  SELECT feed, pull_id, pricedate, not_before, message FROM ({ORACLE['next_requests']})
+  WHERE not_before <= TIMESTAMP '2001-07-15 13:00:00'"""
+
+ORACLE["list_files"] = f"""
+  SELECT pull, start_row, CAST(1 AS BIGINT) AS n_files, true AS has_bytes FROM ({ORACLE['feed_source_plan']})"""
+
+ORACLE["serving_rt"] = f"""
+  WITH ev AS ({EV5})
+  SELECT a.node, ev.utcbegin, ev.pricedate, ev.hour, ev.dalmp AS rtlmp, ev.damcc AS rtmcc, ev.damcl AS rtmcl, ev.ingest_seq
+  FROM ev JOIN {TEST_ASSETS} ON ev.node_id = a.node_id
+  QUALIFY row_number() OVER (PARTITION BY node, utcbegin ORDER BY ingest_seq DESC) = 1"""

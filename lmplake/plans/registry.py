@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.feeds import DA_FEED, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
+from lmplake.feeds import DA_FEED, RAW_NODE_FIELD, RT_UNVERIFIED_FEED, RT_VERIFIED_FEED, feed
 from lmplake.functions.calendar import expected_at, request_delay
-from lmplake.functions.messages import decode_messages
+from lmplake.functions.messages import decode_messages, rejected_messages
 from lmplake.functions.time_cols import floor_to_step, market_midnight_utc, parse_utc_strict, raw_time_text, api_time_text
 from lmplake.operators import merge as M
 from lmplake.operators import pulls as P
@@ -23,10 +23,12 @@ from lmplake.operators.normalize import normalize_prices, quarantine_summary
 from lmplake.operators.serve import asset_dimension, asset_lookup, asset_upsert
 from lmplake.plans import adapters as A
 from lmplake.session import lake_root, reliable_checkpoint
-from lmplake.sinks.lake import land_intake, merge_into_day_table, stamp_ingest_seq, sweep_intake, upsert_serving
+from lmplake.sinks.lake import land_intake, merge_into_day_table, order_pulls, serving_table_path, stamp_ingest_seq, \
+    sweep_intake, upsert_serving
 from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
-from lmplake.sources.pages import build_pages, parse_page_text
-from lmplake.streaming.streams import start_day_merge, start_serving_upsert
+from lmplake.sources.intake import list_files
+from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
+from lmplake.streaming.streams import control_message_stream, start_day_merge, start_pending_merges, start_serving_upsert
 
 DA = feed(DA_FEED)
 # Fixed evaluation instants (``now`` is a parameter, never the wall clock).
@@ -72,7 +74,24 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine_summary(A.events_raw(spark, sf_dir), DA, ("pull_id",))
+    return quarantine_summary(A.events_raw_dirty(spark, sf_dir), DA, ("pull_id",))
+
+
+def scan_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page files as the API sends them (JSON with plain numbers), written and scanned."""
+    raw = A.events_raw(spark, sf_dir)
+    root = f"{lake_root(spark)}/json"
+    numbers = {c: F.col(c).cast("double") for c in DA.price_fields} | {RAW_NODE_FIELD: F.col(RAW_NODE_FIELD).cast("bigint")}
+    pages = build_pages(raw.withColumns(numbers), DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE)
+    pages.select("pull_id", "start_row", "page_text").write.partitionBy("pull_id", "start_row").text(root)
+    return normalize_prices(read_json_pages(spark, root, DA, with_provenance=False), DA)
+
+
+def overlapping_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cycle with overlapping pulls, merged: the pull that begins later wins."""
+    rows, requests = A.overlapping_pulls(spark, sf_dir)
+    stamped = stamp_ingest_seq(order_pulls(rows, requests), 1, "cycle_row")
+    return M.latest_wins(stamped.select(*PRICE_COLS), ["node_id", "utcbegin"], "ingest_seq").drop("ingest_seq")
 
 
 def latest_wins_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +119,11 @@ def page_plan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_completeness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = A.events_raw(spark, sf_dir)
-    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE)
+    pages = build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).select("pull_id", "start_row", "n_rows", "page_index")
+    lost = F.col("pull_id").isin("view", "signup") & (F.col("page_index") % 3 == 1)
+    stray = pages.where(F.col("pull_id").isin("error", "signup") & (F.col("page_index") == 0)) \
+        .withColumns({"start_row": F.lit(3).cast("bigint"), "n_rows": F.lit(1).cast("bigint")})
+    pages = pages.where(~lost).unionByName(stray).drop("page_index")
     return P.page_completeness(pages, _pull_totals(spark, sf_dir), ["pull_id"], A.ADAPTER_PAGE_SIZE)
 
 
@@ -144,7 +167,7 @@ def request_delay_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    msgs = decode_messages(A.event_messages(spark, sf_dir))
+    msgs = decode_messages(A.event_messages(spark, sf_dir, envelopes=True), envelope=True)
     return msgs.select("ingest_seq", "kind", "feed", "begin_utc", "queue_next", "merge_date")
 
 
@@ -152,6 +175,29 @@ def pending_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir)))
 
 
+def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that a worker with two feeds rejects: bad ones (merges of a day that doesn't
+    exist among them) and those of a feed without a transport."""
+    msgs = decode_messages(A.event_messages(spark, sf_dir, bad_days=True))
+    return rejected_messages(msgs, [DA_FEED, RT_VERIFIED_FEED]).select("ingest_seq", "kind", "feed")
+
+
+def stream_pending_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge requests in three waves over the same days, older days after newer ones: each
+    wave asks for its days again."""
+    root = lake_root(spark)
+    msgs = A.event_messages(spark, sf_dir)
+    for wave in range(3):
+        msgs.where(F.col("ingest_seq") % 3 == wave).select("value").write.text(f"{root}/msgs/wave{wave}")
+        start_pending_merges(control_message_stream(spark, f"{root}/msgs"), f"{root}/pending", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/pending").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+def due_requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    due = P.due_requests(next_requests_q(spark, sf_dir), "2001-07-15 13:00:00")
+    return due.select("feed", "pull_id", "pricedate", "not_before", "message")
+
+
 def next_requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = A.orders_prices(spark, sf_dir)
     days = prices.groupBy("pull_id").agg(F.min("pricedate").alias("lo"), F.max("pricedate").alias("hi"))
@@ -226,7 +272,7 @@ def day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.day_boundaries(A.orders_prices(spark, sf_dir), DA.step_minutes)
+    return Q.day_boundaries(A.boundary_prices(spark, sf_dir), DA.step_minutes)
 
 
 def save_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,43 +308,66 @@ def feed_source_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_plan_frame(spark, {"root": root, "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE})
 
 
+def list_files_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the landed pages by pull and start row, listed without reading them."""
+    root = lake_root(spark)
+    _land_event_pages(spark, sf_dir, root)
+    files = list_files(spark, root, "*.txt").withColumn("pull", F.regexp_extract("path", r"/pull=([^/]*)/", 1)) \
+        .withColumn("start_row", F.regexp_extract("path", r"/start_row=(\d+)/", 1).cast("bigint"))
+    return files.groupBy("pull", "start_row").agg(F.count(F.lit(1)).alias("n_files"), F.min(F.col("length") > 0).alias("has_bytes"))
+
+
+def serving_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-minute prices upserted into the real-time serving table (the feed's own target)."""
+    spec = feed(RT_VERIFIED_FEED)
+    root = f"{lake_root(spark)}/serving"
+    prices = A.events_prices(spark, sf_dir, RT_VERIFIED_FEED)
+    upsert_serving(spark, serving_table_path(root, spec), prices, asset_dimension(spark, A.TEST_ASSETS), spec)
+    return spark.read.parquet(f"{root}/rt")
+
+
 def land_intake_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All event prices landed in an intake (per-day folders) and read back."""
     root = lake_root(spark)
     land_intake(A.events_prices(spark, sf_dir), f"{root}/intake", DA)
-    return spark.read.parquet(f"{root}/intake")
+    return spark.read.parquet(f"{root}/intake").drop("landing")
 
 
 def fetch_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole fetch cycle over the event pages: one request per pull,
-    starting at the pull's first hour; returns the next requests."""
+    starting at the pull's first hour, run twice as after a failure; returns the request
+    table that is left."""
     from lmplake.plans.cycle import run_fetch_cycle
     root = lake_root(spark)
     _land_event_pages(spark, sf_dir, f"{root}/pages")
     requests = A.events_prices(spark, sf_dir).groupBy(F.col("pull_id").alias("pull")).agg(
         F.min("utcbegin").alias("begin_utc")).select(
         F.lit(DA_FEED).alias("feed"), "pull", "begin_utc", F.lit(True).alias("queue_next"))
-    run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE,
-                                              "pages_per_partition": PAGES_PER_TASK},
-                          f"{root}/intake", f"{root}/serving", asset_dimension(spark, A.TEST_ASSETS),
-                          landing_id=1, now=EVENTS_NOW, requests_out=f"{root}/next")
-    return spark.read.parquet(f"{root}/next")
+    for _ in range(2):
+        run_fetch_cycle(spark, requests, DA_FEED, {"root": f"{root}/pages", "page_size": A.ADAPTER_PAGE_SIZE,
+                                                  "pages_per_partition": PAGES_PER_TASK},
+                        f"{root}/intake", f"{root}/serving", asset_dimension(spark, A.TEST_ASSETS),
+                        landing_id=1, now=EVENTS_NOW, requests_out=f"{root}/next")
+    return spark.read.parquet(f"{root}/next").drop("batch_id", "for_feed")
 
 
 def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed pages read as a stream whose offset is the last pull handed out
-    (T1): pages land in two waves; the second run takes only the new pull."""
+    """Feed pages read as a stream whose offset is the last header-log entry handed out
+    (T1). The first wave has one pull with no rows yet and lacks another one that sorts
+    first; the second wave brings both, out of order, and the stream takes just them."""
     root = lake_root(spark)
     raw = A.events_raw(spark, sf_dir)
     # built once, landed in two waves
     pages = reliable_checkpoint(
         build_pages(raw, DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE).withColumnRenamed("pull_id", "pull"))
     headers = pages.groupBy("pull").agg(F.sum("n_rows").cast("bigint").alias("total_rows"))
-    last_pull = headers.agg(F.max("pull")).first()[0]
+    first, empty = headers.agg(F.min("pull"), F.max("pull")).first()
     out, ck = f"{root}/out", f"{root}/_checkpoint"
-    earlier = F.col("pull") < F.lit(last_pull)
-    for new_pages, known, append in ((earlier, earlier, False), (~earlier, F.lit(True), True)):
-        write_page_folder(pages.where(new_pages), headers.where(known), f"{root}/pages", DA_FEED, append)
+    early = ~F.col("pull").isin(first, empty)
+    before = headers.where(F.col("pull") != first).withColumn(
+        "total_rows", F.when(F.col("pull") == empty, F.lit(0).cast("bigint")).otherwise(F.col("total_rows")))
+    for new_pages, known, append in ((pages.where(early), before, False), (pages.where(~early), headers, True)):
+        write_page_folder(new_pages, known, f"{root}/pages", DA_FEED, append)
         q = (read_feed_stream(spark, {"root": f"{root}/pages", "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE,
                                       "pages_per_partition": PAGES_PER_TASK})
              .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
@@ -379,6 +448,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_json_pages": scan_json_pages,
     "parse_timestamps": parse_timestamps,
     "quarantine_rows": quarantine_rows,
+    "scan_json_files": scan_json_files,
+    "overlapping_pulls": overlapping_pulls,
     "latest_wins": latest_wins_q,
     "first_day_filter": first_day_filter_q,
     "next_cursor": next_cursor_q,
@@ -389,7 +460,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_delay": request_delay_q,
     "control_messages": control_messages,
     "pending_merges": pending_merges,
+    "quarantined_messages": quarantined_messages,
+    "stream_pending_merges": stream_pending_merges,
     "next_requests": next_requests_q,
+    "due_requests": due_requests_q,
     "day_merge": day_merge,
     "carried_over_nodes": carried_over_nodes,
     "input_manifest": input_manifest,
@@ -406,6 +480,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_targets": save_targets,
     "feed_source_plan": feed_source_plan,
     "feed_source_read": feed_source_read,
+    "list_files": list_files_q,
+    "serving_rt": serving_rt,
     "land_intake": land_intake_q,
     "stream_cursor": stream_cursor,
     "fetch_cycle": fetch_cycle,

@@ -60,13 +60,16 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. A cluster sets it;
-    only when it is unset (local tests) a private folder is made."""
+    """The shared folder named by ``spark.checkpoint.dir``. A cluster has to set it;
+    only in local mode (tests) a private folder is made when it is unset."""
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        d = conf_dir or _LOCAL_DIRS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="lmplake-ckpt-"))
-        sc.setCheckpointDir(d)
+        if not conf_dir and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        if not conf_dir and sc.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="lmplake-ckpt-")
+        sc.setCheckpointDir(conf_dir or _LOCAL_DIRS[sc.applicationId])
     if conf_dir:
         return conf_dir
     if sc.applicationId not in _LOCAL_DIRS:

@@ -5,7 +5,7 @@ Publishing is staged, like the reference's ``_processing`` copy (K3): the
 merged days are first written in full to ``<table>/_staging/<id>`` (Spark
 ignores ``_`` folders when reading the table), then the touched days are
 replaced from there with Spark's dynamic partition overwrite, the staging
-folder is marked ``_PUBLISHED`` and removed. So (a) the overwrite never reads
+folder (marked ``_COMPLETE`` before that) is marked ``_PUBLISHED`` and removed. So (a) the overwrite never reads
 files it is replacing, (b) a lost executor recomputes from the staged files,
 and (c) if the driver dies in the middle of the overwrite's commit - old day
 folder deleted, new one not yet moved in - the next merge finds the complete
@@ -21,13 +21,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.session import reliable_checkpoint
+from lmplake.session import ship_package
 
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
 from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns, serving_schema
-from lmplake.sources.intake import lake_schema, scan_day_table
-from lmplake.sources.paths import day_folders, sub_dirs
+from lmplake.sources.intake import intake_files, lake_schema, read_intake_files, scan_day_table
+from lmplake.sources.paths import day_folders, newest, sub_dirs
 from lmplake.sources.paths import exists as _exists
 from lmplake.sources.paths import remove_dir as _remove
 from lmplake.sources.paths import touch as _touch
@@ -40,17 +40,46 @@ def lake_columns(spec: FeedSpec) -> list[str]:
 ROW_BITS = 32  # rows per pull stay below 2**32
 
 
+MAX_LANDING = (1 << 30) - 1  # the merge order keeps its top two bits for the source rank
+
+
 def stamp_ingest_seq(df: DataFrame, landing_id: int | Column, row_col: str = "api_row") -> DataFrame:
     """Stamp the total merge order at landing: ``landing_id << 32 | row``.
     ``landing_id`` grows with every landing (a batch id, a control-table
-    counter); ``row_col`` is the row's place in its pull, so "last" among new
-    rows is the API's order, never file listing order. Replays keep the stamp."""
-    lid = landing_id if isinstance(landing_id, Column) else F.lit(int(landing_id))
-    return df.withColumn(SEQ_COL, F.shiftleft(lid.cast("bigint"), ROW_BITS) + F.col(row_col).cast("bigint"))
-
-
-def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec) -> None:
-    """Append landed rows to the feed's intake, one folder per market day.
+    counter) and stays below 2**30; ``row_col`` is the row's place in the landing
+    (below 2**32), so "last" among new rows is the API's order, never file listing
+    order. Values out of range fail loudly. Replays keep the stamp."""
+    if not isinstance(landing_id, Column):
+        if not 0 <= int(landing_id) <= MAX_LANDING:
+            raise ValueError(f"landing_id {landing_id} is not in 0..{MAX_LANDING}: use a counter, not a clock")
+        landing_id = F.lit(int(landing_id))
+    lid, row = landing_id.cast("bigint"), F.col(row_col).cast("bigint")
+    wrong = (lid < 0) | (lid > MAX_LANDING) | (row < 0) | (row >= F.lit(1 << ROW_BITS))
+    seq = F.shiftleft(lid, ROW_BITS) + row
+    return df.withColumn(SEQ_COL, F.when(wrong, F.raise_error(F.lit("landing id or row number out of range")).cast("bigint"))
+                         .otherwise(seq))
+
+
+def order_pulls(rows: DataFrame, requests: DataFrame, pull_col: str = "pull", begin_col: str = "begin_utc",
+                row_col: str = "api_row", out_col: str = "cycle_row") -> DataFrame:
+    """Append each row's place in the whole cycle: pulls stand one after the other by
+    their begin time, so a row of a later pull beats every row of an earlier one where
+    their windows overlap, and the API's order decides inside a pull. The running sum
+    goes over one row for each pull of the cycle (one request message each)."""
+    from pyspark.sql import Window
+    size = rows.groupBy(pull_col).agg(F.max(row_col).alias("_rows"))
+    begin = requests.groupBy(pull_col).agg(F.min(begin_col).alias("_begin"))
+    before = Window.orderBy("_begin", pull_col).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = begin.join(size, pull_col).select(
+        pull_col, F.coalesce(F.sum(F.col("_rows") + 1).over(before), F.lit(0)).alias("_offset"))
+    return rows.join(offsets, pull_col).withColumn(out_col, F.col("_offset") + F.col(row_col)).drop("_offset")
+
+
+def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, landing: int | None = None) -> None:
+    """Land rows in the feed's intake, one folder per market day and landing.
+
+    With ``landing`` (a batch id) a repeated landing replaces its own folders, so a
+    retried batch leaves no second copy; without it rows are appended.
 
     Range partitioning on (day, node, ingest_seq) keeps each task on a few day
     folders - about tasks + days files per landing instead of tasks x days -
@@ -58,9 +87,12 @@ def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec) -> None:
     billion times over many writers. A key's rows may therefore sit in several
     files and micro-batches; the streaming merge uses the ``sequence`` order
     (largest stamped sequence wins), which does not depend on that split."""
-    out = df.select(*lake_columns(spec))
-    out.repartitionByRange("pricedate", "node_id", SEQ_COL).write.mode("append") \
-        .partitionBy("pricedate").parquet(intake_dir)
+    out = df.select(*lake_columns(spec)).withColumn("landing", F.lit(0 if landing is None else int(landing)).cast("bigint"))
+    w = out.repartitionByRange("pricedate", "node_id", SEQ_COL).write.partitionBy("pricedate", "landing")
+    if landing is None:
+        w.mode("append").parquet(intake_dir)
+    else:
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(intake_dir)
 
 
 def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedate") -> None:
@@ -77,15 +109,19 @@ def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedat
        .parquet(table_dir))
 
 
+STALE_SECONDS = 24 * 3600
+
+
 def _staged_dirs(table_dir: str) -> list[str]:
     return sub_dirs(f"{table_dir.rstrip('/')}/_staging")
 
 
 def publish_staged(spark: SparkSession, merged: DataFrame, table_dir: str, layout) -> None:
-    """Write ``merged`` to a staging folder, replace its days in the table
-    with ``layout(df, table_dir)``, mark and remove the staging folder."""
-    stage = f"{table_dir.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    """Write ``merged`` to a staging folder and mark it ``_COMPLETE``, replace its days in
+    the table with ``layout(df, table_dir)``, mark and remove the staging folder."""
+    stage = f"{table_dir.rstrip('/')}/_staging/{spark.sparkContext.applicationId}_{uuid.uuid4().hex}"
     merged.write.mode("errorifexists").parquet(stage)
+    _touch(f"{stage}/_COMPLETE")  # our own mark: Hadoop's _SUCCESS may be switched off
     _republish(spark, stage, table_dir, layout)
 
 
@@ -95,19 +131,22 @@ def _republish(spark: SparkSession, stage: str, table_dir: str, layout) -> None:
     _remove(stage)
 
 
-def recover_staged(spark: SparkSession, table_dir: str, layout) -> int:
+def recover_staged(spark: SparkSession, table_dir: str, layout, stale_seconds: float = STALE_SECONDS) -> int:
     """Finish publishes a crashed driver left behind; returns how many were
-    published again. A staging folder with ``_SUCCESS`` but no ``_PUBLISHED``
-    holds complete merged days and is published again (idempotent); one
-    without ``_SUCCESS`` never touched the table and is removed."""
-    redone = 0
+    published again. A staging folder with ``_COMPLETE`` but no ``_PUBLISHED``
+    holds complete merged days and is published again (idempotent). One without
+    ``_COMPLETE`` never touched the table: it is removed when it is this
+    application's or has not changed for ``stale_seconds``; else another writer may
+    be staging right now, and it is left alone."""
+    import time
+    redone, own = 0, spark.sparkContext.applicationId + "_"
     for stage in _staged_dirs(table_dir):
         if _exists(f"{stage}/_PUBLISHED"):
             _remove(stage)
-        elif _exists(f"{stage}/_SUCCESS"):
+        elif _exists(f"{stage}/_COMPLETE"):
             _republish(spark, stage, table_dir, layout)
             redone += 1
-        else:
+        elif stage.rsplit("/", 1)[-1].startswith(own) or time.time() - newest(stage) > stale_seconds:
             _remove(stage)
     return redone
 
@@ -186,39 +225,53 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     ledger already excludes."""
     if consume not in ("keep", "archive", "delete") or (consume == "archive" and not archive_dir):
         raise ValueError(f"consume={consume!r} (archive needs archive_dir)")
-    from lmplake.sources.intake import scan_intake
     if not _exists(intake_dir):
         return []
-    landed = scan_intake(spark, intake_dir, spec, days)
-    pending = landed
+    files = intake_files(spark, intake_dir, days)
     if _exists(ledger_dir):
         done = spark.read.schema("file_path string, batch_id bigint").parquet(ledger_dir).select("file_path")
-        pending = landed.join(done, "file_path", "left_anti")
-    pending = reliable_checkpoint(pending)  # the same set drives the merge and the ledger
+        files = files.join(done, "file_path", "left_anti")
+    # the pinned set: one path for each pending file, as the scan's own file index holds it
+    paths = sorted(r[0] for r in files.distinct().collect())
+    if not paths:
+        return []
+    pending = read_intake_files(spark, intake_dir, paths, spec)
     days = merge_into_day_table(spark, table_dir, pending, spec)
     if days:
-        record_processed(pending, ledger_dir, batch_id)
+        listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
+        record_processed(listed, ledger_dir, batch_id)
         if consume != "keep":
-            _consume_files(pending, intake_dir, consume, archive_dir)
+            _consume_files(listed, intake_dir, consume, archive_dir)
     return days
 
 
-def _consume_files(pending: DataFrame, intake_dir: str, consume: str, archive_dir: str | None) -> None:
-    """Archive or delete the merged intake files. The list is one path per
-    file of this sweep (metadata, not rows)."""
+def _consume_files(listed: DataFrame, intake_dir: str, consume: str, archive_dir: str | None) -> None:
+    """Archive or delete the merged intake files, in tasks: each takes some of the paths.
+    A file that is gone was consumed by an earlier attempt of its task."""
     from urllib.parse import unquote, urlparse
 
-    from lmplake.sources.paths import delete_file, move
-
-    def local(p: str) -> str:
+    def plain(p: str) -> str:
         u = urlparse(p)
-        return unquote(u.path) if u.scheme == "file" else p
-
-    root = local(intake_dir if "://" in intake_dir else "file://" + os.path.abspath(intake_dir))
-    for (path,) in pending.select("file_path").distinct().collect():
-        src = local(path)
-        if consume == "delete":
-            delete_file(src)
-        else:
-            rel = os.path.relpath(src, root)
-            move(src, f"{archive_dir.rstrip('/')}/{rel}")
+        return unquote(u.path) if u.scheme == "file" else unquote(p)
+
+    root = plain(intake_dir if "://" in intake_dir else "file://" + os.path.abspath(intake_dir))
+
+    def run(batches):
+        import pyarrow as pa
+
+        from lmplake.sources.paths import delete_file, exists, move
+        for b in batches:
+            n = 0
+            for path in b.column(0).to_pylist():
+                src = plain(path)
+                if not exists(src):
+                    continue
+                if consume == "delete":
+                    delete_file(src)
+                else:
+                    move(src, f"{archive_dir.rstrip('/')}/{os.path.relpath(src, root)}")
+                n += 1
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    ship_package(listed.sparkSession)
+    listed.select("file_path").mapInArrow(run, "n bigint").agg(F.sum("n")).collect()

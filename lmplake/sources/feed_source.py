@@ -17,8 +17,10 @@ record count differs from its header fails the job (``raise_error``), as a
 pull with a bad page must not land half.
 
 Batch:  ``read_feed(spark, options)``
-Stream: ``read_feed_stream(spark, options)`` - the offset is the last pull
-key handed out; each micro-batch takes the pulls that appeared since (T1),
+Stream: ``read_feed_stream(spark, options)`` - the offset is the last entry of
+the transport's header log that was handed out; each micro-batch takes the pulls
+that the log lists since (T1), in whatever key order they arrive. A pull whose
+header says 0 rows is not done: it is handed out when a later entry gives it rows,
 and an unchanged offset means "poll again later" (T2).
 """
 
@@ -34,11 +36,14 @@ from lmplake.feeds import PAGE_SIZE, feed
 
 class PageFolderTransport:
     """Pages under ``{root}/feed=F/pull=P/start_row=N/`` (text files, one JSON
-    array per line) and headers under ``{root}/_headers`` (JSON lines with
-    ``feed, pull, total_rows``).
-
-    A transport has three methods: ``headers(feed) -> {pull: total_rows}``,
-    ``pulls_after(feed, after) -> [pull, ...]`` (sorted) and
+    array per line) and a header log under ``{root}/_headers``: one folder
+    ``landing=N`` for each landing, with JSON lines ``feed, pull, total_rows`` of the
+    pulls that are new or changed, and a ``_COMPLETE`` mark.
+
+    A transport has four methods: ``headers(feed) -> {pull: total_rows}`` (the
+    latest of each pull), ``log_end(feed) -> token`` and ``log_between(feed, after,
+    until) -> {pull: total_rows}`` (entries behind ``after``, up to ``until``; tokens are
+    strings that sort in log order, "" is before the first) and
     ``fetch_page_text(feed, pull, start_row, row_count, fields) -> str``."""
 
     def __init__(self, options: dict):
@@ -65,16 +70,40 @@ class PageFolderTransport:
                     if line.strip():
                         yield line
 
-    def headers(self, feed_name: str) -> dict[str, int]:
+    def _landings(self) -> list[str]:
+        """Complete landings, in order, up to the first one that is still being written."""
+        from pyarrow import fs as pafs
+        fsys, base = self._fs()
+        infos = fsys.get_file_info(pafs.FileSelector(f"{base}/_headers", allow_not_found=True))
+        out = []
+        for i in sorted(infos, key=lambda i: i.base_name):
+            if i.type == pafs.FileType.Directory and i.base_name.startswith("landing="):
+                if fsys.get_file_info(f"{i.path}/_COMPLETE").type == pafs.FileType.NotFound:
+                    break
+                out.append(i.base_name[len("landing="):])
+        return out
+
+    def log_end(self, feed_name: str) -> str:
+        return (self._landings() or [""])[-1]
+
+    def log_between(self, feed_name: str, after: str, until: str) -> dict[str, int]:
         out = {}
-        for line in self._lines(f"{self.root}/_headers"):
-            h = json.loads(line)
-            if h["feed"] == feed_name:
-                out[h["pull"]] = int(h["total_rows"])
+        for landing in self._landings():
+            if after < landing <= until:
+                for line in self._lines(f"{self.root}/_headers/landing={landing}"):
+                    h = json.loads(line)
+                    if h["feed"] == feed_name:
+                        out[h["pull"]] = int(h["total_rows"])
         return out
 
-    def pulls_after(self, feed_name: str, after: str | None) -> list[str]:
-        return sorted(p for p in self.headers(feed_name) if after is None or p > after)
+    def headers(self, feed_name: str) -> dict[str, int]:
+        return self.log_between(feed_name, "", self.log_end(feed_name))
+
+    def headers_frame(self, spark, feed_name: str):
+        """The latest header of each pull, read and reduced in Spark."""
+        from pyspark.sql import functions as F
+        log = spark.read.schema("feed string, pull string, total_rows bigint, landing string").json(f"{self.root}/_headers")
+        return log.where(F.col("feed") == feed_name).groupBy("pull").agg(F.max_by("total_rows", "landing").alias("total_rows"))
 
     def fetch_page_text(self, feed_name: str, pull: str, start_row: int, row_count: int, fields: list[str]) -> str:
         """The page body as the API sends it: one JSON array ("[]" if absent)."""
@@ -93,6 +122,14 @@ def load_transport(options: dict):
     return getattr(importlib.import_module(mod), cls)(options)
 
 
+def named_pulls(options: dict) -> list[str]:
+    """The ``pulls`` option: a JSON array of keys, or keys with commas between them."""
+    text = options.get("pulls")
+    if not text:
+        return []
+    return json.loads(text) if text.lstrip().startswith("[") else text.split(",")
+
+
 class PagePartition(InputPartition):
     """Consecutive pages of one pull: ``pages`` is a list of
     ``(start_row, expected_rows)``."""
@@ -108,10 +145,16 @@ def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
     """Headers are read once per plan; pages are planned from them and
     grouped ``pages_per_partition`` at a time (1 for full 50,000-row pages;
     more when pages are small, so a task is not mostly start-up)."""
-    totals = transport.headers(feed_name)
+    return _cut_pages(transport.headers(feed_name), feed_name, pulls, page_size, pages_per_partition)
+
+
+def _cut_pages(totals: dict[str, int], feed_name: str, pulls: list[str], page_size: int,
+               pages_per_partition: int) -> list[PagePartition]:
     parts = []
     for pull in pulls:
-        total = totals.get(pull, 0)
+        if pull not in totals:  # no answer is not the same as no rows
+            raise ValueError(f"{feed_name} pull {pull} has no row-count header")
+        total = totals[pull]
         pages = [(p * page_size + 1, min(page_size, total - p * page_size))
                  for p in range(math.ceil(total / page_size) if total > 0 else 0)]
         for i in range(0, len(pages), pages_per_partition):
@@ -146,11 +189,11 @@ class FeedPagesReader(_PageReading, DataSourceReader):
 
     def partitions(self):
         t = load_transport(self.options)
-        pulls = self.options.get("pulls")
-        pulls = pulls.split(",") if pulls else t.pulls_after(self.feed, None)
+        totals = t.headers(self.feed)
+        pulls = named_pulls(self.options) or sorted(totals)
         if self.pull_filter is not None:
             pulls = [p for p in pulls if p in self.pull_filter]
-        return _plan_pages(t, self.feed, pulls, self.page_size, self.pages_per_partition)
+        return _cut_pages(totals, self.feed, pulls, self.page_size, self.pages_per_partition)
 
 
 class FeedPagesPushdownReader(FeedPagesReader):
@@ -174,22 +217,20 @@ class FeedPagesPushdownReader(FeedPagesReader):
 
 
 class FeedCursorStreamReader(_PageReading, DataSourceStreamReader):
-    """Offset = last pull key read (keys sort in time order)."""
+    """Offset = last header-log entry handed out. ``start_after`` leaves out the pulls
+    up to a key, for a stream that starts in the middle of a feed."""
 
     def initialOffset(self):
-        return {"pull": self.options.get("start_after", "")}
+        return {"log": ""}
 
     def latestOffset(self):
-        t = load_transport(self.options)
-        after = self.options.get("start_after", "")
-        pulls = t.pulls_after(self.feed, after or None)
-        return {"pull": pulls[-1] if pulls else after}
+        return {"log": load_transport(self.options).log_end(self.feed)}
 
     def partitions(self, start: dict, end: dict):
         t = load_transport(self.options)
-        lo, hi = start.get("pull", ""), end.get("pull", "")
-        pulls = [p for p in t.pulls_after(self.feed, lo or None) if p <= hi]
-        return _plan_pages(t, self.feed, pulls, self.page_size, self.pages_per_partition)
+        totals = t.log_between(self.feed, start.get("log", ""), end.get("log", ""))
+        after = self.options.get("start_after", "")
+        return _cut_pages(totals, self.feed, sorted(p for p in totals if p > after), self.page_size, self.pages_per_partition)
 
     def commit(self, end: dict):
         pass
@@ -254,16 +295,25 @@ def read_feed_stream(spark, options: dict):
 
 
 def page_plan_frame(spark, options: dict):
-    """The source's page plan as a DataFrame ``(pull, start_row,
-    expected_rows)``: what ``partitions()`` would hand to executors, built
-    from the transport's headers only (S2)."""
+    """The source's page plan as a DataFrame ``(pull, start_row, expected_rows)``: what
+    ``partitions()`` would hand to executors (S2), from the headers only. Planned in
+    Spark where the transport's headers are a table."""
+    from pyspark.sql import functions as F
+
+    from lmplake.operators.pulls import page_plan
     feed_name = options["feed"]
     t = load_transport(options)
     page_size = int(options.get("page_size", PAGE_SIZE))
-    pulls = options.get("pulls")
-    pulls = pulls.split(",") if pulls else t.pulls_after(feed_name, None)
-    rows = [(p.pull, s, n) for p in _plan_pages(t, feed_name, pulls, page_size) for s, n in p.pages]
-    return spark.createDataFrame(rows, "pull string, start_row bigint, expected_rows bigint")
+    pulls = named_pulls(options)
+    if hasattr(t, "headers_frame"):
+        totals = t.headers_frame(spark, feed_name)
+    else:
+        totals = spark.createDataFrame(sorted(t.headers(feed_name).items()), "pull string, total_rows bigint")
+    if pulls:
+        totals = totals.join(spark.createDataFrame([(p,) for p in pulls], "pull string"), "pull", "left_semi")
+    plan = page_plan(totals.select("pull", "total_rows", F.col("total_rows").alias("_t")), ["pull", "_t"], "total_rows", page_size)
+    return plan.select("pull", "start_row", F.least(F.lit(page_size), F.col("_t") - F.col("start_row") + 1)
+                       .cast("bigint").alias("expected_rows"))
 
 
 def register(spark) -> None:
@@ -285,10 +335,28 @@ def register(spark) -> None:
 def write_page_folder(pages, headers, root: str, feed_name: str, append: bool = False) -> None:
     """Land API-shaped pages (``pull, start_row, page_text``) and headers
     (``pull, total_rows``) in the layout ``PageFolderTransport`` serves.
-    ``append`` adds pages next to the ones there; headers are always replaced
-    by the full list given."""
+    ``append`` adds pages next to the ones there. Headers go to the header log: only
+    those that are new or differ from what the log says are added, as one landing."""
     from pyspark.sql import functions as F
+
+    from lmplake.sources.paths import exists, remove_dir, sub_dirs, touch
     (pages.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string"), "start_row", "page_text")
-          .write.mode("append" if append else "overwrite").partitionBy("feed", "pull", "start_row").text(root))
-    (headers.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string"), "total_rows")
-            .coalesce(1).write.mode("overwrite").json(f"{root}/_headers"))
+          .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("feed", "pull", "start_row").text(root))
+    log = f"{root.rstrip('/')}/_headers"
+    done = []
+    for d in sub_dirs(log):
+        if exists(f"{d}/_COMPLETE"):
+            done.append(d)
+        else:
+            remove_dir(d)  # a landing that died; its headers are given again
+    new = headers.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string").alias("pull"),
+                         F.col("total_rows").cast("bigint").alias("total_rows"))
+    if done:
+        known = PageFolderTransport({"root": root}).headers_frame(pages.sparkSession, feed_name)
+        new = new.join(known.withColumnRenamed("total_rows", "_known"), "pull", "left") \
+            .where(~F.col("total_rows").eqNullSafe(F.col("_known"))).select("feed", "pull", "total_rows")
+    landing = f"{log}/landing={len(done) + 1:08d}"
+    new.coalesce(1).write.mode("overwrite").json(landing)
+    touch(f"{landing}/_COMPLETE")
+

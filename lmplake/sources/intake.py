@@ -17,6 +17,28 @@ def lake_schema(spec: FeedSpec):
     return T.StructType([*s.fields, T.StructField(SEQ_COL, T.LongType(), True)])
 
 
+def _signed(spark: SparkSession, folders: list[str], schema, options: dict):
+    """Read with ``schema``; unsigned 64-bit ids (which Spark reads as decimals) are
+    cast. Which of the two a folder holds is told by one file's footer."""
+    from pyspark.sql import types as T
+    unsigned = []
+    for f in spark.read.options(**options).parquet(*folders).schema.fields:
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0 and f.name in schema.names \
+                and isinstance(schema[f.name].dataType, T.LongType):
+            unsigned.append(f.name)
+    if not unsigned:
+        return spark.read.schema(schema).options(**options).parquet(*folders)
+    read = T.StructType([T.StructField(f.name, T.DecimalType(20, 0) if f.name in unsigned else f.dataType) for f in schema.fields])
+    df = spark.read.schema(read).options(**options).parquet(*folders)
+    return df.withColumns({c: F.col(c).cast("bigint") for c in unsigned})
+
+
+def intake_schema(spec: FeedSpec):
+    """Landed rows with their landing (a folder below the day)."""
+    from pyspark.sql import types as T
+    return T.StructType([*lake_schema(spec).fields, T.StructField("landing", T.LongType())])
+
+
 def _read_days(spark: SparkSession, root: str, schema, days):
     """The table under ``root``; with ``days``, only those day folders are
     listed and read (a path-based read would list every day of the table
@@ -32,15 +54,36 @@ def _read_days(spark: SparkSession, root: str, schema, days):
 def scan_intake(spark: SparkSession, intake_dir: str, spec: FeedSpec, days=None) -> DataFrame:
     """Landed rows with provenance. With ``days`` (dates) only those day
     folders are listed and read."""
-    r = _read_days(spark, intake_dir, lake_schema(spec), days)
-    if r is None:
+    cols = lake_schema(spec).names
+    folders = [intake_dir] if days is None else day_folders(intake_dir, days)
+    if not folders:
         r = spark.createDataFrame([], lake_schema(spec))
         return r.select("*", F.lit(None).cast("string").alias("file_path"),
                         F.lit(None).cast("timestamp").alias("file_modification_time"))
-    return r.select("*", F.col("_metadata.file_path").alias("file_path"),
+    r = _signed(spark, folders, lake_schema(spec), {"basePath": intake_dir})
+    return r.select(*cols, F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 
+def intake_files(spark: SparkSession, intake_dir: str, days=None) -> DataFrame:
+    """(file_path) of the landed files, of ``days`` when given: a listing, no row is read."""
+    folders = [intake_dir] if days is None else day_folders(intake_dir, days)
+    if not folders:
+        return spark.createDataFrame([], "file_path string")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+            .load(folders).select(F.col("_metadata.file_path").alias("file_path")))
+
+
+def read_intake_files(spark: SparkSession, intake_dir: str, paths: list[str], spec: FeedSpec) -> DataFrame:
+    """The rows of exactly these landed files, with provenance."""
+    if not paths:
+        return spark.createDataFrame([], lake_schema(spec)).withColumn("file_path", F.lit(None).cast("string"))
+    from urllib.parse import unquote
+    base = intake_dir
+    r = _signed(spark, [unquote(p) for p in paths], lake_schema(spec), {"basePath": base})
+    return r.select(*lake_schema(spec).names, F.col("_metadata.file_path").alias("file_path"))
+
+
 def scan_day_table(spark: SparkSession, table_dir: str, spec: FeedSpec, days=None) -> DataFrame:
     """Existing day rows, or an empty frame of the lake schema when the table
     does not exist yet. Any other read error propagates: a day that cannot be

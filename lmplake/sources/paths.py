@@ -38,6 +38,14 @@ def sub_dirs(path: str) -> list[str]:
     return sorted(f"{path.rstrip('/')}/{i.base_name}" for i in infos if i.type == pafs.FileType.Directory)
 
 
+def newest(path: str) -> float:
+    """Modification time (seconds) of the newest entry below ``path``."""
+    from pyarrow import fs as pafs
+    fsys, p = fs_for(path)
+    infos = [fsys.get_file_info(p), *fsys.get_file_info(pafs.FileSelector(p, recursive=True, allow_not_found=True))]
+    return max([i.mtime.timestamp() for i in infos if i.mtime is not None], default=0.0)
+
+
 def move(src: str, dst: str) -> None:
     fsys, s = fs_for(src)
     _, d = fs_for(dst)
@@ -52,5 +60,10 @@ def delete_file(path: str) -> None:
 
 def day_folders(root: str, days, column: str = "pricedate") -> list[str]:
     """The existing ``column=<day>`` folders of ``root`` for ``days``."""
-    paths = [f"{root.rstrip('/')}/{column}={d.isoformat() if hasattr(d, 'isoformat') else d}" for d in days]
-    return [p for p in paths if exists(p)]
+    def name(d) -> str:
+        if d is None:  # the folder that Spark gives to a NULL partition value
+            return "__HIVE_DEFAULT_PARTITION__"
+        return d.isoformat() if hasattr(d, "isoformat") else str(d)
+
+    there = {p.rsplit("/", 1)[-1] for p in sub_dirs(root)}  # one listing, not one probe a day
+    return [f"{root.rstrip('/')}/{n}" for n in (f"{column}={name(d)}" for d in days) if n in there]

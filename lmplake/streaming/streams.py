@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmplake.feeds import FeedSpec
-from lmplake.functions.messages import decode_messages
+from lmplake.functions.messages import decode_messages, rejected_messages
+from lmplake.operators.pulls import coalesce_merge_requests
 from lmplake.sinks.lake import merge_into_day_table, record_processed, serving_table_path, upsert_serving
-from lmplake.sources.intake import lake_schema
+from lmplake.sources.intake import intake_schema, lake_schema
 
 
 def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_files_per_trigger: int | None = None,
@@ -26,12 +27,12 @@ def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_file
     """The intake as a file stream. With ``archive_dir`` Spark moves each file
     there once its micro-batch has committed (K4: consumed inputs leave the
     intake, so listing stays small) - only for a single consumer."""
-    r = spark.readStream.schema(lake_schema(spec))
+    r = spark.readStream.schema(intake_schema(spec))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.parquet(intake_dir).select("*", F.col("_metadata.file_path").alias("file_path"))
+    return r.parquet(intake_dir).select(*lake_schema(spec).names, F.col("_metadata.file_path").alias("file_path"))
 
 
 def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkpoint: str, spec: FeedSpec,
@@ -86,24 +87,31 @@ def start_serving_upsert(spark: SparkSession, intake_dir: str, serving_dir: str,
     return w.start()
 
 
-def control_message_stream(spark: SparkSession, message_dir: str) -> DataFrame:
-    """Text files of queue messages, one per line, decoded."""
-    return decode_messages(spark.readStream.schema("value string").text(message_dir))
+def control_message_stream(spark: SparkSession, message_dir: str, envelope: bool = False) -> DataFrame:
+    """Text files of queue messages, one per line, below ``message_dir`` (releases
+    have folders of their own), decoded (S11, C11, C12)."""
+    lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(message_dir)
+    return decode_messages(lines, envelope=envelope)
 
 
-def pending_merge_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Merge requests coalesced across micro-batches (T5): one per
-    (feed, day) while requests for it keep arriving within ``delay``. The
-    watermark needs a TIMESTAMP column, so a shadow ``et`` is derived from
-    the day (session zone UTC in streaming jobs)."""
-    m = messages.where(F.col("kind") == "merge").withColumn("et", F.col("merge_date").cast("timestamp"))
-    return m.withWatermark("et", delay).dropDuplicatesWithinWatermark(["feed", "merge_date"])
+def start_pending_merges(messages: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
+                         processing_time: str = "1 minute"):
+    """Merge requests coalesced within each micro-batch (T5): one row per (feed, day) and
+    batch, in ``out_dir/batch_id=N``. A request for an older day counts like any other,
+    and a day that is asked for again later is merged again. A repeated batch replaces
+    its own folder."""
+    def coalesce_batch(df: DataFrame, batch_id: int) -> None:
+        coalesce_merge_requests(df).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+
+    w = messages.writeStream.foreachBatch(coalesce_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
 
 
 def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str, lake_root: str,
                          source_options: dict[str, dict], assets: DataFrame, now=None,
                          available_now: bool = True, processing_time: str = "1 minute",
-                         consume: str = "keep"):
+                         consume: str = "keep", envelope: bool = False):
     """The worker's message loop as one stream over queue messages (S11, K7,
     T1-T5). Each micro-batch is decoded once and then:
 
@@ -114,7 +122,11 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
       into ``<root>/<feed>/day`` (ledger ``<root>/<feed>/ledger``; merged
       files kept, archived to ``<root>/<feed>/archive`` or deleted per
       ``consume``);
-    * anything else -> ``<root>/quarantine/messages``.
+    * anything else, and messages for feeds that have no transport here ->
+      ``<root>/quarantine/messages/batch_id=N``.
+
+    All outputs of a batch go to folders of that batch (or are upserts), so a batch
+    that is repeated after a failure replaces what its first attempt left.
 
     The pull key of a fetch is its begin time as ``yyyyMMddTHHmm``. ``now``
     (a datetime, or a callable giving one per batch) prices the next
@@ -136,19 +148,18 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
             at = now() if callable(now) else (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
             kinds = {r.kind: r.n for r in msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
             configured = list(source_options)
-            # undecodable messages, and fetches for feeds this worker has no transport for
-            rejected = (F.col("kind") == "bad") | ((F.col("kind") == "fetch") & ~F.col("feed").isin(configured))
-            if kinds.get("bad") or kinds.get("fetch"):
-                msgs.where(rejected).select("value").write.mode("append").text(f"{root}/quarantine/messages")
+            if kinds:
+                rejected_messages(msgs, configured).select("value").write.mode("overwrite") \
+                    .text(f"{root}/quarantine/messages/batch_id={batch_id}")
             if kinds.get("fetch"):
                 fetch = msgs.where((F.col("kind") == "fetch") & F.col("feed").isin(configured)).select(
                     "feed", pull_key("begin_utc").alias("pull"), "begin_utc", "queue_next")
                 for (name,) in fetch.select("feed").distinct().collect():  # at most the known feeds
                     run_fetch_cycle(spark, fetch, name, source_options[name], f"{root}/{name}/intake",
                                     f"{root}/serving", assets, landing_id=batch_id, now=at,
-                                    requests_out=f"{root}/requests")
+                                    requests_out=f"{root}/requests", quarantine_dir=f"{root}/quarantine/{name}")
             if kinds.get("merge"):
-                wanted = msgs.where((F.col("kind") == "merge") & F.col("merge_date").isNotNull()) \
+                wanted = msgs.where(F.col("kind") == "merge") \
                     .select("feed", "merge_date").distinct().collect()  # bounded by feeds x days
                 by_feed: dict[str, list] = {}
                 for r in wanted:
@@ -161,7 +172,7 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
         finally:
             msgs.unpersist()
 
-    w = control_message_stream(spark, message_dir).writeStream.foreachBatch(handle) \
+    w = control_message_stream(spark, message_dir, envelope).writeStream.foreachBatch(handle) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

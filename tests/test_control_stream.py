@@ -32,9 +32,16 @@ def test_control_stream_fetches_merges_and_quarantines(spark, tmp_path):
     assert spark.read.parquet(f"{root}/serving/da").count() == 3
     nxt = {r.next_begin_utc: r.n_rows for r in spark.read.parquet(f"{root}/requests").collect()}
     assert nxt == {dt.datetime(2024, 1, 1, 8): 6, dt.datetime(2024, 1, 2, 5): 0}
-    assert spark.read.text(f"{root}/quarantine/messages").count() == 2
+    quarantined = lambda: spark.read.schema("value string, batch_id long").text(f"{root}/quarantine/messages").count()
+    assert quarantined() == 2
     assert not os.path.exists(f"{root}/{DA_FEED}/day")
     (msgs / "2.txt").write_text(json.dumps({"date": "2024-01-01", "endpoint": DA_FEED}) + "\n")
     run("ck")
     assert spark.read.parquet(f"{root}/{DA_FEED}/day").count() == 6
     assert spark.read.parquet(f"{root}/{DA_FEED}/archive").count() == 6  # merged files left the intake
+    # merges that nobody can run are kept, not lost: a day that doesn't exist, a feed without a transport
+    (msgs / "3.txt").write_text("\n".join(json.dumps(m) for m in (
+        {"date": "2024-13-40", "endpoint": DA_FEED}, {"date": "2024-01-01", "endpoint": "rt_fivemin_hrl_lmps"},
+        {"date": None, "endpoint": DA_FEED})) + "\n")
+    run("ck")
+    assert quarantined() == 5

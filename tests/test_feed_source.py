@@ -113,3 +113,36 @@ def test_pages_grouped_per_task(spark, tmp_path):
     assert pages.rdd.getNumPartitions() == 3  # pull 05: pages (1,5) + (9); pull 06: (1)
     df = read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "pages_per_partition": 2})
     assert sorted(r.api_row for r in df.where(F.col("pull") == "20240101T05").collect()) == list(range(1, 11))
+
+
+def test_a_pull_without_rows_is_taken_when_it_has_some_and_late_pulls_too(spark, tmp_path):
+    root, out, ck = (str(tmp_path / x) for x in ("pages", "out", "ck"))
+    register(spark)
+
+    def run():
+        (read_feed_stream(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4})
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start().awaitTermination())
+        return sorted((r["pull"], r["count"]) for r in spark.read.parquet(out).groupBy("pull").count().collect())
+
+    _land(spark, root, [("20240101T06", 5), ("20240101T07", 0)])
+    assert run() == [("20240101T06", 5)]
+    _land(spark, root, [("20240101T05", 3)])  # arrives late, sorts first
+    assert run() == [("20240101T05", 3), ("20240101T06", 5)]
+    _land(spark, root, [("20240101T07", 2)])
+    assert run() == [("20240101T05", 3), ("20240101T06", 5), ("20240101T07", 2)]
+    assert run() == [("20240101T05", 3), ("20240101T06", 5), ("20240101T07", 2)]
+
+
+def test_a_pull_without_a_header_fails(spark, tmp_path):
+    import pytest
+    root = str(tmp_path / "pages")
+    _land(spark, root, [("20240101T05", 3)])
+    with pytest.raises(Exception, match="no row-count header"):
+        read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "pulls": "20240101T05,20240101T09"}).collect()
+
+
+def test_pull_keys_may_hold_commas(spark, tmp_path):
+    root = str(tmp_path / "pages")
+    _land(spark, root, [("a,b05", 3), ("c06", 2)])
+    assert read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "pulls": json.dumps(["a,b05"])}).count() == 3

@@ -90,13 +90,20 @@ def test_publish_interrupted_mid_commit_is_finished_by_the_next_merge(spark, tmp
     before = _table(spark, path)
     assert not os.path.exists(os.path.join(path, "_staging")) or not os.listdir(os.path.join(path, "_staging"))
     # crash state: the merged day was staged completely, the old folder deleted, the new one not moved in
-    spark.read.parquet(path).write.parquet(os.path.join(path, "_staging", "crashed"))
+    spark.read.parquet(path).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
+        .parquet(os.path.join(path, "_staging", "crashed"))
+    assert not os.path.exists(os.path.join(path, "_staging", "crashed", "_SUCCESS"))
+    open(os.path.join(path, "_staging", "crashed", "_COMPLETE"), "w").close()
     shutil.rmtree(os.path.join(path, "pricedate=2024-01-01"))
-    # an incomplete staging folder (crash while staging) must be dropped, not published
-    os.makedirs(os.path.join(path, "_staging", "half"))
+    # an incomplete staging folder (crash while staging) must be dropped, not published:
+    # this application's at once, another one's when it has not changed for a day
+    os.makedirs(os.path.join(path, "_staging", f"{spark.sparkContext.applicationId}_half"))
+    os.makedirs(os.path.join(path, "_staging", "other_old"))
+    os.utime(os.path.join(path, "_staging", "other_old"), (1, 1))
+    os.makedirs(os.path.join(path, "_staging", "other_busy"))
     merge_into_day_table(spark, path, _prices(spark, [(dt.datetime(2024, 1, 3, 6), 3, 9.0, 99)]), SPEC)
     assert _table(spark, path) == before | {(3, dt.datetime(2024, 1, 3, 6), 9.0)}
-    assert os.listdir(os.path.join(path, "_staging")) == []
+    assert os.listdir(os.path.join(path, "_staging")) == ["other_busy"]
     assert recover_staged(spark, path, write_day_partitions) == 0
 
 
@@ -125,3 +132,71 @@ def test_sweep_archives_or_deletes_merged_files(spark, tmp_path):
         moved = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".parquet")] if consume == "archive" else []
         assert (len(moved) > 0) == (consume == "archive")
         assert sweep_intake(spark, intake, table, ledger, SPEC, consume=consume, archive_dir=archive) == []
+
+
+def test_null_days_are_merged_like_others(spark, tmp_path):
+    path = str(tmp_path / "day")
+    for node in (1, 2):
+        row = spark.createDataFrame([(None, None, None, node, 1.0, 0.0, 0.0, node)],
+                                    "utcbegin timestamp_ntz, pricedate date, hour int, node_id bigint, dalmp double, damcc double, "
+                                    "damcl double, ingest_seq bigint")
+        merge_into_day_table(spark, path, row, SPEC)
+    assert sorted(r.node_id for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_unsigned_ids_in_the_intake(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from lmplake.sources.intake import scan_intake
+    folder = tmp_path / "intake" / "pricedate=2024-01-01" / "landing=0"
+    folder.mkdir(parents=True)
+    pq.write_table(pa.table({"utcbegin": pa.array([dt.datetime(2024, 1, 1, 5)], pa.timestamp("us")), "hour": pa.array([1], pa.int32()),
+                             "node_id": pa.array([2156110049], pa.uint64()), "dalmp": [1.0], "damcc": [0.0], "damcl": [0.0],
+                             "ingest_seq": pa.array([7], pa.int64())}), folder / "a.parquet")
+    for days in (None, [dt.date(2024, 1, 1)]):
+        r = scan_intake(spark, str(tmp_path / "intake"), SPEC, days).first()
+        assert (r.node_id, r.ingest_seq, r.pricedate) == (2156110049, 7, dt.date(2024, 1, 1))
+
+
+def test_stamp_ranges_are_checked(spark):
+    from lmplake.sinks.lake import MAX_LANDING, stamp_ingest_seq
+    df = spark.createDataFrame([(5,), ((1 << 32) - 1,)], "api_row long")
+    assert stamp_ingest_seq(df, MAX_LANDING).count() == 2
+    with pytest.raises(ValueError, match="landing_id"):
+        stamp_ingest_seq(df, 1_700_000_000)
+    with pytest.raises(Exception, match="out of range"):
+        stamp_ingest_seq(spark.createDataFrame([(1 << 32,)], "api_row long"), 1).collect()
+
+
+def test_sweep_reads_pending_files_only_and_checkpoints_no_rows(spark, tmp_path, monkeypatch):
+    import lmplake.sinks.lake as L
+    intake, table, ledger = (str(tmp_path / x) for x in ("intake", "day", "ledger"))
+    seen = []
+    real = L.read_intake_files
+    monkeypatch.setattr(L, "read_intake_files", lambda s, d, paths, spec: seen.append(paths) or real(s, d, paths, spec))
+    L.land_intake(_prices(spark, [(dt.datetime(2024, 1, 1, 5), 1, 1.0, 1)]), intake, SPEC)
+    L.sweep_intake(spark, intake, table, ledger, SPEC)
+    L.land_intake(_prices(spark, [(dt.datetime(2024, 1, 2, 5), 1, 2.0, 2)]), intake, SPEC)
+    L.sweep_intake(spark, intake, table, ledger, SPEC)
+    assert len(seen) == 2 and not set(seen[0]) & set(seen[1]) and all("2024-01-02" in p for p in seen[1])
+    plan = real(spark, intake, seen[1], SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan and "ExistingRDD" not in plan
+
+
+def test_a_long_node_list_and_a_long_asset_list_are_joined(spark, tmp_path, monkeypatch):
+    import lmplake.operators.merge as M
+    import lmplake.operators.serve as S
+    df = _prices(spark, [(dt.datetime(2024, 1, 1, 5), n, 1.0, n) for n in range(30)])
+    monkeypatch.setattr(M, "MAX_LITERAL_NODES", 5)
+    assert M.node_day_lookup(df, list(range(10, 25))).count() == 15
+    monkeypatch.setattr(S, "MAX_BROADCAST_ASSETS", 5)
+    assets = S.asset_dimension(spark, [(n, f"n{n}") for n in range(20)])
+    assert not hasattr(assets, "_lmplake_bounded_rows")
+    assert S.asset_lookup(df, assets, SPEC).count() == 20
+
+
+def test_rows_without_a_pull_key_are_kept(spark):
+    from lmplake.operators.pulls import first_day_filter
+    df = spark.createDataFrame([(None, dt.date(2024, 1, 1)), (None, dt.date(2024, 1, 2)), ("a", dt.date(2024, 1, 2))],
+                               "pull string, pricedate date")
+    assert sorted(map(str, first_day_filter(df, ["pull"]).select("pull").collect())) == ["Row(pull='a')", "Row(pull=None)"]

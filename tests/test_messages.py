@@ -36,3 +36,12 @@ def test_encode_round_trip(spark):
     assert base64.b64decode(r.p).decode() == r.m and r.q == "rtfiveminhrllmps"
     back = decode_messages(spark.createDataFrame([(r.m,)], "value string")).first()
     assert back.kind == "fetch" and back.begin_utc == dt.datetime(2024, 1, 1, 5)
+
+
+def test_envelopes_and_days_that_do_not_exist(spark):
+    merge = '{"date":"2024-01-05","endpoint":"rt_fivemin_hrl_lmps"}'
+    quoted = json.dumps(merge)
+    texts = [json.dumps({"Data": {"queueItem": merge}, "Metadata": {"a": 1}}), json.dumps({"Data": {"queueItem": quoted}}), merge, quoted,
+             '{"date":"2024-13-40","endpoint":"x"}', '{"Data": {}}', '{"Data": 5}', "not json", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert [r.kind for r in decode_messages(df, envelope=True).collect()] == ["merge"] * 4 + ["bad"] * 5

@@ -12,7 +12,7 @@ from lmplake.operators.merge import input_manifest, unprocessed_inputs
 from lmplake.plans import adapters as A
 from lmplake.sinks.lake import land_intake, lake_columns, merge_into_day_table, record_processed
 from lmplake.sources.intake import list_files, scan_intake
-from lmplake.streaming.streams import control_message_stream, pending_merge_stream
+from lmplake.streaming.streams import control_message_stream, start_pending_merges
 from oracle_harness import compare, duck
 
 SPEC = feed(DA_FEED)
@@ -76,16 +76,23 @@ def test_control_stream_and_pending_merges(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         out = str(tmp_path / "out")
-        q = (pending_merge_stream(control_message_stream(spark, str(src)))
-             .select("feed", "merge_date").writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-        q.awaitTermination()
+        start_pending_merges(control_message_stream(spark, str(src)), out, str(tmp_path / "ck")).awaitTermination()
         got = sorted((r.feed, r.merge_date) for r in spark.read.parquet(out).collect())
         assert got == [("rt_fivemin_hrl_lmps", dt.date(2024, 1, 5)), ("rt_fivemin_hrl_lmps", dt.date(2024, 1, 6))]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_merge_requests_for_older_days_and_again(spark, tmp_path):
+    src, out = tmp_path / "m", str(tmp_path / "pending")
+    src.mkdir()
+    for i, days in enumerate((["2024-01-15"], ["2024-01-10", "2024-01-15", "2024-01-15"], ["2024-01-11"])):
+        (src / f"{i}.txt").write_text("".join('{"date":"%s","endpoint":"rt_fivemin_hrl_lmps"}\n' % d for d in days))
+        start_pending_merges(control_message_stream(spark, str(src)), out, str(tmp_path / "ck")).awaitTermination()
+    got = sorted((r.batch_id, str(r.merge_date), r.n_requests) for r in spark.read.parquet(out).collect())
+    assert got == [(0, "2024-01-15", 1), (1, "2024-01-10", 1), (1, "2024-01-15", 2), (2, "2024-01-11", 1)]
+
+
 ZONE_KEYS = ["normalize_prices", "day_boundaries", "expected_at", "request_windows", "control_messages",
              "next_requests", "day_completeness", "parse_timestamps"]
 
