@@ -111,4 +111,62 @@ SELECT conv_id, count(*) AS n_turns,
 FROM whole GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op10_chat_format": OP10_SQL}
+_COMPONENTS = """
+sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT DISTINCT x AS node, x AS seen FROM sym
+          UNION SELECT reach.node, sym.y FROM reach JOIN sym ON reach.seen = sym.x),
+comp AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
+
+#: All pairs that share a shingle, with their weighted Jaccard similarity, and components.
+OP1_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS c
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0) GROUP BY 1, 2),
+total AS (SELECT doc_id, sum(c) AS t FROM sh GROUP BY 1),
+low AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.c, b.c)) AS i
+        FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM low JOIN total a ON a.doc_id = x JOIN total b ON b.doc_id = y
+          WHERE i + 1e-6 >= {minhash.THRESHOLD} * (a.t + b.t - i)), {_COMPONENTS}
+SELECT doc_id, coalesce(component, doc_id) AS class_id, doc_id = coalesce(component, doc_id) AS kept
+FROM documents LEFT JOIN comp ON doc_id = node
+"""
+
+#: Every window of 100 bytes, by a digest; a window is repeated unless it is the first of its kind.
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS g
+      FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS island
+      FROM (SELECT *, CASE WHEN p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 1 ELSE 0 END AS new FROM r)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, island),
+g AS (SELECT *, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS prev FROM s),
+k AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last,
+             string_agg(substr(h, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS head
+      FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+#: The cosines of all pairs of usable vectors.
+OP8_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= {embeddings.THRESHOLD}), {_COMPONENTS},
+deg AS (SELECT x, count(*) AS n FROM sym GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component, vec_id) AS component_id,
+       vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN comp ON vec_id = node LEFT JOIN deg ON vec_id = x
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_minhash_near_dedup": OP1_SQL,
+    "op5_repeated_substrings": OP5_SQL,
+    "op8_embedding_near_dedup": OP8_SQL,
+    "op10_chat_format": OP10_SQL,
+}
