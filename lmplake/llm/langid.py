@@ -130,10 +130,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
         train_docs: int = 4096, windows_per_doc: int = 2, **options) -> ByteCNN | None:
     """Train on a sample of ``labelled``: the ``train_docs`` documents with the
     smallest key hash, ``windows_per_doc`` windows each, at hashed positions of the
-    text. The sample is the whole bound; it doesn't grow with the table."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    text. The sample is the whole bound; it doesn't grow with the table: rows beyond a
+    hash that about four times the sample lies below are left out before anything is
+    sorted, so the tasks send a bounded number of rows in all, not each of them a sample."""
+    known = labelled.where(F.col(lang).isNotNull())
+    share = min(1.0, 4 * train_docs / max(1, known.count()))
+    rows = known.where(F.col(text).rlike(r"\p{L}"))
     sample = rows.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"),
-                         u32(F.lit("langid"), F.col(key).cast("string")).alias("u"))
+                         u32(F.lit("langid"), F.col(key).cast("string")).alias("u")) \
+        .where(F.col("u") < F.lit(int(share * (1 << 32))))
     spots = [1 + F.floor(u32(F.lit(i), F.col("key").cast("string")) / F.lit(float(1 << 32))
                          * F.greatest(F.length("text") - F.lit(window * 3 // 4), F.lit(1))).cast("int")
              for i in range(windows_per_doc)]
