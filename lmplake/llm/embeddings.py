@@ -94,7 +94,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """(key, n_links, component_id, kept) for each row of ``vectors``."""
     prepare(vectors.sparkSession)
     v = F.col("v")
-    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("v"))
+    element = vectors.schema[vector].dataType.elementType
+    # one zero: grouping takes -0.0 and 0.0 as equal, a hash doesn't
+    rows = vectors.select(F.col(key).alias("key"), F.transform(
+        F.col(vector), lambda x: F.when(x == 0, F.lit(0).cast(element)).otherwise(x)).alias("v"))
     usable = F.coalesce(v.isNotNull() & (F.size(v) > 0)
                         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                         & F.exists(v, lambda x: x != 0), F.lit(False))

@@ -73,5 +73,7 @@ def test_null_and_repeated_ids_and_empty(frame):
     rows = [(1, v, 0), (1, v, 0), (None, v, 0), (5, w, 0)]
     out = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in E.near_duplicates(frame(rows, SCHEMA)).collect()}
     assert out == {(1, 2, 1, True), (None, 2, None, False), (5, 0, 5, True)}
+    zero = [(1, [0.0, 1.0], 0), (2, [-0.0, 1.0], 0)]
+    assert {(r["n_links"], r["component_id"]) for r in E.near_duplicates(frame(zero, SCHEMA)).collect()} == {(1, 1)}
     assert E.near_duplicates(frame([], SCHEMA)).collect() == []
     assert [r["kept"] for r in E.near_duplicates(frame([(4, None, 0)], SCHEMA)).collect()] == [True]
