@@ -137,6 +137,25 @@ def first_to_last(offsets: np.ndarray) -> np.ndarray:
     return (offsets[1:] - 1)[offsets[:-1] < offsets[1:]]
 
 
+# ---------------------------------------------------------------- joins
+
+HEAVY_KEYS = 10_000
+
+
+def join_sized(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int, how: str = "left") -> DataFrame:
+    """``left.join(right, keys, how)`` for a ``right`` with one row for each key and the
+    number ``count`` of the key's rows on the left, of ``total``.
+
+    Keys with more than total / HEAVY_KEYS rows - there can't be more than HEAVY_KEYS of
+    them - are broadcast, so their rows stay where they are; the other keys have few rows
+    each and are joined by a shuffle. A key with a third of all rows meets in no task."""
+    bound = max(1, -(-int(total) // HEAVY_KEYS))
+    heavy, light = right.where(F.col(count) > bound), right.where(F.col(count) <= bound)
+    hot = left.join(F.broadcast(heavy), keys, "inner")
+    rest = left.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys, how)
+    return hot.unionByName(rest)
+
+
 # ---------------------------------------------------------------- positions
 
 def with_rank(df: DataFrame, key: str, out: str, order: list[str], u: str, rows_per_bin: int = 4096,

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import prepare, u32, with_rank, written
+from lmplake.llm.common import join_sized, prepare, u32, with_rank, written
 
 ROUNDS = 6
 LARGE = 0.02
@@ -54,7 +54,7 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = ROUNDS, large: floa
     total = nodes.count()
     cap = total / n_shards
     sizes_of_hub = nodes.groupBy("hub").agg(F.count(F.lit(1)).alias("hub_rows")).where("hub_rows > 1")
-    cur = written(nodes.join(sizes_of_hub, "hub", "left")
+    cur = written(join_sized(nodes, sizes_of_hub, ["hub"], "hub_rows", total)
                   .withColumn("linked", F.col("hub_rows").isNotNull())
                   .withColumn("label", F.floor(F.col("u") * n_shards / F.lit(_ONE)).cast("int")), "labels")
     columns = cur.columns
@@ -82,8 +82,8 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = ROUNDS, large: floa
         whole = small
         moves = ask.withColumn("p", p).withColumn("whole", whole) \
             .where(~F.col("whole") | (u32(F.lit("hub"), F.col("hub"), F.col("label")) < F.col("p") * _ONE)) \
-            .select("hub", "label", "want", "p", "whole")
-        moved = cur.where("linked").join(moves, ["hub", "label"], "left").withColumn(
+            .select("hub", "label", "want", "p", "whole", "n")
+        moved = join_sized(cur.where("linked"), moves, ["hub", "label"], "n", total).withColumn(
             "label", F.when(F.col("want").isNotNull() & (F.col("whole") | (u32(F.lit("row"), F.col("u")) < F.col("p") * _ONE)),
                             F.col("want")).otherwise(F.col("label")))
         cur = written(cur.where("not linked").select(*columns).unionByName(moved.select(*columns)), "labels")
@@ -132,11 +132,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, key: str = "doc_id", tex
     """(key, size, text_crc32, law, shard, slot, grown_shard, group_id, start_shard) for each document."""
     prepare(docs.sparkSession)
     t = F.col(text)
-    nodes = docs.select(
+    nodes = written(docs.select(
         F.col(key).alias("key"), (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(t, F.lit("")), "UTF-8")).alias("text_crc32"),
         F.coalesce(F.sha2(t, 256), F.lit("")).alias("hub")) \
-        .withColumn("u", u32(F.col("key").cast("string"), F.col("hub")))
+        .withColumn("u", u32(F.col("key").cast("string"), F.col("hub"))), "nodes")
     labelled = propagate(nodes, n_shards, rounds)
     placed = balance(labelled, n_shards, ["key"])
     return placed.select(F.col("key").alias(key), "size", "text_crc32", F.lit("rows").alias("law"),
