@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,9 +47,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a Python worker lives on for later tasks
+    and stages, and keeps what its allocators hold otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     prepare(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def task(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(task, schema)
 
 
 # ---------------------------------------------------------------- text batches

@@ -1,16 +1,16 @@
 """Connected components of an edge table, by alternating star contraction.
 
-Every round joins and aggregates the edge table (no neighbour list is ever
-collected, so a hub with a third of all edges is only a hot join key of a
-partial aggregate); rounds are written to the shared folder. Stops when a round
-changes nothing."""
+Every round joins and aggregates the edge table. No neighbour list is ever
+collected: a hub with a third of all edges is one row of a partial aggregate, which
+is broadcast to its edges (``join_sized``). Rounds are written to the shared folder.
+Stops when a round changes nothing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import written
+from lmplake.llm.common import join_sized, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,15 +18,17 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
     """Connect each node's larger (or its smaller) neighbours to its smallest one."""
+    n = F.count(F.lit(1)).alias("n")
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), n)
+        out = join_sized(both.where("v > u"), low, ["u"], "n", 2 * total, "inner") \
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        low = edges.groupBy("u").agg(F.min("v").alias("m"))
-        out = edges.join(low, "u").select(F.explode(F.array(
+        low = edges.groupBy("u").agg(F.min("v").alias("m"), n)
+        out = join_sized(edges, low, ["u"], "n", total, "inner").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
     return out.where("u <> v").distinct()
@@ -41,7 +43,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     state = _state(cur)
     while True:
         # edges always point from the larger node u to the smaller node v
-        cur = written(_star(_star(cur, True), False), "star")
+        mid = written(_star(cur, True, state[0]), "star")
+        cur = written(_star(mid, False, state[0]), "star")
         now = _state(cur)
         if now == state:
             break
