@@ -87,3 +87,20 @@ def test_empty_and_clash(frame):
     assert D.scan(frame([], "doc_id long, text string"), frame(items, "item_id long, text string")).collect() == []
     assert {tuple(r["leaks"]) for r in D.scan(frame([(1, "a b")], "doc_id long, text string"),
                                               frame([], "item_id long, text string")).collect()} == {()}
+
+
+def near(items, rows):
+    flat = [" ".join(t.split()) for _, t, _ in rows]
+    return {(n, i) for n, f in enumerate(flat) for i, x in items if D.edit_within(x, f)[0] <= 0.1 * len(x)}
+
+
+def test_edits_of_the_first_words_lose_nothing(frame):
+    rng = random.Random(7)
+    items = [(i, " ".join(words(rng, n))) for i, n in enumerate([20, 30, 60, 120])]
+    rows = []
+    for i, (_, t) in enumerate(items):
+        for head in ([], ["xx", "replaced"], ["q"], ["a", "b", "c"]):
+            rows.append((i, " ".join([*words(rng, 30), *head, *t.split()[2:], *words(rng, 30)]), "z"))
+    got, _ = found(frame, items, rows)
+    want = near(items, rows)
+    assert got == want and len(want) >= 12
