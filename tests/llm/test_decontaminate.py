@@ -104,3 +104,19 @@ def test_edits_of_the_first_words_lose_nothing(frame):
     got, _ = found(frame, items, rows)
     want = near(items, rows)
     assert got == want and len(want) >= 12
+
+
+def test_character_edits_up_to_the_limit_lose_nothing(frame):
+    rng = random.Random(9)
+    items = [(i, " ".join(words(rng, n))) for i, n in enumerate([2, 3, 5, 8, 11, 12, 20, 50, 90])]
+    rows = []
+    for i, (_, t) in enumerate(items):
+        for kind in ("spread", "spread", "mixed", "mixed"):
+            left, k = list(t), int(0.1 * len(t))
+            for at in sorted(rng.sample(range(len(left)), k), reverse=True):
+                how = "sub" if kind == "spread" else rng.choice(["sub", "ins", "del"])
+                left[at:at + 1] = {"sub": "z", "ins": left[at] + "é", "del": ""}[how]
+            rows.append((i, " ".join([*words(rng, 20), "".join(left), *words(rng, 20)]), "z"))
+    got, _ = found(frame, items, rows)
+    want = near(items, rows)
+    assert got == want and len(want) >= 4 * len(items)
