@@ -21,14 +21,19 @@ cell as matrices and gives out, for each vector, its number of links, and a span
 forest; no pair is ever a row. Cells beyond ``BLOCK`` vectors are cut into blocks and
 dealt out as pairs of blocks, so no cell is one task's work and none is capped.
 
-Defined cases: a vector that is null, zero, of another length than the table's most
-frequent one, or with a null or non-finite component links with nothing, not even its
-equals. A null vec_id counts as a neighbour and has no component. Rows that repeat
-vec_id are separate rows of one component. An empty table gives no row.
+Vectors of each length are a table of their own: they have their own directions, number
+of tables and cells, and all lengths go through the same tasks.
+
+Defined cases: a vector that is null, zero, or with a null or non-finite component
+links with nothing, not even its equals; vectors of different lengths don't link. A
+null vec_id counts as a neighbour and has no component. Rows that repeat vec_id are
+separate rows of one component. An empty table gives no row.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,92 +107,104 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
                         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                         & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", usable)
-    sizes = rows.where("good").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     none = rows.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"),
                        F.col("key").isNotNull().alias("kept"))
-    if sizes is None:
-        return none
-    rows = rows.withColumn("good", F.col("good") & (F.size("v") == sizes["n"]))
     # equal vectors are one, with a weight
     distinct = written(rows.where("good").groupBy("v").agg(F.count(F.lit(1)).alias("weight"), F.min("key").alias("rep"))
                        .withColumn("node", F.xxhash64("v")), "vectors")
-    proj = Projections(sizes["n"], distinct.count(), threshold, recall, seed)
+    counts = {r["size"]: r["count"] for r in distinct.groupBy(F.size("v").alias("size")).count().collect()}
+    if not counts:
+        return none
 
     def spread(batches):
+        projections = lru_cache(16)(lambda n: Projections(n, counts[n], threshold, recall, seed))
         for b in batches:
-            x = unit(b.column(2).flatten().to_numpy().astype(np.float64).reshape(-1, proj.size))
-            keys = proj.keys(proj.project(x)).view(np.int64)
-            n = len(x)
-            at = pa.array(np.repeat(np.arange(n), proj.tables))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(at)], names=["cell", "node"])
-
-    cells = written(map_arrow(distinct.select("node", "weight", "v"), spread, "cell bigint, node bigint"), "cells")
-    met = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    cut = cells.join(met, "cell").withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")) \
+            length = np.asarray(b.column(2).value_lengths())
+            for size in np.unique(length).tolist():
+                if counts[size] < 2:
+                    continue
+                c, proj = b.take(pa.array(np.flatnonzero(length == size))), projections(size)
+                x = unit(c.column(2).flatten().to_numpy().astype(np.float64).reshape(-1, size))
+                keys = proj.keys(proj.project(x)).view(np.int64)
+                at = pa.array(np.repeat(np.arange(len(x)), proj.tables))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(keys.size, size, np.int32)), pa.array(keys.ravel()),
+                                                  c.column(0).take(at)], names=["size", "cell", "node"])
+
+    cells = written(map_arrow(distinct.select("node", "weight", "v"), spread, "size int, cell bigint, node bigint"), "cells")
+    met = cells.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cut = cells.join(met, ["size", "cell"]).withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int")) \
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = cut.select("cell", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "node") \
+    dealt = cut.select("size", "cell", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "chunk", "node") \
         .join(distinct.select("node", "weight", "v"), "node") \
-        .repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi", "node") \
-        .select("cell", "lo", "hi", "node", "weight", "chunk", "v")
+        .repartition("size", "cell", "lo", "hi").sortWithinPartitions("size", "cell", "lo", "hi", "node") \
+        .select("size", "cell", "lo", "hi", "node", "weight", "chunk", "v")
+
+    def pairs(t, starts, proj):
+        node, weight, chunk, cell, lo, hi = (t.column(c).to_numpy() for c in ("node", "weight", "chunk", "cell", "lo", "hi"))
+        x = unit(t.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, proj.size))
+        p = proj.project(x)
+        keys = proj.keys(p).view(np.int64)
+        p = np.ascontiguousarray(p[:, :proj.counted])
+        links = np.zeros(len(node), np.int64)
+
+        def checked(i: np.ndarray, j: np.ndarray, counted: bool) -> np.ndarray:
+            """Which of the pairs collide often enough, meet here first, and are near."""
+            good = np.zeros(len(i), bool)
+            for q in range(0, len(i), 1 << 14):
+                m, n = i[q:q + (1 << 14)], j[q:q + (1 << 14)]
+                ok = np.arange(len(m))
+                if not counted:
+                    ok = np.flatnonzero((np.abs(p[m] - p[n]) <= proj.window).sum(axis=1) >= proj.least)
+                    m, n = m[ok], n[ok]
+                same = keys[m] == keys[n]
+                here = keys[m, same.argmax(axis=1)] == cell[m]
+                good[q + ok] = here & (np.einsum("ij,ij->i", x[m], x[n]) >= threshold)
+            return good
+
+        size, heads, a, b = np.diff(starts), starts[:-1], [], []
+        for n in range(2, SMALL + 1):  # the many small cells, all of a size at once
+            u, w = np.triu_indices(n, 1)
+            at = heads[(size == n) & (lo[heads] == hi[heads])]
+            i, j = (at[:, None] + u).ravel(), (at[:, None] + w).ravel()
+            good = checked(i, j, False)
+            a.append(i[good])
+            b.append(j[good])
+            np.add.at(links, i[good], weight[j[good]])
+            np.add.at(links, j[good], weight[i[good]])
+        for s, e in zip(heads, starts[1:]):
+            if e - s <= SMALL and lo[s] == hi[s]:
+                continue
+            count = np.zeros((e - s, e - s), np.uint8)
+            for c in range(proj.counted):
+                count += np.abs(p[s:e, c][:, None] - p[s:e, c][None, :]) <= proj.window
+            enough = np.triu(count >= proj.least, 1)
+            if lo[s] != hi[s]:  # two blocks: pairs across them only
+                enough &= chunk[s:e][:, None] != chunk[s:e][None, :]
+            i, j = np.nonzero(enough)
+            good = checked(s + i, s + j, True)
+            i, j = i[good], j[good]
+            np.add.at(links, s + i, weight[s + j])
+            np.add.at(links, s + j, weight[s + i])
+            linked = np.zeros((e - s, e - s), bool)
+            linked[i, j] = linked[j, i] = True
+            f, g = forest(linked)
+            a.append(s + f)
+            b.append(s + g)
+        a, b = np.concatenate(a), np.concatenate(b)
+        some = np.flatnonzero(links)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([node[some], node[a]])), pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64)])),
+             pa.array(np.concatenate([node[some], node[b]]))], names=["node", "links", "to"])
 
     def compare(batches):
-        for t, starts in grouped(batches):
-            node, weight, chunk, cell, lo, hi = (t.column(c).to_numpy() for c in ("node", "weight", "chunk", "cell", "lo", "hi"))
-            x = unit(t.column("v").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, proj.size))
-            p = proj.project(x)
-            keys = proj.keys(p).view(np.int64)
-            p = np.ascontiguousarray(p[:, :proj.counted])
-            links = np.zeros(len(node), np.int64)
-
-            def checked(i: np.ndarray, j: np.ndarray, counted: bool) -> np.ndarray:
-                """Which of the pairs collide often enough, meet here first, and are near."""
-                good = np.zeros(len(i), bool)
-                for q in range(0, len(i), 1 << 14):
-                    m, n = i[q:q + (1 << 14)], j[q:q + (1 << 14)]
-                    ok = np.arange(len(m))
-                    if not counted:
-                        ok = np.flatnonzero((np.abs(p[m] - p[n]) <= proj.window).sum(axis=1) >= proj.least)
-                        m, n = m[ok], n[ok]
-                    same = keys[m] == keys[n]
-                    here = keys[m, same.argmax(axis=1)] == cell[m]
-                    good[q + ok] = here & (np.einsum("ij,ij->i", x[m], x[n]) >= threshold)
-                return good
-
-            size, heads, a, b = np.diff(starts), starts[:-1], [], []
-            for n in range(2, SMALL + 1):  # the many small cells, all of a size at once
-                u, w = np.triu_indices(n, 1)
-                at = heads[(size == n) & (lo[heads] == hi[heads])]
-                i, j = (at[:, None] + u).ravel(), (at[:, None] + w).ravel()
-                good = checked(i, j, False)
-                a.append(i[good])
-                b.append(j[good])
-                np.add.at(links, i[good], weight[j[good]])
-                np.add.at(links, j[good], weight[i[good]])
-            for s, e in zip(heads, starts[1:]):
-                if e - s <= SMALL and lo[s] == hi[s]:
-                    continue
-                count = np.zeros((e - s, e - s), np.uint8)
-                for c in range(proj.counted):
-                    count += np.abs(p[s:e, c][:, None] - p[s:e, c][None, :]) <= proj.window
-                enough = np.triu(count >= proj.least, 1)
-                if lo[s] != hi[s]:  # two blocks: pairs across them only
-                    enough &= chunk[s:e][:, None] != chunk[s:e][None, :]
-                i, j = np.nonzero(enough)
-                good = checked(s + i, s + j, True)
-                i, j = i[good], j[good]
-                np.add.at(links, s + i, weight[s + j])
-                np.add.at(links, s + j, weight[s + i])
-                linked = np.zeros((e - s, e - s), bool)
-                linked[i, j] = linked[j, i] = True
-                f, g = forest(linked)
-                a.append(s + f)
-                b.append(s + g)
-            a, b = np.concatenate(a), np.concatenate(b)
-            some = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([node[some], node[a]])), pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64)])),
-                 pa.array(np.concatenate([node[some], node[b]]))], names=["node", "links", "to"])
+        projections = lru_cache(16)(lambda n: Projections(n, counts[n], threshold, recall, seed))
+        for all_sizes, group_starts in grouped(batches, 4):
+            of = all_sizes.column("size").to_numpy()[group_starts[:-1]]
+            for size in np.unique(of).tolist():  # sorted by size, so each has one range
+                g = np.flatnonzero(of == size)
+                starts = group_starts[g[0]:g[-1] + 2]
+                yield pairs(all_sizes.slice(starts[0], starts[-1] - starts[0]), starts - starts[0], projections(size))
 
     found = written(map_arrow(dealt, compare, "node bigint, links bigint, to bigint"), "links")
     links = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))

@@ -77,3 +77,18 @@ def test_null_and_repeated_ids_and_empty(frame):
     assert {(r["n_links"], r["component_id"]) for r in E.near_duplicates(frame(zero, SCHEMA)).collect()} == {(1, 1)}
     assert E.near_duplicates(frame([], SCHEMA)).collect() == []
     assert [r["kept"] for r in E.near_duplicates(frame([(4, None, 0)], SCHEMA)).collect()] == [True]
+
+
+def test_each_length_links_its_own(frame):
+    rng = np.random.default_rng(6)
+    base = [rng.normal(size=16) for _ in range(60)] + [rng.normal(size=24) for _ in range(40)]
+    rows = [(i, np.asarray(v, np.float32).tolist(), 0) for i, v in enumerate(base)]
+    rows += [(1000 + i, np.asarray(v + rng.normal(size=len(v)) * 0.01, np.float32).tolist(), 0) for i, v in enumerate(base) if i % 2]
+    rows += [(2000, rows[70][1], 0), (2001, [1.0, 2.0], 0), (2002, [1.0, 2.0], 0), (2003, [3.0], 0)]
+    out = {r["vec_id"]: r for r in E.near_duplicates(frame(rows, SCHEMA), recall=0.9999).collect()}
+    assert len(out) == len(rows)
+    for i in range(100):
+        assert out[i]["n_links"] == (i % 2) + (i == 70), i
+        if i % 2:
+            assert out[1000 + i]["component_id"] == i and out[1000 + i]["n_links"] == 1
+    assert out[2000]["component_id"] == 70 and out[2002]["component_id"] == 2001 and out[2003]["n_links"] == 0
