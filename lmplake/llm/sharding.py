@@ -6,8 +6,8 @@ shard; in each round the labels of a hub's documents are counted (an aggregate o
 (hub, shard), no neighbour list), and each linked document asks for the shard that
 holds most of its neighbours. Requests are granted under quotas: between two shards
 as many documents move one way as the other, and beyond that only into room that a
-shard has left (its capacity less its linked documents). A shard that is full is asked
-for no more, so a hub that is larger than a shard fills one after the other. A grant is
+shard has left (its capacity less its linked documents). For a hub that is larger than
+a shard, a shard that is full is asked for no more, so it fills one after the other. A grant is
 by the hub's hash, so that a hub moves as a whole, and by the document's hash for hubs
 that are a large part of a shard. Rounds end when no request is left or after ``rounds``.
 
@@ -58,19 +58,21 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = ROUNDS, large: floa
                   .withColumn("linked", F.col("hub_rows").isNotNull())
                   .withColumn("label", F.floor(F.col("u") * n_shards / F.lit(_ONE)).cast("int")), "labels")
     columns = cur.columns
-    for _ in range(rounds):
+    for turn in range(rounds):
         # only linked documents take up room: the others give way in the end
         counts = {r["label"]: r["n"] for r in
                   cur.where("linked").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         sizes = [counts.get(i, 0) for i in range(n_shards)]
         full = [i for i in range(n_shards) if sizes[i] >= cap * (1 - large)]
         open_ = ~F.col("label").isin(full) if full else F.lit(True)
-        held = cur.where("linked").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"))
-        # the shard with room that has most of the hub's documents; ties by a hash of the hub
-        best = held.where(open_).groupBy("hub").agg(F.max(F.struct("n", F.hash("hub", "label").alias("t"), "label")).alias("b")) \
+        held = cur.where("linked").groupBy("hub", "label").agg(F.count(F.lit(1)).alias("n"), F.max("hub_rows").alias("rows"))
+        # swaps need no room: only a hub larger than a shard has to leave out full ones
+        may = open_ | (F.col("rows") <= F.lit(cap))
+        # the shard that has most of the hub's documents; ties by a hash of the hub, another one in each round
+        best = held.where(may).groupBy("hub").agg(F.max(F.struct("n", F.hash("hub", "label", F.lit(turn)).alias("t"), "label")).alias("b")) \
             .select("hub", F.col("b.label").alias("want"))
         small = F.col("n") <= F.lit(cap * large)
-        ask = written(held.join(best, "hub").where((F.col("label") != F.col("want")) & (open_ | small)), "asks")
+        ask = written(held.join(best, "hub").where((F.col("label") != F.col("want")) & (may | small)), "asks")
         asked = {(r["label"], r["want"]): r["n"] for r in
                  ask.groupBy("label", "want").agg(F.sum("n").alias("n")).collect()}
         if not asked:

@@ -48,3 +48,10 @@ def test_few_rows_and_none(frame):
     rows = [(1, "a", 0), (2, "a", 0), (3, "b", 0)]
     check(rows, S.shard_documents(frame(rows, SCHEMA)).collect(), 8)
     assert S.shard_documents(frame([], SCHEMA)).collect() == []
+
+
+def test_every_text_twice_keeps_copies_together(frame):
+    rows = [(i, f"text {i // 2}", 0) for i in range(1600)]
+    df = S.shard_documents(frame(rows, SCHEMA))
+    check(rows, df.collect(), 8)
+    assert S.cut(df).first()["splits"] <= 0.25 * 800  # 7 in 8 at random
