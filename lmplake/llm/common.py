@@ -34,15 +34,44 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+_scopes: list[list[str]] = []  # tables written by the calls of ``settled`` that are under way
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back (cuts the
     lineage; survives lost executors)."""
     spark = df.sparkSession
     path = f"{lake_root(spark)}-{name}"
     df.write.option("compression", "zstd").parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``build()`` written as a table; the tables that were written on the way to it are removed
+    once it stands, so that an operator's disk is that of its own steps and not of all before."""
+    _scopes.append([])
+    try:
+        result = build()
+        on_the_way = list(_scopes[-1])
+        out = written(result, name)
+        kept = _scopes[-1][len(on_the_way):]
+    finally:
+        _scopes.pop()
+    if _scopes:
+        _scopes[-1].extend(kept)
+    for path in on_the_way:
+        remove(spark, path)
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder, through Spark's own file systems."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.llm import chat, decontaminate, embeddings, langid, minhash, mixing, secrets, sharding, substrings, tokens
+from lmplake.llm import chat, decontaminate, embeddings, langid, minhash, mixing, prefix_trie, secrets, sharding, substrings, tokens
 from lmplake.llm.common import table
 
 
@@ -71,6 +71,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(rows.unionByName(probe)))
 
 
+#: The contract rebuilds conversations from the first turns of their group of five.
+HEADS, GROUP = 9, 5
+
+
+def prefix_trie_of(conversations: DataFrame) -> DataFrame:
+    turns, convs = prefix_trie.ordered_turns(conversations)
+    head = F.crc32(F.col("conv").cast("string").cast("binary")) % HEADS
+    donor = F.col("conv") - F.col("conv") % GROUP
+    return prefix_trie.build(*prefix_trie.share_prefixes(turns, convs, head, donor, HEADS - 1))
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each distinct prefix of the rebuilt conversations, with its subtree's leaves and savings."""
+    return prefix_trie_of(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_language_id": op2_language_id,
@@ -82,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_chat_format": op10_chat_format,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 def _sql_escape(text: str) -> str:
