@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +76,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores before it until no column (in any case) is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def release() -> None:
     """Give freed memory back to the machine: a Python worker lives on for later tasks
     and stages, and keeps what its allocators hold otherwise."""

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.llm import chat, decontaminate, embeddings, langid, minhash, mixing, prefix_trie, secrets, sharding, substrings, tokens
+from lmplake.llm import (chat, decontaminate, embeddings, langid, minhash, mixing, prefix_trie, secrets, sharding, spelling, substrings,
+                         tokens, toxicity)
 from lmplake.llm.common import table
 
 
@@ -87,6 +88,30 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie_of(table(spark, sf_dir, "conversations"))
 
 
+TOXIC_AT = 0.3
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for each document; labels of held-out documents are never read."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(docs.where("not held_out"), labels)
+    return toxicity.predict(docs, model, carry=["doc_id", "held_out"]) \
+        .withColumn("predicted", F.when(F.col("score") >= TOXIC_AT, 1).otherwise(0))
+
+
+def spelling_groups_of(documents: DataFrame) -> DataFrame:
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = spelling.runs(documents, carry=["doc_id"])
+    return spelling.group(spelling.counted(spelling.planted_typos(found, key)))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(word, n, n_near, form, form_n, root) for each word of at least 7 letters and 2 occurrences."""
+    return spelling_groups_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_language_id": op2_language_id,
@@ -99,6 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_chat_format": op10_chat_format,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_toxicity": op12_toxicity,
+    "op13_spelling_groups": op13_spelling_groups,
 }
 
 def _sql_escape(text: str) -> str:
