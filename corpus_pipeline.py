@@ -11,8 +11,13 @@ All stages but the last return the columns of documents.
 4. mix_sources: documents are repeated or left out so that sources reach their targets.
 5. token_ids: padded token sequences in training order.
 
-Rows with a null doc_id pass stage 2 (they can't be told apart); columns that
-documents doesn't have by its contract pass through stages 1 to 4.
+Repeated and null doc_ids: rows of one doc_id and text are one document; rows of one
+doc_id and different texts are different documents, and so are rows without doc_id; in a
+class the one with the smallest doc_id (then text digest; without doc_id last) stays. Columns that documents doesn't have by its
+contract pass through stages 1 to 4, whatever their names. Null, empty and wordless texts go in
+stage 1. Empty tables give empty results. Ties: see the operators.
+
+Tables that a stage writes on its way are removed when its result stands (``settled``).
 """
 
 from __future__ import annotations
@@ -21,39 +26,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lmplake.llm import decontaminate, langid, minhash, mixing, tokens
-from lmplake.llm.common import table, written
+from lmplake.llm.common import settled, table
 
 MIN_SCORE = 0.4
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Columns doc_id, source and text, which stages read, and row: all others but text, and those two. So no
+    column of the input meets a column of a stage, whatever they are called."""
+    return docs.select("doc_id", "source", "text", F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = langid.predict(docs, langid.fit(docs), lang_out="_lang_pred", score_out="_lang_score")
-    return scored.where((F.col("_lang_pred") != langid.UNDETERMINED) & (F.col("_lang_score") >= MIN_SCORE)) \
-        .select(*docs.columns)
+    scored = langid.predict(packed(docs), langid.fit(docs), carry=["row", "text"])
+    return unpacked(scored.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = written(minhash.near_duplicates(docs), "groups")
-    drop = groups.where("not kept").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    again = groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    rows = packed(docs)
+    each = rows.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    if each.where("doc_id is null or n > 1").isEmpty():
+        name = F.col("doc_id")
+    else:  # rows are told apart by their text too: the smallest doc_id, then digest, of a class stays
+        digits = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+        name = F.concat(F.coalesce(digits, F.lit("null")), F.lit(":"), F.sha2(F.coalesce("text", F.lit("")), 256),
+                        F.when(F.col("text").isNull(), ":null").otherwise(""))
+    rows = rows.withColumn("name", name)
+    groups = minhash.near_duplicates(rows, key="name")
+    kept = rows.join(groups.where("not kept").select("name").distinct(), "name", "left_anti")
+    if each.where("n > 1").isEmpty():
+        return unpacked(kept, docs.columns)
+    return unpacked(kept.dropDuplicates(["name"]), docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), out="_leaks")
-    return found.where(F.size("_leaks") == 0).select(*docs.columns)
+    found = decontaminate.scan(packed(docs), table(spark, sf_dir, "benchmark"), carry=["row", "text"])
+    return unpacked(found.where(F.size("leaks") == 0), docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(docs, carry=docs.columns, keep_sizes=False)
+    mixed = mixing.mix_sources(packed(docs), carry=["row", "text"], keep_sizes=False)
     out = mixing.mixed_texts(mixed)
     if "n_chars" in docs.columns:  # of the text as it is now
         cut = F.col("take.words") < F.col("size")
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("row", F.col("row").withField("n_chars", F.when(cut, F.length("text").cast("long"))
+                                                           .otherwise(F.col("row.n_chars"))))
+    return unpacked(out, docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +99,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = settled(spark, lambda: stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

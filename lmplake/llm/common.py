@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -166,6 +167,23 @@ def span_hash(prefix: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return mix((prefix[e] - prefix[s]) * q[s] + (e - s).astype(U64))
 
 
+#: A polynomial modulo a power of two has families of long strings that collide whatever its base (of some
+#: 1,000 letters for 64 bits); spans beyond this length are hashed by ``strong_hash``.
+LONG_SPAN = 128
+
+
+def strong_hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
+
+
+def word_hash(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words [s, e) of a byte array."""
+    h = span_hash(prefix_hash(raw), s, e)
+    for i in np.flatnonzero(e - s > LONG_SPAN):
+        h[i] = strong_hash(raw[s[i]:e[i]].tobytes())
+    return h
+
+
 # The six bytes that separate words (the complement of the contract's word pattern).
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -236,6 +254,28 @@ def with_rank(df: DataFrame, key: str, out: str, order: list[str], u: str, rows_
             .drop("_bin", "_r", "_k", "_b", "_base"))
 
 
+RANGE_ROWS, MOST_RANGES = 1 << 13, 20_000
+
+
+def sorted_ranges(df: DataFrame, order: list, out: str) -> DataFrame:
+    """``df``, a written table, cut into sorted ranges of about ``RANGE_ROWS`` rows, a task each; ``out`` is the
+    range's number times 2^33 plus the row's number in it."""
+    n = max(1, min(MOST_RANGES, -(-df.count() // RANGE_ROWS)))
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id())
+
+
+def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
+    """Append ``out``, gapless from 0 in the order of ``order`` (``df`` is a written table;
+    at most ``MOST_RANGES`` sums are broadcast)."""
+    cut = written(sorted_ranges(df, order, "_at"), "ranges").withColumn("_range", F.shiftright("_at", 33))
+    n = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    base = n.select("_range", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return cut.join(F.broadcast(base), "_range").withColumn(out, (F.col("_base") + inside).cast("long")) \
+        .drop("_at", "_range", "_base")
+
+
 def u32(*cols) -> F.Column:
     """A uniform 32-bit hash of the columns, as a non-negative long."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 32)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import chunks, map_arrow, u32, utf8
+from lmplake.llm.common import chunks, free_name, map_arrow, u32, utf8
 
 UNDETERMINED = "und"
 WIDTHS = (2, 3, 4)
@@ -188,8 +188,8 @@ def predict(docs: DataFrame, model: ByteCNN | None, text: str = "text", lang_out
     if model is None:
         return docs.select(*carry, F.lit(UNDETERMINED).alias(lang_out), F.lit(0.0).alias(score_out))
     fields = [docs.schema[c] for c in carry]
-    src = docs.select(*[F.col(c) for c in carry], F.col(text).alias("_text"),
-                      F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    src = docs.select(*[F.col(c) for c in carry], F.col(text).alias(free_name(carry, "_text")),
+                      F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias(free_name(carry, "_letters")))
 
     def run(batches):
         tables = model.tables()

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import U64, chunks, map_arrow, mix, prefix_hash, span_hash, utf8, words, written
+from lmplake.llm.common import U64, chunks, map_arrow, mix, settled, utf8, word_hash, words, written
 from lmplake.llm.graph import components
 
 WORDS = 5
@@ -55,7 +55,7 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple[np.n
     s, e, row = words(raw, offsets)
     if not len(s):
         return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64)
-    h = span_hash(prefix_hash(raw), s, e)
+    h = word_hash(raw, s, e)
     per_row = np.bincount(row, minlength=len(offsets) - 1)
     first = np.cumsum(per_row) - per_row
     m = len(h)
@@ -129,24 +129,21 @@ def dart_minhash(row: np.ndarray, item: np.ndarray, weight: np.ndarray, n_rows:
 
 
 def signatures(docs: DataFrame, key: str, text: str, bands: int, rows: int) -> DataFrame:
-    """(key, size, h1, h2, sig, bands): bytes and content hashes of the lower-cased
-    text, one byte of each coordinate, and one hash for each band of the signature
-    (both null for texts without a word)."""
-    src = docs.select(F.col(key).alias("_key"), F.lower(F.col(text)).alias("_text"))
+    """(key, size, digest, sig, bands): bytes and SHA-256 of the lower-cased text, one
+    byte of each coordinate, and one hash for each band of the signature (both null for
+    texts without a word)."""
+    lower = F.lower(F.col(text))
+    src = docs.select(F.col(key).alias("_key"), lower.alias("_text"), F.unhex(F.sha2(lower, 256)).alias("_digest"))
     kind = src.schema["_key"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             raw, offs = utf8(b.column(1))
             n = len(offs) - 1
-            h1, h2 = np.zeros(n, U64), np.zeros(n, U64)
             sig, some = np.zeros((n, bands), U64), np.zeros(n, bool)
             low = np.zeros((n, bands * rows), np.uint8)
             for i, j in chunks(offs):
                 part, o = raw[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                p = prefix_hash(part)
-                h1[i:j] = span_hash(p, o[:-1], o[1:])
-                h2[i:j] = span_hash(prefix_hash(part ^ np.uint8(0x5A)), o[:-1], o[1:])
                 r, g, c = shingles(part, o)
                 d = dart_minhash(r, g, c.astype(np.float64), j - i, bands * rows).reshape(j - i, bands, rows)
                 v = np.zeros((j - i, bands), U64) + np.arange(1, bands + 1, dtype=U64)
@@ -159,11 +156,10 @@ def signatures(docs: DataFrame, key: str, text: str, bands: int, rows: int) -> D
             arr = pc.if_else(pa.array(some), arr, pa.nulls(n, arr.type))
             code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bands * rows), n, [None, pa.py_buffer(low)]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(offs)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                 pc.if_else(pa.array(some), code, pa.nulls(n, code.type)), arr],
-                names=["key", "size", "h1", "h2", "sig", "bands"])
+                [b.column(0), pa.array(np.diff(offs)), b.column(2), pc.if_else(pa.array(some), code, pa.nulls(n, code.type)), arr],
+                names=["key", "size", "digest", "sig", "bands"])
 
-    return map_arrow(src, run, f"key {kind}, size bigint, h1 bigint, h2 bigint, sig binary, bands array<bigint>")
+    return map_arrow(src, run, f"key {kind}, size bigint, digest binary, sig binary, bands array<bigint>")
 
 
 def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -302,10 +298,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row for each row of ``docs``: key, class_id (the smallest key of its
     group), kept (key = class_id; a row with a null key has no class and is kept)."""
+    return settled(docs.sparkSession, lambda: _classes(docs, key, text, threshold, bands, rows), "classes")
+
+
+def _classes(docs: DataFrame, key: str, text: str, threshold: float, bands: int, rows: int) -> DataFrame:
     sig = written(signatures(docs, key, text, bands, rows), "signatures")
     some = sig.where("key is not null and bands is not null")
     # one representative for each text
-    texts = written(some.groupBy("h1", "h2").agg(F.min("key").alias("key"), F.min("size").alias("size"),
+    texts = written(some.groupBy("digest").agg(F.min("key").alias("key"), F.min("size").alias("size"),
                                                  F.min("bands").alias("bands"), F.min("sig").alias("sig")), "texts")
     member = texts.select("key", F.explode("bands").alias("hash"))
     sizes = member.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
@@ -316,8 +316,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     clump_sizes = members.join(texts.select("key", "size"), "key").groupBy("clump") \
         .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
     group = components(exact_links(members, clump_sizes, docs, key, text, threshold), "a", "b")
-    out = sig.select("key", "h1", "h2", F.col("bands").isNotNull().alias("some")) \
-        .join(texts.select("h1", "h2", F.col("key").alias("rep")), ["h1", "h2"], "left") \
+    out = sig.select("key", "digest", F.col("bands").isNotNull().alias("some")) \
+        .join(texts.select("digest", F.col("key").alias("rep")), "digest", "left") \
         .withColumn("rep", F.when(F.col("key").isNotNull() & F.col("some"), F.col("rep")).otherwise(F.col("key"))) \
         .join(group.select(F.col("node").alias("rep"), "component"), "rep", "left")
     return out.select(F.col("key").alias(key), F.coalesce("component", "rep").alias("class_id")) \

@@ -164,10 +164,10 @@ def mix_sources(docs: DataFrame, carry: list[str], text: str = "text", source: s
     ids = ids.withColumnRenamed("source", "source_name")
     run = Window.partitionBy("_src").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bases = binned(base.select("_source", "_h", "size")).groupBy("_src", "_bin").agg(F.sum("size").alias("n")) \
-        .select(F.col("_src").alias("s"), F.col("_bin").alias("b"), F.coalesce(F.sum("n").over(run), F.lit(0)).alias("_base"))
+        .select(F.col("_src").alias("_s"), F.col("_bin").alias("_b"), F.coalesce(F.sum("n").over(run), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("_src", "_bin").orderBy("_h", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = binned(base).withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0))) \
-        .join(bases, (F.col("_src") == F.col("s")) & (F.col("_bin") == F.col("b"))) \
+        .join(bases, (F.col("_src") == F.col("_s")) & (F.col("_bin") == F.col("_b"))) \
         .select(*carry, "size", "_src", (F.col("_base") + F.col("_in")).alias("_off"))
     fields = [placed.schema[c] for c in carry]
     kind = pa.struct([("epoch", pa.int32()), ("shard", pa.int32()), ("draw", pa.int64()), ("words", pa.int64()),
@@ -193,9 +193,9 @@ def mix_sources(docs: DataFrame, carry: list[str], text: str = "text", source: s
     return map_arrow(placed, deal, schema)
 
 
-def mixed_texts(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of the mix: one for each take, its text cut to the words taken."""
-    rows = mixed.withColumn("take", F.explode("draws")).drop("draws")
+def mixed_texts(mixed: DataFrame, text: str = "text", take: str = "take") -> DataFrame:
+    """The rows of the mix: one for each ``take``, its text cut to the words taken."""
+    rows = mixed.withColumn(take, F.explode("draws")).drop("draws")
     parts = F.regexp_extract_all(F.col(text), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    cut = F.array_join(F.slice(parts, 1, F.col("take.words").cast("int")), "")
-    return rows.withColumn(text, F.when(F.col("take.words") < F.col("size"), cut).otherwise(F.col(text)))
+    cut = F.array_join(F.slice(parts, 1, F.col(f"{take}.words").cast("int")), "")
+    return rows.withColumn(text, F.when(F.col(f"{take}.words") < F.col("size"), cut).otherwise(F.col(text)))

@@ -33,37 +33,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lmplake.llm import listrank
-from lmplake.llm.common import join_sized, map_arrow, written
+from lmplake.llm.common import join_sized, map_arrow, numbered, sorted_ranges, written
 
 U64 = np.uint64
 P61 = (1 << 61) - 1
 BASES = (0x1A2F5D3C9B7E6481 % P61, 0x0D6E8FEB86659FD9 % P61)  # any two numbers below 2^61 - 1
-RANGE_ROWS, MOST_RANGES = 1 << 13, 20_000
 BIN = 1 << 14
 KEY = ["depth", "s1", "s2"]
 RESULT = ("conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, "
           "saved_tokens long, ends_sha256 string")
 
 
-# ---------------------------------------------------------------- numbering
-
-def sorted_ranges(df: DataFrame, order: list, out: str) -> DataFrame:
-    """``df``, a written table, cut into sorted ranges of about ``RANGE_ROWS`` rows, a task each; ``out`` is the
-    range's number times 2^33 plus the row's number in it."""
-    n = max(1, min(MOST_RANGES, -(-df.count() // RANGE_ROWS)))
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(out, F.monotonically_increasing_id())
-
-
-def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
-    """Append ``out``, gapless from 0 in the order of ``order`` (at most ``MOST_RANGES`` sums are broadcast)."""
-    cut = written(sorted_ranges(df, order, "_at"), "ranges").withColumn("_range", F.shiftright("_at", 33))
-    n = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    base = n.select("_range", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return cut.join(F.broadcast(base), "_range").withColumn(out, (F.col("_base") + inside).cast("long")) \
-        .drop("_at", "_range", "_base")
-
+# ---------------------------------------------------------------- turns
 
 def digest(role: Column, text: Column) -> Column:
     """Equal for equal (role, text): SHA-256 of the role's length, the role and the text."""
@@ -152,7 +133,7 @@ def prefix_names(turns: DataFrame) -> DataFrame:
     run = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = tail.select("conv", (F.col("range") + 1).alias("range"), *[F.sum(F.col(s).cast("decimal(38,0)")).over(run).alias(f"o{s}")
                                                                      for s in ("s1", "s2")])
-    joined = local.join(F.broadcast(ends), ["conv", "range"], "left")  # at most MOST_RANGES rows
+    joined = local.join(F.broadcast(ends), ["conv", "range"], "left")  # one row a range
 
     def shifted(c: str, by: str) -> Column:
         moved = (F.col(c).cast("decimal(38,0)") + F.col(by)) % F.lit(P61)
@@ -205,8 +186,7 @@ def _digests(rows: list[tuple]) -> pa.RecordBatch:
 
 def ends_digest(ends: DataFrame) -> DataFrame:
     """(depth, s1, s2, ends_sha256) of (depth, s1, s2, conv)."""
-    n = max(1, min(MOST_RANGES, -(-ends.count() // RANGE_ROWS)))
-    rows = ends.repartitionByRange(n, *KEY, "conv").sortWithinPartitions(*KEY, "conv")
+    rows = sorted_ranges(ends, [*KEY, "conv"], "at").drop("at")
     pieces = map_arrow(rows, _pieces, "depth long, s1 long, s2 long, first long, ids string")
     return map_arrow(pieces.repartition(*KEY).sortWithinPartitions(*KEY, "first"), _hash_pieces,
                      "depth long, s1 long, s2 long, ends_sha256 string")

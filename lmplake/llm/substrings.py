@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import U64, _BYTE_VALUES, chunks, map_arrow, mix, prefix_hash, prepare, span_hash, utf8, written
+from lmplake.llm.common import U64, _BYTE_VALUES, chunks, map_arrow, mix, numbered, prefix_hash, prepare, span_hash, utf8, written
 from lmplake.llm.induced import earliest_equal
 
 LENGTH = 100
@@ -285,6 +285,31 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     prepare(docs.sparkSession)
     if not 8 <= length <= 128:
         raise ValueError("length must be 8 to 128")
+    named = _renamed(docs, key, text)
+    if named is None:
+        return _remove(docs, key, text, length, with_text)
+    rows, names = named
+    out = _remove(rows, "doc", "text", length, with_text)
+    return out.join(names, "doc").select(F.col("name").alias(key), *[c for c in out.columns if c != "doc"])
+
+
+def _renamed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame] | None:
+    """Where a key is null, ``LAST``, or stands for several texts: rows (doc, text) and names (doc, name), doc being
+    the place of (key, text's digest) in their order, a null key after all others. None where keys are names already."""
+    rows = docs.select(F.col(key).cast("long").alias("name"), F.col(text).alias("text"))
+    digest = F.xxhash64(F.coalesce("text", F.lit(""))), F.coalesce(F.octet_length("text"), F.lit(0))
+    each = rows.select("name", digest[0].alias("h"), digest[1].alias("size"))
+    unclear = each.groupBy("name").agg(F.min("h") != F.max("h"), F.min("size") != F.max("size")).toDF("name", "h", "size") \
+        .where(F.col("name").isNull() | (F.col("name") == LAST) | F.col("h") | F.col("size"))
+    if unclear.isEmpty():
+        return None
+    names = written(numbered(written(each.distinct(), "names"), [F.asc_nulls_last("name"), "size", "h"], "doc"), "numbered")
+    same = F.col("a.name").eqNullSafe(F.col("b.name")) & (F.col("a.h") == F.col("b.h")) & (F.col("a.size") == F.col("b.size"))
+    hashed = rows.withColumn("h", digest[0]).withColumn("size", digest[1])
+    return hashed.alias("a").join(names.alias("b"), same).select("b.doc", "a.text"), names.select("doc", "name")
+
+
+def _remove(docs: DataFrame, key: str, text: str, length: int, with_text: bool) -> DataFrame:
     runs = find_runs(docs, key, text, length) \
         .withColumn("digest", F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")) \
         .groupBy("doc", "digest").agg(F.collect_list(F.shiftright("place", 16)).alias("runs"))

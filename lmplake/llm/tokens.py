@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import U64, chunks, map_arrow, mix, powers, utf8, written
+from lmplake.llm.common import LONG_SPAN, U64, chunks, map_arrow, mix, powers, strong_hash, utf8, written
 from lmplake.llm.feistel import permute
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -128,6 +128,8 @@ class Tokenizer:
         sums = np.zeros(len(cp) + 1, U64)
         np.cumsum(self.value[cp] * p[:-1], out=sums[1:])
         h = mix((sums[e] - sums[s]) * q[s] + (e - s).astype(U64))
+        for i in np.flatnonzero(e - s > LONG_SPAN):
+            h[i] = strong_hash(joined[s[i]:e[i]].encode())
         return joined, s, e, h, np.searchsorted(s, marks)
 
     def learn(self, keys: np.ndarray, words: list[str | None]) -> None:

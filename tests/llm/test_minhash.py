@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from lmplake.llm import common
 from lmplake.llm import minhash as M
 from lmplake.llm.common import mix
 from tests.llm.brute import near_classes, shingle_bag, weighted_jaccard
@@ -83,3 +84,19 @@ def test_exact_similarity():
         for i in range(3):
             for j in range(i):
                 assert m[i, j] == (weighted_jaccard(bags[i], bags[j]) >= threshold)
+
+
+def thue_morse(n=1024):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_texts_whose_polynomial_hashes_are_equal(frame):
+    """The pattern and its complement collide in every polynomial modulo 2^64."""
+    one = thue_morse()
+    two = one.translate(str.maketrans("ab", "ba"))
+    raw = np.frombuffer((one + two).encode(), np.uint8)
+    assert len(set(common.span_hash(common.prefix_hash(raw), np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 1
+    assert len(set(common.word_hash(raw, np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 2
+    rows = [(1, one), (2, two), (3, one)]
+    got = {r["doc_id"]: r["class_id"] for r in M.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}

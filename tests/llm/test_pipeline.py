@@ -3,7 +3,7 @@ import os
 import pytest
 
 import corpus_pipeline as P
-from lmplake.llm import decontaminate, langid, minhash, mixing, tokens
+from lmplake.llm import common, decontaminate, langid, minhash, mixing, tokens
 from lmplake.llm.queries import QUERIES
 from tests.llm.brute import near_classes
 
@@ -63,17 +63,41 @@ def test_stages_against_brute_force(spark, stages):
 
 
 def test_stages_take_hard_rows(spark, frame):
-    schema = "doc_id long, text string, lang string, source string, n_chars long"
-    rows = [(1, None, None, None, None), (None, "the the", "en", None, 7), (2, "", "en", "a", 0), (3, "le la les", "fr", "b", 9),
-            (3, "le la les", "fr", "b", 9), (4, "der die das", None, "b", 11), (5, "12 34", "en", "a", 5), (6, "x " * 50_000, "en", "a", 100_000)]
-    docs = frame(rows, schema)
-    for _, f in P.STAGES:
-        out = f(spark, docs, SF).collect()
-        empty = f(spark, frame([], schema), SF)
-        assert empty.collect() == [] and len(out) <= 300
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size long, s string, b string, take long, " \
+             "target double, draws string, _text string, row string, name string, leaks string, lang_pred string, score double, _letters int, " \
+             "h string, n long, source_size int"
+    rest = (7, "s", "b", 8, 0.5, "d", "t", "r", "n", "l", "p", 0.25, 1, "h", 9, 3)
+    clean, other = "le la les " * 12, "der die das und ist " * 9
+    rows = [(1, None, None, None, None), (None, "the the", "en", None, 7), (2, "", "en", "a", 0), (3, clean, "fr", "b", 9),
+            (3, clean, "fr", "b", 9), (4, "der die das", None, "b", 11), (5, "12 34", "en", "a", 5), (6, "x " * 50_000, "en", "a", 100_000),
+            (7, other, "de", "b", 1), (7, "que los las una " * 9, "es", "b", 1), (8, other, "de", "a", 1), (None, "the the", "en", None, 7),
+            (None, other, "de", None, 1)]
+    docs = frame([r + rest for r in rows], schema)
+    for name, f in P.STAGES:
+        out = f(spark, docs, SF)
+        assert name == "token_ids" or out.columns == docs.columns
+        got = out.collect()
+        assert len(got) <= 300 and f(spark, frame([], schema), SF).collect() == []
+        if name != "token_ids":
+            assert {tuple(r)[5:] for r in got} == {rest}
     kept = P.near_dedup(spark, docs, SF).collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "5", "6", "None"]
-    assert sorted(str(r["doc_id"]) for r in P.language_id(spark, docs, SF).collect()) == ["3", "3", "4", "6", "None"]
+    # of id 7 both texts stay; 8 and the row without id are copies of one of them
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "4", "5", "6", "7", "7", "None"]
+    assert sorted(r["text"] for r in kept if r["doc_id"] == 7) == [other, "que los las una " * 9]
+    known = P.language_id(spark, docs, SF).collect()
+    assert known and not {1, 2, 5} & {r["doc_id"] for r in known}
+    assert sum(r["text"].count("x") for r in P.mix_sources(spark, docs, SF).collect() if r["doc_id"] == 6) > 0
+
+
+def test_a_stage_leaves_only_its_result(spark, frame, monkeypatch):
+    made, gone = [], []
+    monkeypatch.setattr(common, "remove", lambda spark, path, f=common.remove: (gone.append(path), f(spark, path)))
+    monkeypatch.setattr(common, "lake_root", lambda spark, f=common.lake_root: (made.append(f(spark)), made[-1])[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = P.near_dedup(spark, docs, SF)
+    left = {m for m in made if not any(g.startswith(m) for g in gone)}
+    assert len(made) > 5 and len(left) == 1  # the classes
+    assert 0 < got.count() < docs.count()
 
 
 def test_run(spark):
@@ -87,6 +111,6 @@ def test_registered():
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
     names = entry.queries()
-    assert "pipeline" in names and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in names and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(names) and "op10_chat_format" in entry.oracle_sql()
     assert decontaminate.RECALL >= 0.9 and minhash.THRESHOLD == 0.8

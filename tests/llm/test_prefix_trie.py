@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lmplake.llm import listrank, prefix_trie as T
+from lmplake.llm import common, listrank, prefix_trie as T
 from lmplake.llm import queries as Q
 
 SCHEMA = "conv_id long, turn long, role string, text string, conv string, pos long, n long, s1 long, depth long"
@@ -44,7 +44,7 @@ def brute(convs):
     return sorted(map(tuple, rows.values()), key=lambda r: (r[0], r[1]))
 
 
-def conversations(n=120, seed=3):
+def conversations(n=60, seed=3):
     rng = random.Random(seed)
     heads = [[(("user", "assistant")[i % 2], f"turn {h} {i} é") for i in range(9)] for h in range(3)]
     rows = []
@@ -60,7 +60,7 @@ def conversations(n=120, seed=3):
 @pytest.mark.parametrize("small", [False, True])
 def test_trie_equals_brute_force(frame, monkeypatch, small):
     if small:  # many ranges, bins, blocks and levels
-        monkeypatch.setattr(T, "RANGE_ROWS", 40)
+        monkeypatch.setattr(common, "RANGE_ROWS", 40)
         monkeypatch.setattr(T, "BIN", 8)
         monkeypatch.setattr(listrank.rank, "__defaults__", (64,))
     rows = conversations()

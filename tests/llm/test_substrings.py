@@ -85,3 +85,27 @@ def test_the_queue_spills_and_keeps_its_order():
     assert pos.tolist() == [i * 10 + k for i in range(0, 50, 2) for k in range(3)]
     assert lcp.tolist() == [i for i in range(0, 50, 2) for _ in range(3)]
     assert len(q.pop(5)[0]) == 0
+
+
+def test_one_id_for_several_texts(frame):
+    """Also texts of equal short digest, and the id that stands for null inside."""
+    import xxhash
+    length = 20
+    low, seen = {}, []
+    for i in range(2000):  # two texts with the same 16 bits of digest
+        t = f"text number {i} of some length " * (1 + i % 3)
+        h = xxhash.xxh64(t.encode(), seed=42).intdigest() & 0xFFFF
+        if h in low and len(low[h]) != len(t):
+            seen = [low[h], t]
+            break
+        low[h] = t
+    assert seen
+    last = (1 << 63) - 1
+    rows = [(1, seen[0]), (1, seen[1]), (1, seen[1]), (2, "x" * 50 + seen[1]), (last, seen[0] + "y" * 50), (None, "y" * 50), (None, "z"), (3, None)]
+    got = sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"]) for r in
+                 S.remove_repeats(frame(rows, "doc_id long, text string"), length=length).collect())
+    first = sorted([r for r in rows[:2]], key=lambda r: len(r[1]))
+    keyed = [((0, i) if r in first else None, r) for i, r in enumerate(rows)]
+    order = {r: k for k, r in enumerate([*first, rows[3], (3, None), rows[4], *sorted(rows[5:7], key=lambda r: len(r[1]))])}
+    want = repeats([(order[r], r[1]) for _, r in keyed], length)
+    assert got == sorted((str(r[0]), *want[order[r]][:2]) for r in rows)

@@ -70,3 +70,11 @@ def test_another_key_is_another_order(frame, seed):
     a = [r["doc_id"] for r in K.training_order(df, seed=seed).orderBy("slot").collect()]
     b = [r["doc_id"] for r in K.training_order(df, seed=seed).orderBy("slot").collect()]
     assert a == b and a != sorted(a)
+
+
+def test_words_whose_polynomial_hashes_are_equal():
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    tok, enc = K.Tokenizer(K.VOCABULARY), K.load()
+    ids, at = tok.encode([one, two])
+    assert [ids[a:b - 1].tolist() for a, b in zip(at[:-1], at[1:])] == [enc.encode_ordinary(t) for t in (one, two)]
