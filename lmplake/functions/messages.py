@@ -86,8 +86,13 @@ def decode_messages(df: DataFrame, text_col: str = "value", envelope: bool = Fal
 
 def rejected_messages(decoded: DataFrame, configured: list[str]) -> DataFrame:
     """What a worker can't act on: undecodable messages, and those for feeds that it
-    has no transport for."""
-    return decoded.where((F.col("kind") == "bad") | ~F.coalesce(F.col("feed").isin(configured), F.lit(False)))
+    has no transport for.
+
+    A row is filtered as an element of an array of its own: a filter on a decoded column would be pushed below the
+    decode, where each mention of ``kind`` or ``feed`` is another parse of the message."""
+    bad = lambda r: (r["kind"] == "bad") | ~F.coalesce(r["feed"].isin(configured), F.lit(False))
+    kept = F.filter(F.array(F.struct(*decoded.columns)), bad)
+    return decoded.select(F.explode(kept).alias("_r")).select("_r.*")
 
 
 def fetch_message_json(begin_utc: Column | str, feed_col: Column | str, queue_next: Column | bool = True) -> Column:

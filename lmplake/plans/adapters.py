@@ -186,3 +186,34 @@ __all__ = [
     "ADAPTER_PAGE_SIZE", "TEST_ASSETS", "EVENT_TYPE_FEED", "KEEP", "table", "events_raw", "orders_raw",
     "events_prices", "orders_prices", "arrival_batch", "with_intake_file", "event_messages",
 ]
+
+
+def land_typed(prices: DataFrame, intake_dir: str, node_type: str, name: str) -> None:
+    """Fixture: land rows as another writer does, in files whose ``node_id`` has the given Arrow type (Spark
+    itself writes no unsigned integers). Files go straight to the day folders, written by tasks."""
+    import pyarrow as pa
+    import pyarrow.dataset as ds
+
+    from lmplake.session import ship_package
+    from lmplake.sources.paths import fs_for
+
+    ship_package(prices.sparkSession)
+
+    def write(batches):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        n = 0
+        for i, b in enumerate(batches):
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            at = t.schema.get_field_index("node_id")
+            t = t.set_column(at, "node_id", t.column(at).cast(getattr(pa, node_type)()))
+            fs, path = fs_for(intake_dir)
+            ds.write_dataset(t, path, filesystem=fs, format="parquet", existing_data_behavior="overwrite_or_ignore",
+                             partitioning=ds.partitioning(pa.schema([("pricedate", pa.date32())]), flavor="hive"),
+                             basename_template=f"{name}-{part}-{i}-{{i}}.parquet")
+            n += b.num_rows
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    prices.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()

@@ -7,6 +7,8 @@ and ``generate_series``.
 
 from __future__ import annotations
 
+from lmplake.feeds import FEEDS
+
 NY = "America/New_York"
 
 
@@ -417,3 +419,43 @@ ORACLE["serving_rt"] = f"""
   SELECT a.node, ev.utcbegin, ev.pricedate, ev.hour, ev.dalmp AS rtlmp, ev.damcc AS rtmcc, ev.damcl AS rtmcl, ev.ingest_seq
   FROM ev JOIN {TEST_ASSETS} ON ev.node_id = a.node_id
   QUALIFY row_number() OVER (PARTITION BY node, utcbegin ORDER BY ingest_seq DESC) = 1"""
+
+ORACLE["landing_sequence"] = f"""{WITH_EV}
+  SELECT * REPLACE (ingest_seq + (1 + ingest_seq % 4) * 4294967296 AS ingest_seq), 1 + ingest_seq % 4 AS landing
+  FROM (SELECT {LAKE_COLS} FROM ev)"""
+
+ORACLE["intake_mixed_types"] = f"{WITH_EV} SELECT {LAKE_COLS} FROM ev"
+
+ORACLE["stream_mixed_types"] = f"""{WITH_EV}
+  SELECT {LAKE_COLS} FROM ev QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1"""
+
+ORACLE["stream_late_rows"] = f"""{WITH_EV}, p AS (SELECT {LAKE_COLS} FROM ev),
+  w AS (SELECT * REPLACE (ingest_seq + 4294967296 AS ingest_seq) FROM p WHERE ingest_seq % 3 <> 0
+        UNION ALL
+        SELECT * REPLACE (CASE WHEN ingest_seq % 3 = 1 THEN dalmp + 1 ELSE dalmp END AS dalmp, ingest_seq + 8589934592 AS ingest_seq)
+        FROM p WHERE ingest_seq % 3 <> 2)
+  SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1"""
+
+
+def _gaps(prices: str, step: int) -> str:
+    return f"""SELECT node_id, utcbegin + INTERVAL {step} MINUTE AS gap_start, next - INTERVAL {step} MINUTE AS gap_end,
+               CAST(date_diff('minute', utcbegin, next) / {step} AS BIGINT) - 1 AS n_missing
+        FROM (SELECT node_id, utcbegin, lead(utcbegin) OVER (PARTITION BY node_id ORDER BY utcbegin) AS next
+              FROM (SELECT DISTINCT node_id, utcbegin FROM ({prices})))
+        WHERE next > utcbegin + INTERVAL {step} MINUTE"""
+
+
+def _refills(name: str, prices: str) -> str:
+    spec = FEEDS[name]
+    return f"""SELECT '{name}' AS feed, unnest(generate_series(gap_start, gap_end, INTERVAL {spec.request_span_minutes} MINUTE)) AS begin_utc
+        FROM ({_gaps(prices, spec.step_minutes)})"""
+
+
+ORACLE["gap_ranges"] = _gaps(EV, 60)
+
+ORACLE["refill_requests"] = f"""
+  WITH b AS ({_refills('da_hrl_lmps', EV)} UNION ALL {_refills('rt_fivemin_hrl_lmps', EV5)})
+  SELECT feed, begin_utc, count(*) AS n_gaps, replace(feed, '_', '') AS queue,
+         '{{"begin_time_iso_str":"' || strftime(begin_utc, '%Y-%m-%dT%H:%M:%S')
+           || '+0000","pjm_end_point":"' || feed || '","queue_next":false}}' AS message
+  FROM b GROUP BY feed, begin_utc"""

@@ -25,6 +25,7 @@ from lmplake.plans import adapters as A
 from lmplake.session import lake_root, reliable_checkpoint
 from lmplake.sinks.lake import land_intake, merge_into_day_table, order_pulls, serving_table_path, stamp_ingest_seq, \
     sweep_intake, upsert_serving
+from lmplake.sinks.landings import start_landing
 from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
 from lmplake.sources.intake import list_files
 from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
@@ -443,6 +444,68 @@ def stream_asset_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(serving_dir)
 
 
+def landing_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event prices landed by two streams with checkpoints of their own, two waves each: both count their batches
+    from 0, the lake counts the landings on."""
+    root = lake_root(spark)
+    prices = A.events_prices(spark, sf_dir).select(*PRICE_COLS)
+    for wave in range(4):
+        name = "ab"[wave // 2]
+        prices.where(F.col("ingest_seq") % 4 == wave).write.mode("append").parquet(f"{root}/rows-{name}")
+        rows = spark.readStream.schema(prices.schema).parquet(f"{root}/rows-{name}")
+        start_landing(rows, f"{root}/intake", f"{root}/_landings", f"{root}/_checkpoint/{name}", DA, "ingest_seq").awaitTermination()
+    return spark.read.parquet(f"{root}/intake").withColumn("landing", F.col("landing").cast("bigint"))
+
+
+def _land_mixed(spark, sf_dir, intake: str) -> None:
+    """An intake of three writers: signed and unsigned 64-bit and signed 32-bit ids."""
+    prices = A.events_prices(spark, sf_dir).select(*PRICE_COLS)
+    for i, kind in enumerate(("int64", "uint64", "int32")):
+        A.land_typed(prices.where(F.col("ingest_seq") % 3 == i), intake, kind, kind)
+
+
+def intake_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An intake whose files differ in width and sign of their ids, in one scan."""
+    from lmplake.sources.intake import scan_intake
+    intake = f"{lake_root(spark)}/intake"
+    _land_mixed(spark, sf_dir, intake)
+    return scan_intake(spark, intake, DA).drop("file_path", "file_modification_time")
+
+
+def stream_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same intake merged into a day table by the stream."""
+    root = lake_root(spark)
+    _land_mixed(spark, sf_dir, f"{root}/intake")
+    start_day_merge(spark, f"{root}/intake", f"{root}/day", f"{root}/_checkpoint", DA,
+                    max_files_per_trigger=STREAM_FILES_PER_TRIGGER).awaitTermination()
+    return spark.read.parquet(f"{root}/day")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows (T6): a third of the rows arrives a micro-batch later than its neighbours, with revisions of another
+    third; none is too late, and the revised prices win."""
+    root = lake_root(spark)
+    prices = A.events_prices(spark, sf_dir).select(*PRICE_COLS)
+    third = F.col("ingest_seq") % 3
+    revised = prices.where(third != 2).withColumn("dalmp", F.when(third == 1, F.col("dalmp") + 1).otherwise(F.col("dalmp")))
+    for wave, rows in enumerate((prices.where(third != 0), revised), 1):
+        land_intake(stamp_ingest_seq(rows, wave, "ingest_seq"), f"{root}/intake", DA, wave)
+        start_day_merge(spark, f"{root}/intake", f"{root}/day", f"{root}/_checkpoint", DA).awaitTermination()
+    return spark.read.parquet(f"{root}/day")
+
+
+def gap_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gaps of each node as ranges of missing hours."""
+    return Q.gap_ranges(A.events_prices(spark, sf_dir), ["node_id"], DA.step_minutes)
+
+
+def refill_requests_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch messages for the gaps of the day-ahead and the five-minute feed, per node."""
+    gaps = [Q.gap_ranges(A.events_prices(spark, sf_dir, name).withColumn("feed", F.lit(name)), ["feed", "node_id"], feed(name).step_minutes)
+            for name in (DA_FEED, RT_VERIFIED_FEED)]
+    return Q.refill_requests(gaps[0].unionByName(gaps[1]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_prices": normalize_prices_q,
     "scan_json_pages": scan_json_pages,
@@ -490,4 +553,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intake_sweep": intake_sweep,
     "stream_day_merge": stream_day_merge,
     "stream_asset_upsert": stream_asset_upsert,
+    "landing_sequence": landing_sequence,
+    "intake_mixed_types": intake_mixed_types,
+    "stream_mixed_types": stream_mixed_types,
+    "stream_late_rows": stream_late_rows,
+    "gap_ranges": gap_ranges_q,
+    "refill_requests": refill_requests_q,
 }

@@ -27,7 +27,7 @@ from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
 from lmplake.operators.serve import asset_lookup, asset_upsert, serving_columns, serving_schema
 from lmplake.sources.intake import intake_files, lake_schema, read_intake_files, scan_day_table
-from lmplake.sources.paths import day_folders, newest, sub_dirs
+from lmplake.sources.paths import day_folders, fs_for, newest, sub_dirs
 from lmplake.sources.paths import exists as _exists
 from lmplake.sources.paths import remove_dir as _remove
 from lmplake.sources.paths import touch as _touch
@@ -45,8 +45,8 @@ MAX_LANDING = (1 << 30) - 1  # the merge order keeps its top two bits for the so
 
 def stamp_ingest_seq(df: DataFrame, landing_id: int | Column, row_col: str = "api_row") -> DataFrame:
     """Stamp the total merge order at landing: ``landing_id << 32 | row``.
-    ``landing_id`` grows with every landing (a batch id, a control-table
-    counter) and stays below 2**30; ``row_col`` is the row's place in the landing
+    ``landing_id`` grows with every landing of the lake (``landings.claim_landing``)
+    and stays below 2**30; ``row_col`` is the row's place in the landing
     (below 2**32), so "last" among new rows is the API's order, never file listing
     order. Values out of range fail loudly. Replays keep the stamp."""
     if not isinstance(landing_id, Column):
@@ -78,8 +78,10 @@ def order_pulls(rows: DataFrame, requests: DataFrame, pull_col: str = "pull", be
 def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, landing: int | None = None) -> None:
     """Land rows in the feed's intake, one folder per market day and landing.
 
-    With ``landing`` (a batch id) a repeated landing replaces its own folders, so a
-    retried batch leaves no second copy; without it rows are appended.
+    With ``landing`` (a number of ``sinks/landings.py``) a repeated landing replaces its own
+    folders, so a retried batch leaves no second copy; without it rows are appended. The
+    landing's days are noted below ``_landed`` before any row is written, so a retry that
+    yields other days removes the folders of the first try.
 
     Range partitioning on (day, node, ingest_seq) keeps each task on a few day
     folders - about tasks + days files per landing instead of tasks x days -
@@ -92,7 +94,22 @@ def land_intake(df: DataFrame, intake_dir: str, spec: FeedSpec, landing: int | N
     if landing is None:
         w.mode("append").parquet(intake_dir)
     else:
+        root, number = intake_dir.rstrip("/"), int(landing)
+        note = f"{root}/_landed/{number}"
+        before = {d.rsplit("=", 1)[-1] for d in sub_dirs(note)}
+        days = {"__HIVE_DEFAULT_PARTITION__" if r[0] is None else r[0].isoformat()  # bounded by the calendar
+                for r in out.select("pricedate").distinct().collect()}
+        for d in days - before:
+            _touch_in(f"{note}/day={d}")
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(intake_dir)
+        for d in before - days:
+            _remove(f"{root}/pricedate={d}/landing={number}")
+            _remove(f"{note}/day={d}")
+
+
+def _touch_in(folder: str) -> None:
+    fsys, p = fs_for(folder)
+    fsys.create_dir(p, recursive=True)
 
 
 def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedate") -> None:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from lmplake.feeds import FeedSpec
@@ -12,30 +13,34 @@ from lmplake.sources.paths import day_folders
 
 
 def lake_schema(spec: FeedSpec):
-    from pyspark.sql import types as T
     s = spec.price_schema()
     return T.StructType([*s.fields, T.StructField(SEQ_COL, T.LongType(), True)])
 
 
-def _signed(spark: SparkSession, folders: list[str], schema, options: dict):
-    """Read with ``schema``; unsigned 64-bit ids (which Spark reads as decimals) are
-    cast. Which of the two a folder holds is told by one file's footer."""
-    from pyspark.sql import types as T
-    unsigned = []
-    for f in spark.read.options(**options).parquet(*folders).schema.fields:
-        if isinstance(f.dataType, T.DecimalType) and f.dataType.scale == 0 and f.name in schema.names \
-                and isinstance(schema[f.name].dataType, T.LongType):
-            unsigned.append(f.name)
-    if not unsigned:
-        return spark.read.schema(schema).options(**options).parquet(*folders)
-    read = T.StructType([T.StructField(f.name, T.DecimalType(20, 0) if f.name in unsigned else f.dataType) for f in schema.fields])
-    df = spark.read.schema(read).options(**options).parquet(*folders)
-    return df.withColumns({c: F.col(c).cast("bigint") for c in unsigned})
+#: Folder columns are typed by their names, not by files.
+FOLDER_COLUMNS = ("pricedate", "landing")
+
+
+def wide_schema(schema: T.StructType) -> T.StructType:
+    """A schema that files of any writer are read with, whatever width and sign their integers and floats
+    have: integers as 20-digit decimals, which hold int16 to int64 and uint64, floats as doubles. The scan widens
+    each file by itself, so a folder (or a micro-batch) may mix them, and no footer is looked at before."""
+    wide = lambda f: T.DecimalType(20, 0) if isinstance(f.dataType, T.IntegralType) and f.name not in FOLDER_COLUMNS else f.dataType
+    return T.StructType([T.StructField(f.name, wide(f), True) for f in schema.fields])
+
+
+def narrow_columns(schema: T.StructType) -> list[Column]:
+    """The columns of ``schema`` from a scan with its wide schema; a value that doesn't fit fails the job."""
+    return [F.col(f.name).cast(f.dataType).alias(f.name) if isinstance(f.dataType, T.IntegralType) and f.name not in FOLDER_COLUMNS
+            else F.col(f.name) for f in schema.fields]
+
+
+def _read_any(spark: SparkSession, paths: list[str], schema: T.StructType, base: str) -> DataFrame:
+    return spark.read.schema(wide_schema(schema)).option("basePath", base).parquet(*paths)
 
 
 def intake_schema(spec: FeedSpec):
     """Landed rows with their landing (a folder below the day)."""
-    from pyspark.sql import types as T
     return T.StructType([*lake_schema(spec).fields, T.StructField("landing", T.LongType())])
 
 
@@ -54,14 +59,13 @@ def _read_days(spark: SparkSession, root: str, schema, days):
 def scan_intake(spark: SparkSession, intake_dir: str, spec: FeedSpec, days=None) -> DataFrame:
     """Landed rows with provenance. With ``days`` (dates) only those day
     folders are listed and read."""
-    cols = lake_schema(spec).names
     folders = [intake_dir] if days is None else day_folders(intake_dir, days)
     if not folders:
         r = spark.createDataFrame([], lake_schema(spec))
         return r.select("*", F.lit(None).cast("string").alias("file_path"),
                         F.lit(None).cast("timestamp").alias("file_modification_time"))
-    r = _signed(spark, folders, lake_schema(spec), {"basePath": intake_dir})
-    return r.select(*cols, F.col("_metadata.file_path").alias("file_path"),
+    r = _read_any(spark, folders, lake_schema(spec), intake_dir)
+    return r.select(*narrow_columns(lake_schema(spec)), F.col("_metadata.file_path").alias("file_path"),
                     F.col("_metadata.file_modification_time").alias("file_modification_time"))
 
 
@@ -79,9 +83,8 @@ def read_intake_files(spark: SparkSession, intake_dir: str, paths: list[str], sp
     if not paths:
         return spark.createDataFrame([], lake_schema(spec)).withColumn("file_path", F.lit(None).cast("string"))
     from urllib.parse import unquote
-    base = intake_dir
-    r = _signed(spark, [unquote(p) for p in paths], lake_schema(spec), {"basePath": base})
-    return r.select(*lake_schema(spec).names, F.col("_metadata.file_path").alias("file_path"))
+    r = _read_any(spark, [unquote(p) for p in paths], lake_schema(spec), intake_dir)
+    return r.select(*narrow_columns(lake_schema(spec)), F.col("_metadata.file_path").alias("file_path"))
 
 
 def scan_day_table(spark: SparkSession, table_dir: str, spec: FeedSpec, days=None) -> DataFrame:

@@ -19,7 +19,7 @@ from lmplake.feeds import FeedSpec
 from lmplake.functions.messages import decode_messages, rejected_messages
 from lmplake.operators.pulls import coalesce_merge_requests
 from lmplake.sinks.lake import merge_into_day_table, record_processed, serving_table_path, upsert_serving
-from lmplake.sources.intake import intake_schema, lake_schema
+from lmplake.sources.intake import intake_schema, lake_schema, narrow_columns, wide_schema
 
 
 def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_files_per_trigger: int | None = None,
@@ -27,12 +27,12 @@ def intake_stream(spark: SparkSession, intake_dir: str, spec: FeedSpec, max_file
     """The intake as a file stream. With ``archive_dir`` Spark moves each file
     there once its micro-batch has committed (K4: consumed inputs leave the
     intake, so listing stays small) - only for a single consumer."""
-    r = spark.readStream.schema(intake_schema(spec))
+    r = spark.readStream.schema(wide_schema(intake_schema(spec)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.parquet(intake_dir).select(*lake_schema(spec).names, F.col("_metadata.file_path").alias("file_path"))
+    return r.parquet(intake_dir).select(*narrow_columns(lake_schema(spec)), F.col("_metadata.file_path").alias("file_path"))
 
 
 def start_day_merge(spark: SparkSession, intake_dir: str, table_dir: str, checkpoint: str, spec: FeedSpec,
@@ -115,7 +115,8 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
     """The worker's message loop as one stream over queue messages (S11, K7,
     T1-T5). Each micro-batch is decoded once and then:
 
-    * fetch messages -> ``run_fetch_cycle`` per feed (landing id = batch id):
+    * fetch messages -> ``run_fetch_cycle`` per feed (landing id claimed below ``<root>/_landings``,
+      so that it grows over new checkpoints too):
       pages land in ``<root>/<feed>/intake``, known assets are upserted into
       ``<root>/serving/<target>``, next requests go to ``<root>/requests``;
     * merge messages -> the named days of each feed are swept from its intake
@@ -123,7 +124,7 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
       files kept, archived to ``<root>/<feed>/archive`` or deleted per
       ``consume``);
     * anything else, and messages for feeds that have no transport here ->
-      ``<root>/quarantine/messages/batch_id=N``.
+      ``<root>/quarantine/messages/batch_id=N`` (N: the landing id).
 
     All outputs of a batch go to folders of that batch (or are upserts), so a batch
     that is repeated after a failure replaces what its first attempt left.
@@ -139,6 +140,7 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
     from lmplake.functions.time_cols import pull_key
     from lmplake.plans.cycle import run_fetch_cycle
     from lmplake.sinks.lake import sweep_intake
+    from lmplake.sinks.landings import claim_landing, query_name
 
     root = lake_root.rstrip("/")
 
@@ -148,15 +150,18 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
             at = now() if callable(now) else (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
             kinds = {r.kind: r.n for r in msgs.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
             configured = list(source_options)
+            if not kinds:
+                return
+            landing = claim_landing(spark, f"{root}/_landings", f"{query_name(spark, checkpoint)}/{batch_id}")
             if kinds:
                 rejected_messages(msgs, configured).select("value").write.mode("overwrite") \
-                    .text(f"{root}/quarantine/messages/batch_id={batch_id}")
+                    .text(f"{root}/quarantine/messages/batch_id={landing}")
             if kinds.get("fetch"):
                 fetch = msgs.where((F.col("kind") == "fetch") & F.col("feed").isin(configured)).select(
                     "feed", pull_key("begin_utc").alias("pull"), "begin_utc", "queue_next")
                 for (name,) in fetch.select("feed").distinct().collect():  # at most the known feeds
                     run_fetch_cycle(spark, fetch, name, source_options[name], f"{root}/{name}/intake",
-                                    f"{root}/serving", assets, landing_id=batch_id, now=at,
+                                    f"{root}/serving", assets, landing_id=landing, now=at,
                                     requests_out=f"{root}/requests", quarantine_dir=f"{root}/quarantine/{name}")
             if kinds.get("merge"):
                 wanted = msgs.where(F.col("kind") == "merge") \
@@ -167,7 +172,7 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
                 for name, days in by_feed.items():
                     if name in source_options:
                         sweep_intake(spark, f"{root}/{name}/intake", f"{root}/{name}/day",
-                                     f"{root}/{name}/ledger", feed_spec(name), batch_id, days,
+                                     f"{root}/{name}/ledger", feed_spec(name), landing, days,
                                      consume=consume, archive_dir=f"{root}/{name}/archive")
         finally:
             msgs.unpersist()
