@@ -459,3 +459,19 @@ ORACLE["refill_requests"] = f"""
          '{{"begin_time_iso_str":"' || strftime(begin_utc, '%Y-%m-%dT%H:%M:%S')
            || '+0000","pjm_end_point":"' || feed || '","queue_next":false}}' AS message
   FROM b GROUP BY feed, begin_utc"""
+
+#: Waves 0, 1 and 3 bring requests, wave 2 ends the merges of odd days among those of wave 0.
+ORACLE["stream_merge_actions"] = f"""
+  WITH a AS (SELECT 'rt_fivemin_hrl_lmps' AS feed, CAST({_ny(_floor5('ts'))} AS DATE) AS merge_date, count(*) AS n
+             FROM events WHERE event_type = 'signup' GROUP BY 2),
+  d AS (SELECT *, day(merge_date) % 5 <> 0 AS w0, day(merge_date) % 3 = 0 AS w1,
+               day(merge_date) % 5 <> 0 AND day(merge_date) % 2 = 1 AS w2 FROM a)
+  SELECT CAST(0 AS BIGINT) AS batch_id, feed, merge_date, 'start' AS action, n AS n_requests FROM d WHERE w0
+  UNION ALL SELECT 1, feed, merge_date, 'start', n FROM d WHERE w1 AND NOT w0
+  UNION ALL SELECT 2, feed, merge_date, 'rerun', n FROM d WHERE w0 AND w1 AND w2
+  UNION ALL SELECT 3, feed, merge_date, 'start', n FROM d WHERE (w2 AND NOT w1) OR (NOT w0 AND NOT w1)"""
+
+ORACLE["released_requests"] = f"""
+  SELECT message, CAST(CASE WHEN not_before <= TIMESTAMP '2001-07-15 12:30:00' THEN 0
+                            WHEN not_before <= TIMESTAMP '2001-07-15 13:00:00' THEN 1 ELSE 2 END AS BIGINT) AS release_id
+  FROM ({ORACLE['next_requests']}) WHERE not_before <= TIMESTAMP '2001-07-20 00:00:00'"""

@@ -29,7 +29,8 @@ from lmplake.sinks.landings import start_landing
 from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
 from lmplake.sources.intake import list_files
 from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
-from lmplake.streaming.streams import control_message_stream, start_day_merge, start_pending_merges, start_serving_upsert
+from lmplake.streaming.streams import FINISHED, REQUESTED, control_message_stream, start_day_merge, start_merge_actions, \
+    start_pending_merges, start_serving_upsert
 
 DA = feed(DA_FEED)
 # Fixed evaluation instants (``now`` is a parameter, never the wall clock).
@@ -494,6 +495,42 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/day")
 
 
+def _merge_events(spark, sf_dir):
+    """Merge requests and ends of merges in four waves: requests, more of them while merges run, the end of the merges
+    of odd days, and requests again."""
+    asked = P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir))).select("feed", "merge_date", "n_requests")
+    day = F.dayofmonth("merge_date")
+    each = asked.select("feed", "merge_date", F.explode(F.sequence(F.lit(1).cast("bigint"), "n_requests")).alias("nth")).drop("nth") \
+        .withColumn("what", F.lit(REQUESTED))
+    first, second = each.where(day % 5 != 0), each.where(day % 3 == 0)
+    ended = asked.where((day % 5 != 0) & (day % 2 == 1)).select("feed", "merge_date", F.lit(FINISHED).alias("what"))
+    return [first, second, ended, each]
+
+
+def stream_merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merges that four waves of requests and ends of merges start, one wave a micro-batch (T5)."""
+    root = lake_root(spark)
+    for wave in _merge_events(spark, sf_dir):
+        wave.write.mode("append").parquet(f"{root}/events")
+        events = spark.readStream.schema("feed string, merge_date date, what string").parquet(f"{root}/events")
+        start_merge_actions(events, f"{root}/actions", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/actions").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+RELEASE_TIMES = ("2001-07-15 12:30:00", "2001-07-15 13:00:00", "2001-07-20 00:00:00")
+
+
+def released_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of due requests, released at three times; the second release runs twice, as after a failure (K7)."""
+    root = lake_root(spark)
+    pull = F.concat_ws("/", "pull_id", F.col("pricedate").cast("string"))
+    requests = next_requests_q(spark, sf_dir).withColumn("pull", pull).withColumn("batch_id", F.lit(0).cast("bigint"))
+    requests.select("batch_id", "feed", "pull", "not_before", "message").write.parquet(f"{root}/requests")
+    for release, now in ((0, 0), (1, 1), (1, 1), (2, 2)):
+        P.release_requests(spark, f"{root}/requests", f"{root}/messages", f"{root}/released", RELEASE_TIMES[now], release)
+    return spark.read.text(f"{root}/messages").select(F.col("value").alias("message"), F.col("release_id").cast("bigint").alias("release_id"))
+
+
 def gap_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gaps of each node as ranges of missing hours."""
     return Q.gap_ranges(A.events_prices(spark, sf_dir), ["node_id"], DA.step_minutes)
@@ -557,6 +594,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "intake_mixed_types": intake_mixed_types,
     "stream_mixed_types": stream_mixed_types,
     "stream_late_rows": stream_late_rows,
+    "stream_merge_actions": stream_merge_actions,
+    "released_requests": released_requests,
     "gap_ranges": gap_ranges_q,
     "refill_requests": refill_requests_q,
 }

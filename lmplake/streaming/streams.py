@@ -14,10 +14,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from lmplake.feeds import FeedSpec
 from lmplake.functions.messages import decode_messages, rejected_messages
-from lmplake.operators.pulls import coalesce_merge_requests
+from lmplake.operators.pulls import coalesce_merge_requests, release_requests
 from lmplake.sinks.lake import merge_into_day_table, record_processed, serving_table_path, upsert_serving
 from lmplake.sources.intake import intake_schema, lake_schema, narrow_columns, wide_schema
 
@@ -108,10 +109,61 @@ def start_pending_merges(messages: DataFrame, out_dir: str, checkpoint: str, ava
     return w.start()
 
 
+#: What may happen to a (feed, day): somebody asks for its merge, or a merge of it has ended.
+REQUESTED, FINISHED = "requested", "finished"
+IDLE, RUNNING, RUN_AGAIN = 0, 1, 2
+MERGE_ACTIONS = "feed string, merge_date date, action string, n_requests long"
+
+
+def merge_actions(events: DataFrame) -> DataFrame:
+    """Merges to start, remembered across micro-batches (T5): ``events`` has feed, merge_date and what.
+
+    Each (feed, day) is idle, running, or running with a wish to run again. A request starts an idle day
+    (``start``); while its merge runs, requests are noted once, however many come; when the merge has finished,
+    a noted wish starts it once more (``rerun``), else the day is idle again. In one micro-batch what has finished counts
+    before what is requested, so no request is taken for one that the finished merge has seen. ``n_requests`` are those
+    that the start answers. A row without feed or day is ignored."""
+    def step(key, parts, state):
+        status, noted = state.get if state.exists else (IDLE, 0)
+        asked, done = 0, False
+        for pdf in parts:
+            asked += int((pdf["what"] == REQUESTED).sum())
+            done |= bool((pdf["what"] == FINISHED).any())
+        out = []
+        if done and status == RUN_AGAIN:
+            out.append(("rerun", noted))
+            status, noted = RUNNING, 0
+        elif done:
+            status = IDLE
+        if asked and status == IDLE:
+            out.append(("start", asked))
+            status, noted = RUNNING, 0
+        elif asked:
+            status, noted = RUN_AGAIN, noted + asked
+        state.update((status, noted))
+        import pandas as pd
+        yield pd.DataFrame([(*key, a, n) for a, n in out], columns=["feed", "merge_date", "action", "n_requests"])
+
+    known = events.where("feed is not null and merge_date is not null").select("feed", "merge_date", "what")
+    return known.groupBy("feed", "merge_date").applyInPandasWithState(
+        step, MERGE_ACTIONS, "status int, noted long", "append", GroupStateTimeout.NoTimeout)
+
+
+def start_merge_actions(events: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
+                        processing_time: str = "1 minute"):
+    """``merge_actions`` to ``out_dir/batch_id=N``; a repeated batch replaces its own folder."""
+    def put(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+
+    w = merge_actions(events).writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str, lake_root: str,
                          source_options: dict[str, dict], assets: DataFrame, now=None,
                          available_now: bool = True, processing_time: str = "1 minute",
-                         consume: str = "keep", envelope: bool = False):
+                         consume: str = "keep", envelope: bool = False, release: bool = False):
     """The worker's message loop as one stream over queue messages (S11, K7,
     T1-T5). Each micro-batch is decoded once and then:
 
@@ -126,6 +178,9 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
     * anything else, and messages for feeds that have no transport here ->
       ``<root>/quarantine/messages/batch_id=N`` (N: the landing id).
 
+    With ``release``, each micro-batch ends by turning the requests that are due by then into messages
+    below ``message_dir`` (K7), which the next micro-batch takes up.
+
     All outputs of a batch go to folders of that batch (or are upserts), so a batch
     that is repeated after a failure replaces what its first attempt left.
 
@@ -141,6 +196,7 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
     from lmplake.plans.cycle import run_fetch_cycle
     from lmplake.sinks.lake import sweep_intake
     from lmplake.sinks.landings import claim_landing, query_name
+    from lmplake.sources.paths import exists
 
     root = lake_root.rstrip("/")
 
@@ -174,6 +230,8 @@ def start_control_stream(spark: SparkSession, message_dir: str, checkpoint: str,
                         sweep_intake(spark, f"{root}/{name}/intake", f"{root}/{name}/day",
                                      f"{root}/{name}/ledger", feed_spec(name), landing, days,
                                      consume=consume, archive_dir=f"{root}/{name}/archive")
+            if release and exists(f"{root}/requests"):
+                release_requests(spark, f"{root}/requests", message_dir, f"{root}/released", at, landing)
         finally:
             msgs.unpersist()
 

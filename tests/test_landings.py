@@ -132,3 +132,22 @@ def test_rejection_parses_each_message_once(spark):
     msgs = decode_messages(A.event_messages(spark, SF, bad_days=True))
     plan = rejected_messages(msgs, [DA_FEED])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") + plan.count("JsonToStructs(") <= 1
+
+
+def test_requests_during_a_merge_lead_to_one_rerun(spark, tmp_path):
+    from lmplake.streaming.streams import FINISHED, REQUESTED, start_merge_actions
+    day = dt.date(2024, 1, 1)
+    waves = [[REQUESTED] * 3, [REQUESTED], [REQUESTED, REQUESTED], [FINISHED], [FINISHED], [FINISHED, REQUESTED], [REQUESTED, FINISHED]]
+    want = [[("start", 3)], [], [], [("rerun", 3)], [], [("start", 1)], [("start", 1)]]
+    seen = 0
+    for i, wave in enumerate(waves):
+        rows = [("f", day, w) for w in wave] + [("f", None, REQUESTED), (None, day, REQUESTED)]
+        spark.createDataFrame(rows, "feed string, merge_date date, what string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        # a new query each time: what is remembered comes from the checkpoint
+        events = spark.readStream.schema("feed string, merge_date date, what string").parquet(str(tmp_path / "in"))
+        start_merge_actions(events, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+        got = spark.read.schema("feed string, merge_date date, action string, n_requests long, batch_id int").parquet(str(tmp_path / "out")) \
+            .where(F.col("batch_id") == i).collect()
+        assert [(r.action, r.n_requests) for r in got] == want[i], i
+        seen += len(got)
+    assert seen == 4
