@@ -15,7 +15,8 @@ text:
   gets its value from other names (``password = PREFIX + part``), the literals behind them
   are reported, also through several names. A literal is scored by the target's name (words
   of the name after splitting at ``_``, ``-``, ``.`` and case changes, each with a weight), its
-  length and its entropy, and reported from ``MIN_SCORE`` on; placeholders are not.
+  length and its entropy, and reported from ``MIN_SCORE`` on; placeholders are not. A value joined from several is scored as
+  what it is joined to, repeats included.
 
 Spans are code points, end exclusive, and only literals that are not inside a base span
 of kind ``assign`` are added.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
@@ -56,6 +58,7 @@ NAME_AGAINST = {"path": 2.0, "file": 2.0, "url": 1.5, "name": 2.0, "id": 1.0, "l
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|example.*|your.*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|todo|none|null|true|false|undefined)$")
 MIN_LITERAL = 8
 MIN_SCORE = 4.0
+TOLD = 1024  # longer values are no placeholders
 _JOIN = r"\s*(?:\+|\.\.?)\s*"
 _QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`"""
 _TERM = rf"(?:{_QUOTED}|[A-Za-z_$][\w.$]*)"
@@ -69,67 +72,89 @@ TERM = re.compile(rf"({_QUOTED})|([A-Za-z_$][\w.$]*)")
 WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
-def entropy(s: str) -> float:
-    """Bits for each character."""
-    n = len(s)
-    return -sum(c / n * math.log2(c / n) for c in Counter(s).values())
-
-
 def name_score(name: str) -> float:
     parts = [w.lower() for w in WORD.findall(name)]
     pairs = {a + b for a, b in zip(parts, parts[1:])}
     return sum(NAME_WEIGHT.get(w, 0) - NAME_AGAINST.get(w, 0) for w in [*parts, *pairs])
 
 
-def literal_score(name: str, value: str) -> float:
-    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value) or " " in value:
-        return 0.0
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    s = name_score(name)
-    return 0.0 if s <= 0 else s + min(2.0, entropy(value) / 2) + 0.5 * (kinds - 1)
+class Value:
+    """What a name stands for: literals and other names' values, joined. Its figures are made from theirs, not from
+    its text, so a chain of any length costs each statement the same; a value is told in full up to ``TOLD`` characters."""
+    __slots__ = ("spans", "parts", "size", "counts", "kinds", "text", "reported")
+
+    def __init__(self, text: str, pieces: list):
+        """``pieces`` in their order: spans of ``text``, or values."""
+        self.spans = [p for p in pieces if isinstance(p, tuple)]
+        self.parts = [p for p in pieces if not isinstance(p, tuple)]
+        self.reported, self.kinds, self.size = False, 0, 0.0
+        counts: Counter = Counter()
+        told: list[str] | None = []
+        for p in pieces:
+            if isinstance(p, tuple):
+                piece = text[p[0]:p[1]]
+                own, size, kinds, words = Counter(piece), len(piece), 0, piece
+                for c in own:
+                    kinds |= 1 if "a" <= c <= "z" else 2 if "A" <= c <= "Z" else 4 if "0" <= c <= "9" else 8
+            else:
+                own, size, kinds, words = p.counts, p.size, p.kinds, p.text
+            for c, n in own.items():
+                counts[c] += n
+            self.size += size
+            self.kinds |= kinds
+            told = None if told is None or words is None or self.size > TOLD else [*told, words]
+        if self.size > 1e200:  # doubled some hundred times; only proportions matter
+            counts, self.size = Counter({c: n * 1e-100 for c, n in counts.items()}), self.size * 1e-100
+        self.counts, self.text = counts, None if told is None else "".join(told)
+
+    def entropy(self) -> float:
+        """Bits for each character."""
+        return -sum(c / self.size * math.log2(c / self.size) for c in self.counts.values() if c > 0)
+
+    def score(self, name: str) -> float:
+        if self.size < MIN_LITERAL or " " in self.counts or (self.text is not None and PLACEHOLDER.match(self.text)):
+            return 0.0
+        s = name_score(name)
+        return 0.0 if s <= 0 else s + min(2.0, self.entropy() / 2) + 0.5 * (self.kinds.bit_count() - 1)
 
 
 def literals(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name."""
     if "=" not in text and ":" not in text and "</" not in text:
         return []
-    known: dict[str, tuple] = {}  # name -> (its own literals, what it was made from)
+    known: dict[str, Value] = {}
     out: set[tuple[int, int]] = set()
 
-    def judge(name: str, value: tuple) -> None:
-        if name_score(name) <= 0:
+    def judge(name: str, value: Value) -> None:
+        if name_score(name) <= 0 or value.reported or value.score(name) < MIN_SCORE:
             return
-        spans, seen, left = [], set(), [value]
-        while left:
-            node = left.pop()
-            if id(node) not in seen:
-                seen.add(id(node))
-                spans += node[0]
-                left += node[1]
-        spans = sorted(set(spans))
-        if literal_score(name, "".join(text[a:b] for a, b in spans)) >= MIN_SCORE:
-            out.update(spans)
+        left = [value]
+        while left:  # each value is reported once
+            v = left.pop()
+            if not v.reported:
+                v.reported = True
+                out.update(v.spans)
+                left += v.parts
 
     for m in STATEMENT.finditer(text):
-        name = m[1]
-        spans, names = [], []
+        pieces: list = []
         if m[2] is None:
-            spans = [m.span(3)]
+            pieces = [m.span(3)]
         else:
             for t in TERM.finditer(text, m.start(2), m.end(2)):
                 if t[1] is not None:
                     if t.end() - t.start() > 2:
-                        spans.append((t.start() + 1, t.end() - 1))
+                        pieces.append((t.start() + 1, t.end() - 1))
                 elif t[2] in known:
-                    names.append(known[t[2]])
+                    pieces.append(known[t[2]])
                 elif m.span(2) == t.span():
-                    spans.append(t.span())  # a bare word
-        if spans or names:
-            known[name] = (spans, names)
-            judge(name, known[name])
+                    pieces.append(t.span())  # a bare word
+        if pieces:
+            known[m[1]] = Value(text, pieces)
+            judge(m[1], known[m[1]])
     for p in (ELEMENT, PAIR):
         for m in p.finditer(text):
-            judge(m[1], ([m.span(2)], []))
+            judge(m[1], Value(text, [m.span(2)]))
     return sorted(out)
 
 
@@ -147,8 +172,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans: literals in a base assignment are not added again."""
     base = base_spans(text)
-    inside = [(s, e) for s, k, e in base if k == 0]
-    more = [(a, 3, b) for a, b in literals(text) if not any(s <= a and b <= e for s, e in inside)]
+    starts = [s for s, k, _ in base if k == 0]  # in order, and apart from each other
+    ends = [e for _, k, e in base if k == 0]
+    within = lambda a, b: (i := bisect_right(starts, a)) > 0 and b <= ends[i - 1]
+    more = [(a, 3, b) for a, b in literals(text) if not within(a, b)]
     return base, sorted(base + more)
 
 

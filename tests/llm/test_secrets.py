@@ -68,7 +68,41 @@ def test_scan(frame):
 
 def test_lexing_is_linear_in_hostile_text():
     import time
-    for t in ("a." * 60_000, "x=" * 60_000, 'k="' * 40_000, "<a>" * 40_000, "a = a + a\n" * 5_000):
+    for t in ("a." * 60_000, "x=" * 60_000, 'k="' * 40_000, "<a>" * 40_000, "a = a + a\n" * 5_000,
+              'a0 = "Ab3"\n' + "".join(f'a{i} = a{i - 1} + "x{i % 7}"\n' for i in range(1, 45_000)),
+              'password = "Ab3"\n' + 'password = password + "x1Y"\n' * 35_000,
+              'y = "Zq8!"\ntoken0 = "Ab3"\n' + "".join(f"token{i} = y + token{i - 1} + y\n" for i in range(1, 30_000)),
+              "".join(f'secret{i} = "value{i}Ab"\n' for i in range(40_000))):
         began = time.process_time()
         S.spans_of(t)
         assert time.process_time() - began < 5
+
+
+def test_values_are_scored_as_they_are_joined():
+    """The figures made from parts are those of the joined text, and all literals behind a value are reported."""
+    rng = __import__("random").Random(3)
+    text = "".join(rng.choice("abXY01 !é") for _ in range(400))
+    values, full = [], []
+    for _ in range(200):
+        pieces, plain = [], ""
+        for _ in range(rng.randrange(1, 4)):
+            if values and rng.random() < 0.5:
+                i = rng.randrange(len(values))
+                if len(full[i]) > 5000:
+                    continue
+                pieces.append(values[i])
+                plain += full[i]
+            else:
+                a = rng.randrange(390)
+                pieces.append((a, a + rng.randrange(1, 9)))
+                plain += text[pieces[-1][0]:pieces[-1][1]]
+        if not pieces:
+            continue
+        v = S.Value(text, pieces)
+        n = {c: plain.count(c) for c in set(plain)}
+        assert v.size == len(plain) and dict(v.counts) == n and v.text == (plain if len(plain) <= S.TOLD else None)
+        assert v.kinds == sum(b for p, b in (("[a-z]", 1), ("[A-Z]", 2), ("[0-9]", 4), ("[^A-Za-z0-9]", 8)) if re.search(p, plain))
+        values.append(v)
+        full.append(plain)
+    chain = 'a0 = "Ab3!"\n' + "".join(f'a{i} = a{i - 1} + "x{i}"\n' for i in range(1, 50)) + "password = a49\n"
+    assert {chain[a:b] for a, b in S.literals(chain)} >= {"Ab3!", "x1", "x49"}
