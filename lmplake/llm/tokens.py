@@ -44,7 +44,7 @@ SEQ_LEN = 512
 SHARD_ROWS = 16384
 KEY = 6
 #: Words that a worker keeps, and bytes of text whose distinct words are looked up at once.
-MEMO = 4_000_000
+MEMO = 1_500_000
 BATCH_BYTES = 4 << 20
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
