@@ -208,9 +208,69 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component, ve
 FROM embeddings LEFT JOIN comp ON vec_id = node LEFT JOIN deg ON vec_id = x
 """
 
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, bit by bit: a byte is mixed in, then eight shifts follow."""
+    codes = f"flatten(list_transform(range(0, strlen({text})), lambda i: [CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT), " \
+            "-1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}),
+        lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+#: Nodes by the digest of their turns' digests; a subtree is what other paths have below a node.
+OP11_SQL = f"""
+WITH e AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha) AS p, sha, b
+           FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS b,
+                        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sha
+                 FROM conversations WHERE conv_id IS NOT NULL)),
+n AS (SELECT *, {_sql_crc32('t')} % {HEADS} AS h FROM (SELECT c, CAST(c AS VARCHAR) AS t, count(*) AS n FROM e GROUP BY c)),
+plan AS (SELECT n.c, n.n, n.h, n.c - n.c % {GROUP} AS donor, least(n.h, coalesce(d.n, 0)) AS taken
+         FROM n LEFT JOIN n d ON d.c = n.c - n.c % {GROUP}),
+turns AS (SELECT c, p - h + taken AS p, sha, b FROM e JOIN plan USING (c) WHERE p > h
+          UNION ALL SELECT plan.c, p, sha, b FROM plan JOIN e ON e.c = donor WHERE p <= h),
+named AS (SELECT c, p, b, sha256(string_agg(sha, ',') OVER (PARTITION BY c ORDER BY p)) AS key FROM turns),
+path AS (SELECT c, p, b, key FROM named UNION ALL SELECT c, 0, 0, 'root' FROM plan),
+step AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY p) AS up, p = max(p) OVER (PARTITION BY c) AS last FROM path),
+node AS (SELECT key, min(p) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(up) AS up, min(b) AS b,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+         FROM step GROUP BY key),
+kids AS (SELECT up AS key, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (key)),
+below AS (SELECT DISTINCT x.key AS top, y.key AS key FROM path x JOIN path y ON x.c = y.c AND x.p <= y.p),
+sums AS (SELECT top AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * b) AS saved
+         FROM below JOIN full_node USING (key) GROUP BY top)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_node f JOIN sums USING (key) LEFT JOIN node u ON f.up = u.key
+"""
+
+#: Near words share what is left when one letter is taken out, or are it; chains of forms by recursion.
+OP13_SQL = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents)),
+each AS (SELECT run, d || ':' || run AS t, count(*) AS n FROM runs GROUP BY 1, 2),
+hashed AS (SELECT run, n, {_sql_crc32('t')} AS h FROM each),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT)) ELSE run END AS word FROM hashed)
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (SELECT DISTINCT a.word AS a, b.word AS b, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT less.word, w.word, w.n FROM less JOIN w ON less.rest = w.word
+          UNION SELECT w.word, less.word, less.n FROM less JOIN w ON less.rest = w.word),
+near AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS best, max(n) AS best_n FROM pairs GROUP BY a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+             CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN near USING (word)),
+up AS (SELECT word, form, 0 AS d, word AS root FROM f
+       UNION ALL SELECT up.word, f.form, d + 1, f.word FROM up JOIN f ON up.form = f.word)
+SELECT f.*, root FROM f JOIN (SELECT word, arg_max(root, d) AS root FROM up GROUP BY word) USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_minhash_near_dedup": OP1_SQL,
     "op5_repeated_substrings": OP5_SQL,
     "op8_embedding_near_dedup": OP8_SQL,
     "op10_chat_format": OP10_SQL,
+    "op11_conversation_trie": OP11_SQL,
+    "op13_spelling_groups": OP13_SQL,
 }
