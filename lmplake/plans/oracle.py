@@ -475,3 +475,11 @@ ORACLE["released_requests"] = f"""
   SELECT message, CAST(CASE WHEN not_before <= TIMESTAMP '2001-07-15 12:30:00' THEN 0
                             WHEN not_before <= TIMESTAMP '2001-07-15 13:00:00' THEN 1 ELSE 2 END AS BIGINT) AS release_id
   FROM ({ORACLE['next_requests']}) WHERE not_before <= TIMESTAMP '2001-07-20 00:00:00'"""
+
+ORACLE["versioned_day_merge"] = f"""
+  {WITH_EV}, p AS (SELECT {LAKE_COLS} FROM ev),
+  old AS (SELECT * FROM p WHERE ingest_seq % 2 = 0 QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1),
+  new AS (SELECT * REPLACE (CASE WHEN ingest_seq % 2 = 1 THEN ingest_seq + 4294967296 ELSE ingest_seq END AS ingest_seq) FROM p)
+  SELECT *, CAST(1 AS BIGINT) AS version FROM old
+  UNION ALL
+  SELECT *, 2 FROM (SELECT * FROM new QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1)"""

@@ -26,6 +26,7 @@ from lmplake.session import lake_root, reliable_checkpoint
 from lmplake.sinks.lake import land_intake, merge_into_day_table, order_pulls, serving_table_path, stamp_ingest_seq, \
     sweep_intake, upsert_serving
 from lmplake.sinks.landings import start_landing
+from lmplake.sinks.versions import merge_versioned, read_versioned
 from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
 from lmplake.sources.intake import list_files
 from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
@@ -495,6 +496,16 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/day")
 
 
+def versioned_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing rows, then new rows stamped as landing 1, merged into a versioned table and read at both versions (K3)."""
+    table = f"{lake_root(spark)}/day"
+    existing, new = _existing_new(spark, sf_dir)
+    for rows in (existing, stamp_ingest_seq(new, 1, "ingest_seq")):
+        merge_versioned(spark, table, rows, DA)
+    old, now = (read_versioned(spark, table, DA, version=v).withColumn("version", F.lit(v).cast("bigint")) for v in (1, 2))
+    return old.unionByName(now)
+
+
 def _merge_events(spark, sf_dir):
     """Merge requests and ends of merges in four waves: requests, more of them while merges run, the end of the merges
     of odd days, and requests again."""
@@ -596,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_rows": stream_late_rows,
     "stream_merge_actions": stream_merge_actions,
     "released_requests": released_requests,
+    "versioned_day_merge": versioned_day_merge,
     "gap_ranges": gap_ranges_q,
     "refill_requests": refill_requests_q,
 }

@@ -27,7 +27,7 @@ from lmplake.sinks.lake import MAX_LANDING, land_intake, stamp_ingest_seq
 KEPT = 32
 
 
-class _Files:
+class Files:
     """The folder's file system, as Spark has it."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -68,13 +68,27 @@ class _Files:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(at)]
 
-    def delete(self, name: str) -> None:
-        self.fs.delete(self.path(name), False)
+    def move(self, name: str, to: str) -> bool:
+        """Give a file another name that is free; whether it was. (``FileContext`` fails on a taken name everywhere,
+        where a plain rename replaces it on some file systems.)"""
+        from py4j.protocol import Py4JJavaError
+        fc = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path("").toUri(), self.conf)
+        none = self.jvm.java.lang.reflect.Array.newInstance(self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 0)
+        try:
+            fc.rename(self.fs.makeQualified(self.path(name)), self.fs.makeQualified(self.path(to)), none)
+        except Py4JJavaError as e:
+            if self.fs.exists(self.path(to)):
+                return False
+            raise e
+        return True
+
+    def delete(self, name: str, whole: bool = False) -> None:
+        self.fs.delete(self.path(name), whole)
 
 
 def claim_landing(spark: SparkSession, folder: str, owner: str) -> int:
     """The landing number of ``owner`` (a name for one unit of work), claimed on the first call."""
-    files = _Files(spark, folder)
+    files = Files(spark, folder)
     name = f"owners/{hashlib.sha256(owner.encode()).hexdigest()}"
     known = files.read(name)
     if known:
@@ -99,7 +113,7 @@ def claim_landing(spark: SparkSession, folder: str, owner: str) -> int:
 
 def query_name(spark: SparkSession, checkpoint: str) -> str:
     """The id that Structured Streaming gave a checkpoint: a new checkpoint in the same place has another."""
-    text = _Files(spark, checkpoint).read("metadata")
+    text = Files(spark, checkpoint).read("metadata")
     if text is None:
         raise FileNotFoundError(f"no streaming query has started at {checkpoint}")
     return json.loads(text)["id"]

@@ -32,7 +32,7 @@ def test_numbers_grow_and_an_owner_keeps_its_own(spark, tmp_path):
     assert first == [1, 2, 3] and second == [4, 5, 6]
     assert [L.claim_landing(spark, folder, f"query-a/{b}") for b in range(3)] == first
     # an attempt that died before its owner file was written: its number is not given again
-    assert L._Files(spark, folder).create("numbers/7", "someone")
+    assert L.Files(spark, folder).create("numbers/7", "someone")
     assert L.claim_landing(spark, folder, "query-c/0") == 8
 
 
@@ -40,10 +40,10 @@ def test_old_numbers_are_cleared_and_never_come_back(spark, tmp_path, monkeypatc
     monkeypatch.setattr(L, "KEPT", 2)
     folder = str(tmp_path / "landings")
     got = [L.claim_landing(spark, folder, f"q/{b}") for b in range(8)]
-    assert got == list(range(1, 9)) and sorted(L._Files(spark, folder).names("numbers")) == ["7", "8"]
+    assert got == list(range(1, 9)) and sorted(L.Files(spark, folder).names("numbers")) == ["7", "8"]
     # a slow writer that listed the folder long ago
-    real, stale = L._Files.names, iter([["2"]])
-    monkeypatch.setattr(L._Files, "names", lambda self, sub: next(stale, None) or real(self, sub))
+    real, stale = L.Files.names, iter([["2"]])
+    monkeypatch.setattr(L.Files, "names", lambda self, sub: next(stale, None) or real(self, sub))
     assert L.claim_landing(spark, folder, "slow") == 9
 
 
