@@ -112,14 +112,20 @@ def _touch_in(folder: str) -> None:
     fsys.create_dir(p, recursive=True)
 
 
+NODE_BLOOM = {"parquet.bloom.filter.enabled#node_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def write_day_partitions(df: DataFrame, table_dir: str, day_col: str = "pricedate") -> None:
     """Replace exactly the days present in ``df``. Range partitioning on
     (day, node) splits a big day over several tasks and keeps each file's
     nodes contiguous; files are sorted by (node, time) so Parquet min/max
-    statistics prune row groups for node lookups."""
+    statistics prune row groups for node lookups. Each row group carries a Bloom filter
+    of its nodes, sized by the nodes it holds, so a lookup without a day skips the days
+    that lack the node although their range spans it."""
     (df.repartitionByRange(day_col, "node_id")
        .sortWithinPartitions(day_col, "node_id", "utcbegin")
        .write.mode("overwrite")
+       .options(**NODE_BLOOM)
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", "zstd")
        .partitionBy(day_col)

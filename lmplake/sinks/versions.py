@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
-from lmplake.sinks.lake import lake_columns
+from lmplake.sinks.lake import NODE_BLOOM, lake_columns
 from lmplake.sinks.landings import Files
 from lmplake.sources.intake import lake_schema
 
@@ -88,7 +88,7 @@ def merge_versioned(spark: SparkSession, table_dir: str, new: DataFrame, spec: F
         folder = f"v={before + 1}-{uuid.uuid4().hex[:12]}"
         out = merge_rows(existing, new, KEY_COLUMNS, SEQ_COL, policy)
         (out.repartitionByRange("pricedate", "node_id").sortWithinPartitions("pricedate", "node_id", "utcbegin")
-            .write.option("compression", "zstd").partitionBy("pricedate").parquet(f"{table_dir.rstrip('/')}/versions/{folder}"))
+            .write.options(**NODE_BLOOM).option("compression", "zstd").partitionBy("pricedate").parquet(f"{table_dir.rstrip('/')}/versions/{folder}"))
         manifest = {**read_manifest(spark, table_dir, before), **{_day_name(d): folder for d in days}}
         if _commit(files, before + 1, manifest):
             return before + 1

@@ -87,3 +87,29 @@ def test_vacuum_keeps_what_recent_versions_read(spark, tmp_path):
         state(spark, table, version=1)
     assert {r.version for r in V.history(spark, table).collect()} == {4, 5}
     assert V.vacuum(spark, table, keep=2) == 0
+
+
+def scanned(df):
+    """Rows that the file scan gave out, from the executed plan's own counter."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_node_lookups_skip_days_by_bloom_filter(spark, tmp_path):
+    """Nodes that lie inside a day's range but not in it: without a day in the lookup, no row is read."""
+    from pyspark.sql import functions as F
+
+    from lmplake.sinks.lake import write_day_partitions
+    table = str(tmp_path / "day")
+    days = rows(spark, 1, [1, 2, 3], 1, nodes=200).withColumn("node_id", F.col("node_id") * 7)
+    write_day_partitions(days, table)
+    days.write.partitionBy("pricedate").parquet(str(tmp_path / "plain"))
+    lookup = lambda path, node: spark.read.parquet(path).where(F.col("node_id") == node).select("dalmp")
+    assert lookup(table, 700).count() == 3
+    absent = [n for n in range(100, 1300) if n % 7][:40]
+    with_bloom = sum(scanned(lookup(table, n)) for n in absent)
+    without = sum(scanned(lookup(str(tmp_path / "plain"), n)) for n in absent)
+    assert with_bloom * 5 < without
