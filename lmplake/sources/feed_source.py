@@ -16,12 +16,14 @@ start_row, expected_rows, page_text)``. Decoding happens in the JVM
 record count differs from its header fails the job (``raise_error``), as a
 pull with a bad page must not land half.
 
-Batch:  ``read_feed(spark, options)``
+Batch:  ``read_feed(spark, options)``; a plan of named pulls reads the headers of these only.
 Stream: ``read_feed_stream(spark, options)`` - the offset is the last entry of
 the transport's header log that was handed out; each micro-batch takes the pulls
 that the log lists since (T1), in whatever key order they arrive. A pull whose
 header says 0 rows is not done: it is handed out when a later entry gives it rows,
-and an unchanged offset means "poll again later" (T2).
+and an unchanged offset means "poll again later" (T2). With ``max_pages_per_batch``
+a micro-batch is planned with at most that many pages (a larger pull stands alone), the rest
+of the log is left to the next ones, and an offset may lie inside a landing.
 """
 
 from __future__ import annotations
@@ -29,9 +31,22 @@ from __future__ import annotations
 import importlib
 import json
 import math
+import zlib
+
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from lmplake.feeds import PAGE_SIZE, feed
+from lmplake.sources.paths import fs_for
+
+
+#: Entries in a bucket of the header log, on average.
+BUCKET_ENTRIES = 1024
+#: Landings behind the newest snapshot at which the log is compacted.
+SNAPSHOT_EVERY = 16
+
+
+def header_bucket(pull: str, buckets: int) -> int:
+    return zlib.crc32(pull.encode("utf-8")) % buckets
 
 
 class PageFolderTransport:
@@ -40,17 +55,26 @@ class PageFolderTransport:
     ``landing=N`` for each landing, with JSON lines ``feed, pull, total_rows`` of the
     pulls that are new or changed, and a ``_COMPLETE`` mark.
 
+    A landing is cut into buckets by the CRC-32 of the pull, some ``BUCKET_ENTRIES`` entries
+    each (``feed=F/bucket=b/``; the mark tells their number). Every ``SNAPSHOT_EVERY`` landings the
+    latest header of each pull goes to a snapshot ``_snapshots/F/upto=N``, cut alike. So the
+    headers of k pulls are at most k buckets of the snapshot and of each landing behind it,
+    however long the log is. Landings stay: a stream replays from them.
+
     A transport has four methods: ``headers(feed) -> {pull: total_rows}`` (the
     latest of each pull), ``log_end(feed) -> token`` and ``log_between(feed, after,
     until) -> {pull: total_rows}`` (entries behind ``after``, up to ``until``; tokens are
     strings that sort in log order, "" is before the first) and
-    ``fetch_page_text(feed, pull, start_row, row_count, fields) -> str``."""
+    ``fetch_page_text(feed, pull, start_row, row_count, fields) -> str``. It may have
+    ``headers_of(feed, pulls)`` for plans of named pulls, and ``log_entries(feed, after)`` for
+    streams with a limit."""
 
     def __init__(self, options: dict):
         root = options["root"].rstrip("/")
         if root.startswith("file:") and not root.startswith("file://"):
             root = "/" + root[len("file:"):].lstrip("/")
         self.root = root
+        self.opened = 0
 
     def _fs(self):
         from pyarrow import fs
@@ -65,44 +89,122 @@ class PageFolderTransport:
             name = info.path.rsplit("/", 1)[-1]
             if info.type != pafs.FileType.File or name.startswith((".", "_")):
                 continue
+            self.opened += 1
             with fsys.open_input_stream(info.path) as f:
                 for line in f.read().decode("utf-8").splitlines():
                     if line.strip():
                         yield line
 
-    def _landings(self) -> list[str]:
-        """Complete landings, in order, up to the first one that is still being written."""
+    def _folders(self, path: str, prefix: str) -> list[str]:
+        """Names behind ``prefix`` of the sub-folders, in order."""
         from pyarrow import fs as pafs
         fsys, base = self._fs()
-        infos = fsys.get_file_info(pafs.FileSelector(f"{base}/_headers", allow_not_found=True))
+        infos = fsys.get_file_info(pafs.FileSelector(base + path[len(self.root):], allow_not_found=True))
+        return sorted(i.base_name[len(prefix):] for i in infos
+                      if i.type == pafs.FileType.Directory and i.base_name.startswith(prefix))
+
+    def _mark(self, folder: str) -> dict | None:
+        """What the ``_COMPLETE`` mark of a folder tells; None without one."""
+        from pyarrow import fs as pafs
+        fsys, base = self._fs()
+        path = f"{base}{folder[len(self.root):]}/_COMPLETE"
+        if fsys.get_file_info(path).type == pafs.FileType.NotFound:
+            return None
+        with fsys.open_input_stream(path) as f:
+            return json.loads(f.read() or b"{}")
+
+    def snapshot(self, feed_name: str) -> tuple[str, int]:
+        """(last landing in it, buckets) of the newest complete snapshot; ("", 0) without one."""
+        folder = f"{self.root}/_headers/_snapshots/{feed_name}"
+        for upto in reversed(self._folders(folder, "upto=")):
+            mark = self._mark(f"{folder}/upto={upto}")
+            if mark is not None:
+                return upto, mark["buckets"]
+        return "", 0
+
+    def landings(self, after: str = "", itself: bool = False) -> list[tuple[str, dict]]:
+        """Complete landings behind ``after`` (or with it) and their marks, in order, up to the first one that is still
+        being written."""
         out = []
-        for i in sorted(infos, key=lambda i: i.base_name):
-            if i.type == pafs.FileType.Directory and i.base_name.startswith("landing="):
-                if fsys.get_file_info(f"{i.path}/_COMPLETE").type == pafs.FileType.NotFound:
+        for landing in self._folders(f"{self.root}/_headers", "landing="):
+            if landing > after or (itself and landing == after):
+                mark = self._mark(f"{self.root}/_headers/landing={landing}")
+                if mark is None:
                     break
-                out.append(i.base_name[len("landing="):])
+                out.append((landing, mark))
         return out
 
+    def _buckets(self, landing: str, mark: dict, feed_name: str) -> list[str]:
+        """The folders of a landing's buckets; a landing without buckets is one."""
+        folder = f"{self.root}/_headers/landing={landing}"
+        if "buckets" not in mark:
+            return [folder]
+        return [f"{folder}/feed={feed_name}/bucket={b}" for b in range(mark["buckets"].get(feed_name, 0))]
+
+    def _entries(self, folder: str, feed_name: str) -> dict[str, int]:
+        found = (json.loads(line) for line in self._lines(folder))
+        return {h["pull"]: int(h["total_rows"]) for h in found if h["feed"] == feed_name}
+
     def log_end(self, feed_name: str) -> str:
-        return (self._landings() or [""])[-1]
+        upto, _ = self.snapshot(feed_name)
+        behind = self.landings(upto)
+        return behind[-1][0] if behind else upto
 
     def log_between(self, feed_name: str, after: str, until: str) -> dict[str, int]:
         out = {}
-        for landing in self._landings():
-            if after < landing <= until:
-                for line in self._lines(f"{self.root}/_headers/landing={landing}"):
-                    h = json.loads(line)
-                    if h["feed"] == feed_name:
-                        out[h["pull"]] = int(h["total_rows"])
+        for landing, mark in self.landings(after):
+            if landing <= until:
+                for folder in self._buckets(landing, mark, feed_name):
+                    out.update(self._entries(folder, feed_name))
         return out
 
+    def log_entries(self, feed_name: str, after: dict):
+        """(offset, pull, total_rows) of the entries behind an offset, in log order: by landing, bucket and pull.
+        A bucket is read when it is reached."""
+        start, bucket, entries = after.get("log", ""), after.get("bucket"), after.get("entries", 0)
+        inside = bucket is not None
+        for landing, mark in self.landings(start, itself=inside):
+            here = inside and landing == start
+            folders = self._buckets(landing, mark, feed_name)
+            for b, folder in enumerate(folders):
+                if here and b < bucket:
+                    continue
+                found = sorted(self._entries(folder, feed_name).items())
+                for n, (pull, total) in enumerate(found, 1):
+                    if here and b == bucket and n <= entries:
+                        continue
+                    yield {"log": landing, "bucket": b, "entries": n}, pull, total
+            yield {"log": landing}, None, 0
+
     def headers(self, feed_name: str) -> dict[str, int]:
-        return self.log_between(feed_name, "", self.log_end(feed_name))
+        return self._latest(feed_name, None)
+
+    def headers_of(self, feed_name: str, pulls) -> dict[str, int]:
+        return self._latest(feed_name, set(pulls))
+
+    def _latest(self, feed_name: str, pulls: set | None) -> dict[str, int]:
+        upto, buckets = self.snapshot(feed_name)
+        folders = [[f"{self.root}/_headers/_snapshots/{feed_name}/upto={upto}/bucket={b}" for b in range(buckets)]]
+        folders += [self._buckets(landing, mark, feed_name) for landing, mark in self.landings(upto)]
+        out = {}
+        for cut in folders:
+            wanted = range(len(cut)) if pulls is None else sorted({header_bucket(p, len(cut)) for p in pulls} if cut else ())
+            for b in wanted:
+                out.update(self._entries(cut[b], feed_name))
+        return out if pulls is None else {p: n for p, n in out.items() if p in pulls}
 
     def headers_frame(self, spark, feed_name: str):
-        """The latest header of each pull, read and reduced in Spark."""
+        """The latest header of each pull, read and reduced in Spark: the newest snapshot and the landings behind it."""
         from pyspark.sql import functions as F
-        log = spark.read.schema("feed string, pull string, total_rows bigint, landing string").json(f"{self.root}/_headers")
+        upto, buckets = self.snapshot(feed_name)
+        columns = "feed string, pull string, total_rows bigint"
+        parts = [(landing, f"{self.root}/_headers/landing={landing}") for landing, _ in self.landings(upto)]
+        if buckets:
+            parts.append(("", f"{self.root}/_headers/_snapshots/{feed_name}/upto={upto}"))
+        log = spark.createDataFrame([], f"{columns}, landing string")
+        for landing, path in parts:
+            log = log.unionByName(spark.read.schema(columns).option("recursiveFileLookup", "true").json(path)
+                                  .withColumn("landing", F.lit(landing)))
         return log.where(F.col("feed") == feed_name).groupBy("pull").agg(F.max_by("total_rows", "landing").alias("total_rows"))
 
     def fetch_page_text(self, feed_name: str, pull: str, start_row: int, row_count: int, fields: list[str]) -> str:
@@ -145,7 +247,18 @@ def _plan_pages(transport, feed_name: str, pulls: list[str], page_size: int,
     """Headers are read once per plan; pages are planned from them and
     grouped ``pages_per_partition`` at a time (1 for full 50,000-row pages;
     more when pages are small, so a task is not mostly start-up)."""
-    return _cut_pages(transport.headers(feed_name), feed_name, pulls, page_size, pages_per_partition)
+    return _cut_pages(_totals(transport, feed_name, pulls), feed_name, pulls, page_size, pages_per_partition)
+
+
+def _totals(transport, feed_name: str, pulls) -> dict[str, int]:
+    """The headers of ``pulls`` (None: of all pulls)."""
+    if pulls is not None and hasattr(transport, "headers_of"):
+        return transport.headers_of(feed_name, pulls)
+    return transport.headers(feed_name)
+
+
+def _n_pages(total: int, page_size: int) -> int:
+    return math.ceil(total / page_size) if total > 0 else 0
 
 
 def _cut_pages(totals: dict[str, int], feed_name: str, pulls: list[str], page_size: int,
@@ -156,7 +269,7 @@ def _cut_pages(totals: dict[str, int], feed_name: str, pulls: list[str], page_si
             raise ValueError(f"{feed_name} pull {pull} has no row-count header")
         total = totals[pull]
         pages = [(p * page_size + 1, min(page_size, total - p * page_size))
-                 for p in range(math.ceil(total / page_size) if total > 0 else 0)]
+                 for p in range(_n_pages(total, page_size))]
         for i in range(0, len(pages), pages_per_partition):
             parts.append(PagePartition(pull, pages[i:i + pages_per_partition]))
     return parts
@@ -188,9 +301,9 @@ class FeedPagesReader(_PageReading, DataSourceReader):
     pull_filter: set | None = None
 
     def partitions(self):
-        t = load_transport(self.options)
-        totals = t.headers(self.feed)
-        pulls = named_pulls(self.options) or sorted(totals)
+        named = named_pulls(self.options)
+        totals = _totals(load_transport(self.options), self.feed, named or self.pull_filter)
+        pulls = named or sorted(totals)
         if self.pull_filter is not None:
             pulls = [p for p in pulls if p in self.pull_filter]
         return _cut_pages(totals, self.feed, pulls, self.page_size, self.pages_per_partition)
@@ -216,21 +329,91 @@ class FeedPagesPushdownReader(FeedPagesReader):
             self.pull_filter = keep if self.pull_filter is None else self.pull_filter & keep
 
 
+def _log_order(offset: dict) -> tuple:
+    """Offsets in log order: a landing as a whole comes behind all places inside it."""
+    whole = "bucket" not in offset
+    return (offset.get("log", ""), whole, offset.get("bucket", 0), offset.get("entries", 0))
+
+
+class Position:
+    """The last offset that a limited stream was planned to, kept in a folder of its own: Spark asks for the
+    next offset without telling the last one, also after a restart. A new file for each, the newest counts."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def _files(self):
+        from pyarrow import fs as pafs
+        fsys, p = fs_for(self.folder)
+        found = fsys.get_file_info(pafs.FileSelector(p, allow_not_found=True))
+        return fsys, p, sorted(i.base_name for i in found if i.base_name.isdigit())
+
+    def get(self) -> dict:
+        fsys, p, names = self._files()
+        for name in reversed(names):
+            with fsys.open_input_stream(f"{p}/{name}") as f:
+                text = f.read()
+            if text.endswith(b"\n"):  # written to its end
+                return json.loads(text)
+        return {"log": ""}
+
+    def set(self, offset: dict) -> None:
+        fsys, p, names = self._files()
+        fsys.create_dir(p, recursive=True)
+        with fsys.open_output_stream(f"{p}/{int(names[-1]) + 1 if names else 1:012d}") as f:
+            f.write(json.dumps(offset).encode() + b"\n")
+        for name in names[:-1]:  # the one before stays until the new one is known to stand
+            fsys.delete_file(f"{p}/{name}")
+
+
 class FeedCursorStreamReader(_PageReading, DataSourceStreamReader):
     """Offset = last header-log entry handed out. ``start_after`` leaves out the pulls
-    up to a key, for a stream that starts in the middle of a feed."""
+    up to a key, for a stream that starts in the middle of a feed.
+
+    ``max_pages_per_batch`` limits what a micro-batch takes: entries in log order as long as their pages fit, one
+    at least (pulls aren't cut). The reader then keeps its own position in the folder ``position``, which
+    belongs to the query's checkpoint and is best put inside it; a position behind the checkpoint fails the query.
+    Under ``availableNow`` Spark asks for one offset only, so each run takes one such batch."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.limit = int(self.options.get("max_pages_per_batch", 0))
+        if self.limit < 0 or (self.limit and not self.options.get("position")):
+            raise ValueError("max_pages_per_batch needs a positive number and the option position")
+        self.position = Position(self.options["position"]) if self.limit else None
+        self.after = self.options.get("start_after", "")
 
     def initialOffset(self):
         return {"log": ""}
 
     def latestOffset(self):
-        return {"log": load_transport(self.options).log_end(self.feed)}
+        t = load_transport(self.options)
+        if not self.limit:
+            return {"log": t.log_end(self.feed)}
+        end, pages = self.position.get(), 0
+        for offset, pull, total in t.log_entries(self.feed, end):
+            more = _n_pages(total, self.page_size) if pull is not None and pull > self.after else 0
+            if pages and pages + more > self.limit:
+                break
+            end, pages = offset, pages + more
+        return end
 
     def partitions(self, start: dict, end: dict):
         t = load_transport(self.options)
-        totals = t.log_between(self.feed, start.get("log", ""), end.get("log", ""))
-        after = self.options.get("start_after", "")
-        return _cut_pages(totals, self.feed, sorted(p for p in totals if p > after), self.page_size, self.pages_per_partition)
+        if not self.limit and "bucket" not in start and "bucket" not in end:
+            totals = t.log_between(self.feed, start.get("log", ""), end.get("log", ""))
+        else:
+            if _log_order(end) < _log_order(start):
+                raise ValueError(f"the stream's position {end} is behind its checkpoint {start}: restore the position folder")
+            totals = {}
+            for offset, pull, total in t.log_entries(self.feed, start):
+                if _log_order(offset) > _log_order(end):
+                    break
+                if pull is not None:
+                    totals[pull] = total
+        if self.limit and _log_order(self.position.get()) < _log_order(end):
+            self.position.set(end)
+        return _cut_pages(totals, self.feed, sorted(p for p in totals if p > self.after), self.page_size, self.pages_per_partition)
 
     def commit(self, end: dict):
         pass
@@ -325,8 +508,9 @@ def register(spark) -> None:
     from pyspark import cloudpickle
 
     import lmplake.feeds
+    import lmplake.sources.paths
     from lmplake.session import ship_package
-    for mod in (lmplake.feeds, sys.modules[__name__]):
+    for mod in (lmplake.feeds, lmplake.sources.paths, sys.modules[__name__]):
         cloudpickle.register_pickle_by_value(mod)
     ship_package(spark)
     spark.dataSource.register(FeedPagesDataSource)
@@ -339,24 +523,67 @@ def write_page_folder(pages, headers, root: str, feed_name: str, append: bool =
     those that are new or differ from what the log says are added, as one landing."""
     from pyspark.sql import functions as F
 
-    from lmplake.sources.paths import exists, remove_dir, sub_dirs, touch
+    from lmplake.sources.paths import remove_dir
     (pages.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string"), "start_row", "page_text")
           .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy("feed", "pull", "start_row").text(root))
-    log = f"{root.rstrip('/')}/_headers"
-    done = []
-    for d in sub_dirs(log):
-        if exists(f"{d}/_COMPLETE"):
-            done.append(d)
-        else:
-            remove_dir(d)  # a landing that died; its headers are given again
+    spark = pages.sparkSession
+    t = PageFolderTransport({"root": root})
+    log, last = f"{t.root}/_headers", t.log_end(feed_name)
+    for landing in t._folders(log, "landing="):
+        if landing > last:
+            remove_dir(f"{log}/landing={landing}")  # a landing that died; its headers are given again
     new = headers.select(F.lit(feed_name).alias("feed"), F.col("pull").cast("string").alias("pull"),
                          F.col("total_rows").cast("bigint").alias("total_rows"))
-    if done:
-        known = PageFolderTransport({"root": root}).headers_frame(pages.sparkSession, feed_name)
+    if last:
+        known = t.headers_frame(spark, feed_name)
         new = new.join(known.withColumnRenamed("total_rows", "_known"), "pull", "left") \
             .where(~F.col("total_rows").eqNullSafe(F.col("_known"))).select("feed", "pull", "total_rows")
-    landing = f"{log}/landing={len(done) + 1:08d}"
-    new.coalesce(1).write.mode("overwrite").json(landing)
-    touch(f"{landing}/_COMPLETE")
+    folder = f"{log}/landing={int(last or 0) + 1:08d}"
+    buckets = _write_buckets(new, f"{folder}/feed={feed_name}")
+    _complete(folder, {"buckets": {feed_name: buckets}})
+    if len(t.landings(t.snapshot(feed_name)[0])) >= SNAPSHOT_EVERY:
+        compact_headers(spark, root, feed_name)
+
+
+def _write_buckets(headers, folder: str) -> int:
+    """Write entries (feed, pull, total_rows) cut into buckets; returns their number."""
+    from pyspark.sql import functions as F
+    headers = headers.cache()
+    try:
+        buckets = -(-headers.count() // BUCKET_ENTRIES)
+        if buckets:
+            headers.withColumn("bucket", F.pmod(F.crc32(F.encode("pull", "UTF-8")), F.lit(buckets)).cast("int")) \
+                .repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "static") \
+                .partitionBy("bucket").json(folder)
+    finally:
+        headers.unpersist()
+    return buckets
+
+
+def _complete(folder: str, mark: dict) -> None:
+    fsys, p = fs_for(folder)
+    fsys.create_dir(p, recursive=True)
+    with fsys.open_output_stream(f"{p}/_writing") as out:
+        out.write(json.dumps(mark).encode())
+    fsys.move(f"{p}/_writing", f"{p}/_COMPLETE")
+
+
+def compact_headers(spark, root: str, feed_name: str) -> str:
+    """Write the latest header of each pull of a feed as a snapshot of the header log, up to its end (returned);
+    snapshots older than the one before go. One that dies has no mark and is written again. Landings stay."""
+    from pyspark.sql import functions as F
 
+    from lmplake.sources.paths import exists, remove_dir
+    t = PageFolderTransport({"root": root})
+    end, (upto, _) = t.log_end(feed_name), t.snapshot(feed_name)
+    if end == upto:
+        return end
+    base = f"{t.root}/_headers/_snapshots/{feed_name}"
+    folder = f"{base}/upto={end}"
+    latest = t.headers_frame(spark, feed_name).select(F.lit(feed_name).alias("feed"), "pull", "total_rows")
+    _complete(folder, {"buckets": _write_buckets(latest, folder)})
+    for old in t._folders(base, "upto="):
+        if old < upto and exists(f"{base}/upto={old}"):
+            remove_dir(f"{base}/upto={old}")
+    return end

@@ -4,6 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from lmplake.feeds import RT_VERIFIED_FEED
+from lmplake.sources import feed_source as S
 from lmplake.sources.feed_source import read_feed, read_feed_stream, register, write_page_folder
 
 
@@ -146,3 +147,116 @@ def test_pull_keys_may_hold_commas(spark, tmp_path):
     root = str(tmp_path / "pages")
     _land(spark, root, [("a,b05", 3), ("c06", 2)])
     assert read_feed(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "pulls": json.dumps(["a,b05"])}).count() == 3
+
+
+def _log(spark, root, headers, feed_name=RT_VERIFIED_FEED):
+    write_page_folder(spark.createDataFrame([], "pull string, start_row bigint, page_text string"),
+                      spark.createDataFrame(headers, "pull string, total_rows bigint"), root, feed_name, append=True)
+
+
+def test_headers_of_few_pulls_open_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "BUCKET_ENTRIES", 8)
+    monkeypatch.setattr(S, "SNAPSHOT_EVERY", 4)
+    root, want = str(tmp_path / "pages"), {}
+    opened = []
+    for wave in range(11):
+        changed = {f"p{i:03d}": wave * 1000 + i for i in range(wave * 20, wave * 20 + 20)} | {"p000": wave}
+        want |= changed
+        _log(spark, root, sorted(changed.items()))
+        t = S.PageFolderTransport({"root": root})
+        assert t.headers(RT_VERIFIED_FEED) == want
+        assert {r["pull"]: r["total_rows"] for r in t.headers_frame(spark, RT_VERIFIED_FEED).collect()} == want
+        t = S.PageFolderTransport({"root": root})
+        assert t.headers_of(RT_VERIFIED_FEED, ["p000", "p013", "none"]) == {"p000": wave, "p013": 13}
+        opened.append(t.opened)
+    # three pulls: at most three buckets of the snapshot and of the three landings that may be behind it
+    assert max(opened) <= 3 * 4 and opened[-1] <= 3 * 4
+    assert S.PageFolderTransport({"root": root}).snapshot(RT_VERIFIED_FEED)[0] == "00000008"
+    assert S.PageFolderTransport({"root": root}).log_between(RT_VERIFIED_FEED, "", "00000002") \
+        == {f"p{i:03d}": (i // 20) * 1000 + i for i in range(1, 40)} | {"p000": 1}
+
+
+def test_a_snapshot_that_died_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "pages")
+    _log(spark, root, [("a", 1), ("b", 2)])
+    assert S.compact_headers(spark, root, RT_VERIFIED_FEED) == "00000001"
+    _log(spark, root, [("a", 7)])
+    died = tmp_path / "pages" / "_headers" / "_snapshots" / RT_VERIFIED_FEED / "upto=00000002" / "bucket=0"
+    died.mkdir(parents=True)
+    (died / "part-0.json").write_text('{"feed":"x","pull":"a","total_rows":99}\n')
+    t = S.PageFolderTransport({"root": root})
+    assert t.headers(RT_VERIFIED_FEED) == {"a": 7, "b": 2} and t.log_end(RT_VERIFIED_FEED) == "00000002"
+    assert S.compact_headers(spark, root, RT_VERIFIED_FEED) == "00000002"
+    assert S.PageFolderTransport({"root": root}).headers_of(RT_VERIFIED_FEED, ["a"]) == {"a": 7}
+
+
+def test_a_log_without_buckets_is_read(spark, tmp_path):
+    old = tmp_path / "pages" / "_headers" / "landing=00000001"
+    old.mkdir(parents=True)
+    (old / "part-0.json").write_text("".join(json.dumps({"feed": RT_VERIFIED_FEED, "pull": p, "total_rows": n}) + "\n"
+                                             for p, n in (("a", 1), ("b", 2))))
+    (old / "_COMPLETE").touch()
+    root = str(tmp_path / "pages")
+    _log(spark, root, [("a", 1), ("b", 3)])
+    t = S.PageFolderTransport({"root": root})
+    assert t.headers(RT_VERIFIED_FEED) == {"a": 1, "b": 3} and t.log_between(RT_VERIFIED_FEED, "00000001", "00000002") == {"b": 3}
+
+
+def _limited(spark, tmp_path, limit):
+    """Run the limited stream until it has caught up; the pulls of each micro-batch that it ran."""
+    root, out, ck = (str(tmp_path / x) for x in ("pages", "out", "ck"))
+    batches = []
+    q = (read_feed_stream(spark, {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "max_pages_per_batch": limit,
+                                  "position": f"{ck}/feed-position"})
+         .writeStream.foreachBatch(lambda df, n: batches.append(
+             sorted((r["pull"], r["count"]) for r in df.groupBy("pull").count().collect())))
+         .option("checkpointLocation", ck).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return batches
+
+
+def test_a_limited_stream_takes_bounded_batches_and_goes_on_after_a_restart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "BUCKET_ENTRIES", 3)
+    register(spark)
+    root = str(tmp_path / "pages")
+    sizes = {f"20240101T{h:02d}": n for h, n in enumerate([4, 5, 1, 0, 12, 3, 30, 8, 2])}
+    _land(spark, root, sorted(sizes.items()))
+    got = _limited(spark, tmp_path, 3)
+    pages = [sum(-(-n // 4) for _, n in b) for b in got]
+    assert sorted(p for b in got for p in b) == sorted((p, n) for p, n in sizes.items() if n)
+    # 30 rows are 8 pages, more than the limit: they stand alone
+    assert all(n <= 3 or (n == 8 and len(b) == 1) for n, b in zip(pages, got)) and len(got) >= 6
+    assert _limited(spark, tmp_path, 3) == []  # nothing new after a restart
+    _land(spark, root, [("20240101T03", 6), ("20240101T20", 9)])
+    assert sorted(p for b in _limited(spark, tmp_path, 3) for p in b) == [("20240101T03", 6), ("20240101T20", 9)]
+
+
+def test_a_replayed_offset_plans_the_same_pages_and_a_lost_position_fails(spark, tmp_path):
+    import pytest
+    root = str(tmp_path / "pages")
+    _log(spark, root, [(f"p{i}", 5) for i in range(6)])
+    options = {"root": root, "feed": RT_VERIFIED_FEED, "page_size": 4, "max_pages_per_batch": 4, "position": str(tmp_path / "at")}
+
+    def plan(reader, start, end):
+        return [(p.pull, p.pages) for p in reader.partitions(start, end)]
+
+    one = S.FeedCursorStreamReader(options)
+    end = one.latestOffset()
+    assert one.latestOffset() == end  # not planned yet
+    first = plan(one, one.initialOffset(), end)
+    assert len(first) == 4
+    again = S.FeedCursorStreamReader(options)  # a restart that replays the batch
+    assert plan(again, again.initialOffset(), end) == first
+    nxt = again.latestOffset()
+    second = plan(again, end, nxt)
+    third = plan(again, nxt, again.latestOffset())
+    assert sorted({p for p, _ in first + second + third}) == [f"p{i}" for i in range(6)]
+    assert again.latestOffset() == {"log": "00000001"}
+    lost = S.FeedCursorStreamReader({**options, "position": str(tmp_path / "elsewhere")})
+    with pytest.raises(ValueError, match="behind its checkpoint"):
+        lost.partitions(nxt, lost.latestOffset())
+    with pytest.raises(ValueError, match="position"):
+        S.FeedCursorStreamReader({**options, "position": ""})
