@@ -41,8 +41,9 @@ def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_training_order_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(slot, shard, row, doc_id, part, n_tokens, ids): every sequence of every document."""
-    return tokens.training_order(table(spark, sf_dir, "documents"))
+    """(slot, shard, row, doc_id, part, n_tokens, ids): every sequence of every document, written to
+    fixed-stride shard files and read from them."""
+    return tokens.materialised(table(spark, sf_dir, "documents"))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

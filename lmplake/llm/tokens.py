@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lmplake.llm.common import LONG_SPAN, U64, chunks, map_arrow, mix, powers, strong_hash, utf8, written
+from lmplake.llm.common import LONG_SPAN, U64, chunks, map_arrow, mix, powers, prepare, strong_hash, utf8, written
 from lmplake.llm.feistel import permute
+from lmplake.session import lake_root
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's word pattern (a fixed value).
@@ -46,6 +47,8 @@ KEY = 6
 #: Words that a worker keeps, and bytes of text whose distinct words are looked up at once.
 MEMO = 1_500_000
 BATCH_BYTES = 4 << 20
+#: Sequences that one read of a shard file takes.
+READ_ROWS = 1024
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 
@@ -245,47 +248,97 @@ def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", seq
                 "n_tokens", "ids")
 
 
-def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
+INDEX_SCHEMA = "slot bigint, shard int, row int, key {kind}, part int, n_tokens int, path string"
+
+
+def index_shards(ordered: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """Write ``ordered`` (of ``training_order``) as ``shard-<n>.bin`` files below ``folder``
-    (a URI that pyarrow opens from every executor) and return their manifest (shard,
-    first_slot, rows, path). A file is written under a name of its own and moved into
-    place when complete, so a repeated task replaces it whole."""
+    (a path that pyarrow opens from every executor) and return where each sequence is: (slot,
+    shard, row, key, part, n_tokens, path). A file is written under a name of its own and moved into
+    place when complete, so a repeated task replaces it whole; its rows are given out after that."""
+    kind = ordered.schema[key].dataType.simpleString()
 
     def run(batches):
         import uuid
 
-        from pyarrow import fs
-        store, root = fs.FileSystem.from_uri(folder)
-        now, out, temp, first, rows = None, None, None, 0, 0
+        from lmplake.sources.paths import fs_for
+        store, root = fs_for(folder)
+        now, out, temp, rows = None, None, None, []
 
         def close():
             out.close()
             path = f"{root}/shard-{now:06d}.bin"
             store.move(temp, path)
-            return pa.RecordBatch.from_pylist([{"shard": now, "first_slot": first, "rows": rows, "path": path}],
-                                              schema=pa.schema([("shard", pa.int32()), ("first_slot", pa.int64()),
-                                                                ("rows", pa.int64()), ("path", pa.string())]))
+            for r in rows:
+                yield r.append_column("path", pa.array([path] * len(r)))
 
         store.create_dir(root, recursive=True)
         for b in batches:
-            raw, offs = utf8(b.column(2))
-            shard, slots = b.column(1).to_numpy(), b.column(0).to_numpy()
+            raw, offs = utf8(b.column(6))
+            shard = b.column(1).to_numpy()
             cuts = np.flatnonzero(np.diff(shard)) + 1
             for i, j in zip([0, *cuts], [*cuts, len(shard)]):
                 if i == j:
                     continue
                 if now != int(shard[i]):
                     if out is not None:
-                        yield close()
-                    now, first, rows = int(shard[i]), int(slots[i]), 0
+                        yield from close()
+                    now, rows = int(shard[i]), []
                     temp = f"{root}/_{uuid.uuid4().hex}"
                     out = store.open_output_stream(temp)
-                out.write(raw[offs[i]:offs[j]].tobytes())
-                rows += j - i
+                out.write(raw[offs[i]:offs[j]])
+                # a copy, so that the batch with its IDs can go
+                rows.append(pa.RecordBatch.from_arrays([c.take(pa.array(np.arange(i, j))) for c in b.columns[:6]],
+                                                       names=["slot", "shard", "row", "key", "part", "n_tokens"]))
         if out is not None:
-            yield close()
+            yield from close()
+
+    src = ordered.select("slot", "shard", "row", F.col(key).alias("key"), "part", "n_tokens", "ids")
+    return map_arrow(src, run, INDEX_SCHEMA.format(kind=kind))
+
+
+def write_shards(ordered: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """Write the files of ``index_shards``; their manifest (shard, first_slot, rows, path)."""
+    return index_shards(ordered, folder, key).groupBy("shard", "path") \
+        .agg(F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("rows")).select("shard", "first_slot", "rows", "path")
 
-    return map_arrow(ordered.select("slot", "shard", "ids"), run, "shard int, first_slot bigint, rows bigint, path string")
+
+def read_shards(index: DataFrame, folder: str, key: str = "doc_id", seq_len: int = SEQ_LEN) -> DataFrame:
+    """The columns of ``training_order`` for the rows of ``index`` (a table of ``index_shards``), with the IDs
+    from the files below ``folder``: rows that follow one another in a file are one sequential read."""
+    kind = index.schema["key"].dataType.simpleString()
+    stride = 2 * seq_len
+
+    def run(batches):
+        from lmplake.sources.paths import fs_for
+        store, _ = fs_for(folder)
+        for b in batches:
+            path, row = b.column(6).to_pylist(), b.column(2).to_numpy().astype(np.int64)
+            runs = [0, *(i for i in range(1, len(row)) if path[i] != path[i - 1] or row[i] != row[i - 1] + 1), len(row)]
+            for s, e in zip(runs[:-1], runs[1:]):
+                for i in range(s, e, READ_ROWS):
+                    j = min(e, i + READ_ROWS)
+                    with store.open_input_file(path[i]) as f:
+                        f.seek(int(row[i]) * stride)
+                        data = f.read_buffer((j - i) * stride)
+                    if data.size != (j - i) * stride:
+                        raise ValueError(f"{path[i]} ends before row {int(row[j - 1])}")
+                    ids = pa.FixedSizeBinaryArray.from_buffers(pa.binary(stride), j - i, [None, data]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:6]), ids],
+                                                     names=["slot", "shard", "row", "key", "part", "n_tokens", "ids"])
+
+    out = map_arrow(index, run, f"slot bigint, shard int, row int, key {kind}, part int, n_tokens int, ids binary")
+    return out.withColumnRenamed("key", key)
+
+
+def materialised(docs: DataFrame, key: str = "doc_id", text: str = "text", seq_len: int = SEQ_LEN,
+                 shard_rows: int = SHARD_ROWS, seed: int = KEY, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``training_order`` written as shard files in the shared folder, and read back from them."""
+    spark = docs.sparkSession
+    prepare(spark)
+    ordered = training_order(docs, key, text, seq_len, shard_rows, seed, vocabulary)
+    folder = f"{lake_root(spark)}-shards"
+    return read_shards(written(index_shards(ordered, folder, key), "index"), folder, key, seq_len)
 
 
 def read_sequence(path: str, row: int, seq_len: int = SEQ_LEN) -> np.ndarray:

@@ -58,10 +58,30 @@ def test_every_sequence_has_one_slot_and_texts_come_back(frame, tmp_path):
         for row in range(m["rows"]):
             assert K.read_sequence(m["path"], row, 32).tobytes() == bytes(by_slot[m["first_slot"] + row])
     assert not [p for p in (tmp_path / "shards").iterdir() if p.name.startswith("_")]
+    # what the query returns comes from the files
+    back = K.materialised(df, seq_len=32, shard_rows=50)
+    assert back.columns == ordered.columns and sorted(map(repr, back.collect())) == sorted(map(repr, out))
+
+
+def test_a_reader_resumes_in_the_middle_and_a_short_file_fails(frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "READ_ROWS", 3)
+    df = frame([(i, t, "x") for i, t in enumerate(texts(40))], "doc_id long, text string, slot string")
+    folder = f"file://{tmp_path}/shards"
+    index = K.index_shards(K.training_order(df, seq_len=16, shard_rows=20), folder).cache()
+    want = {r["slot"]: bytes(r["ids"]) for r in K.training_order(df, seq_len=16, shard_rows=20).collect()}
+    assert index.count() == len(want)
+    rest = K.read_shards(index.where("slot >= 27 and slot % 5 <> 0"), folder, seq_len=16).collect()
+    assert {r["slot"]: bytes(r["ids"]) for r in rest} == {s: v for s, v in want.items() if s >= 27 and s % 5}
+    path = index.where("slot = 0").first()["path"]
+    with open(path, "r+b") as f:
+        f.truncate(16 * 2 * 4)
+    with pytest.raises(Exception, match="ends before row"):
+        K.read_shards(index, folder, seq_len=16).collect()
 
 
 def test_empty(frame):
     assert K.training_order(frame([], "doc_id long, text string")).collect() == []
+    assert K.materialised(frame([], "doc_id long, text string")).collect() == []
 
 
 @pytest.mark.parametrize("seed", [1, 2])
