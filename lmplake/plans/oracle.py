@@ -483,3 +483,5 @@ ORACLE["versioned_day_merge"] = f"""
   SELECT *, CAST(1 AS BIGINT) AS version FROM old
   UNION ALL
   SELECT *, 2 FROM (SELECT * FROM new QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1)"""
+
+ORACLE["stream_cursor_limited"] = ORACLE["stream_cursor"]

@@ -380,6 +380,30 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
 
 
+# Pages that a micro-batch of the limited cursor stream takes.
+CURSOR_PAGES_PER_BATCH = 8
+
+
+def stream_cursor_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header log handed out a few pages at a time (T1 with admission control): the
+    same rows as without a limit, in several micro-batches."""
+    root = lake_root(spark)
+    pages = reliable_checkpoint(build_pages(A.events_raw(spark, sf_dir), DA, ["pull_id"], "ingest_seq", A.ADAPTER_PAGE_SIZE)
+                                .withColumnRenamed("pull_id", "pull"))
+    write_page_folder(pages, pages.groupBy("pull").agg(F.sum("n_rows").cast("bigint").alias("total_rows")), f"{root}/pages", DA_FEED)
+    out, ck = f"{root}/out", f"{root}/_checkpoint"
+    q = (read_feed_stream(spark, {"root": f"{root}/pages", "feed": DA_FEED, "page_size": A.ADAPTER_PAGE_SIZE,
+                                  "pages_per_partition": PAGES_PER_TASK, "max_pages_per_batch": CURSOR_PAGES_PER_BATCH,
+                                  "position": f"{ck}/feed-position"})
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    recs = spark.read.parquet(out)
+    return normalize_prices(recs, DA, keep=("pull", "start_row", "api_row")).withColumnRenamed("pull", "pull_id")
+
+
 # Files per micro-batch in the streaming keys, so that several micro-batches run.
 STREAM_FILES_PER_TRIGGER = 16
 
@@ -589,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "day_completeness": day_completeness,
     "day_boundaries": day_boundaries,
     "save_targets": save_targets,
+    "stream_cursor_limited": stream_cursor_limited,
     "feed_source_plan": feed_source_plan,
     "feed_source_read": feed_source_read,
     "list_files": list_files_q,
