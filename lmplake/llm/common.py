@@ -230,7 +230,7 @@ def join_sized(left: DataFrame, right: DataFrame, keys: list[str], count: str, t
 # ---------------------------------------------------------------- positions
 
 def with_rank(df: DataFrame, key: str, out: str, order: list[str], u: str, rows_per_bin: int = 4096,
-              key_counts: dict | None = None) -> DataFrame:
+              key_counts: dict | None = None, together: tuple[str, str, str] | None = None) -> DataFrame:
     """Append ``out``: 0-based gapless position of each row among the rows with
     the same (non-null) ``key``, ordered by the 32-bit hash column ``u``, then
     ``order``.
@@ -238,20 +238,30 @@ def with_rank(df: DataFrame, key: str, out: str, order: list[str], u: str, rows_
     A key is cut into bins of the hash (about ``rows_per_bin`` rows each, bins
     grow in number with the table), so even a key with a third of all rows is
     numbered by many tasks: bin counts are summed over bins, rows are numbered
-    inside their bin. Rows equal in ``u`` and ``order`` take any order."""
+    inside their bin. Rows equal in ``u`` and ``order`` take any order.
+
+    ``together`` names a non-null string column whose equal rows have one ``u`` and shall stand in a line, the column with
+    their number and a 32-bit hash of the row: a value with more rows than a bin has bins of its own, cut by that hash."""
     total = sum(key_counts.values()) if key_counts is not None else df.count()
     bins = max(1, -(-total // rows_per_bin))
     b = F.floor(F.col(u).cast("double") * F.lit(bins) / F.lit(float(1 << 32))).cast("long")
-    tagged = df.withColumn("_bin", b)
-    counts = tagged.groupBy(key, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col(key).alias("_k"), F.col("_bin").alias("_b"),
+    own, sub = F.lit(""), F.lit(0).cast("long")
+    if together:
+        value, rows, h = (F.col(c) for c in together)
+        large = F.coalesce(rows > rows_per_bin, F.lit(False))
+        own = F.when(large, F.concat(F.lit("="), value)).otherwise(own)
+        sub = F.when(large, F.floor(h.cast("double") * F.ceil(rows / rows_per_bin) / F.lit(float(1 << 32))).cast("long")).otherwise(sub)
+    cut = ["_bin", "_own", "_sub"]
+    tagged = df.withColumn("_bin", b).withColumn("_own", own).withColumn("_sub", sub)
+    counts = tagged.groupBy(key, *cut).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(key).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in cut],
                          F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(key, "_bin").orderBy(u, *order)
+    inside = Window.partitionBy(key, *cut).orderBy(u, *order)
     ranked = tagged.withColumn("_r", F.row_number().over(inside) - 1)
-    return (ranked.join(base, (F.col(key) == F.col("_k")) & (F.col("_bin") == F.col("_b")))
+    return (ranked.join(base, [F.col(key) == F.col("_k"), *[F.col(c) == F.col(f"_{c}") for c in cut]])
             .withColumn(out, (F.col("_base") + F.col("_r")).cast("long"))
-            .drop("_bin", "_r", "_k", "_b", "_base"))
+            .drop("_r", "_k", "_base", *cut, *[f"_{c}" for c in cut]))
 
 
 RANGE_ROWS, MOST_RANGES = 1 << 13, 20_000

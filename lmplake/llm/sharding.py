@@ -103,7 +103,8 @@ def balance(labelled: DataFrame, n_shards: int, order: list[str]) -> DataFrame:
     # linked documents come first: the rank's hash has its first bit from "linked", and a hub's documents stand together
     rank = (F.when(F.col("linked"), F.lit(0)).otherwise(F.lit(1 << 31)) + F.shiftrightunsigned(u32(
         F.col("hub"), F.when(~F.col("linked"), F.col("u"))), 1)).cast("long")
-    ranked = with_rank(labelled.withColumn("_rank", rank), "label", "_place", order=["u", *order], u="_rank", key_counts=counts)
+    ranked = with_rank(labelled.withColumn("_rank", rank), "label", "_place", order=["u", *order], u="_rank", key_counts=counts,
+                       together=("hub", "hub_rows", "u"))
     caps = F.array(*[F.lit(c) for c in cap])
     ranked = written(ranked.withColumn("_over", F.col("_place") >= caps[F.col("label")]), "ranked")
     stay = ranked.where("not _over").select("*", F.col("label").alias("shard"), F.col("_place").alias("slot"))

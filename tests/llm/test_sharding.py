@@ -55,3 +55,28 @@ def test_every_text_twice_keeps_copies_together(frame):
     df = S.shard_documents(frame(rows, SCHEMA))
     check(rows, df.collect(), 8)
     assert S.cut(df).first()["splits"] <= 0.25 * 800  # 7 in 8 at random
+
+
+def test_copies_of_a_hub_are_numbered_in_bins(frame, monkeypatch):
+    """A hub larger than a bin has bins of its own; places stay gapless and its rows in a line."""
+    import functools
+
+    from pyspark.sql import functions as F
+
+    from lmplake.llm.common import u32, with_rank
+    rows = [(i, "ab"[i % 2], "hot" if i < 900 else "" if i < 1000 else f"t{i % 400}") for i in range(1500)]
+    df = frame(rows, "doc_id long, label string, hub string")
+    n = df.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
+    df = df.join(n, "hub").withColumn("n", F.when(F.col("n") > 1, F.col("n"))) \
+        .withColumn("at", u32(F.col("hub"))).withColumn("u", u32(F.col("doc_id")))
+    small = functools.partial(with_rank, df, "label", "place", order=["doc_id"], u="at", rows_per_bin=40, together=("hub", "n", "u"))
+    out = small()
+    assert set(out.columns) == {*df.columns, "place"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_own" in plan and "_sub" in plan
+    got = sorted((r["label"], r["place"], r["hub"]) for r in out.collect())
+    for label in "ab":
+        mine = [(p, h) for lab, p, h in got if lab == label]
+        assert [p for p, _ in mine] == list(range(750))
+        runs = [h for i, (_, h) in enumerate(mine) if i == 0 or mine[i - 1][1] != h]
+        assert runs.count("hot") == 1 and runs.count("") == 1
