@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lmplake.session import ship_package
+from lmplake.session import reliable_checkpoint, ship_package
 
 from lmplake.feeds import KEY_COLUMNS, FeedSpec
 from lmplake.operators.merge import SEQ_COL, merge_rows, touched_days
@@ -233,6 +233,22 @@ def record_processed(files: DataFrame, ledger_dir: str, batch_id: int | None = N
     out.write.mode("append").parquet(ledger_dir)
 
 
+#: Pending files that a sweep merges at once (their paths pass through the driver).
+SWEEP_FILES = 100_000
+
+
+def _waves(counts: list[tuple[str, int]], limit: int) -> list[tuple[str, str]]:
+    """Cut day folders, in order, into ranges (first, last) of at most ``limit`` files, one folder at least."""
+    out, held = [], 0
+    for folder, n in counts:
+        if out and held + n <= limit:
+            out[-1], held = (out[-1][0], folder), held + n
+        else:
+            out.append((folder, folder))
+            held = n
+    return out
+
+
 def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_dir: str, spec: FeedSpec,
                  batch_id: int | None = None, days=None, consume: str = "keep",
                  archive_dir: str | None = None) -> list:
@@ -242,6 +258,10 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     against the ledger, so a rerun after a failure merges the same files again
     (idempotent) and a rerun after success merges nothing.
 
+    The pending paths are a checkpointed table. They are merged in waves of whole days with at most ``SWEEP_FILES``
+    files (a day with more is a wave), each published and recorded before the next, so a backlog of any
+    length passes through in parts, and a sweep that dies goes on behind its last wave.
+
     ``consume`` (K4): ``keep`` the merged files, ``archive`` them under
     ``archive_dir`` (same relative path) or ``delete`` them - always after the
     publish and after the ledger write, so a crash in between leaves files the
@@ -254,18 +274,20 @@ def sweep_intake(spark: SparkSession, intake_dir: str, table_dir: str, ledger_di
     if _exists(ledger_dir):
         done = spark.read.schema("file_path string, batch_id bigint").parquet(ledger_dir).select("file_path")
         files = files.join(done, "file_path", "left_anti")
-    # the pinned set: one path for each pending file, as the scan's own file index holds it
-    paths = sorted(r[0] for r in files.distinct().collect())
-    if not paths:
-        return []
-    pending = read_intake_files(spark, intake_dir, paths, spec)
-    days = merge_into_day_table(spark, table_dir, pending, spec)
-    if days:
-        listed = spark.createDataFrame([(p,) for p in paths], "file_path string")
-        record_processed(listed, ledger_dir, batch_id)
-        if consume != "keep":
-            _consume_files(listed, intake_dir, consume, archive_dir)
-    return days
+    # pinned once: what lands from here on is the next sweep's
+    pending = reliable_checkpoint(files.distinct().withColumn("folder", F.regexp_extract("file_path", "/pricedate=([^/]+)/", 1)))
+    counts = [tuple(r) for r in pending.groupBy("folder").count().orderBy("folder").collect()]  # a row a day
+    merged = []
+    for first, last in _waves(counts, SWEEP_FILES):
+        listed = pending.where(F.col("folder").between(first, last)).select("file_path")
+        paths = sorted(r[0] for r in listed.collect())
+        touched = merge_into_day_table(spark, table_dir, read_intake_files(spark, intake_dir, paths, spec), spec)
+        if touched:
+            record_processed(listed, ledger_dir, batch_id)
+            if consume != "keep":
+                _consume_files(listed, intake_dir, consume, archive_dir)
+        merged.extend(touched)
+    return merged
 
 
 def _consume_files(listed: DataFrame, intake_dir: str, consume: str, archive_dir: str | None) -> None:

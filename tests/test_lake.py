@@ -81,6 +81,33 @@ def test_sweep_merges_pending_files_once(spark, tmp_path):
     assert _table(spark, table) == {(1, dt.datetime(2024, 1, 1, 5), 9.0), (2, dt.datetime(2024, 1, 2, 5), 2.0)}
 
 
+def test_sweep_takes_a_backlog_in_waves_and_goes_on_behind_the_last_one(spark, tmp_path, monkeypatch):
+    import pytest
+
+    import lmplake.sinks.lake as L
+    assert L._waves([("a", 2), ("b", 1), ("c", 1), ("d", 9), ("e", 1)], 3) == [("a", "b"), ("c", "c"), ("d", "d"), ("e", "e")]
+    assert L._waves([], 3) == []
+    intake, table, ledger = (str(tmp_path / x) for x in ("intake", "day", "ledger"))
+    rows = [(dt.datetime(2024, 1, d, 5), d, float(d), d) for d in (1, 2, 3)]
+    L.land_intake(_prices(spark, rows), intake, SPEC)
+    monkeypatch.setattr(L, "SWEEP_FILES", 1)
+    real, calls = L.merge_into_day_table, []
+
+    def dies_in_the_second(*a, **k):
+        calls.append(a)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*a, **k)
+
+    monkeypatch.setattr(L, "merge_into_day_table", dies_in_the_second)
+    with pytest.raises(RuntimeError):
+        L.sweep_intake(spark, intake, table, ledger, SPEC)
+    assert [n for n, _, _ in _table(spark, table)] == [1]
+    assert L.sweep_intake(spark, intake, table, ledger, SPEC) == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]  # the first isn't merged again
+    assert _table(spark, table) == {(n, t, v) for t, n, v, _ in rows}
+    assert L.sweep_intake(spark, intake, table, ledger, SPEC) == []
+
+
 def test_publish_interrupted_mid_commit_is_finished_by_the_next_merge(spark, tmp_path):
     import shutil
     from lmplake.sinks.lake import recover_staged, write_day_partitions
