@@ -476,6 +476,12 @@ ORACLE["released_requests"] = f"""
                             WHEN not_before <= TIMESTAMP '2001-07-15 13:00:00' THEN 1 ELSE 2 END AS BIGINT) AS release_id
   FROM ({ORACLE['next_requests']}) WHERE not_before <= TIMESTAMP '2001-07-20 00:00:00'"""
 
+#: A request goes out in the wave that brings it, or in the first later one whose clock has reached its time.
+ORACLE["stream_due_requests"] = f"""
+  SELECT message, CAST(greatest(day(pricedate) % 3, CASE WHEN not_before <= TIMESTAMP '2001-07-15 12:30:00' THEN 0
+                                                         WHEN not_before <= TIMESTAMP '2001-07-15 13:00:00' THEN 1 ELSE 2 END) AS BIGINT) AS wave
+  FROM ({ORACLE['next_requests']}) WHERE not_before <= TIMESTAMP '2001-07-20 00:00:00'"""
+
 ORACLE["versioned_day_merge"] = f"""
   {WITH_EV}, p AS (SELECT {LAKE_COLS} FROM ev),
   old AS (SELECT * FROM p WHERE ingest_seq % 2 = 0 QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1),

@@ -32,6 +32,7 @@ from lmplake.sources.intake import list_files
 from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
 from lmplake.streaming.streams import FINISHED, REQUESTED, control_message_stream, start_day_merge, start_merge_actions, \
     start_pending_merges, start_serving_upsert
+from lmplake.streaming.timers import request_stream, start_timed_release
 
 DA = feed(DA_FEED)
 # Fixed evaluation instants (``now`` is a parameter, never the wall clock).
@@ -566,6 +567,21 @@ def released_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{root}/messages").select(F.col("value").alias("message"), F.col("release_id").cast("bigint").alias("release_id"))
 
 
+def stream_due_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that arrive in three waves and go out by their timers, the clock at one of three times in each wave."""
+    root = lake_root(spark)
+    pull = F.concat_ws("/", "pull_id", F.col("pricedate").cast("string"))
+    requests = reliable_checkpoint(next_requests_q(spark, sf_dir).select(
+        F.lit(0).cast("bigint").alias("batch_id"), "feed", pull.alias("pull"), "not_before", "message", "pricedate"))
+    for wave, now in enumerate(RELEASE_TIMES):
+        requests.where(F.dayofmonth("pricedate") % 3 == wave).drop("pricedate", "batch_id").write.parquet(f"{root}/requests/batch_id={wave}")
+        spark.sql(f"select TIMESTAMP '{now} UTC' as clock").write.mode("append").parquet(f"{root}/clock")
+        clock = spark.readStream.schema("clock timestamp").parquet(f"{root}/clock")
+        start_timed_release(request_stream(spark, f"{root}/requests"), clock, f"{root}/_checkpoint", f"{root}/messages/wave={wave}",
+                            f"{root}/_landings").awaitTermination()
+    return spark.read.text(f"{root}/messages").select(F.col("value").alias("message"), F.col("wave").cast("bigint").alias("wave"))
+
+
 def gap_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gaps of each node as ranges of missing hours."""
     return Q.gap_ranges(A.events_prices(spark, sf_dir), ["node_id"], DA.step_minutes)
@@ -632,6 +648,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_rows": stream_late_rows,
     "stream_merge_actions": stream_merge_actions,
     "released_requests": released_requests,
+    "stream_due_requests": stream_due_requests,
     "versioned_day_merge": versioned_day_merge,
     "gap_ranges": gap_ranges_q,
     "refill_requests": refill_requests_q,
