@@ -490,4 +490,14 @@ ORACLE["versioned_day_merge"] = f"""
   UNION ALL
   SELECT *, 2 FROM (SELECT * FROM new QUALIFY row_number() OVER (PARTITION BY node_id, utcbegin ORDER BY ingest_seq DESC) = 1)"""
 
+ORACLE["node_set_inventory"] = f"{WITH_EV} SELECT DISTINCT pricedate, node_id FROM ev"
+
+ORACLE["node_set_carried_over"] = f"""{WITH_EV}
+  SELECT DISTINCT pricedate, node_id FROM ev WHERE ingest_seq % 2 = 0 AND pricedate IN (SELECT pricedate FROM ev WHERE ingest_seq % 2 = 1)
+  EXCEPT
+  SELECT DISTINCT pricedate, node_id FROM ev WHERE ingest_seq % 2 = 1"""
+
+ORACLE["node_set_lookup"] = f"""
+  SELECT * EXCLUDE (version) FROM ({ORACLE['versioned_day_merge']}) WHERE version = 2 AND node_id IN (SELECT node_id FROM {TEST_ASSETS})"""
+
 ORACLE["stream_cursor_limited"] = ORACLE["stream_cursor"]

@@ -26,7 +26,7 @@ from lmplake.session import lake_root, reliable_checkpoint
 from lmplake.sinks.lake import land_intake, merge_into_day_table, order_pulls, serving_table_path, stamp_ingest_seq, \
     sweep_intake, upsert_serving
 from lmplake.sinks.landings import start_landing
-from lmplake.sinks.versions import merge_versioned, read_versioned
+from lmplake.sinks.versions import merge_versioned, read_nodes, read_versioned, table_carried_over, table_nodes
 from lmplake.sources.feed_source import read_feed, read_feed_stream, write_page_folder
 from lmplake.sources.intake import list_files
 from lmplake.sources.pages import build_pages, parse_page_text, read_json_pages
@@ -521,12 +521,33 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/day")
 
 
-def versioned_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing rows, then new rows stamped as landing 1, merged into a versioned table and read at both versions (K3)."""
+def _versioned_table(spark, sf_dir):
+    """Existing rows, then new rows stamped as landing 1, merged into a versioned table."""
     table = f"{lake_root(spark)}/day"
     existing, new = _existing_new(spark, sf_dir)
     for rows in (existing, stamp_ingest_seq(new, 1, "ingest_seq")):
         merge_versioned(spark, table, rows, DA)
+    return table
+
+
+def node_set_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of each day of the versioned table, from its bitmaps."""
+    return table_nodes(spark, _versioned_table(spark, sf_dir))
+
+
+def node_set_carried_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes that the second merge carried over, by and-not of the bitmaps."""
+    return table_carried_over(spark, _versioned_table(spark, sf_dir))
+
+
+def node_set_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the asset nodes in the versioned table, on the days whose bitmaps have one."""
+    return read_nodes(spark, _versioned_table(spark, sf_dir), DA, [n for n, _ in A.TEST_ASSETS])
+
+
+def versioned_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versioned table read at both versions (K3)."""
+    table = _versioned_table(spark, sf_dir)
     old, now = (read_versioned(spark, table, DA, version=v).withColumn("version", F.lit(v).cast("bigint")) for v in (1, 2))
     return old.unionByName(now)
 
@@ -650,6 +671,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "released_requests": released_requests,
     "stream_due_requests": stream_due_requests,
     "versioned_day_merge": versioned_day_merge,
+    "node_set_inventory": node_set_inventory,
+    "node_set_carried_over": node_set_carried_over,
+    "node_set_lookup": node_set_lookup,
     "gap_ranges": gap_ranges_q,
     "refill_requests": refill_requests_q,
 }
