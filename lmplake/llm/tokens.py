@@ -27,6 +27,7 @@ besides key and text are not read.
 from __future__ import annotations
 
 import base64
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ MEMO = 1_500_000
 BATCH_BYTES = 4 << 20
 #: Sequences that one read of a shard file takes.
 READ_ROWS = 1024
+#: Runs in which ``materialised`` writes the shards.
+WAVES = 4
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _END = range(5)
 
@@ -223,10 +226,8 @@ def sequences(docs: DataFrame, key: str, text: str, seq_len: int, vocabulary: st
     return map_arrow(src, run, f"block int, nth bigint, key {kind}, part int, n_tokens int, ids binary")
 
 
-def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", seq_len: int = SEQ_LEN,
-                   shard_rows: int = SHARD_ROWS, seed: int = KEY, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(slot, shard, row, key, part, n_tokens, ids), range-partitioned by shard and
-    sorted by slot: partitions hold whole shards, row is the place in the shard."""
+def _placed(docs: DataFrame, key: str, text: str, seq_len: int, shard_rows: int, seed: int, vocabulary: str) -> tuple[DataFrame, int]:
+    """The columns of ``training_order``, in no order, and the number of shards."""
     seqs = written(sequences(docs, key, text, seq_len, vocabulary), "sequences")
     counts = sorted((r["block"], r["n"]) for r in seqs.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect())
     total = sum(n for _, n in counts)
@@ -240,12 +241,22 @@ def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", seq
         number = block.map(base).to_numpy(np.int64) + nth.to_numpy(np.int64)
         return pd.Series(permute(number, total, seed))
 
-    n_shards = max(1, -(-total // shard_rows))
-    return seqs.withColumn("slot", slot("block", "nth")) \
+    placed = seqs.withColumn("slot", slot("block", "nth")) \
         .withColumn("shard", F.floor(F.col("slot") / F.lit(shard_rows)).cast("int")) \
-        .repartitionByRange(n_shards, "shard").sortWithinPartitions("slot") \
         .select("slot", "shard", (F.col("slot") % shard_rows).cast("int").alias("row"), F.col("key").alias(key), "part",
                 "n_tokens", "ids")
+    return placed, max(1, -(-total // shard_rows))
+
+
+def _in_order(placed: DataFrame, n_shards: int) -> DataFrame:
+    return placed.repartitionByRange(n_shards, "shard").sortWithinPartitions("slot")
+
+
+def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", seq_len: int = SEQ_LEN,
+                   shard_rows: int = SHARD_ROWS, seed: int = KEY, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(slot, shard, row, key, part, n_tokens, ids), range-partitioned by shard and
+    sorted by slot: partitions hold whole shards, row is the place in the shard."""
+    return _in_order(*_placed(docs, key, text, seq_len, shard_rows, seed, vocabulary))
 
 
 INDEX_SCHEMA = "slot bigint, shard int, row int, key {kind}, part int, n_tokens int, path string"
@@ -331,14 +342,35 @@ def read_shards(index: DataFrame, folder: str, key: str = "doc_id", seq_len: int
     return out.withColumnRenamed("key", key)
 
 
+@contextmanager
+def shuffles_removed(spark):
+    """Shuffle files go when the job that made them has ended, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialised(docs: DataFrame, key: str = "doc_id", text: str = "text", seq_len: int = SEQ_LEN,
                  shard_rows: int = SHARD_ROWS, seed: int = KEY, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``training_order`` written as shard files in the shared folder, and read back from them."""
+    """``training_order`` written as shard files in the shared folder, and read back from them.
+
+    The shards are written in ``WAVES`` runs of neighbouring ones, each a shuffle of its own over the table of
+    sequences, so that beside that table and the files only a part of the sequences is on disk a third time."""
     spark = docs.sparkSession
     prepare(spark)
-    ordered = training_order(docs, key, text, seq_len, shard_rows, seed, vocabulary)
+    placed, n_shards = _placed(docs, key, text, seq_len, shard_rows, seed, vocabulary)
     folder = f"{lake_root(spark)}-shards"
-    return read_shards(written(index_shards(ordered, folder, key), "index"), folder, key, seq_len)
+    step, index = -(-n_shards // WAVES), None
+    with shuffles_removed(spark):
+        for first in range(0, n_shards, step):
+            wave = _in_order(placed.where(F.col("shard").between(first, first + step - 1)), step)
+            part = written(index_shards(wave, folder, key), f"index-{first}")
+            index = part if index is None else index.unionByName(part)
+    return read_shards(index, folder, key, seq_len)
 
 
 def read_sequence(path: str, row: int, seq_len: int = SEQ_LEN) -> np.ndarray:

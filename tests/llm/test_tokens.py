@@ -98,3 +98,18 @@ def test_words_whose_polynomial_hashes_are_equal():
     tok, enc = K.Tokenizer(K.VOCABULARY), K.load()
     ids, at = tok.encode([one, two])
     assert [ids[a:b - 1].tolist() for a, b in zip(at[:-1], at[1:])] == [enc.encode_ordinary(t) for t in (one, two)]
+
+
+def test_waves_give_the_rows_of_the_training_order(spark):
+    """More shards than waves, fewer, one, and none: the files hold every sequence once, at its slot."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 9)) for i in range(60)], "doc_id long, text string")
+    for rows, shard_rows in ((60, 4), (60, 30), (60, 1000), (0, 4)):
+        some = docs.where(f"doc_id < {rows}")
+        want = K.training_order(some, seq_len=8, shard_rows=shard_rows).collect()
+        got = K.materialised(some, seq_len=8, shard_rows=shard_rows).collect()
+        key = lambda r: r.slot
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+        assert [r.slot for r in sorted(got, key=key)] == list(range(len(got)))
+    assert spark.conf.get(setting) == before
