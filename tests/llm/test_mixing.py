@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -7,6 +8,33 @@ from lmplake.llm import mixing as X
 from lmplake.llm.feistel import permute
 
 
+def shares(sizes, weights, most):
+    """Targets by the contract's words, in fractions: 100% by weight; whoever is above its limit stops there, the
+    excess is shared again by weight until nobody is above."""
+    target, free, left = [Fraction(0)] * len(sizes), set(range(len(sizes))), Fraction(sum(sizes))
+    while free:
+        weight = sum(weights[i] for i in free)
+        for i in free:
+            target[i] = left * weights[i] / weight
+        over = {i for i in free if target[i] > most * sizes[i]}
+        if not over:
+            break
+        for i in over:
+            target[i] = Fraction(most * sizes[i])
+            left -= target[i]
+        free -= over
+    return target
+
+
+def test_targets_follow_the_words_of_the_contract():
+    rng = random.Random(8)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 2, rng.randrange(10), rng.randrange(10 ** 6)]) for _ in range(rng.randrange(1, 9))]
+        weights = [1 + i % 3 for i in range(len(sizes))]
+        want = shares(sizes, weights, 3)
+        assert X.water_fill(sizes, weights, 3) == pytest.approx([float(t) for t in want], rel=1e-9, abs=1e-9), sizes
+
+
 def test_water_fill():
     assert X.water_fill([10, 10], [1, 1], 3) == [10, 10]
     t = X.water_fill([100, 2, 50], [1, 2, 3], 3)
@@ -52,7 +80,7 @@ def test_targets_and_takes(frame):
     for _, t, s, _ in data:
         size[s] = size.get(s, 0) + len((t or "").split())
     order = sorted(size, key=lambda s: (s is None, (s or "").encode()))
-    target = dict(zip(order, X.water_fill([size[s] for s in order], [1.0 + i % 3 for i in range(len(order))], 3)))
+    target = dict(zip(order, map(float, shares([size[s] for s in order], [1 + i % 3 for i in range(len(order))], 3))))
     taken = dict.fromkeys(order, 0)
     draws = {}
     for r in out:
