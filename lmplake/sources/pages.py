@@ -16,11 +16,18 @@ from lmplake.feeds import FeedSpec
 from lmplake.operators.positions import positions_within
 
 
+# No JSON text holds a NUL (in a string it is escaped), so with this as line separator a page file is one line.
+WHOLE_FILE = "\0" * 8
+
+
 def read_json_pages(spark: SparkSession, paths: str | list[str], spec: FeedSpec,
                     with_provenance: bool = True) -> DataFrame:
-    """All records of all page files under ``paths`` (one task per file)."""
+    """All records of all page files under ``paths``, line breaks inside a page or not.
+
+    Each file is read at once and parsed from memory. With ``multiLine`` Spark parses the open file, and to keep the
+    literal text of a number that is read as text it goes back to the file for every one of them."""
     r = (spark.read.schema(spec.raw_schema())
-         .option("multiLine", True).option("mode", "FAILFAST")
+         .option("lineSep", WHOLE_FILE).option("mode", "FAILFAST")
          .json(paths))
     if with_provenance:
         r = r.select("*", F.col("_metadata.file_path").alias("file_path"))

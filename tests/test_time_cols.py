@@ -101,3 +101,27 @@ def test_quarantine_splits_bad_rows(spark):
     good, bad = split_quarantine(raw, spec)
     assert good.count() == 1 and good.first().damcc is None
     assert sorted(r.reason for r in bad.collect()) == ["bad_node", "bad_time", "bad_total_lmp_da"]
+
+
+def test_pages_are_read_once_with_numbers_as_sent(spark, tmp_path):
+    """Numbers that are read as text keep their literal text, without another read of the file for each."""
+    from lmplake.feeds import DA_FEED
+    from lmplake.sources.pages import read_json_pages
+    spec = feed(DA_FEED)
+    numbers = ["20", "20.10", "-0.5", "1E3", "123456789012345678901234567890"]
+    rec = '{"datetime_beginning_utc":"2024-03-10T06:00:00","pnode_id":%d,"total_lmp_da":%s,"congestion_price_da":0.50,"marginal_loss_price_da":null}'
+    texts = [rec % (i, numbers[i % len(numbers)]) for i in range(400)]
+    for k, sep in enumerate((",", ",\n", ",\r\n ")):  # a page may hold line breaks
+        (tmp_path / f"page{k}.json").write_text("[" + sep.join(texts[k::3]) + "]\n", newline="")
+    (tmp_path / "empty.json").write_text("[]")
+    size = sum(p.stat().st_size for p in tmp_path.iterdir())
+    seen = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = seen()
+    got = read_json_pages(spark, str(tmp_path), spec).collect()
+    assert seen() - before < 4 * size
+    assert {(int(r.pnode_id), r.total_lmp_da, r.congestion_price_da, r.marginal_loss_price_da) for r in got} == \
+        {(i, numbers[i % len(numbers)], "0.50", None) for i in range(400)}
+    assert len(got) == 400 and {r.file_path.rsplit("/", 1)[-1] for r in got} == {"page0.json", "page1.json", "page2.json"}
+    (tmp_path / "cut.json").write_text("[" + texts[0] + ",")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_json_pages(spark, str(tmp_path), spec).collect()
