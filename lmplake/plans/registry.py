@@ -555,7 +555,9 @@ def versioned_day_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merge_events(spark, sf_dir):
     """Merge requests and ends of merges in four waves: requests, more of them while merges run, the end of the merges
     of odd days, and requests again."""
-    asked = P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir))).select("feed", "merge_date", "n_requests")
+    # all waves take them, and a wave's filter on the day would be pushed below the decode, which parses again for each mention
+    asked = reliable_checkpoint(P.coalesce_merge_requests(decode_messages(A.event_messages(spark, sf_dir)))
+                                .select("feed", "merge_date", "n_requests"))
     day = F.dayofmonth("merge_date")
     each = asked.select("feed", "merge_date", F.explode(F.sequence(F.lit(1).cast("bigint"), "n_requests")).alias("nth")).drop("nth") \
         .withColumn("what", F.lit(REQUESTED))

@@ -151,3 +151,21 @@ def test_requests_during_a_merge_lead_to_one_rerun(spark, tmp_path):
         assert [(r.action, r.n_requests) for r in got] == want[i], i
         seen += len(got)
     assert seen == 4
+
+
+def test_merge_waves_decode_the_messages_once(spark, tmp_path):
+    """The four waves take the counted requests: none of them decodes the messages again."""
+    from lmplake.plans.registry import _merge_events
+    from lmplake.streaming.streams import FINISHED, REQUESTED
+    days = {3: 2, 5: 1, 6: 4, 10: 3}
+    rows = [(dt.datetime(2024, 1, d, 12), "signup") for d, n in days.items() for _ in range(n)] + [(dt.datetime(2024, 1, 3, 12), "click")]
+    spark.createDataFrame([(i, t, i, e, 1.0, '{"k": %d}' % i) for i, (t, e) in enumerate(rows)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    waves = _merge_events(spark, str(tmp_path))
+    for wave in waves:
+        plan = wave._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json(" not in plan and "JsonToStructs(" not in plan
+    got = [{(r.merge_date.day, r.what): r["count"] for r in w.groupBy("merge_date", "what").count().collect()} for w in waves]
+    ask = lambda *ds: {(d, REQUESTED): days[d] for d in ds}
+    assert got == [ask(3, 6), ask(3, 6), {(3, FINISHED): 1}, ask(3, 5, 6, 10)]
